@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.byte_shards import byte_shards
 from tidewater.llm.curriculum_mix import mix_sources
 from tidewater.llm.exact_dedup import exact_dedup
+from tidewater.llm.flat_graph_dedup import embedding_components
+from tidewater.llm.simhash_tiles import simhash_components
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,10 +26,18 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_documents(spark, sf_dir))
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_documents(spark, sf_dir))
+
+
 def op6_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(_documents(spark, sf_dir))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 OP1_SQL = """
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
        doc_id = max(doc_id) over g as kept, sha256(coalesce(text, '')) as text_sha256
