@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.byte_shards import byte_shards
+from tidewater.llm.cross_parse_langid import identify_language
 from tidewater.llm.curriculum_mix import mix_sources
 from tidewater.llm.exact_dedup import exact_dedup
 from tidewater.llm.flat_graph_dedup import embedding_components
+from tidewater.llm.fm_quality import score_quality
 from tidewater.llm.simhash_tiles import simhash_components
+from tidewater.llm.toxic_lexicon import score_toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +29,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_documents(spark, sf_dir))
 
 
+def op4_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_documents(spark, sf_dir))
 
@@ -34,10 +41,18 @@ def op6_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(_documents(spark, sf_dir))
 
 
+def op7_cross_parse_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(_documents(spark, sf_dir))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op10_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 OP1_SQL = """
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
        doc_id = max(doc_id) over g as kept, sha256(coalesce(text, '')) as text_sha256
