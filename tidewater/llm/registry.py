@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.bm25_packing import pack_documents
 from tidewater.llm.byte_shards import byte_shards
 from tidewater.llm.cross_parse_langid import identify_language
 from tidewater.llm.curriculum_mix import mix_sources
@@ -45,6 +46,11 @@ def op7_cross_parse_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(_documents(spark, sf_dir))
 
 
+def op8_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_documents(_documents(spark, sf_dir))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 

@@ -26,9 +26,9 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidewater/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
