@@ -1,25 +1,12 @@
 import numpy as np
 import pytest
 
+from tests_support import plain_fingerprint, roots
 from tidewater.llm.components import connected_components
 from tidewater.llm.flat_graph_dedup import audit_recall, embedding_components
 from tidewater.llm.simhash_tiles import drop_near_duplicates, fingerprint, simhash_components
 
 
-def roots(n, links):
-    parent = list(range(n))
-
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for a, b in links:
-        a, b = find(a), find(b)
-        parent[max(a, b)] = min(a, b)
-    return [find(i) for i in range(n)]
-
-
 def test_components_of_random_links(spark):
     rng = np.random.default_rng(1)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(i, i + 1) for i in range(300, 340)]
@@ -34,19 +21,6 @@ def test_no_links(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
-def plain_fingerprint(text, width=4):
-    import re
-
-    import xxhash
-
-    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    if not words:
-        return 0
-    shingles = [" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
-    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
-
-
 def test_simhash_matches_brute_force(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     extra = [(9001, None), (9002, ""), (9003, " \t\n"), (9004, "One"), (9005, "oNE"), (9006, "É é x"), (9007, "a b c d"), (9007, "a b c d"), (9008, "word " * 30_000)]

@@ -1,18 +1,13 @@
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pytest
-from tokenizers import Tokenizer
 
+from tests_support import check_pieces, token_ids
 from tidewater.llm.bm25_packing import Encoder, Index, fill, pack_documents, terms, tokenizer_path
 
 
-def token_ids(texts):
-    tokenizer = Tokenizer.from_file(tokenizer_path())
-    return [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
-
-
 AWKWARD = ["it's we'LL don't", "a<|endoftext|>b <|startoftext|>", "café café ́x", "x y z\x1cw", "İstanbul ΣΣ ẞ", "日本語 テキスト 12345", "a" * 9000, "🙂🙂 !!??", "\t\n \r", "\x0b\x0c one\x85two"]
 
 
@@ -23,30 +18,6 @@ def test_encoder_matches_tokenizer():
         assert got == [x[:-1] for x in token_ids(AWKWARD)]
 
 
-def check_pieces(pieces, documents, window=2048):
-    """Every id of every document lies in one piece, and sequences are gapless."""
-    wanted = Counter((i, tuple(x)) for i, x in documents)
-    by_doc, by_sequence = defaultdict(list), defaultdict(list)
-    for p in pieces:
-        ids = np.frombuffer(p["ids"], "<u4").tolist()
-        assert len(ids) == p["length"] > 0
-        by_doc[p["doc_id"], p["doc_tokens"]].append((p["start"], ids))
-        by_sequence[p["sequence_id"]].append((p["offset"], p["length"]))
-    for (doc_id, n), found in by_doc.items():
-        copies = sum(c for (i, x), c in wanted.items() if i == doc_id and len(x) == n)
-        assert sum(len(ids) for _, ids in found) == copies * n
-        if copies == 1:
-            assert tuple(x for _, ids in sorted(found) for x in ids) in {x for (i, x) in wanted if i == doc_id}
-    assert {(i, len(x)) for (i, x) in wanted} == set(by_doc)
-    for spans in by_sequence.values():
-        at = 0
-        for offset, length in sorted(spans):
-            assert offset == at
-            at += length
-        assert at <= window
-    return by_sequence
-
-
 @pytest.mark.parametrize("shard_tokens", [1 << 20, 4000])
 def test_packs_every_id_once(spark, sf_dir, shard_tokens):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -114,7 +114,7 @@ def learn(texts: dict[str, str], symbols: int = 64) -> Languages:
     """Build the automata; the commonest bytes of the labelled texts get symbols of their own."""
     names = sorted(texts)
     raw = {k: np.frombuffer(texts[k].lower().encode(), np.uint8) for k in names}
-    counts = sum(np.bincount(v, minlength=256) / max(1, len(v)) for v in raw.values())
+    counts = sum((np.bincount(v, minlength=256) / max(1, len(v)) for v in raw.values()), np.zeros(256))
     letters = [b for b in np.argsort(-counts, kind="stable").tolist() if counts[b] > 0 and (b >= 128 or chr(b).isalpha())][: symbols - 2]
     symbol = np.zeros(256, dtype=np.int32)  # 0: a letter byte that no labelled text has
     symbol[[b for b in range(128) if not chr(b).isalpha()]] = _SPACE

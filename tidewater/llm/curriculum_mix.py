@@ -62,7 +62,7 @@ def position(offset: Column, target: Column, slope: Column) -> Column:
     return F.when(slope == 0.0, share).otherwise(curved)
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, slice_rows: int = 4000) -> DataFrame:
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *, slice_rows: int = 4000, with_source: bool = False) -> DataFrame:
     """One row per input row, range-sorted by training position.
 
     Columns: id, size, source_size, target, taken, position (first use) and
@@ -73,6 +73,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     taken 0 and a null position.  Null and empty texts have size 0; the null
     source is a source of its own, last in order; repeated rows are separate
     entries of the stream; an empty table gives an empty result.
+    ``with_source`` adds the source column.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     rows = written(rows.withColumn("hash", F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")))), "sizes")
@@ -101,5 +102,34 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.col("once") + F.col("twice")).alias("taken"),
         F.when(F.col("once") > 0, position(F.col("start"), F.col("target"), F.col("slope"))).alias("position"),
         F.when(F.col("twice") > 0, position(F.col("start") + F.col("source_size"), F.col("target"), F.col("slope"))).alias("again"),
+        *([F.col("source_key.source").alias("source")] if with_source else []),
     )
     return out.orderBy(F.col("position").asc_nulls_last(), id_col)
+
+
+def draw_mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` once for each use that the mix makes of them, range-sorted by position.
+
+    A use counts if it takes at least half of the document's words, so that
+    documents stay whole and each source ends within half a document of its
+    target.  Documents without words carry no weight in the mix and are kept
+    once, at the start.  Repeated rows are matched by their place in the stream
+    of equal (id, source, size), so each draws its own uses.
+    """
+    uses = mix_sources(docs, id_col, text_col, source_col, with_source=True)
+    half = F.col("size") / 2
+    once = F.least(F.col("taken"), F.col("size"))
+    places = F.array(
+        F.when(F.col("size") == 0, F.lit(0.0)).when((once > 0) & (once >= half), F.col("position")),
+        F.when((F.col("size") > 0) & (F.col("taken") - once > 0) & (F.col("taken") - once >= half), F.col("again")),
+    )
+    uses = uses.select(F.struct(F.col(id_col).alias("id"), "source", "size").alias("key"), F.array_compact(places).alias("places"))
+    same = Window.partitionBy("key").orderBy("places")
+    uses = uses.withColumn("nth", F.row_number().over(same)).filter(F.size("places") > 0)
+    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+    key = F.struct(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"))
+    # Rows travel as one struct, so that no name of theirs can clash.
+    rows = docs.select(key.alias("key"), F.xxhash64(text_col).alias("order"), F.struct("*").alias("row"))
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("order")))
+    drawn = rows.join(uses, ["key", "nth"]).select("row", "key", F.explode("places").alias("place"))
+    return drawn.orderBy("place", "key").select("row.*")

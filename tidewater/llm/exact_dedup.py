@@ -166,11 +166,11 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` that stay, with all their columns.
 
     Rows are matched by id and digest; repeated rows with equal id and text
-    leave one row (the digest's window picks it).
+    leave one row.
     """
-    keep = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
+    keep = exact_dedup(docs, id_col, text_col).filter("kept").select(F.struct(F.col(id_col).alias("id"), F.col("text_sha256").alias("sha")).alias("key"))
     digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
-    nth = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy("_id"))
-    marked = docs.withColumns({"_id": F.col(id_col).cast("long"), "_sha": digest})
-    left = marked.join(keep, F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_sha") == F.col("_keep_sha")), "left_semi")
-    return left.withColumn("_nth", nth).filter("_nth = 1").select(*docs.columns)
+    # Rows travel as one struct, so that no name of theirs can clash.
+    rows = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), digest.alias("sha")).alias("key"), F.struct("*").alias("row"))
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("key"))
+    return rows.join(keep, "key", "left_semi").withColumn("nth", nth).filter("nth = 1").select("row.*")

@@ -16,6 +16,7 @@ from tidewater.llm.flat_graph_dedup import embedding_components
 from tidewater.llm.fm_quality import score_quality
 from tidewater.llm.simhash_tiles import simhash_components
 from tidewater.llm.toxic_lexicon import score_toxicity
+from tidewater.llm.warc_fixity import aged_replica, fixity_audit, warc_layout
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
 
+def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    layout = warc_layout(pages)
+    return fixity_audit(layout, aged_replica(pages, layout)).withColumnRenamed("id", "page_id")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_documents(spark, sf_dir))
 
@@ -65,6 +72,40 @@ select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
 from documents window g as (partition by coalesce(text, ''))
 """
 
+OP2_SQL = """
+with texts as (
+  select page_id, coalesce(html, '') as body, chr(13) || chr(10) as eol, coalesce(url, '') as url from pages),
+records as (
+  select page_id, 'WARC/1.1' || eol || 'WARC-Type: resource' || eol || 'WARC-Target-URI: ' || url || eol
+    || 'WARC-Date: 2024-01-01T00:00:00Z' || eol || 'WARC-Record-ID: <urn:page:' || cast(page_id as varchar) || '>' || eol
+    || 'WARC-Block-Digest: sha1:' || sha1(body) || eol || 'Content-Type: text/html' || eol
+    || 'Content-Length: ' || cast(strlen(body) as varchar) || eol || eol || body || eol || eol as record from texts),
+ranked as (
+  select page_id, sha256(record) as sha256, cast(strlen(record) as bigint) as length,
+    case when page_id % 97 = 48 then sha256(left(record, len(record) - 1) || 'x') else sha256(record) end as aged,
+    row_number() over (order by page_id, sha256(record)) - 1 as rank from records),
+leaves as (
+  select page_id, rank // 4096 as volume, rank % 4096 as slot, length, sha256, aged,
+    cast(sum(length) over (partition by rank // 4096 order by rank) - length as bigint) as "offset" from ranked),
+level1 as (
+  select volume, slot // 16 as node, min("offset") as start, max("offset" + length) as stop,
+    sha256(cast(min("offset") as varchar) || '-' || cast(max("offset" + length) as varchar) || ':' || string_agg(sha256, '' order by slot)) as one,
+    sha256(cast(min("offset") as varchar) || '-' || cast(max("offset" + length) as varchar) || ':' || string_agg(aged, '' order by slot)) as two
+  from leaves group by volume, slot // 16),
+level2 as (
+  select volume, node // 16 as node, min(start) as start, max(stop) as stop,
+    sha256(cast(min(start) as varchar) || '-' || cast(max(stop) as varchar) || ':' || string_agg(one, '' order by node)) as one,
+    sha256(cast(min(start) as varchar) || '-' || cast(max(stop) as varchar) || ':' || string_agg(two, '' order by node)) as two
+  from level1 group by volume, node // 16),
+roots as (
+  select volume,
+    sha256(cast(min(start) as varchar) || '-' || cast(max(stop) as varchar) || ':' || string_agg(one, '' order by node)) as root,
+    sha256(cast(min(start) as varchar) || '-' || cast(max(stop) as varchar) || ':' || string_agg(two, '' order by node)) as replica_root
+  from level2 group by volume)
+select page_id, volume, slot, "offset", length, sha256, root, replica_root, sha256 = aged as intact
+from leaves join roots using (volume)
+"""
+
 OP3_SQL = """
 with rows as (
   select doc_id, source, md5(cast(doc_id as varchar)) as hash,
@@ -109,4 +150,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op3_mix_sources": OP3_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op2_warc_fixity": OP2_SQL, "op3_mix_sources": OP3_SQL}

@@ -171,7 +171,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     All columns are kept; repeated rows with that id leave one row.
     """
     found = simhash_components(docs, id_col, text_col, width=width, radius=int(128 * (1 - similarity) + 1e-9), lanes=2)
-    keep = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep_id")).distinct()
-    nth = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(text_col)))
-    left = docs.withColumn("_id", F.col(id_col).cast("long")).join(keep, F.col("_id").eqNullSafe(F.col("_keep_id")), "left_semi")
-    return left.withColumn("_nth", nth).filter("_nth = 1").select(*docs.columns)
+    keep = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.struct(F.col(id_col).alias("id")).alias("key")).distinct()
+    # Rows travel as one struct, so that no name of theirs can clash.
+    rows = docs.select(F.struct(F.col(id_col).cast("long").alias("id")).alias("key"), F.xxhash64(text_col).alias("order"), F.struct("*").alias("row"))
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("order"))
+    return rows.join(keep, "key", "left_semi").withColumn("nth", nth).filter("nth = 1").select("row.*")
