@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import contract
+from tidewater.plans import contract, reporting
 
-_MODULES = (contract,)
+_MODULES = (contract, reporting)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
