@@ -234,8 +234,8 @@ def embedding_components(
     label_col: str = "label",
     *,
     least: float = 0.93,
-    shard_rows: int = 1200,
-    overlap: int = 3,
+    shard_rows: int = 400,
+    overlap: int = 2,
     degree: int = 24,
     beam: int = 48,
     alpha: float = 1.2,
@@ -271,7 +271,7 @@ def embedding_components(
 
     cells = heads.select(*_SPACE, "head", "vec").mapInArrow(_cells(centres, overlap), "label string, dim int, head long, cells array<int>")
     cells = written(cells.select(*_SPACE, "head", F.explode("cells").alias("cell")), "cells")
-    crowd = cells.groupBy(*_SPACE, "cell").agg(F.ceil(F.count("*") / (4 * overlap * shard_rows)).alias("halves"))
+    crowd = cells.groupBy(*_SPACE, "cell").agg(F.ceil(F.count("*") / (2 * overlap * shard_rows)).alias("halves"))
     half = F.pmod(F.xxhash64("head"), F.col("halves"))
     placed = cells.join(crowd, [*_SPACE, "cell"]).withColumn("half", half).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("halves") - 1)))
     unit = F.xxhash64(*_SPACE, "cell", F.least("half", "other"), F.greatest("half", "other"))
