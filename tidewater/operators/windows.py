@@ -77,7 +77,7 @@ def change_windows(facts: DataFrame, key: str, day: str, start: str, end: str, p
     current = per_key.filter((F.col("atoms") >= min_atoms) & (F.col("weeks") >= min_weeks)).join(F.broadcast(bases))
     ratio = F.col("current_total") / F.col("mean_total")
     fix = F.when((ratio < 0.8) | (ratio > 1.25), F.least(F.greatest(F.col("mean_total") / F.col("current_total"), F.lit(0.75)), F.lit(1.30))).otherwise(1.0)
-    rated = current.withColumns({"base": F.coalesce("before", F.lit(0)) / F.col("windows"), "correction": F.coalesce(F.when(F.col("windows") > 0, fix), F.lit(1.0))})
+    rated = current.withColumns({"base": F.coalesce("before", F.lit(0)) / F.nullif("windows", F.lit(0)), "correction": F.coalesce(F.when(F.col("windows") > 0, fix), F.lit(1.0))})
     rated = rated.withColumn("adjusted", F.col("atoms") * F.col("correction"))
     growth = F.when(F.col("base") > 0, F.col("adjusted") / F.col("base")).otherwise(2.0)
     trend = (
