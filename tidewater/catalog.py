@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import contract, reporting
+from tidewater.plans import contract, reporting, streaming
 
-_MODULES = (contract, reporting)
+_MODULES = (contract, reporting, streaming)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
