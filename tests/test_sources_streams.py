@@ -111,7 +111,7 @@ def batches(spark, tmp_path):
     import time
 
     def put(k):
-        frame = spark.createDataFrame([(*r, "{}") for r in parts[k]], streams.EVENTS)
+        frame = spark.createDataFrame([(*r, "{}") for r in parts[k]], streams.EVENTS).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
         frame.coalesce(1).write.mode("append").parquet(str(folder))
         newest = max(folder.glob("*.parquet"), key=os.path.getmtime)
         os.utime(newest, (time.time() + k, time.time() + k))

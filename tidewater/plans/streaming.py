@@ -11,15 +11,20 @@ from tidewater.sources.scratch import new_folder
 from tidewater.streaming import streams
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table may be a folder or one file; a file is named by a glob, as streams read folders."""
+    return streams.event_stream(spark, f"{sf_dir}/events.parque[t]")
+
+
 def stream_late_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "deduplicated")
-    streams.run_to_table(streams.deduplicated(streams.event_stream(spark, f"{sf_dir}/events.parquet")), out, out + "-checkpoint")
+    streams.run_to_table(streams.deduplicated(_events(spark, sf_dir)), out, out + "-checkpoint")
     return spark.read.parquet(out).groupBy("event_type").agg(F.count("*").alias("events"), F.countDistinct("event_id").alias("ids"))
 
 
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = new_folder(spark, "windows")
-    streams.run_to_table(streams.tumbling(streams.event_stream(spark, f"{sf_dir}/events.parquet")), out, out + "-checkpoint", "complete")
+    streams.run_to_table(streams.tumbling(_events(spark, sf_dir)), out, out + "-checkpoint", "complete")
     rows = spark.read.parquet(out)
     last = rows.agg(F.max("batch").alias("last"))
     return rows.join(F.broadcast(last), F.col("batch") == F.col("last")).select(F.date_format("starts", "yyyy-MM-dd").alias("day"), "event_type", "events", "total")
@@ -28,7 +33,7 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last state of each candidate after the stream."""
     out = new_folder(spark, "candidates")
-    streams.run_to_table(streams.candidates(streams.event_stream(spark, f"{sf_dir}/events.parquet")), out, out + "-checkpoint", "update")
+    streams.run_to_table(streams.candidates(_events(spark, sf_dir)), out, out + "-checkpoint", "update")
     newest = F.row_number().over(Window.partitionBy("user_id").orderBy(F.col("batch").desc()))
     return spark.read.parquet(out).withColumn("nth", newest).filter("nth = 1").select("user_id", "refs", "status")
 

@@ -14,8 +14,9 @@ CANDIDATE = "user_id bigint, first_seen timestamp, last_seen timestamp, refs big
 
 
 def event_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
-    """Parquet files of a folder as a stream, a few files a batch."""
-    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    """Parquet files of a folder (or a glob of files) as a stream, a few files a batch; times count as UTC."""
+    stored = EVENTS.replace("ts timestamp", "ts timestamp_ntz")
+    return spark.readStream.schema(stored).option("maxFilesPerTrigger", files_per_batch).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def deduplicated(stream: DataFrame, key: str = "event_id", time: str = "ts", late: str = "2 days") -> DataFrame:
