@@ -225,3 +225,62 @@ def test_decisions(spark):
     points = [(1, "pending"), (2, "pending"), (2, "failed"), (3, "active"), (3, "failed"), (4, "active"), (4, "quiet"), (5, "changed_below_threshold"), (6, "quiet")]
     got = reports.observed_status(spark.createDataFrame(points, "entity int, status string"))
     assert {r["entity"]: r["entity_status"] for r in got.collect()} == {1: "pending", 2: "failed", 3: "partial", 4: "active", 5: "changed", 6: "quiet"}
+
+
+def test_same_event_rules():
+    from tidewater.operators.dedupe import same_event
+
+    def row(title, kind="funding", entity="acme", day=1, url="", from_title=False):
+        return {"url": url, "title": title, "type": kind, "entity": entity, "from_title": from_title, "tokens": set(title.lower().split()), "day": day and dt.date(2024, 1, day)}
+
+    assert same_event(row("a", url="u"), row("b", "ma", "x", 20, url="u"))
+    assert not same_event(row("acme raises cash"), row("acme raises cash", day=9))
+    assert same_event(row("acme raises cash"), row("money for acme in series b", day=None))
+    assert not same_event(row("acme raises cash", from_title=True), row("new series b round at acme", day=2))
+    assert not same_event(row("acme wins prize"), row("acme raises cash"))
+    assert same_event(row("acme q1 profit", "earnings"), row("acme results are in", "earnings"))
+    assert not same_event(row("acme q1 profit", "earnings"), row("acme q1 loss", "earnings"))
+    assert same_event(row("acme opens new store today", "strategy"), row("acme opens new store", "strategy"))
+    assert not same_event(row("acme opens new store today", "strategy"), row("globex opens new shops", "strategy"))
+    assert same_event(row("one two three four", "other", ""), row("one two three four", "model", ""))
+
+
+def test_daily_and_display_dedupe_match_the_walk(spark):
+    from tidewater.operators import dedupe
+
+    rng = random.Random(6)
+    words = ["raises", "series", "alpha", "beta", "gamma", "delta", "q1", "profit", "store", "opens"]
+    rows = []
+    for i in range(200):
+        rows.append((i, rng.choice([None, f"u{rng.randrange(60)}"]), " ".join(rng.sample(words, rng.randrange(2, 6))), rng.choice(["funding", "earnings", "strategy", "other"]), rng.choice([None, "a", "b"]), rng.random() < 0.2, rng.random() < 0.05, rng.random() < 0.05, rng.choice([None, *(dt.date(2024, 1, d) for d in range(1, 6))])))
+    shuffled = rows[:]
+    rng.shuffle(shuffled)
+    frame = spark.createDataFrame(shuffled, "ord long, url string, title string, event_type string, company string, from_title boolean, alias_missing boolean, low_signal boolean, day date")
+
+    def plain(r):
+        key = "".join(c for c in r[2].lower() if c.isalnum())
+        return {"ord": r[0], "url": r[1] or "", "title": r[2], "type": r[3], "entity": r[4] or "", "from_title": r[5], "alias_missing": r[6], "low_signal": r[7], "tokens": {w for w in r[2].split() if len(w) > 2}, "key": key, "day": r[8]}
+
+    want = {}
+    for day in {r[8] for r in rows}:
+        mine = [plain(r) for r in rows if r[8] == day]
+        want |= {r["ord"]: f for r, f in zip(mine, dedupe.walk_day(mine), strict=True)}
+    assert {r["ord"]: (r["fate"], r["twin"]) for r in dedupe.dedupe_daily(frame, []).collect()} == want
+
+    first, left, want = {}, [], {}
+    for r in map(plain, rows):
+        if r["key"] in first:
+            want[r["ord"]] = ("repeat", first[r["key"]])
+        else:
+            first[r["key"]] = r["ord"]
+            left.append(r)
+    want |= {r["ord"]: f for r, f in zip(left, dedupe.walk_display(left), strict=True)}
+    assert {r["ord"]: (r["fate"], r["twin"]) for r in dedupe.dedupe_display(frame).collect()} == want
+
+
+def test_coherent_clusters():
+    from tidewater.operators.narrative import pick_coherent
+
+    rows = [{"names": ["a"], "region": "x", "theme": "m"}, {"names": ["a", "b"], "region": "x", "theme": "m"}, {"names": ["c"], "region": "y", "theme": "n"}, {"names": [], "region": "y", "theme": "m"}, {"names": ["d"], "region": "x", "theme": "z"}, {"names": ["e"], "region": "x", "theme": "z"}]
+    assert pick_coherent(rows) == [0, 3, 4]
+    assert pick_coherent([]) == []

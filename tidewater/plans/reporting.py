@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import dates
 from tidewater.functions.text import tokens
-from tidewater.operators import cluster, joins, reports, score, state, windows
+from tidewater.operators import cluster, dedupe, joins, narrative, reports, score, state, windows
 from tidewater.plans.contract import _CONTRACT, contract
 from tidewater.sources.fixtures import NEWS_SQL, news, table
 
@@ -36,6 +36,33 @@ def weekly_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.filter("promotable").select("region", "atoms", "sources", "companies", points.alias("theme_score"), F.when((F.col("atoms") >= 4) & (F.col("sources") >= 2), "high").otherwise("mid").alias("confidence"))
 
 
+def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return news(spark, sf_dir).withColumns({"from_title": F.col("ord") % 2 == 0, "alias_missing": F.col("ord") % 23 == 0})
+
+
+def daily_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.dedupe_daily(_reports(spark, sf_dir), ["region"])
+
+
+def display_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.dedupe_display(_reports(spark, sf_dir))
+
+
+def weekly_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return narrative.narratives(narrative.ranked_clusters(contract(news(spark, sf_dir))))
+
+
+def company_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return narrative.company_cards(news(spark, sf_dir), "2024-02-20")
+
+
+def weight_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three weightings of the score parts, and how far their leaders agree."""
+    rows = contract(news(spark, sf_dir)).select("ord", F.col("change.score").cast("double").alias("change"), F.col("confidence").cast("double").alias("confidence"), F.col("attention").cast("double").alias("attention"))
+    weights = {"even": {}, "change": {"change": 2.0, "confidence": 0.5}, "trust": {"confidence": 2.0, "attention": 0.25}}
+    return narrative.weight_report(rows, weights, ["change", "confidence", "attention"])
+
+
 def entity_alias_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     aliases = spark.createDataFrame(list(ALIASES), "entity int, alias string")
     found = joins.alias_matches(table(spark, sf_dir, "documents"), "doc_id", "text", aliases)
@@ -465,6 +492,16 @@ select entity, points, active_points, last_success, case when np = points then '
 with runs as (select cast(ts as date) as run, count(*) as raw from events group by 1)
 select run, raw + case when extract('day' from run) % 2 = 1 then 1000 else 0 end as raw from runs order by run desc limit 12""",
     "page_titles": "select page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) as title, cast(len(regexp_extract_all(html, '<a ')) as integer) as anchors from pages",
+    "company_cards": f"""
+with {NEWS_SQL}, r as (select *, date_diff('day', day, date '2024-02-20') as age from news where company is not null and date_diff('day', day, date '2024-02-20') >= 0),
+g as (select company, count(*) filter (age < 7) as week, count(*) filter (age < 30) as month, max(day) as last_day, arg_max(ord, (-age, score, -ord)) as latest from r group by company)
+select *, case when week >= 3 then 'busy' when week > 0 then 'active' when month > 0 then 'watched' else 'quiet' end as card_status from g""",
+    "weight_calibration": f"""
+with {_CONTRACT}, w(config, a, b, c) as (values ('even', 1.0::double, 1.0::double, 1.0::double), ('change', 2.0::double, 0.5::double, 1.0::double), ('trust', 1.0::double, 2.0::double, 0.25::double)),
+t as (select config, ord, a * change_score + b * confidence + c * attention as total from final, w),
+k as (select *, row_number() over (partition by config order by total desc, ord) as nth from t),
+s as (select config, count(*) as shared from k where nth <= 15 and ord in (select ord from k where config = 'even' and nth <= 15) group by config)
+select config, round(avg(total), 6) as mean, median(total) as median, count(*) as rows, coalesce(any_value(shared), 0) as shared from t left join s using (config) group by config""",
     "fenced_json_repair": """
 select conv_id, turn, '[' || turn || ', ' || length(regexp_replace(text, '```[a-z]*', '', 'g')) || ']' as json, 2 as items from conversations where turn % 2 = 0""",
     "json_props_flatten": """
@@ -495,6 +532,7 @@ for _name, _days in (
     ("candidate_merge", ("first_seen", "last_seen")),
     ("observation_ledger", ("last_success",)),
     ("run_retention", ("run",)),
+    ("company_cards", ("last_day",)),
 ):
     SQL[_name] = f"select * replace ({', '.join(f'cast({d} as varchar) as {d}' for d in _days)}) from ({SQL[_name]})"
-QUERIES = {name: _plain(globals()[name]) for name in [*SQL, "evidence_atoms", "weekly_themes"]}
+QUERIES = {name: _plain(globals()[name]) for name in [*SQL, "evidence_atoms", "weekly_themes", "daily_dedupe", "display_dedupe", "weekly_narratives"]}
