@@ -7,28 +7,14 @@ tasks it was running.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="tidewater-")
-    return _own[app]
+from tidewater.sources.scratch import new_folder
 
 
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidewater/{uuid.uuid4().hex}/{name}"
+    path = new_folder(spark, name)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
