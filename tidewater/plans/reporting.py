@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import dates
-from tidewater.functions.text import tokens
-from tidewater.operators import cluster, dedupe, joins, narrative, reports, score, state, windows
+from tidewater.functions.text import title_key, tokens
+from tidewater.operators import cluster, dedupe, health, joins, narrative, reports, score, state, windows
 from tidewater.plans.contract import _CONTRACT, contract
 from tidewater.sources.fixtures import NEWS_SQL, news, table
 
@@ -63,6 +63,32 @@ def weight_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return narrative.weight_report(rows, weights, ["change", "confidence", "attention"])
 
 
+def quick_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = contract(news(spark, sf_dir)).withColumn("title_key", title_key(F.col("title")))
+    return health.quick_facts(rows, "2024-02-20")
+
+
+def health_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    limits = {"future": ("most", 0), "main": ("least", 1), "review_ratio": ("most", 0.02), "duplicate_ratio": ("most", 0.9), "source_share": ("most", 0.04)}
+    return health.gate_failures(quick_health(spark, sf_dir), limits)
+
+
+def collection_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("run")).agg(F.count("*").alias("raw"), F.countDistinct("user_id").alias("sources"))
+    return health.collection_timing(runs)
+
+
+def over_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = health.over_rate(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "ts", 2)
+    return found.withColumn("starts", F.date_format("starts", "yyyy-MM-dd HH"))
+
+
+def smart_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = news(spark, sf_dir).filter("dayofmonth(day) = 10")
+    items = rows.select("ord", "event_type", "region", "company", F.col("score").alias("priority"), (F.col("tier") == "L1").alias("official"))
+    return health.smart_filter(items)
+
+
 def entity_alias_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     aliases = spark.createDataFrame(list(ALIASES), "entity int, alias string")
     found = joins.alias_matches(table(spark, sf_dir, "documents"), "doc_id", "text", aliases)
@@ -492,6 +518,28 @@ select entity, points, active_points, last_success, case when np = points then '
 with runs as (select cast(ts as date) as run, count(*) as raw from events group by 1)
 select run, raw + case when extract('day' from run) % 2 = 1 then 1000 else 0 end as raw from runs order by run desc limit 12""",
     "page_titles": "select page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) as title, cast(len(regexp_extract_all(html, '<a ')) as integer) as anchors from pages",
+    "quick_health": f"""
+with {_CONTRACT}, keyed as (select regexp_replace(lower(title), '[^a-z0-9]+', '', 'g') as k, count(*) as n from final group by 1),
+r as (select coalesce(sum(n - 1), 0)::double as repeats, coalesce(sum(n), 0)::double as keyed from keyed where length(k) >= 11), l as (select max(n) as largest from (select source, count(*) as n from final group by source))
+select count(*) as events, count(distinct day) as days, count(*) filter (day > date '2024-02-20') as future, count(*) filter (in_main) as main, count(*) filter (needs_review)::double / count(*) as review_ratio,
+  any_value(repeats / nullif(keyed, 0)) as duplicate_ratio, any_value(largest)::double / count(*) as source_share from final, r, l""",
+    "health_gate": "",
+    "collection_timing": """
+with runs as (select cast(ts as date) as run, count(*) as raw, count(distinct user_id) as sources from events group by 1)
+select *, cast(date_diff('day', lag(run) over (order by run), run) as integer) as days_since from runs order by run desc limit 8""",
+    "over_rate": """
+select user_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H') as starts, count(*) as requests from events group by 1, 2 having count(*) > 2""",
+    "smart_filter": f"""
+with {NEWS_SQL}, items as (select ord, event_type, region, company, score as priority, tier = 'L1' as official from news where extract('day' from day) = 10),
+o as (select *, row_number() over (partition by company order by priority desc, ord) as nth from items where official and event_type = 'other' and company is not null),
+s as (select *, row_number() over (partition by company, official order by ord) as nth from items where event_type <> 'other'),
+kept as (select ord, event_type, region, company, priority, official, 'official' as kept_as from o where nth = 1 union all
+  select ord, event_type, region, company, priority, official, 'signal' from s where not official or company is null or nth <= 3),
+used as (select region, count(*) as used from kept group by region),
+rest as (select i.*, row_number() over (partition by i.region order by priority desc, ord) as place, coalesce(used, 0) as used from items i left join used u on i.region = u.region
+  where event_type = 'other' and ord not in (select ord from kept where kept_as = 'official')),
+best as (select *, row_number() over (order by priority desc, ord) as nth from rest where place <= 12 - used)
+select * from kept union all select ord, event_type, region, company, priority, official, 'quota' from best where nth <= 40 - (select count(*) from kept)""",
     "company_cards": f"""
 with {NEWS_SQL}, r as (select *, date_diff('day', day, date '2024-02-20') as age from news where company is not null and date_diff('day', day, date '2024-02-20') >= 0),
 g as (select company, count(*) filter (age < 7) as week, count(*) filter (age < 30) as month, max(day) as last_day, arg_max(ord, (-age, score, -ord)) as latest from r group by company)
@@ -513,6 +561,11 @@ with per as (select l_returnflag, l_linestatus, l_suppkey, cast(sum(cast(cast(l_
 r as (select *, cast(row_number() over (partition by l_returnflag, l_linestatus order by revenue desc, l_suppkey) as integer) as rank from per)
 select * from r where rank <= 3""",
 }
+SQL["health_gate"] = f"""
+with f as ({SQL["quick_health"]}), c as (
+  select 'future' as fact, future::double as value, 'most' as bound, 0.0::double as limit_ from f union all select 'main', main, 'least', 1 from f union all
+  select 'review_ratio', review_ratio, 'most', 0.02 from f union all select 'duplicate_ratio', duplicate_ratio, 'most', 0.9 from f union all select 'source_share', source_share, 'most', 0.04 from f)
+select fact, value, bound, limit_ as "limit" from c where case bound when 'most' then value > limit_ else value < limit_ end"""
 _GOVERNANCE = f"""
 {_CONTRACT}, per as (select source, count(*) as raw, count(*) filter (scope_status = 'qualified' and event_type <> 'other') as signal, count(*) filter (view_status <> 'filtered') as stored,
   count(*) filter (in_main) as main, count(*) filter (drop_reason = 'weak_signal') as weak, count(*) filter (drop_reason = 'quality_review') as reviews from final group by source),
@@ -533,6 +586,7 @@ for _name, _days in (
     ("observation_ledger", ("last_success",)),
     ("run_retention", ("run",)),
     ("company_cards", ("last_day",)),
+    ("collection_timing", ("run",)),
 ):
     SQL[_name] = f"select * replace ({', '.join(f'cast({d} as varchar) as {d}' for d in _days)}) from ({SQL[_name]})"
 QUERIES = {name: _plain(globals()[name]) for name in [*SQL, "evidence_atoms", "weekly_themes", "daily_dedupe", "display_dedupe", "weekly_narratives"]}
