@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,34 +38,72 @@ def tokenizer_path() -> str:
 
 
 class Encoder:
-    """Token ids of texts, by white-space-separated chunks that are remembered.
+    """Token ids of texts, remembered by white-space-separated chunk and by word.
 
-    The tokenizer drops white space before it merges, so no token spans chunks.
+    The tokenizer drops white space and merges only inside words, so chunks and
+    words can be encoded apart.  Words are found here only for plain Latin
+    chunks, whose lower case and normal form are beyond doubt; all others go to
+    the tokenizer as they are.
     """
 
-    def __init__(self, path: str, remember: int = 400_000) -> None:
+    #: How the tokenizer parts lower-case text into words.
+    WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+    def __init__(self, path: str, remember: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = "<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4"
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.remember = remember
 
+    def _packed(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Encode many words at once; each ends with the one token that ends a word."""
+        for at in range(0, len(words), 400):
+            part = words[at : at + 400]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype=self.dtype)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(part):
+                data, wide = ids.tobytes(), ids.itemsize
+                cuts = [0, *(stops * wide).tolist()]
+                self.words.update((w, data[i:j]) for w, i, j in zip(part, cuts[:-1], cuts[1:], strict=True))
+            else:
+                self.words.update((w, self._packed(w)) for w in part)
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        parted = {}
+        for chunk in chunks:
+            text = chunk.decode()
+            if "<|" in text or max(text) > "\u024f" or "\u0130" in text:
+                self.chunks[chunk] = self._packed(text)
+            else:
+                parted[chunk] = self.WORDS.findall(text.lower())
+        if len(self.words) > 3 * self.remember:
+            self.words = {}
+        self._learn_words(list({w for words in parted.values() for w in words if w not in self.words}))
+        self.chunks.update((chunk, b"".join(map(self.words.__getitem__, words))) for chunk, words in parted.items())
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text."""
         chunks = [(t or "").encode().split() for t in texts]
-        new = list({c for words in chunks for c in words if c not in self.known})
-        if len(self.known) + len(new) > self.remember:
-            self.known = {}
-            new = list({c for words in chunks for c in words})
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            made = self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-            for chunk, encoded in zip(part, made, strict=True):
-                self.known[chunk] = np.array(encoded.ids, dtype=self.dtype).tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in chunks]
+        if len(self.chunks) > self.remember:
+            self.chunks = {}
+        self._learn({c for found in chunks for c in found if c not in self.chunks})
+        return [b"".join(map(self.chunks.__getitem__, found)) for found in chunks]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a Python worker; what it remembers serves the tasks that follow."""
+    return Encoder(path)
 
 
 def terms(ids: np.ndarray) -> np.ndarray:
@@ -82,7 +122,7 @@ def lexical_key(ids: np.ndarray) -> int:
 
 def _tokenise(path: str | None, window: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path or tokenizer_path())
+        encoder = encoder_of(path or tokenizer_path())
         end = np.array([end_id], encoder.dtype).tobytes()
         wide = len(end)
         base = TaskContext.get().partitionId() << 36
@@ -220,8 +260,7 @@ def pack_documents(
     with a null id are documents of their own; an empty table gives an empty result.
     Sequences are full up to ``slack`` ids, but for the last of each index shard.
     """
-    encoder = Encoder(path or tokenizer_path())
-    dtype = encoder.dtype
+    dtype = encoder_of(path or tokenizer_path()).dtype
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("content"))
     tokens = written(rows.mapInArrow(_tokenise(path, window, end_id), _TOKENISED), "tokens", compression="zstd")
     whole = tokens.filter("sequence_id is not null").select(
