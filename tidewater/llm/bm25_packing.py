@@ -14,9 +14,11 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,19 +39,34 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Words(dict):
+    """Word -> number; a new word gets the next number and is listed in ``new``."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Encoder:
-    """Token ids of texts, remembered by white-space-separated chunk and by word.
+    """Token ids of texts, put together from remembered words.
 
-    The tokenizer drops white space and merges only inside words, so chunks and
-    words can be encoded apart.  Words are found here only for plain Latin
-    chunks, whose lower case and normal form are beyond doubt; all others go to
-    the tokenizer as they are.
+    The tokenizer drops white space and merges only inside words, so words can
+    be encoded apart.  They are found here only in plain Latin text, whose lower
+    case and normal form are beyond doubt.  Of other texts, each chunk between
+    ASCII white space that is not plain goes to the tokenizer as it is.
     """
 
     #: How the tokenizer parts lower-case text into words.
     WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    ODD = regex.compile(r"[^\x00-\u012f\u0131-\u024f]|<\|")
+    #: Marks a chunk that is kept whole; no word holds white space.
+    WHOLE = " "
 
-    def __init__(self, path: str, remember: int = 300_000) -> None:
+    def __init__(self, path: str, remember: int = 1_000_000, remember_chars: int = 32_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -58,46 +75,71 @@ class Encoder:
         self.dtype = "<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4"
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.remember = remember
-
-    def _packed(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-
-    def _learn_words(self, words: list[str]) -> None:
-        """Encode many words at once; each ends with the one token that ends a word."""
-        for at in range(0, len(words), 400):
-            part = words[at : at + 400]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype=self.dtype)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(part):
-                data, wide = ids.tobytes(), ids.itemsize
-                cuts = [0, *(stops * wide).tolist()]
-                self.words.update((w, data[i:j]) for w, i, j in zip(part, cuts[:-1], cuts[1:], strict=True))
+        self.remember, self.remember_chars = remember, remember_chars
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.chars = _Words(), 0
+        self.ids = np.zeros(0, self.dtype)
+        self.stops = np.zeros(1, np.int64)  # word k has ids[stops[k]:stops[k + 1]]
+
+    def _plain(self, text: str) -> bool:
+        return (text.isascii() and "<|" not in text) or not self.ODD.search(text)
+
+    def _parts(self, text: str) -> list[str]:
+        if self._plain(text):
+            return self.WORDS.findall(text.lower())
+        found: list[str] = []
+        for chunk in text.encode().split():
+            part = chunk.decode()
+            if self._plain(part):
+                found += self.WORDS.findall(part.lower())
             else:
-                self.words.update((w, self._packed(w)) for w in part)
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        parted = {}
-        for chunk in chunks:
-            text = chunk.decode()
-            if "<|" in text or max(text) > "\u024f" or "\u0130" in text:
-                self.chunks[chunk] = self._packed(text)
-            else:
-                parted[chunk] = self.WORDS.findall(text.lower())
-        if len(self.words) > 3 * self.remember:
-            self.words = {}
-        self._learn_words(list({w for words in parted.values() for w in words if w not in self.words}))
-        self.chunks.update((chunk, b"".join(map(self.words.__getitem__, words))) for chunk, words in parted.items())
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Packed ids of each text."""
-        chunks = [(t or "").encode().split() for t in texts]
-        if len(self.chunks) > self.remember:
-            self.chunks = {}
-        self._learn({c for found in chunks for c in found if c not in self.chunks})
-        return [b"".join(map(self.chunks.__getitem__, found)) for found in chunks]
+                found.append(self.WHOLE + part)
+        return found
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
+
+    def _learn(self) -> None:
+        """Encode the new words, many at once; each ends with the one token that ends a word."""
+        new, self.words.new = self.words.new, []
+        ids, stops = [self.ids], [self.stops]
+        at = int(self.stops[-1])
+        for first in range(0, len(new), 400):
+            part = new[first : first + 400]
+            # A whole chunk may hold several words or none, and is encoded apart.
+            plain = [w for w in part if w[0] != self.WHOLE]
+            joined = self._encoded(" ".join(plain))
+            ends = np.flatnonzero(self.ends[joined]) + 1
+            if len(plain) == len(part) == len(ends):
+                ids.append(joined)
+                stops.append(at + ends)
+                at += len(joined)
+                continue
+            cuts = iter(np.split(joined, ends[:-1])) if len(plain) == len(ends) else None
+            for word in part:
+                made = next(cuts) if cuts and word[0] != self.WHOLE else self._encoded(word.removeprefix(self.WHOLE))
+                at += len(made)
+                ids.append(made)
+                stops.append(np.array([at]))
+        self.chars += sum(map(len, new))
+        self.ids, self.stops = np.concatenate(ids), np.concatenate(stops)
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text."""
+        if len(self.words) > self.remember or self.chars > self.remember_chars:
+            self._forget()
+        parts = [self._parts(t) if t else [] for t in texts]
+        words = np.fromiter(map(self.words.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
+        if self.words.new:
+            self._learn()
+        first = self.stops[words]
+        sizes = self.stops[words + 1] - first
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(first - before[:-1], sizes) + np.arange(before[-1])]
+        cuts = before[np.cumsum([0, *map(len, parts)])].tolist()
+        return [ids[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 @lru_cache(maxsize=1)
@@ -120,27 +162,38 @@ def lexical_key(ids: np.ndarray) -> int:
     return (least * 0x85EBCA6B ^ least >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
 
 
+def _slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """(first, rows) of runs of about ``most`` bytes of text, so that long texts do not pile up."""
+    first, held = 0, 0
+    for at, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if held > most:
+            yield first, at - first
+            first, held = at, 0
+        held += size or 0
+    if len(texts) > first:
+        yield first, len(texts) - first
+
+
 def _tokenise(path: str | None, window: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path or tokenizer_path())
-        end = np.array([end_id], encoder.dtype).tobytes()
-        wide = len(end)
+        end = np.array([end_id], encoder.dtype)
         base = TaskContext.get().partitionId() << 36
         count = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at, size in _slices(batch.column(1)):
+                part = batch.slice(at, size)
                 rows = []
-                for doc_id, data in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
-                    data += end
-                    n = len(data) // wide
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
+                    n = len(ids) + 1
+                    ids = np.concatenate([ids, end])
                     for start in range(0, n - window + 1, window):
                         count += 1
-                        rows.append((base + count, doc_id, n, start, base + count, None, data[start * wide : (start + window) * wide]))
+                        rows.append((base + count, doc_id, n, start, base + count, None, ids[start : start + window].tobytes()))
                     if rest := n % window:
                         count += 1
-                        tail = data[(n - rest) * wide :]
-                        rows.append((base + count, doc_id, n, n - rest, None, lexical_key(np.frombuffer(tail, encoder.dtype)), tail))
+                        tail = ids[n - rest :]
+                        rows.append((base + count, doc_id, n, n - rest, None, lexical_key(tail), tail.tobytes()))
                 types = [pa.int64()] * 6 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["uid", "doc_id", "doc_tokens", "start", "sequence_id", "key", "ids"])
 
