@@ -2,10 +2,12 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.llm import cross_parse_langid as langid
 from tidewater.llm.cross_parse_langid import identify_language
 from tidewater.llm.fm_quality import BUCKETS, Model, _Buckets, row_features, score_quality
+from tidewater.llm.sampling import hash_limit, labelled_sample
 from tidewater.llm.toxic_lexicon import Lexicon, drop_toxic, features, fold, induce, score_toxicity
 
 AWKWARD = [(90_001, None), (90_002, ""), (90_003, " \n\t"), (90_004, "12 34 !!"), (90_005, "word " * 60_000), (90_006, "twin"), (90_006, "twin"), (None, "no id")]
@@ -145,3 +147,13 @@ def test_identify_language(spark, big):
     none = identify_language(docs.withColumn("lang", docs["lang"].substr(1, 0)).filter("lang is null"))
     assert {r["lang_pred"] for r in none.collect()} == {"und"}
     assert identify_language(docs.limit(0)).count() == 0
+
+
+def test_hash_limit_keeps_the_least_hashes(spark):
+    assert hash_limit(100, 1200) == (1 << 63) - 1
+    ids = spark.range(50_000).toDF("doc_id")
+    least = ids.orderBy(F.xxhash64("doc_id")).limit(100)
+    labels = ids.select("doc_id", F.lit(1).alias("toxic"))
+    assert ids.filter(F.xxhash64("doc_id") <= hash_limit(100, 50_000)).count() < 1600
+    found = labelled_sample(ids.withColumn("text", F.col("doc_id").cast("string")), labels, "doc_id", "text", "toxic", 100)
+    assert {int(r["text"]) for r in found.collect()} == {r["doc_id"] for r in least.collect()}

@@ -11,16 +11,27 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def hash_limit(rows: int, size: int) -> int:
+    """A 64-bit signed hash below which ``rows`` of ``size`` uniform hashes lie, with room for chance."""
+    most = 2 * rows + 1000  # many standard deviations above rows
+    return (1 << 63) - 1 if size <= most else most * (1 << 64) // size - (1 << 63)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows_per_class: int, **more: Column) -> DataFrame:
     """(label, text, more...): up to ``rows_per_class`` rows of either class, in hash order of the id.
 
-    The rank per class is limited inside every task before the shuffle, and only
-    ids and labels are ranked; whole texts are fetched for the chosen rows.
+    Only ids and labels are ranked; whole texts are fetched for the chosen rows.
+    The classes are counted first, and only hashes low enough to be among the
+    chosen are ranked, so the ranking task's input does not grow with the table.
     Null labels and repeated labels of an id are left out.
     """
     label = F.col(label_col).cast("int")
     marks = labels.filter(label.isin(0, 1)).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label).alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    sizes = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}  # two rows at most
+    order = Window.partitionBy("label").orderBy("hash", "id")
+    marks = marks.withColumn("hash", F.xxhash64("id"))
+    for one, size in sizes.items():
+        marks = marks.filter((F.col("label") != one) | (F.col("hash") <= hash_limit(rows_per_class, size)))
     chosen = marks.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows_per_class).select("id", "label")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *(c.alias(name) for name, c in more.items()))
     # 2 * rows_per_class pairs of numbers: bounded by the parameter.
