@@ -12,6 +12,8 @@ the seed's window; the last one is cut to fit and its rest seeds the next window
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -19,7 +21,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _latin(kind: str) -> str:
+    """The plain Latin characters of a Unicode category, for a character class."""
+    return "".join(f"\\u{c:04x}" for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
+
+
+_LETTERS, _NUMBERS = _latin("L"), _latin("N")
+
+
 class _Words(dict):
     """Word -> number; a new word gets the next number and is listed in ``new``."""
 
@@ -60,9 +69,9 @@ class Encoder:
     ASCII white space that is not plain goes to the tokenizer as it is.
     """
 
-    #: How the tokenizer parts lower-case text into words.
-    WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    ODD = regex.compile(r"[^\x00-\u012f\u0131-\u024f]|<\|")
+    #: How the tokenizer parts plain lower-case text into words.
+    WORDS = re.compile(rf"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+")
+    ODD = re.compile(r"[^\x00-\u012f\u0131-\u024f]|<\|")
     #: Marks a chunk that is kept whole; no word holds white space.
     WHOLE = " "
 
@@ -155,6 +164,13 @@ def terms(ids: np.ndarray) -> np.ndarray:
     return (pairs ^ (pairs >> np.uint32(15))) & np.uint32(TERMS - 1)
 
 
+def distinct_terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different terms in order, and how often each occurs."""
+    found = np.sort(terms(ids).astype(np.uint16))  # TERMS values fit
+    stops = np.append(np.flatnonzero(found[1:] != found[:-1]) + 1, len(found))
+    return found[stops - 1], np.diff(stops, prepend=0)
+
+
 def lexical_key(ids: np.ndarray) -> int:
     """A hash of the text's min-hash over its terms, 0 to 2**32 - 1."""
     mixed = terms(ids) * np.uint32(0x9E3779B1)
@@ -205,7 +221,7 @@ def _frequencies(dtype: str):
         counts = np.zeros(TERMS, np.int64)
         for batch in batches:
             for ids in batch.column(0):
-                counts[np.unique(terms(np.frombuffer(ids.as_py(), dtype)))] += 1
+                counts[distinct_terms(np.frombuffer(ids.as_py(), dtype))[0]] += 1
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["term", "docs"])
 
@@ -216,17 +232,17 @@ class Index:
     """BM25 postings of one shard: for each term the documents and their weights."""
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float) -> None:
-        found = [np.unique(terms(x), return_counts=True) for x in ids]
+        found = [distinct_terms(x) for x in ids]
         self.sizes = np.array([len(x) for x in ids])
         self.idf = idf
         self.own = found
         doc = np.repeat(np.arange(len(ids)), [len(t) for t, _ in found])
-        term = np.concatenate([t for t, _ in found]).astype(np.int64)
+        term = np.concatenate([t for t, _ in found])
         tf = np.concatenate([c for _, c in found]).astype(np.float64)
         weight = idf[term] * tf * (_K1 + 1) / (tf + _K1 * (1 - _B + _B * self.sizes[doc] / mean))
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
-        self.at = np.searchsorted(term[order], np.arange(TERMS + 1))
+        self.at = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=TERMS))])
 
     def scores(self, seed: int, most: int = 32) -> np.ndarray:
         """BM25 of every document for the seed's ``most`` most telling terms."""
@@ -255,9 +271,8 @@ def fill(index: Index, window: int, slack: int) -> list[list[tuple[int, int, int
         seed, start = rest
         pieces, room, rest = [(seed, start, int(sizes[seed]) - start)], window - int(sizes[seed]) + start, None
         if room > slack and free.any():
-            scores = np.where(free, index.scores(seed), -1.0)
-            ranked = np.argsort(-scores, kind="stable")  # unrelated documents follow in lexical order
-            ranked = ranked[: int(free.sum())]
+            unused = np.flatnonzero(free)
+            ranked = unused[np.argsort(-index.scores(seed)[unused], kind="stable")]  # unrelated documents follow in lexical order
             while room > slack:
                 fits = np.flatnonzero(sizes[ranked] <= room)
                 if not len(fits):
