@@ -93,6 +93,23 @@ def test_embedding_links_match_brute_force(spark, sf_dir):
     assert audit["found_links"] >= 0.9 * audit["true_links"]
 
 
+@pytest.mark.parametrize("dim", [3, 6, 24])
+def test_embedding_links_are_all_found_across_cells(spark, dim):
+    rng = np.random.default_rng(4)
+    # No groups: links at the bound everywhere, ids without a common divisor, more rows than one shard of default size.
+    x = np.repeat(rng.normal(size=(700, dim)), 2, axis=0)
+    x += 0.25 * rng.normal(size=x.shape)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids = [20 * i + 1 for i in range(len(x))]
+    linked = x @ x.T >= 0.93
+    np.fill_diagonal(linked, False)
+    want = roots(len(x), np.argwhere(linked).tolist())
+    frame = spark.createDataFrame(list(zip(ids, x.tolist(), strict=True)), "vec_id long, embedding array<double>").selectExpr("*", "1 as label")
+    for found in (embedding_components(frame), embedding_components(frame, shard_rows=40)):
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found.collect()}
+        assert got == {i: (int(n), ids[w]) for i, n, w in zip(ids, linked.sum(axis=1), want, strict=True)}
+
+
 def test_embeddings_empty_table(spark):
     assert embedding_components(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

@@ -1,15 +1,14 @@
-"""Embedding near-duplicates over a robust-pruned flat graph.
-
-Equal vectors are merged first.  Each label's vectors are cut into overlapping
-cluster shards (every vector joins its nearest centroids' shards; a shard that
-grows too large is dealt into all pairs of hash halves, which keeps every pair
-together somewhere).  A task builds a robust-pruned graph on its shard; the
-adjacency lists of a vector from all its shards are united, and a greedy
-search from the shard's medoids runs over the united lists, expanding every
-vector in range.  Candidates are verified by cosine in double precision.  A
-fixed share of the searches is audited against brute force inside the task;
-a shard below the wanted recall is searched again with a wider beam, in the
-end exhaustively.
+"""Embedding near-duplicates by exact comparison inside overlapping cells.
+
+Equal vectors are merged first.  Each label's vectors are cut into cells around
+centroids, and a vector joins every cell that the midpoint of one of its links
+could lie in, so both ends of a link share a cell whatever the centroids are.
+Where the vectors are so diffuse that cells would cost more than comparing all
+pairs, the label is one cell.  A cell that grows too large is dealt into all
+pairs of hash parts, which keeps every pair together somewhere.  A task compares
+the rows it holds by cosine in double precision and returns link counts and a
+spanning forest.  Nothing is estimated; on diffuse vectors the work is quadratic
+in the rows of a label.
 """
 
 from __future__ import annotations
@@ -35,117 +34,44 @@ def _unit_vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _medoids(x: np.ndarray, many: int) -> np.ndarray:
-    """Rows most central to the whole and to the parts on either side of it."""
-    mean = x.mean(axis=0)
-    score = x @ mean
-    found = [int(np.argmax(score))]
-    while len(found) < min(many, len(x)):  # the row farthest from the medoids so far starts another part
-        far = int(np.argmin((x @ x[found].T).max(axis=1)))
-        if far in found:
-            break
-        part = x[(x @ x[far]) > (x @ x[found].T).max(axis=1)]
-        near = int(np.argmax(x @ part.mean(axis=0))) if len(part) else far
-        found.append(near if near not in found else far)
-    return np.array(found)
-
-
-def robust_prune(x: np.ndarray, degree: int, pool: int, alpha: float) -> list[np.ndarray]:
-    """Neighbour lists: the nearest candidate is kept, those it covers by ``alpha`` go, and so on."""
-    lists = []
-    pool = min(pool, len(x) - 1)
-    for at in range(0, len(x), 512):
-        similar = x[at : at + 512] @ x.T
-        similar[np.arange(len(similar)), np.arange(at, at + len(similar))] = -np.inf
-        nearest = np.argpartition(-similar, pool - 1, axis=1)[:, :pool] if pool else np.empty((len(similar), 0), int)
-        for row, candidates in enumerate(nearest):
-            candidates = candidates[np.argsort(-similar[row, candidates], kind="stable")]
-            away = 1 - similar[row, candidates]
-            between = 1 - x[candidates] @ x[candidates].T
-            alive, kept = np.ones(len(candidates), bool), []
-            for k in range(len(candidates)):
-                if alive[k]:
-                    kept.append(k)
-                    if len(kept) == degree:
-                        break
-                    alive &= alpha * between[k] > away
-            lists.append(candidates[kept])
-    return lists
-
-
-def range_search(x: np.ndarray, queries: np.ndarray, near: np.ndarray, starts: np.ndarray, beam: int, least: float) -> np.ndarray:
-    """Rows found for each query as a boolean matrix; ``near`` are padded neighbour lists (-1).
-
-    The best unexpanded row of the beam is expanded until the beam is exhausted;
-    then every row in range is expanded until no new one is in range.
+def midpoint_cells(x: np.ndarray, centre: np.ndarray, least: float) -> np.ndarray:
+    """Boolean (vectors, centroids): the cells that the midpoint of a link of each vector can lie in.
+
+    The midpoint m of a link is within half the link's angle of both ends, at a
+    chord of at most ``2 sin(angle / 4)``.  If m is nearest to centroid c and x to
+    b, then x.(b - c) = m.(b - c) + (x - m).(b - c) <= |x - m| |b - c|.
     """
-    n, q = len(x), len(queries)
-    lane = np.arange(q)[:, None]
-    seen = np.zeros((q, n + 1), bool)  # the last column takes the padding
-    found = np.zeros((q, n), bool)
-    ids = np.full((q, beam), n)
-    score = np.full((q, beam), -np.inf)
-    opened = np.ones((q, beam), bool)
-
-    def merge(active: np.ndarray, new: np.ndarray) -> None:
-        nonlocal ids, score, opened
-        fresh = ~seen[active[:, None], new] & (new < n)
-        seen[active[:, None], new] = True
-        cosine = np.einsum("qd,qrd->qr", x[queries[active]], x[np.minimum(new, n - 1)])
-        cosine[~fresh] = -np.inf
-        hit = cosine >= least
-        a, b = np.nonzero(hit)
-        found[active[a], new[a, b]] = True
-        everything = np.concatenate([score[active], cosine], axis=1)
-        best = np.argpartition(-everything, beam - 1, axis=1)[:, :beam]
-        row = np.arange(len(active))[:, None]
-        ids[active] = np.concatenate([ids[active], new], axis=1)[row, best]
-        opened[active] = np.concatenate([opened[active], ~fresh], axis=1)[row, best]
-        score[active] = everything[row, best]
-
-    merge(np.arange(q), np.broadcast_to(starts, (q, len(starts))).copy())
-    while True:
-        waiting = np.where(opened, -np.inf, score)
-        pick = waiting.argmax(axis=1)
-        active = np.flatnonzero(waiting[lane[:, 0], pick] > -np.inf)
-        if not len(active):
-            break
-        opened[active, pick[active]] = True
-        nodes = ids[active, pick[active]]
-        merge(active, np.where(near[nodes] < 0, n, near[nodes]))
-    frontier = found.copy()
-    while frontier.any():
-        a, b = np.nonzero(frontier)
-        frontier = np.zeros_like(found)
-        for at in range(0, len(a), 20_000):
-            lanes, nodes = a[at : at + 20_000], b[at : at + 20_000]
-            new = near[nodes]
-            i, j = np.nonzero((new >= 0) & ~found[lanes[:, None], np.maximum(new, 0)])
-            lanes, new = lanes[i], new[i, j]
-            close = np.einsum("kd,kd->k", x[queries[lanes]], x[new]) >= least
-            frontier[lanes[close], new[close]] = True
-        frontier &= ~found
-        found |= frontier
-    return found
-
-
-def _centroids(table: pa.Table) -> pa.Table:
-    """Spherical k-means on the sample of one label."""
-    x = _unit_vectors(table.column("vec"))
-    k = min(int(table.column("shards")[0].as_py()), len(x))
-    centre = x[:k].copy()
-    for _ in range(6):
-        mine = (x @ centre.T).argmax(axis=1)
-        total = np.zeros_like(centre)
-        np.add.at(total, mine, x)
-        size = np.sqrt((total * total).sum(axis=1, keepdims=True))
-        centre = np.where(size > 0, total / np.where(size > 0, size, 1), centre)
-    label, dim = table.column("label")[0].as_py(), table.column("dim")[0].as_py()
-    return pa.table({"label": [label] * k, "dim": pa.array([dim] * k, pa.int32()), "centre": pa.array(list(centre), pa.list_(pa.float64()))})
-
-
-def _cells(centres: dict, overlap: int):
-    """Give each vector the numbers of its nearest centroids (0 where its label has but one shard)."""
+    chord = 2 * np.sin(np.arccos(least) / 4)
+    similar = x @ centre.T
+    own = similar.argmax(axis=1)
+    # From dot products, as the differences themselves would be a cube.
+    square = (centre * centre).sum(axis=1)
+    apart = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * centre @ centre.T, 0))
+    return similar.max(axis=1)[:, None] - similar <= chord * apart[own] + 1e-6
+
+
+def _centroids(least: float):
+    def run(table: pa.Table) -> pa.Table:
+        """Spherical k-means on the sample of one label; no centroids where cells save nothing."""
+        x = _unit_vectors(table.column("vec"))
+        k = min(int(table.column("shards")[0].as_py()), len(x))
+        centre = x[:k].copy()
+        for _ in range(6):
+            mine = (x @ centre.T).argmax(axis=1)
+            total = np.zeros_like(centre)
+            np.add.at(total, mine, x)
+            size = np.sqrt((total * total).sum(axis=1, keepdims=True))
+            centre = np.where(size > 0, total / np.where(size > 0, size, 1), centre)
+        if (midpoint_cells(x, centre, least).mean(axis=0) ** 2).sum() >= 1:
+            k, centre = 0, centre[:0]
+        label, dim = table.column("label")[0].as_py(), table.column("dim")[0].as_py()
+        return pa.table({"label": pa.array([label] * k, pa.string()), "dim": pa.array([dim] * k, pa.int32()), "centre": pa.array(list(centre), pa.list_(pa.float64()))})
+
+    return run
+
+
+def _cells(centres: dict, least: float):
+    """Give each vector the numbers of its cells (0 where its label has but one)."""
 
     def run(batches):
         for batch in batches:
@@ -156,64 +82,39 @@ def _cells(centres: dict, overlap: int):
                 if s in centres:
                     rows.setdefault(s, []).append(i)
             for s, mine in rows.items():
-                x = _unit_vectors(batch.column("vec").take(pa.array(mine)))
-                similar = x @ centres[s].T
-                best = np.argsort(-similar, axis=1, kind="stable")[:, :overlap].tolist()
-                for i, b in zip(mine, best, strict=True):
-                    cells[i] = b
+                joined = midpoint_cells(_unit_vectors(batch.column("vec").take(pa.array(mine))), centres[s], least)
+                for i, row in zip(mine, joined, strict=True):
+                    cells[i] = np.flatnonzero(row).tolist()
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("dim"), batch.column("head"), pa.array(cells, pa.list_(pa.int32()))], names=["label", "dim", "head", "cells"])
 
     return run
 
 
-def _build(degree: int, alpha: float):
-    def run(table: pa.Table) -> pa.Table:
-        heads = table.column("head").to_numpy()
-        near = robust_prune(_unit_vectors(table.column("vec")), degree, 3 * degree, alpha)
-        return pa.table({"head": heads, "near": pa.array([heads[n].tolist() for n in near], pa.list_(pa.int64()))})
-
-    return run
-
-
-def _search(least: float, beam: int, recall: float, every: int):
+def _compare(least: float):
     def run(table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("head").to_numpy(), kind="stable")
         table = table.take(pa.array(order))
         heads, copies = table.column("head").to_numpy(), table.column("copies").to_numpy()
         x, n = _unit_vectors(table.column("vec")), table.num_rows
-        place = {int(h): i for i, h in enumerate(heads)}
-        lists = [[place[v] for v in near if v in place] for near in table.column("near").to_pylist()]
-        near = np.full((n, max(1, max(map(len, lists)))), -1)
-        for i, v in enumerate(lists):
-            near[i, : len(v)] = v
-        starts = _medoids(x, 4)
-        audited = np.flatnonzero(heads % every == 0)
-        truth = x[audited] @ x.T >= least
-        width = min(beam, n)
-        while width < n:
-            got = range_search(x, audited, near, starts, width, least)
-            if (got & truth).sum() >= recall * truth.sum():
-                break
-            width = min(2 * width, n)
-        forest, total = Forest(n), np.zeros(n, np.int64)
-        units = [frozenset(u) for u in table.column("units").to_pylist()]
-        kinds = {u: k for k, u in enumerate(dict.fromkeys(units))}
-        kind = np.array([kinds[u] for u in units])
         mine = table.column("unit")[0].as_py()
-        # A pair that shares several shards counts in the first of them only.
-        first = np.array([[min(u & v) == mine for v in kinds] for u in kinds])
-        linked = np.zeros((n, n), bool)
-        for at in range(0, n, 512):
-            queries = np.arange(at, min(n, at + 512))
-            linked[queries] = range_search(x, queries, near, starts, width, least) if width < n else x[queries] @ x.T >= least
-        linked |= linked.T
-        np.fill_diagonal(linked, False)
+        # A pair that shares several units counts in the least of them only.
+        units = table.column("units").combine_chunks()
+        row, unit = pc.list_parent_indices(units).to_numpy(), pc.list_flatten(units).to_numpy()
+        row, unit = row[unit < mine], unit[unit < mine]
+        lesser, column = np.unique(unit, return_inverse=True)
+        shared = np.zeros((n, len(lesser)), np.float32)
+        shared[row, column] = 1
+        forest, total = Forest(n), np.zeros(n, np.int64)
         for at in range(0, n, 512):
-            i, j = np.nonzero(linked[at : at + 512])
-            i += at
-            forest.link(i, j)
-            counted = first[kind[i], kind[j]]
-            total += np.bincount(i[counted], weights=copies[j[counted]], minlength=n).astype(np.int64)
+            linked = np.triu(x[at : at + 512] @ x[at:].T >= least, 1)
+            i, j = np.nonzero(linked)
+            forest.link(i + at, j + at)
+            if len(lesser):
+                linked &= shared[at : at + 512] @ shared[at:].T == 0
+            i, j = np.nonzero(linked)
+            i, j = i + at, j + at
+            for a, b in ((i, j), (j, i)):
+                total += np.bincount(a, weights=copies[b], minlength=n).astype(np.int64)
         return pa.table({"head": heads, "links": total, "root": heads[forest.root]})
 
     return run
@@ -235,12 +136,6 @@ def embedding_components(
     *,
     least: float = 0.93,
     shard_rows: int = 400,
-    overlap: int = 2,
-    degree: int = 24,
-    beam: int = 48,
-    alpha: float = 1.2,
-    recall: float = 0.99,
-    audit_every: int = 20,
     max_centroids: int = 2048,
     sample_rows: int = 4096,
 ) -> DataFrame:
@@ -254,7 +149,8 @@ def embedding_components(
     table gives an empty result.
 
     ``sample_rows`` per label fit at most ``max_centroids`` centroids (which are
-    broadcast); all rows are indexed and searched.
+    broadcast), about one for ``shard_rows`` vectors; a task compares at most some
+    ten times ``shard_rows`` vectors.  None of these changes the result.
     """
     usable = comparable(vectors, id_col, vector_col, label_col)
     heads = written(usable.groupBy(*_SPACE, "vec").agg(F.min("id").alias("head"), F.count("*").alias("copies")), "vectors")
@@ -263,25 +159,22 @@ def embedding_components(
     per_shard = max(shard_rows, -(-total // max_centroids))
     sizes = heads.groupBy(*_SPACE).agg(F.ceil(F.count("*") / per_shard).cast("int").alias("shards")).filter("shards > 1")
     ranked = heads.join(sizes, _SPACE).withColumn("nth", F.row_number().over(Window.partitionBy(*_SPACE).orderBy(F.xxhash64("head"), "head")))
-    fitted = ranked.filter(F.col("nth") <= sample_rows).groupBy(*_SPACE).applyInArrow(_centroids, "label string, dim int, centre array<double>")
+    fitted = ranked.filter(F.col("nth") <= sample_rows).groupBy(*_SPACE).applyInArrow(_centroids(least), "label string, dim int, centre array<double>")
     centres: dict = {}
     for r in fitted.collect():  # at most max_centroids + one per label with several shards
         centres.setdefault((r["label"], r["dim"]), []).append(r["centre"])
     centres = {k: np.array(v) for k, v in centres.items()}
 
-    cells = heads.select(*_SPACE, "head", "vec").mapInArrow(_cells(centres, overlap), "label string, dim int, head long, cells array<int>")
+    cells = heads.select(*_SPACE, "head", "vec").mapInArrow(_cells(centres, least), "label string, dim int, head long, cells array<int>")
     cells = written(cells.select(*_SPACE, "head", F.explode("cells").alias("cell")), "cells")
-    crowd = cells.groupBy(*_SPACE, "cell").agg(F.ceil(F.count("*") / (2 * overlap * shard_rows)).alias("halves"))
+    crowd = cells.groupBy(*_SPACE, "cell").agg(F.ceil(F.count("*") / (5 * shard_rows)).alias("halves"))
     half = F.pmod(F.xxhash64("head"), F.col("halves"))
     placed = cells.join(crowd, [*_SPACE, "cell"]).withColumn("half", half).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("halves") - 1)))
     unit = F.xxhash64(*_SPACE, "cell", F.least("half", "other"), F.greatest("half", "other"))
     units = placed.groupBy("head").agg(F.sort_array(F.collect_set(unit)).alias("units"))
     members = written(heads.join(units, "head").select("head", "copies", "vec", "units"), "members")
 
-    built = members.select(F.explode("units").alias("unit"), "head", "vec").groupBy("unit").applyInArrow(_build(degree, alpha), "head long, near array<long>")
-    union = built.groupBy("head").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    graph = written(members.join(union, "head"), "graph")
-    searched = graph.withColumn("unit", F.explode("units")).groupBy("unit").applyInArrow(_search(least, beam, recall, audit_every), "head long, links long, root long")
+    searched = members.withColumn("unit", F.explode("units")).groupBy("unit").applyInArrow(_compare(least), "head long, links long, root long")
     searched = written(searched, "searched")
     groups = connected_components(searched, "head", "root")
 
