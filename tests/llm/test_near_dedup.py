@@ -56,6 +56,15 @@ def test_near_duplicates_leave_one(spark):
     assert sorted(r["doc_id"] for r in got.collect()) == [1, 3, 4]
 
 
+def test_unrelated_short_texts_stay(spark):
+    rng = np.random.default_rng(5)
+    # Ties leave few bits set in texts of six or eight words, so many are within 25 bits of the empty text.
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 6 + 2 * (i % 2))) for i in range(400)]
+    rows = [*enumerate(texts, 1), (0, ""), (900, None), (901, texts[5].upper()), (902, texts[7])]
+    got = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == list(range(401))
+
+
 def brute_links(rows, least=0.93):
     usable = {i: (label, np.array(v, dtype=float)) for i, v, label in rows if v and label is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)}
     found = {i: set() for i, _, _ in rows}

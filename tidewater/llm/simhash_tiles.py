@@ -6,6 +6,8 @@ counts differ by at most the radius, which no linked pair can exceed.  A task
 compares one pair of blocks tile by tile with numpy exclusive-or and bit counts
 and returns a spanning forest of the links it saw, so a dense group costs as
 many rows as it has members.  The forests are joined by connected components.
+Links can be held to a min-hash sketch of the shingles as well, which texts
+without common shingles never pass, however their bits fall.
 
 The comparison is exact and therefore quadratic in the number of different
 fingerprints within reach; its input is 16 bytes a fingerprint.
@@ -25,26 +27,28 @@ from tidewater.llm.components import connected_components
 from tidewater.llm.store import written
 
 SEED = 42
-_ROWS, _COLUMNS = 256, 8192
+_ROWS, _COLUMNS, _PAIRS = 256, 8192, 65_536
+#: Odd multipliers, each of which puts 64-bit hashes in another order, and how many slots of a sketch two linked texts share.
+_SLOTS = np.random.default_rng(SEED).integers(0, 1 << 63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
+_AGREE = 2
 
 
-def fingerprint(text: str | None, width: int = 4, seed: int = SEED) -> int:
-    """64-bit SimHash over word shingles (ASCII case folded, repeats counted) as an unsigned int.
-
-    Fewer words than ``width`` make one shingle; no words give zero.
-    """
+def _shingles(text: str | None, width: int, seed: int) -> np.ndarray:
+    """Hashes of the word shingles (ASCII case folded, repeats kept); fewer words than ``width`` make one."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     digest = xxhash.xxh64_intdigest
     if len(words) <= width:
-        hashes = np.array([digest(joined, seed)], dtype=np.uint64)
-    else:
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(sizes + 1) - 1
-        starts = (ends - sizes)[: len(words) - width + 1].tolist()
-        hashes = np.fromiter((digest(joined[s:e], seed) for s, e in zip(starts, ends[width - 1 :].tolist(), strict=True)), np.uint64, len(starts))
+        return np.array([digest(joined, seed)], dtype=np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    starts = (ends - sizes)[: len(words) - width + 1].tolist()
+    return np.fromiter((digest(joined[s:e], seed) for s, e in zip(starts, ends[width - 1 :].tolist(), strict=True)), np.uint64, len(starts))
+
+
+def _bits(hashes: np.ndarray) -> int:
     set_bits = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 4096):
         part = hashes[at : at + 4096].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -52,13 +56,39 @@ def fingerprint(text: str | None, width: int = 4, seed: int = SEED) -> int:
     return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(width: int, lanes: int):
+def fingerprint(text: str | None, width: int = 4, seed: int = SEED) -> int:
+    """64-bit SimHash over word shingles (ASCII case folded, repeats counted) as an unsigned int.
+
+    Fewer words than ``width`` make one shingle; no words give zero.
+    """
+    return _bits(_shingles(text, width, seed))
+
+
+def sketch(hashes: np.ndarray) -> bytes:
+    """Min-hashes as 32-bit integers; two texts share each with the Jaccard similarity of their shingles.  No shingles give zeros."""
+    least = np.full(len(_SLOTS), -1 if len(hashes) else 0, np.int64).view(np.uint64)
+    for at in range(0, len(hashes), 4096):
+        least = np.minimum(least, (hashes[at : at + 4096, None] * _SLOTS).min(axis=0))
+    return (least >> np.uint64(32)).astype("<u4").tobytes()
+
+
+def _fingerprints(width: int, lanes: int, sketched: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
-            made = [np.fromiter((fingerprint(t.as_py(), width, SEED + k) for t in texts), np.uint64, len(texts)).view(np.int64) for k in range(lanes)]
-            made += [np.zeros(len(texts), np.int64)] * (2 - lanes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, made)], names=["id", "bits", "more"])
+            made, sketches = np.zeros((2, len(texts)), np.uint64), [None] * len(texts)
+            for i, text in enumerate(texts):
+                text = text.as_py()
+                for k in range(lanes):
+                    hashes = _shingles(text, width, SEED + k)
+                    made[k, i] = _bits(hashes)
+                    if sketched and k == 0:
+                        sketches[i] = sketch(hashes)
+            columns = [batch.column(0), *(pa.array(m.view(np.int64)) for m in made)]
+            names = ["id", "bits", "more"]
+            if sketched:
+                columns, names = [*columns, pa.array(sketches, pa.binary())], [*names, "sketch"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -90,8 +120,11 @@ class Forest:
         return nodes, self.root[nodes]
 
 
-def link_blocks(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest, left_at: int = 0, right_at: int = 0) -> None:
-    """Link in ``forest`` all pairs of rows (64-bit lanes as columns) that differ in at most ``radius`` bits."""
+def link_blocks(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest, left_at: int = 0, right_at: int = 0, sketches: np.ndarray | None = None) -> None:
+    """Link in ``forest`` all pairs of rows (64-bit lanes as columns) that differ in at most ``radius`` bits.
+
+    With ``sketches`` of the forest's nodes as rows, a pair must also share ``_AGREE`` slots.
+    """
     lanes = range(left.shape[1])
     low_left, low_right = left[:, 0].astype(np.uint32), right[:, 0].astype(np.uint32)
     for r in range(0, len(left), _ROWS):
@@ -104,28 +137,36 @@ def link_blocks(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest
             i, j = np.divmod(np.flatnonzero(bits <= radius), bits.shape[1])
             i, j = i + r, j + c
             same = np.bitwise_count(left[i] ^ right[j]).sum(axis=1, dtype=np.int64) <= radius
-            forest.link(i[same] + left_at, j[same] + right_at)
+            a, b = i[same] + left_at, j[same] + right_at
+            while sketches is not None and len(a):
+                apart = forest.root[a] != forest.root[b]  # pairs of one group need no proof
+                a, b = a[apart], b[apart]
+                proven = (sketches[a[:_PAIRS]] == sketches[b[:_PAIRS]]).sum(axis=1) >= _AGREE
+                forest.link(a[:_PAIRS][proven], b[:_PAIRS][proven])
+                a, b = a[_PAIRS:], b[_PAIRS:]
+            forest.link(a, b)
 
 
-def _compare(radius: int, lanes: int):
+def _compare(radius: int, lanes: int, sketched: bool):
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         order = np.argsort(side, kind="stable")
         bits = np.stack([table.column(c).to_numpy() for c in ("bits", "more")[:lanes]], axis=1).view(np.uint64)[order]
         ids = table.column("head").to_numpy()[order]
+        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u4").reshape(len(ids), -1)[order] if sketched else None
         cut = int(np.searchsorted(side[order], 1))
         forest = Forest(len(bits))
         if 0 < cut < len(bits):
-            link_blocks(bits[:cut], bits[cut:], radius, forest, 0, cut)
+            link_blocks(bits[:cut], bits[cut:], radius, forest, 0, cut, sketches)
         else:  # a block with itself
-            link_blocks(bits, bits, radius, forest)
+            link_blocks(bits, bits, radius, forest, sketches=sketches)
         a, b = forest.edges()
         return pa.table({"a": ids[a], "b": ids[b]})
 
     return run
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 4, radius: int = 4, lanes: int = 1, block_rows: int = 32_768) -> DataFrame:
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 4, radius: int = 4, lanes: int = 1, sketched: bool = False, block_rows: int = 32_768) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits) and component_id.
 
     component_id is the least id reachable over links of at most ``radius``
@@ -135,16 +176,19 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     fingerprint; an empty table gives an empty result.  ``block_rows`` bounds
     the fingerprints of one block; it does not change the result.  With two
     ``lanes`` a second seed doubles the fingerprint to 128 bits, and the radius
-    counts both; the column shows the first lane.
+    counts both; the column shows the first lane.  If ``sketched``, links must
+    also share shingles by their sketches, and equal fingerprints link no otherwise.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("content"))
-    prints = written(rows.mapInArrow(_fingerprints(width, lanes), "id long, bits long, more long"), "fingerprints")
-    heads = prints.groupBy("bits", "more").agg(F.min("id").alias("head")).filter("head is not null").withColumn("ones", F.bit_count("bits") + F.bit_count("more"))
+    key = ["bits", "more", "sketch"] if sketched else ["bits", "more"]
+    schema = "id long, bits long, more long" + ", sketch binary" * sketched
+    prints = written(rows.mapInArrow(_fingerprints(width, lanes, sketched), schema), "fingerprints")
+    heads = prints.groupBy(*key).agg(F.min("id").alias("head")).filter("head is not null").withColumn("ones", F.bit_count("bits") + F.bit_count("more"))
     heads = written(heads, "heads")
 
     # At most 129 population counts, so this table is bounded.
     bands = heads.groupBy("ones").agg(F.ceil(F.count("*") / block_rows).alias("chunks"))
-    blocks = heads.join(F.broadcast(bands), "ones").withColumn("chunk", F.pmod(F.xxhash64("bits", "more"), F.col("chunks")))
+    blocks = heads.join(F.broadcast(bands), "ones").withColumn("chunk", F.pmod(F.xxhash64(*key), F.col("chunks")))
     spread = bands.select(F.col("ones").alias("ones_b"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk_b"))
     own = bands.select("ones", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     first, second = F.struct("ones", "chunk"), F.struct("ones_b", "chunk_b")
@@ -154,12 +198,12 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sides = pairs.select("pair", "ones", "chunk", F.lit(0).alias("side")).unionByName(
         pairs.filter(first != second).select("pair", F.col("ones_b").alias("ones"), F.col("chunk_b").alias("chunk"), F.lit(1).alias("side"))
     )
-    dealt = blocks.join(sides, ["ones", "chunk"]).select("pair", "side", "bits", "more", "head")
-    links = dealt.groupBy("pair").applyInArrow(_compare(radius, lanes), "a long, b long")
+    dealt = blocks.join(sides, ["ones", "chunk"]).select("pair", "side", *key, "head")
+    links = dealt.groupBy("pair").applyInArrow(_compare(radius, lanes, sketched), "a long, b long")
     groups = connected_components(links, "a", "b")
 
-    named = heads.join(groups, F.col("head") == F.col("node"), "left").select("bits", "more", F.coalesce("component", "head").alias("component_id"))
-    out = prints.join(named, ["bits", "more"], "left")
+    named = heads.join(groups, F.col("head") == F.col("node"), "left").select(*key, F.coalesce("component", "head").alias("component_id"))
+    out = prints.join(named, key, "left")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -167,10 +211,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` that stay: of each component the row with its least id.
 
     Documents link if at least ``similarity`` of the 128 bits of two fingerprints
-    agree, which unrelated texts do not reach by chance at corpus size.
+    agree and their sketches share shingles: the bits of short texts fall so
+    unevenly that unrelated ones agree by chance, and at corpus size long ones do.
     All columns are kept; repeated rows with that id leave one row.
     """
-    found = simhash_components(docs, id_col, text_col, width=width, radius=int(128 * (1 - similarity) + 1e-9), lanes=2)
+    found = simhash_components(docs, id_col, text_col, width=width, radius=int(128 * (1 - similarity) + 1e-9), lanes=2, sketched=True)
     keep = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.struct(F.col(id_col).alias("id")).alias("key")).distinct()
     # Rows travel as one struct, so that no name of theirs can clash.
     rows = docs.select(F.struct(F.col(id_col).cast("long").alias("id")).alias("key"), F.xxhash64(text_col).alias("order"), F.struct("*").alias("row"))
