@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from tests_support import check_pieces, token_ids
+from tidewater.llm import bm25_packing
 from tidewater.llm.bm25_packing import Encoder, Index, fill, pack_documents, terms, tokenizer_path
 
 
@@ -68,3 +69,33 @@ def test_query_digests(spark, sf_dir):
         part = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
         assert r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
         assert r["doc_tokens"] == len(ids[r["doc_id"]])
+
+
+def test_seed_asks_with_all_terms():
+    seed = np.arange(1000, 1041)
+    least = terms(seed)
+    at = int(np.argmax(least))  # of equal weights the first 32 terms in order came before it
+    related = np.concatenate([seed[at : at + 2], np.arange(5000, 5039)])
+    ids = [seed, np.arange(9000, 9041), related]
+    assert not set(terms(ids[1]).tolist()) & set(least.tolist())
+    windows = fill(Index(ids, np.ones(1 << 16), 41.0), 82, 0)
+    assert [d for d, _, _ in windows[0]] == [0, 2]
+
+
+def test_frequencies_count_windows_and_tails(spark, monkeypatch):
+    texts = ["some words of a long text " * 600, "words of a tail", "a text"]
+    seen, pack = {}, bm25_packing._pack
+
+    def spy(dtype, idf, mean, *more):
+        seen.update(idf=idf, mean=mean)
+        return pack(dtype, idf, mean, *more)
+
+    monkeypatch.setattr(bm25_packing, "_pack", spy)
+    pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    pieces = [np.array(x[k : k + 2048]) for x in token_ids(texts) for k in range(0, len(x), 2048)]
+    assert len(pieces) > 3
+    docs = np.zeros(1 << 16)
+    for p in pieces:
+        docs[np.unique(terms(p))] += 1
+    assert np.allclose(seen["idf"], np.log1p((len(pieces) - docs + 0.5) / (docs + 0.5)))
+    assert seen["mean"] == sum(map(len, pieces)) / len(pieces)

@@ -4,8 +4,8 @@ Texts are tokenised once.  Every full window of a long document is a sequence
 of its own; the tails are packed together.  Tails are dealt to index shards of a
 bounded number of tokens by a min-hash of their terms, so that related texts
 tend to meet; a shard that copies of one text overfill is split by hash.  In a
-shard a BM25 inverted index (with document frequencies of the whole corpus)
-returns for each seed the unused neighbours in order of relevance, which fill
+shard a BM25 inverted index (with document frequencies and mean length of all
+pieces, windows and tails) returns for each seed the unused neighbours in order of relevance, which fill
 the seed's window; the last one is cut to fit and its rest seeds the next window.
 """
 
@@ -255,6 +255,7 @@ class Index:
 def fill(index: Index, window: int, slack: int) -> list[list[tuple[int, int, int]]]:
     """Windows of (document, start, length) pieces; every document lies whole in them.
 
+    A seed asks with all of its different terms.
     Windows but the last are filled up to ``slack``.  The neighbour that no
     longer fits is cut, and its rest begins the next window.
     """
@@ -272,7 +273,7 @@ def fill(index: Index, window: int, slack: int) -> list[list[tuple[int, int, int
         pieces, room, rest = [(seed, start, int(sizes[seed]) - start)], window - int(sizes[seed]) + start, None
         if room > slack and free.any():
             unused = np.flatnonzero(free)
-            ranked = unused[np.argsort(-index.scores(seed)[unused], kind="stable")]  # unrelated documents follow in lexical order
+            ranked = unused[np.argsort(-index.scores(seed, TERMS)[unused], kind="stable")]  # unrelated documents follow in lexical order
             while room > slack:
                 fits = np.flatnonzero(sizes[ranked] <= room)
                 if not len(fits):
@@ -336,11 +337,14 @@ def pack_documents(
     )
     whole = whole.mapInArrow(_widened(dtype), _PIECES)
     tails = tokens.filter("sequence_id is null").withColumn("size", F.col("doc_tokens") - F.col("start"))
-    size = tails.agg(F.count("*").alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("tokens")).first()
-    mean = max(1.0, size["tokens"] / max(1, size["rows"]))
-    shards = min(1 << 24, max(1, -(-size["tokens"] // shard_tokens)))
+    tail = F.col("sequence_id").isNull()
+    sums = [F.count("*").alias("rows"), F.count(F.when(tail, 1)).alias("tails"), F.sum(F.when(tail, F.col("doc_tokens") - F.col("start"))).alias("tokens")]
+    size = tokens.agg(*sums).first()
+    in_tails = size["tokens"] or 0
+    mean = max(1.0, (in_tails + window * (size["rows"] - size["tails"])) / max(1, size["rows"]))
+    shards = min(1 << 24, max(1, -(-in_tails // shard_tokens)))
     # One count per hashed term: bounded by TERMS.
-    counted = tails.select("ids").mapInArrow(_frequencies(dtype), "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).collect()
+    counted = tokens.select("ids").mapInArrow(_frequencies(dtype), "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).collect()
     frequency = np.zeros(TERMS)
     for r in counted:
         frequency[r["term"]] = r["docs"]
