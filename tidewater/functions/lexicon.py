@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import has_any, has_substring, substring_count
+from tidewater.functions.text import any_found, found_terms, has_any, has_substring, substring_count
 
 
 @dataclass(frozen=True)
@@ -19,10 +19,13 @@ class Lexicon:
     classes: tuple[tuple[str, tuple[str, ...]], ...]
 
     @classmethod
-    def of(cls, table: DataFrame) -> Lexicon:
-        """From a small table (class, ord, term); lexicons hold at most a few thousand terms."""
+    def of(cls, table: DataFrame, most: int = 20_000) -> Lexicon:
+        """From a small table (class, ord, term); more than ``most`` terms are an error."""
         found: dict[str, list[str]] = {}
-        for r in table.orderBy("ord", "class", "term").limit(20_000).collect():
+        rows = table.orderBy("ord", "class", "term").limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"a lexicon of more than {most} terms")
+        for r in rows:
             found.setdefault(r["class"], []).append(r["term"])
         return cls(tuple((k, tuple(v)) for k, v in found.items()))
 
@@ -33,6 +36,21 @@ class Lexicon:
         """Whether a term of one class occurs at word boundaries."""
         return has_any(text, self.terms(name))
 
+    def every_term(self) -> list[str]:
+        return [t for _, terms in self.classes for t in terms]
+
+    def found(self, text: Column, *others: Lexicon) -> Column:
+        """The terms of this and other lexicons that occur; make it a column of its own before asking it."""
+        return found_terms(text, [t for x in (self, *others) for t in x.every_term()])
+
+    def in_found(self, found: Column, name: str, *others: Lexicon) -> Column:
+        """``hit`` of one class, from the column that ``found`` made with the same lexicons."""
+        return any_found(found, self.terms(name), [t for x in (self, *others) for t in x.every_term()])
+
+    def found_labels(self, found: Column, *others: Lexicon) -> Column:
+        """``labels`` from the column that ``found`` made with the same lexicons."""
+        return F.array_compact(F.array(*(F.when(self.in_found(found, name, *others), F.lit(name)) for name, _ in self.classes)))
+
     def labels(self, text: Column) -> Column:
         """All classes that occur at word boundaries, in order."""
         return F.array_compact(F.array(*(F.when(has_any(text, terms), F.lit(name)) for name, terms in self.classes)))

@@ -33,6 +33,33 @@ def has_any(text: Column, terms: Iterable[str]) -> Column:
     return found
 
 
+def found_terms(text: Column, terms: Iterable[str]) -> Column:
+    """The distinct terms that occur in lower-case ``text``, by the rule of ``has_any``.
+
+    Single words are looked up in a hash set, phrases are one alternation tried
+    at word starts.  Of phrases that begin at one place the longest is listed;
+    ``any_found`` knows the shorter ones that it implies.
+    """
+    terms = sorted({t.lower() for t in terms}, key=lambda t: (-len(t), t))
+    text = F.coalesce(text, F.lit(""))
+    words = [t for t in terms if re.fullmatch("[a-z0-9]+", t)]
+    phrases = [t for t in terms if re.search("[a-z0-9]", t) and t not in words]
+    found = []
+    if words:
+        found.append(F.filter(F.regexp_extract_all(text, F.lit("[a-z0-9]+"), F.lit(0)), lambda w: w.isin(*words)))
+    if phrases:
+        found.append(F.regexp_extract_all(text, F.lit(f"(?<![a-z0-9])(?=({'|'.join(map(_quoted, phrases))})(?![a-z0-9]))"), F.lit(1)))
+    found += [F.array_compact(F.array(F.when(text.contains(t), F.lit(t)))) for t in terms if not re.search("[a-z0-9]", t)]
+    return F.array_distinct(F.concat(*found)) if found else F.array().cast("array<string>")
+
+
+def any_found(found: Column, terms: Iterable[str], among: Iterable[str]) -> Column:
+    """Whether one of ``terms`` occurs, from what ``found_terms`` over the terms ``among`` lists."""
+    terms = [t.lower() for t in terms]
+    implied = sorted({a for a in map(str.lower, among) for t in terms if a == t or (a.startswith(t) and not (re.search("[a-z0-9]", t) and re.match("[a-z0-9]", a[len(t) :])))})
+    return F.arrays_overlap(found, F.array(*map(F.lit, implied))) if implied else F.lit(False)
+
+
 def has_substring(text: Column, terms: Iterable[str]) -> Column:
     """Whether any term occurs anywhere in lower-case ``text``."""
     found = F.lit(False)

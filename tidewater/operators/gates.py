@@ -7,6 +7,8 @@ reasons.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,43 +19,59 @@ FIRST_CLASS = ("report", "model")
 HARD_TYPES = ("funding", "ma", "earnings")
 
 
-def relevance(text: Column, lexicon: Lexicon) -> Column:
+def relevance_of(hit: Callable[[str], Column]) -> Column:
     """0 to 3: hard-out terms 0; core 3, adjacent 2, edge 1; otherwise 1, or 0 with out terms.
 
-    With out terms a core hit counts 2.
+    With out terms a core hit counts 2.  ``hit`` gives the hit column of a class.
     """
-    out = lexicon.hit(text, "out")
     return (
-        F.when(lexicon.hit(text, "hard_out"), 0)
-        .when(lexicon.hit(text, "core"), F.when(out, 2).otherwise(3))
-        .when(lexicon.hit(text, "adjacent"), 2)
-        .when(lexicon.hit(text, "edge"), 1)
-        .when(out, 0)
+        F.when(hit("hard_out"), 0)
+        .when(hit("core"), F.when(hit("out"), 2).otherwise(3))
+        .when(hit("adjacent"), 2)
+        .when(hit("edge"), 1)
+        .when(hit("out"), 0)
         .otherwise(1)
     )
 
 
+def relevance(text: Column, lexicon: Lexicon) -> Column:
+    return relevance_of(lambda name: lexicon.hit(text, name))
+
+
+def with_hits(df: DataFrame, lexicon: Lexicon, industries: Lexicon) -> DataFrame:
+    """Add ``hit_<class>`` (title and text), ``title_<class>`` (title) and ``direct_industries``.
+
+    Every text is matched once, with all terms of both lexicons, into a column
+    of its own; the optimizer does not copy such a column into its many users.
+    """
+    body, title = F.lower(F.concat_ws(" ", "title", "text")), F.lower(F.coalesce("title", F.lit("")))
+    rows = df.withColumns({"body_terms": lexicon.found(body, industries), "title_terms": lexicon.found(title)})
+    hits = {f"hit_{name}": lexicon.in_found(F.col("body_terms"), name, industries) for name, _ in lexicon.classes}
+    hits |= {f"title_{name}": lexicon.in_found(F.col("title_terms"), name) for name, _ in lexicon.classes}
+    return rows.withColumns(hits | {"direct_industries": industries.found_labels(F.col("body_terms"), lexicon)}).drop("body_terms", "title_terms")
+
+
 def assess_scope(df: DataFrame, lexicon: Lexicon, industries: Lexicon) -> DataFrame:
-    """Add scope_status, scope_reason, scope_layer and scope_industries.
+    """Add scope_status, scope_reason, scope_layer and scope_industries, and the columns of ``with_hits``.
 
     Needs title, text, declared_industries, event_type, tier, role, region and
-    is_company.  Nulls count as no hit.
+    is_company.  Nulls count as no hit; a class that the lexicon lacks never hits.
     """
-    body, title = F.lower(F.concat_ws(" ", "title", "text")), F.lower(F.coalesce("title", F.lit("")))
-    direct = industries.labels(body)
+    df = with_hits(df, lexicon, industries)
+    known = set(df.columns)
+    hit = lambda name: F.col(name) if name in known else F.lit(False)
+    direct, company = F.col("direct_industries"), F.coalesce("is_company", F.lit(False))
     contracted = F.array_distinct(F.concat(direct, F.coalesce("declared_industries", F.array().cast("array<string>"))))
     kind = F.coalesce(F.col("event_type"), F.lit("other"))
-    hit = {name: lexicon.hit(body, name) for name in ("policy", "digital", "industry_change", "action", "quantified")}
-    action = hit["action"] | kind.isin(*STRONG_TYPES)
+    action = hit("hit_action") | kind.isin(*STRONG_TYPES)
     trusted = F.coalesce(F.col("role").isin("official_ir", "developer_change") | F.col("tier").isin("L1", "L4-vertical") | F.col("is_company"), F.lit(False))
-    by_source = (F.size(direct) == 0) & (F.size(contracted) > 0) & trusted & (action | hit["industry_change"] | F.coalesce("is_company", F.lit(False)))
-    found = F.when(F.size(direct) > 0, direct).when(by_source, contracted).otherwise(F.array().cast("array<string>"))
-    none = F.size(found) == 0
-    policy_title = lexicon.hit(title, "policy")
-    leg_a = (policy_title & hit["digital"]) | (kind == "regional_policy")
-    leg_b = F.coalesce(F.col("region").isNotNull() & (F.col("region") != "GLOBAL"), F.lit(False)) & lexicon.hit(title, "structural") & hit["digital"]
-    editorial = lexicon.hit(title, "editorial") & ~(policy_title | lexicon.hit(title, "action") | lexicon.hit(title, "quantified"))
-    no_change = ~(hit["policy"] | hit["industry_change"] | action)
+    by_source = (F.size(direct) == 0) & (F.size(contracted) > 0) & trusted & (action | hit("hit_industry_change") | company)
+    df = df.withColumn("scope_industries", F.when(F.size(direct) > 0, direct).when(by_source, contracted).otherwise(F.array().cast("array<string>")))
+    none = F.size("scope_industries") == 0
+    leg_a = (hit("title_policy") & hit("hit_digital")) | (kind == "regional_policy")
+    leg_b = F.coalesce(F.col("region").isNotNull() & (F.col("region") != "GLOBAL"), F.lit(False)) & hit("title_structural") & hit("hit_digital")
+    editorial = hit("title_editorial") & ~(hit("title_policy") | hit("title_action") | hit("title_quantified"))
+    no_change = ~(hit("hit_policy") | hit("hit_industry_change") | action)
     reason = (
         F.when(none & leg_a, "policy_without_industry")
         .when(none & leg_b, "structural_without_industry")
@@ -66,12 +84,15 @@ def assess_scope(df: DataFrame, lexicon: Lexicon, industries: Lexicon) -> DataFr
         F.when(none & leg_a, "regional_policy")
         .when(none & leg_b, "industry_change")
         .when(none | editorial | no_change, F.lit(None))
-        .when(hit["policy"], "regional_policy")
-        .when(hit["industry_change"] & ~F.coalesce("is_company", F.lit(False)), "industry_change")
+        .when(hit("hit_policy"), "regional_policy")
+        .when(hit("hit_industry_change") & ~company, "industry_change")
         .otherwise("company_action")
     )
-    status = F.when(none & (leg_a | leg_b), "qualified").when(none, "filtered").when(editorial | no_change, "candidate").otherwise("qualified")
-    return df.withColumns({"scope_status": status, "scope_reason": reason, "scope_layer": layer, "scope_industries": found})
+    # The reason says the status, so its chain is not walked twice.
+    df = df.withColumns({"scope_reason": reason, "scope_layer": layer})
+    because = F.col("scope_reason")
+    status = F.when(because == "no_target_industry", "filtered").when(because.isin("editorial_title", "no_explicit_change"), "candidate").otherwise("qualified")
+    return df.withColumn("scope_status", status)
 
 
 def quality_flags(summary: Column, reason: Column, impact: Column, title: Column) -> Column:

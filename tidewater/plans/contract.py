@@ -14,30 +14,25 @@ TRUSTED = ("L1", "L3", "L4-vertical")
 
 
 def contract(events: DataFrame, lexicon: Lexicon = FIXTURE, industries: Lexicon = INDUSTRIES) -> DataFrame:
-    """All contract columns; every stage only adds columns, so the plan is one scan and one projection."""
-    body = F.lower(F.concat_ws(" ", "title", "text"))
+    """All contract columns; every stage only adds columns, and each text is matched once."""
     rows = gates.assess_scope(events, lexicon, industries)
-    quantified = lexicon.hit(body, "quantified")
-    action = (
-        F.when(lexicon.hit(body, "policy"), "policy")
-        .when(lexicon.hit(body, "product"), "product")
-        .when(lexicon.hit(body, "capital"), "funding")
-        .when(F.col("event_type") == "earnings", "earnings")
-        .otherwise("other")
-    )
-    countries = F.when(F.col("region").isNotNull(), F.when(F.col("is_company"), 2).otherwise(1)).otherwise(0)
-    in_target = (F.col("scope_status") == "qualified") | (F.size("scope_industries") > 0)
-    explicit = F.col("event_type").isin("funding", "ma", "earnings", "regional_policy") | lexicon.hit(body, "industry_change") | lexicon.hit(body, "action") | quantified
+    known = set(rows.columns)
+    hit = lambda name: F.col(f"hit_{name}") if f"hit_{name}" in known else F.lit(False)
+    quantified, company = hit("quantified"), F.col("is_company")
+    action = F.when(hit("policy"), "policy").when(hit("product"), "product").when(hit("capital"), "funding").when(F.col("event_type") == "earnings", "earnings").otherwise("other")
+    countries = F.when(F.col("region").isNotNull(), F.when(company, 2).otherwise(1)).otherwise(0)
     fits = F.size("scope_industries") > 0
+    in_target = (F.col("scope_status") == "qualified") | fits
+    explicit = F.col("event_type").isin("funding", "ma", "earnings", "regional_policy") | hit("industry_change") | hit("action") | quantified
+    rows = rows.withColumns({"relevance": gates.relevance_of(hit), "amount": amount_millions(F.col("title")), "text_length": F.length("text")})
     rows = rows.withColumns(
         {
-            "relevance": gates.relevance(body, lexicon),
-            "base_score": score.base_score(amount_millions(F.col("title")), F.col("event_type"), F.col("scope_layer"), F.size("scope_industries"), F.col("tier").isin(*TRUSTED), F.col("company").isNotNull(), F.col("region")),
+            "base_score": score.base_score(F.col("amount"), F.col("event_type"), F.col("scope_layer"), F.size("scope_industries"), F.col("tier").isin(*TRUSTED), F.col("company").isNotNull(), F.col("region")),
             "change": score.change_score(in_target, explicit, quantified, action, fits, countries),
         }
     )
     base = score.authority((F.col("ord") % 12).cast("double"), F.col("tier"))
-    confidence = score.confidence(base, F.col("url").isNotNull(), F.col("source").isNotNull(), F.length("text") > 600, F.col("ord") % 60 >= 45, F.col("is_company"), quantified)
+    confidence = score.confidence(base, F.col("url").isNotNull(), F.col("source").isNotNull(), F.col("text_length") > 600, F.col("ord") % 60 >= 45, company, quantified)
     attention = score.attention(F.col("change.score"), F.col("relevance"), F.col("company").isNotNull(), F.col("scope_status"), F.col("ord") % 2 == 0, F.col("scope_status") == "filtered", F.col("score") >= 7)
     rows = rows.withColumns({"confidence": confidence, "attention": attention})
     rows = rows.withColumn("grade", score.grade(F.least("confidence", "attention")))
@@ -45,7 +40,8 @@ def contract(events: DataFrame, lexicon: Lexicon = FIXTURE, industries: Lexicon
 
 
 def relevance_funnel_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("source", gates.relevance(F.lower("text"), FIXTURE).alias("relevance"))
+    docs = table(spark, sf_dir, "documents").select("source", FIXTURE.found(F.lower("text")).alias("terms"))
+    docs = docs.select("source", gates.relevance_of(lambda name: FIXTURE.in_found(F.col("terms"), name)).alias("relevance"))
     count = lambda c: F.count_if(c)
     return docs.groupBy("source").agg(F.count("*").alias("pool"), count(F.col("relevance") == 3).alias("core"), count(F.col("relevance") >= 2).alias("mainline"), count(F.col("relevance") == 0).alias("dropped"))
 
@@ -56,11 +52,13 @@ def scope_gate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_type_multilabel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels per text; report and model suppress strategy; none is 'other'."""
-    labels = EVENT_TYPES.labels(F.lower("text"))
+    docs = table(spark, sf_dir, "documents").select("lang", EVENT_TYPES.found(F.lower("text")).alias("terms"))
+    docs = docs.select("lang", EVENT_TYPES.found_labels(F.col("terms")).alias("labels"))
+    labels = F.col("labels")
     first_class = F.arrays_overlap(labels, F.array(F.lit("report"), F.lit("model")))
     labels = F.when(first_class, F.array_remove(labels, "strategy")).otherwise(labels)
     labels = F.when(F.size(labels) == 0, F.array(F.lit("other"))).otherwise(labels)
-    return table(spark, sf_dir, "documents").select("lang", F.explode(labels).alias("event_type")).groupBy("lang", "event_type").agg(F.count("*").alias("events"))
+    return docs.select("lang", F.explode(labels).alias("event_type")).groupBy("lang", "event_type").agg(F.count("*").alias("events"))
 
 
 def domain_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
