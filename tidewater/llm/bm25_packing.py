@@ -46,6 +46,8 @@ def _latin(kind: str) -> str:
 
 
 _LETTERS, _NUMBERS = _latin("L"), _latin("N")
+#: Plain characters whose lower case is one plain character too; some capitals (such as U+018F) leave the range.
+_STEADY = "".join(f"\\u{c:04x}" for c in range(0x250) if len(chr(c).lower()) == 1 and ord(chr(c).lower()) < 0x250)
 
 
 class _Words(dict):
@@ -71,7 +73,7 @@ class Encoder:
 
     #: How the tokenizer parts plain lower-case text into words.
     WORDS = re.compile(rf"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+")
-    ODD = re.compile(r"[^\x00-\u012f\u0131-\u024f]|<\|")
+    ODD = re.compile(rf"[^{_STEADY}]|<\|")
     #: Marks a chunk that is kept whole; no word holds white space.
     WHOLE = " "
 
@@ -244,11 +246,9 @@ class Index:
         self.doc, self.weight = doc[order], weight[order]
         self.at = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=TERMS))])
 
-    def scores(self, seed: int, most: int = 32) -> np.ndarray:
-        """BM25 of every document for the seed's ``most`` most telling terms."""
-        own, counts = self.own[seed]
-        telling = own[np.argsort(-(self.idf[own] * counts), kind="stable")[:most]] if len(own) > most else own
-        spans = [slice(self.at[t], self.at[t + 1]) for t in telling.tolist()]
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of every document for all different terms of the seed."""
+        spans = [slice(self.at[t], self.at[t + 1]) for t in self.own[seed][0].tolist()]
         return np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), len(self.sizes))
 
 
@@ -273,7 +273,7 @@ def fill(index: Index, window: int, slack: int) -> list[list[tuple[int, int, int
         pieces, room, rest = [(seed, start, int(sizes[seed]) - start)], window - int(sizes[seed]) + start, None
         if room > slack and free.any():
             unused = np.flatnonzero(free)
-            ranked = unused[np.argsort(-index.scores(seed, TERMS)[unused], kind="stable")]  # unrelated documents follow in lexical order
+            ranked = unused[np.argsort(-index.scores(seed)[unused], kind="stable")]  # unrelated documents follow in lexical order
             while room > slack:
                 fits = np.flatnonzero(sizes[ranked] <= room)
                 if not len(fits):
