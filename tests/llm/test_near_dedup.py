@@ -1,10 +1,12 @@
+from collections import Counter, defaultdict
+
 import numpy as np
 import pytest
 
-from tests_support import plain_fingerprint, roots
+from tests_support import near_links, plain_fingerprint, roots
 from tidewater.llm.components import connected_components
 from tidewater.llm.flat_graph_dedup import audit_recall, embedding_components
-from tidewater.llm.simhash_tiles import drop_near_duplicates, fingerprint, simhash_components
+from tidewater.llm.simhash_tiles import drop_near_duplicates, fingerprint, near_duplicate_texts, simhash_components
 
 
 def test_components_of_random_links(spark):
@@ -50,10 +52,36 @@ def test_near_duplicates_leave_one(spark):
     base = " ".join(f"w{i}" for i in range(400))
     edited = base.replace("w200", "other").replace("w17 ", "new ")
     rows = [(1, base, 7), (2, edited, 7), (3, " ".join(f"v{i}" for i in range(300)), 7), (3, "again", 8), (4, None, 9), (5, "", 9)]
+    rows += [(None, "of no id", 1), (None, "nor this one", 1), (None, "nor this one", 1), (None, base + " end", 1), (6, "kept but once", 1), (6, "kept but once", 1)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, _nth int")
     got = drop_near_duplicates(frame)
     assert got.columns == frame.columns
-    assert sorted(r["doc_id"] for r in got.collect()) == [1, 3, 4]
+    # Unlike texts of one id, or without one, all stay.
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(1, base), (3, rows[2][1]), (3, "again"), (4, None), (None, "of no id"), (None, "nor this one"), (6, "kept but once")])
+    assert drop_near_duplicates(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [32_768, 5])
+def test_near_duplicates_match_brute_force(spark, block_rows):
+    rng = np.random.default_rng(8)
+    texts = []
+    for k in range(12):  # groups of edited copies, and texts that share one passage only
+        words = [f"w{x}" for x in rng.integers(0, 4000, 40 + 20 * k)]
+        passage = [f"p{x}" for x in range(60)]
+        for _ in range(4):
+            edit = [f"e{rng.integers(9999)}" if rng.random() < 0.04 * (k % 4) else w for w in words]
+            texts.append(" ".join(edit))
+        texts.append(" ".join(passage + words[:20]))
+    texts += ["", "A  b", "a b", "x " * 30_000, "x " * 29_000]
+    found = near_duplicate_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), block_rows=block_rows).collect()
+    want = roots(len(texts), near_links(texts))
+    place = defaultdict(set)
+    for r in found:
+        place[r["component"]].add(r["id"])
+    groups = defaultdict(set)
+    for i, root in enumerate(want):
+        groups[root].add(i)
+    assert sorted(map(sorted, place.values())) == sorted(map(sorted, groups.values()))
 
 
 def test_unrelated_short_texts_stay(spark):

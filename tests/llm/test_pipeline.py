@@ -1,13 +1,14 @@
 """The pipeline against a brute-force version: every stage is judged on its own input."""
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from itertools import combinations
 
-import numpy as np
 import pytest
 
 import corpus_pipeline
-from tests_support import check_pieces, plain_fingerprint, roots, token_ids
+from tests_support import check_pieces, near_links, plain_shingles, roots, token_ids, words_shared
+from tidewater.llm.simhash_tiles import drop_near_duplicates
 from tidewater.llm.store import written
 from tidewater.llm.toxic_lexicon import features, induce
 from tidewater.llm.sampling import remainder
@@ -53,15 +54,30 @@ def test_exact(stages):
 
 def test_near(stages):
     docs = sorted(rows(stages[2]))
-    prints = [(plain_fingerprint(t, 5, 42), plain_fingerprint(t, 5, 43)) for _, t in docs]
-    links = [(a, b) for a in range(len(docs)) for b in range(a) if sum((x ^ y).bit_count() for x, y in zip(prints[a], prints[b], strict=True)) <= 25]
+    links = near_links([t for _, t in docs])
     root = roots(len(docs), links)
     assert sorted(i for i, _ in rows(stages[3])) == [docs[k][0] for k in range(len(docs)) if root[k] == k]
-    shingles = [set(zip(*(t.lower().split()[k:] for k in range(5)))) for _, t in docs]
-    kept = {i for i, _ in rows(stages[3])}
-    for a in range(len(docs)):  # nothing unlike all others goes
-        if docs[a][0] not in kept:
-            assert max(len(shingles[a] & s) / max(1, len(shingles[a] | s)) for b, s in enumerate(shingles) if b != a) > 0.3
+    texts = [t for _, t in docs]
+    assert links and all(words_shared(texts[a], texts[b]) > 0.7 for a, b in links)  # nothing unlike is linked
+
+
+def test_near_copies_are_found(spark):
+    """Recall on planted near copies: at least 0.95 of those whose shingles have Jaccard 0.5 or more."""
+    docs = sorted(rows(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")))
+    texts = {t: i for i, t in docs}
+    kept = {i for i, _ in rows(drop_near_duplicates(spark.createDataFrame([(i, t) for t, i in texts.items()], "doc_id long, text string")))}
+    shingles = [(i, t, plain_shingles(t)) for t, i in texts.items()]
+    owners = defaultdict(list)
+    for k, (_, _, s) in enumerate(shingles):
+        for x in s:
+            owners[x].append(k)
+    common = Counter(pair for ks in owners.values() for pair in combinations(ks, 2))
+    near = [(a, b) for (a, b), n in common.items() if n / (len(shingles[a][2]) + len(shingles[b][2]) - n) >= 0.5]
+    gone = [any(shingles[k][0] not in kept for k in pair) for pair in near]
+    assert len(near) > 20 and sum(gone) >= 0.95 * len(gone)
+    for i, t, _ in shingles:  # whatever goes is like another text
+        if i not in kept:
+            assert max(words_shared(t, u) for j, u, _ in shingles if j != i) > 0.7
 
 
 def test_mix(stages):

@@ -1,16 +1,19 @@
 """SimHash near-duplicates by tiled exact comparison of fingerprints.
 
-Different fingerprints are laid out in blocks of one population count and a
-bounded number of rows.  Two blocks are compared only if their population
-counts differ by at most the radius, which no linked pair can exceed.  A task
+Different fingerprints are laid out by population count in blocks of a bounded
+number of rows.  Two blocks are compared only if their ranges of population
+counts come within the radius, which no linked pair can exceed.  A task
 compares one pair of blocks tile by tile with numpy exclusive-or and bit counts
 and returns a spanning forest of the links it saw, so a dense group costs as
 many rows as it has members.  The forests are joined by connected components.
-Links can be held to a min-hash sketch of the shingles as well, which texts
-without common shingles never pass, however their bits fall.
+
+The removal of near-duplicates takes pairs within a wide radius as candidates
+only and links those whose texts are alike by signatures of fixed size: some
+shared shingles, and 0.8 or more of the longer text's words shared.
 
 The comparison is exact and therefore quadratic in the number of different
-fingerprints within reach; its input is 16 bytes a fingerprint.
+fingerprints within reach; its input is 16 bytes a fingerprint and 196 of
+signature.
 """
 
 from __future__ import annotations
@@ -28,8 +31,10 @@ from tidewater.llm.store import written
 
 SEED = 42
 _ROWS, _COLUMNS, _PAIRS = 256, 8192, 65_536
-#: Odd multipliers, each of which puts 64-bit hashes in another order, and how many slots of a sketch two linked texts share.
-_SLOTS = np.random.default_rng(SEED).integers(0, 1 << 63, 16, np.uint64) * np.uint64(2) + np.uint64(1)
+#: Odd multipliers, each of which puts 64-bit hashes in another order: of shingles, then of words.
+_SLOTS = np.random.default_rng(SEED).integers(0, 1 << 63, 144, np.uint64) * np.uint64(2) + np.uint64(1)
+_SHINGLE_SLOTS, _WORD_SLOTS = _SLOTS[:16], _SLOTS[16:]
+#: How many shingle slots two linked texts share at least.
 _AGREE = 2
 
 
@@ -64,30 +69,79 @@ def fingerprint(text: str | None, width: int = 4, seed: int = SEED) -> int:
     return _bits(_shingles(text, width, seed))
 
 
-def sketch(hashes: np.ndarray) -> bytes:
-    """Min-hashes as 32-bit integers; two texts share each with the Jaccard similarity of their shingles.  No shingles give zeros."""
-    least = np.full(len(_SLOTS), -1 if len(hashes) else 0, np.int64).view(np.uint64)
+def _least(hashes: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """The least hash in each order; all zero without hashes."""
+    least = np.full(len(slots), -1 if len(hashes) else 0, np.int64).view(np.uint64)
     for at in range(0, len(hashes), 4096):
-        least = np.minimum(least, (hashes[at : at + 4096, None] * _SLOTS).min(axis=0))
-    return (least >> np.uint64(32)).astype("<u4").tobytes()
+        least = np.minimum(least, (hashes[at : at + 4096, None] * slots).min(axis=0))
+    return least
+
+
+class _WordHashes(dict):
+    """Word -> hash, remembered up to a bounded number of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        made = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return made
+
+
+def word_elements(hashes: np.ndarray) -> np.ndarray:
+    """One hash for each occurrence of a word: the k-th of equal words is an element of its own."""
+    x = np.sort(hashes)
+    first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+    nth = np.arange(len(x)) - np.repeat(first, np.diff(np.append(first, len(x))))
+    x = x + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(27))
+
+
+def signature(text: str | None, shingles: np.ndarray, hashes: _WordHashes) -> bytes:
+    """16 min-hashes of the shingles (32 bits each), 128 of the words (8 bits each) and the number of words."""
+    words = (text or "").encode().lower().split()
+    of_words = _least(word_elements(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))), _WORD_SLOTS)
+    size = np.array([len(words)], "<u4")
+    return (_least(shingles, _SHINGLE_SLOTS) >> np.uint64(32)).astype("<u4").tobytes() + (of_words >> np.uint64(20)).astype(np.uint8).tobytes() + size.tobytes()
+
+
+class Signatures:
+    """Signatures of the rows of a task, and which pairs of them are alike."""
+
+    def __init__(self, packed: list[bytes], similarity: float) -> None:
+        raw = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
+        self.shingles = np.ascontiguousarray(raw[:, :64]).view("<u4")
+        self.words = np.ascontiguousarray(raw[:, 64:192])
+        self.sizes = np.ascontiguousarray(raw[:, 192:]).view("<u4")[:, 0].astype(np.float64)
+        self.similarity = similarity
+
+    def alike(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs share shingles and, by estimate, ``similarity`` of the longer text's words."""
+        shared = (self.shingles[a] == self.shingles[b]).sum(axis=1) >= _AGREE
+        agree = ((self.words[a] == self.words[b]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)  # less those that agree by chance
+        both = agree / (1 + agree) * (self.sizes[a] + self.sizes[b])
+        return shared & (both >= self.similarity * np.maximum(self.sizes[a], self.sizes[b]))
 
 
-def _fingerprints(width: int, lanes: int, sketched: bool):
+def _fingerprints(width: int, lanes: int, signed: bool):
+    """Add fingerprints (and signatures) to the columns before the last, which is the text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
         for batch in batches:
-            texts = batch.column(1)
-            made, sketches = np.zeros((2, len(texts)), np.uint64), [None] * len(texts)
+            texts = batch.column(batch.num_columns - 1)
+            made, signatures = np.zeros((2, len(texts)), np.uint64), [None] * len(texts)
             for i, text in enumerate(texts):
                 text = text.as_py()
                 for k in range(lanes):
-                    hashes = _shingles(text, width, SEED + k)
-                    made[k, i] = _bits(hashes)
-                    if sketched and k == 0:
-                        sketches[i] = sketch(hashes)
-            columns = [batch.column(0), *(pa.array(m.view(np.int64)) for m in made)]
-            names = ["id", "bits", "more"]
-            if sketched:
-                columns, names = [*columns, pa.array(sketches, pa.binary())], [*names, "sketch"]
+                    shingles = _shingles(text, width, SEED + k)
+                    made[k, i] = _bits(shingles)
+                    if signed and k == 0:
+                        signatures[i] = signature(text, shingles, hashes)
+            columns = [*batch.columns[:-1], *(pa.array(m.view(np.int64)) for m in made)]
+            names = [*batch.schema.names[:-1], "bits", "more"]
+            if signed:
+                columns, names = [*columns, pa.array(signatures, pa.binary())], [*names, "signature"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -120,10 +174,10 @@ class Forest:
         return nodes, self.root[nodes]
 
 
-def link_blocks(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest, left_at: int = 0, right_at: int = 0, sketches: np.ndarray | None = None) -> None:
+def link_blocks(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest, left_at: int = 0, right_at: int = 0, signatures: Signatures | None = None) -> None:
     """Link in ``forest`` all pairs of rows (64-bit lanes as columns) that differ in at most ``radius`` bits.
 
-    With ``sketches`` of the forest's nodes as rows, a pair must also share ``_AGREE`` slots.
+    With ``signatures`` of the forest's nodes, a pair must be alike by them too.
     """
     lanes = range(left.shape[1])
     low_left, low_right = left[:, 0].astype(np.uint32), right[:, 0].astype(np.uint32)
@@ -138,86 +192,115 @@ def link_blocks(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest
             i, j = i + r, j + c
             same = np.bitwise_count(left[i] ^ right[j]).sum(axis=1, dtype=np.int64) <= radius
             a, b = i[same] + left_at, j[same] + right_at
-            while sketches is not None and len(a):
+            while signatures is not None and len(a):
                 apart = forest.root[a] != forest.root[b]  # pairs of one group need no proof
                 a, b = a[apart], b[apart]
-                proven = (sketches[a[:_PAIRS]] == sketches[b[:_PAIRS]]).sum(axis=1) >= _AGREE
+                proven = signatures.alike(a[:_PAIRS], b[:_PAIRS])
                 forest.link(a[:_PAIRS][proven], b[:_PAIRS][proven])
                 a, b = a[_PAIRS:], b[_PAIRS:]
             forest.link(a, b)
 
 
-def _compare(radius: int, lanes: int, sketched: bool):
+def _compare(radius: int, lanes: int, similarity: float | None):
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         order = np.argsort(side, kind="stable")
         bits = np.stack([table.column(c).to_numpy() for c in ("bits", "more")[:lanes]], axis=1).view(np.uint64)[order]
-        ids = table.column("head").to_numpy()[order]
-        sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u4").reshape(len(ids), -1)[order] if sketched else None
+        nodes = table.column("node").to_numpy()[order]
+        signatures = Signatures(table.column("signature").take(pa.array(order)).to_pylist(), similarity) if similarity is not None else None
         cut = int(np.searchsorted(side[order], 1))
         forest = Forest(len(bits))
         if 0 < cut < len(bits):
-            link_blocks(bits[:cut], bits[cut:], radius, forest, 0, cut, sketches)
+            link_blocks(bits[:cut], bits[cut:], radius, forest, 0, cut, signatures)
         else:  # a block with itself
-            link_blocks(bits, bits, radius, forest, sketches=sketches)
+            link_blocks(bits, bits, radius, forest, signatures=signatures)
         a, b = forest.edges()
-        return pa.table({"a": ids[a], "b": ids[b]})
+        return pa.table({"a": nodes[a], "b": nodes[b]})
 
     return run
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 4, radius: int = 4, lanes: int = 1, sketched: bool = False, block_rows: int = 32_768) -> DataFrame:
+def linked_groups(heads: DataFrame, radius: int, lanes: int, similarity: float | None = None, block_rows: int = 32_768) -> DataFrame:
+    """(node, component) of every row of ``heads`` (node, bits, more and maybe signature) that links to another.
+
+    A block holds about ``block_rows`` neighbours in order of population count
+    (and of hash inside one count), whatever the counts' sizes are.
+    """
+    carried = ["node", "bits", "more"] + ["signature"] * (similarity is not None)
+    ones = F.bit_count("bits") + F.bit_count("more")
+    heads = heads.select(*carried, ones.alias("ones"))
+    # At most 129 population counts, so the window and the broadcast are bounded.
+    before = F.coalesce(F.sum("rows").over(Window.orderBy("ones").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bands = written(heads.groupBy("ones").agg(F.count("*").alias("rows")).withColumn("before", before), "bands")
+    share = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    block = F.floor((F.col("before") + share * F.col("rows")) / block_rows)
+    blocks = heads.join(F.broadcast(bands), "ones").select(*carried, block.alias("block"))
+    spans = bands.select("ones", F.explode(F.sequence(F.floor(F.col("before") / block_rows), F.floor((F.col("before") + F.col("rows") - 1) / block_rows))).alias("block"))
+    spans = written(spans.groupBy("block").agg(F.min("ones").alias("low"), F.max("ones").alias("high")), "blocks")
+    # Blocks follow population counts, so a later block is in reach if its least count is.
+    first = spans.select("block", F.explode(F.sequence(F.col("low"), F.col("high") + radius)).alias("low"))
+    second = spans.select(F.col("block").alias("other"), "low")
+    pairs = first.join(second, "low").filter("other >= block").select("block", "other")
+    sides = pairs.select("block", "other", F.lit(0).alias("side"), F.col("block").alias("of")).unionByName(
+        pairs.filter("other > block").select("block", "other", F.lit(1).alias("side"), F.col("other").alias("of"))
+    )
+    dealt = blocks.withColumnRenamed("block", "of").join(sides, "of").drop("of")
+    links = dealt.groupBy("block", "other").applyInArrow(_compare(radius, lanes, similarity), "a long, b long")
+    return connected_components(links, "a", "b")
+
+
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 4, radius: int = 4, block_rows: int = 32_768) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits) and component_id.
 
     component_id is the least id reachable over links of at most ``radius``
     differing bits.  Null and empty texts, and texts without words, have
     fingerprint zero and link like any other; repeated rows keep their own row
     in the component of their id; null ids get the component of their
-    fingerprint; an empty table gives an empty result.  ``block_rows`` bounds
-    the fingerprints of one block; it does not change the result.  With two
-    ``lanes`` a second seed doubles the fingerprint to 128 bits, and the radius
-    counts both; the column shows the first lane.  If ``sketched``, links must
-    also share shingles by their sketches, and equal fingerprints link no otherwise.
+    fingerprint; an empty table gives an empty result.  ``block_rows`` is about
+    the number of fingerprints of one block; it does not change the result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("content"))
-    key = ["bits", "more", "sketch"] if sketched else ["bits", "more"]
-    schema = "id long, bits long, more long" + ", sketch binary" * sketched
-    prints = written(rows.mapInArrow(_fingerprints(width, lanes, sketched), schema), "fingerprints")
-    heads = prints.groupBy(*key).agg(F.min("id").alias("head")).filter("head is not null").withColumn("ones", F.bit_count("bits") + F.bit_count("more"))
-    heads = written(heads, "heads")
-
-    # At most 129 population counts, so this table is bounded.
-    bands = heads.groupBy("ones").agg(F.ceil(F.count("*") / block_rows).alias("chunks"))
-    blocks = heads.join(F.broadcast(bands), "ones").withColumn("chunk", F.pmod(F.xxhash64(*key), F.col("chunks")))
-    spread = bands.select(F.col("ones").alias("ones_b"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk_b"))
-    own = bands.select("ones", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-    first, second = F.struct("ones", "chunk"), F.struct("ones_b", "chunk_b")
-    reach = own.withColumn("ones_b", F.explode(F.sequence(F.col("ones"), F.col("ones") + radius)))
-    pairs = reach.join(spread, "ones_b").filter(first <= second)
-    pairs = pairs.select("ones", "chunk", "ones_b", "chunk_b", F.xxhash64("ones", "chunk", "ones_b", "chunk_b").alias("pair"))
-    sides = pairs.select("pair", "ones", "chunk", F.lit(0).alias("side")).unionByName(
-        pairs.filter(first != second).select("pair", F.col("ones_b").alias("ones"), F.col("chunk_b").alias("chunk"), F.lit(1).alias("side"))
-    )
-    dealt = blocks.join(sides, ["ones", "chunk"]).select("pair", "side", *key, "head")
-    links = dealt.groupBy("pair").applyInArrow(_compare(radius, lanes, sketched), "a long, b long")
-    groups = connected_components(links, "a", "b")
-
-    named = heads.join(groups, F.col("head") == F.col("node"), "left").select(*key, F.coalesce("component", "head").alias("component_id"))
-    out = prints.join(named, key, "left")
+    prints = written(rows.mapInArrow(_fingerprints(width, 1, False), "id long, bits long, more long"), "fingerprints")
+    heads = written(prints.groupBy("bits", "more").agg(F.min("id").alias("node")).filter("node is not null"), "heads")
+    groups = linked_groups(heads, radius, 1, block_rows=block_rows)
+    named = heads.join(groups, "node", "left").select("bits", F.coalesce("component", "node").alias("component_id"))
+    out = prints.join(named, "bits", "left")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def near_duplicate_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 5, similarity: float = 0.8, radius: int = 42, block_rows: int = 32_768) -> DataFrame:
+    """(id, sha, component): one row per input row; equal components are near-duplicates of each other.
+
+    Two different texts link if at most ``radius`` of the 128 bits of their
+    fingerprints over shingles of ``width`` words differ (two thirds agree), if they
+    share shingles (2 of 16 min-hashes), and if both have at least ``similarity`` of
+    the longer one's words, by 128 min-hashes of the words with their repeats.
+    The fingerprints find candidates; alone they would also link unrelated
+    texts, short ones above all, and texts with one long passage in common.
+    Texts without words link with each other only.
+    """
+    content = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.sha2(content, 256).alias("sha"), content.alias("content"))
+    prints = written(rows.mapInArrow(_fingerprints(width, 2, True), "id long, sha string, bits long, more long, signature binary"), "fingerprints")
+    texts = prints.groupBy("sha").agg(*(F.first(c).alias(c) for c in ("bits", "more", "signature")))  # equal for equal texts
+    texts = written(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
+    groups = linked_groups(texts, radius, 2, similarity, block_rows)
+    named = texts.select("sha", "node").join(groups, "node", "left").select("sha", F.coalesce("component", "node").alias("component"))
+    return prints.select("id", "sha").join(named, "sha")
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with its least id.
+    """The rows of ``docs`` that stay, with all their columns: of each group of near-duplicates the one with its least id.
 
-    Documents link if at least ``similarity`` of the 128 bits of two fingerprints
-    agree and their sketches share shingles: the bits of short texts fall so
-    unevenly that unrelated ones agree by chance, and at corpus size long ones do.
-    All columns are kept; repeated rows with that id leave one row.
+    Rows are matched by id and text, so unlike texts of one id, or without an
+    id, stay apart.  A null id stays only where its group has no other; of equal ids the lesser
+    digest stays, and repeated rows with equal id and text leave one row.  An empty table gives an empty result.
     """
-    found = simhash_components(docs, id_col, text_col, width=width, radius=int(128 * (1 - similarity) + 1e-9), lanes=2, sketched=True)
-    keep = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.struct(F.col(id_col).alias("id")).alias("key")).distinct()
+    found = near_duplicate_texts(docs, id_col, text_col, width=width, similarity=similarity)
+    least = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "sha")).alias("first")
+    keep = found.groupBy("component").agg(least).select(F.struct("first.id", "first.sha").alias("key"))
+    digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
     # Rows travel as one struct, so that no name of theirs can clash.
-    rows = docs.select(F.struct(F.col(id_col).cast("long").alias("id")).alias("key"), F.xxhash64(text_col).alias("order"), F.struct("*").alias("row"))
-    nth = F.row_number().over(Window.partitionBy("key").orderBy("order"))
+    rows = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), digest.alias("sha")).alias("key"), F.struct("*").alias("row"))
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("key"))
     return rows.join(keep, "key", "left_semi").withColumn("nth", nth).filter("nth = 1").select("row.*")
