@@ -15,7 +15,7 @@ import math
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -193,16 +193,26 @@ def fit_lexicon(sample: DataFrame) -> Lexicon:
     return Lexicon({r["item"]: r["weight"] for r in rows if r["kind"] == "term"}, {r["item"] for r in rows if r["kind"] == "exception"}, tuple(curve[i] for i in range(3)) if curve else Lexicon({}).curve)
 
 
+def _scorer(lexicon: Lexicon) -> Callable[[pa.Array], np.ndarray]:
+    """Scores of texts; builds the automaton once, so a task makes one."""
+    automaton = lexicon.automaton() if lexicon.weights else None
+    a, b, c = lexicon.curve
+
+    def scores(texts: pa.Array) -> np.ndarray:
+        found = np.zeros(len(texts))
+        for i, text in enumerate(texts):
+            x, y = features(automaton, lexicon.exceptions, text.as_py() or "") if automaton else (0.0, 0.0)
+            found[i] = 1 / (1 + math.exp(-min(30.0, max(-30.0, a + b * x + c * y))))
+        return found
+
+    return scores
+
+
 def _score(lexicon: Lexicon):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = lexicon.automaton() if lexicon.weights else None
-        a, b, c = lexicon.curve
+        scores = _scorer(lexicon)
         for batch in batches:
-            scores = []
-            for text in batch.column(1):
-                x, y = features(automaton, lexicon.exceptions, text.as_py() or "") if automaton else (0.0, 0.0)
-                scores.append(1 / (1 + math.exp(-min(30.0, max(-30.0, a + b * x + c * y)))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(batch.column(1)))], names=["id", "score"])
 
     return run
 
@@ -230,13 +240,11 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     Rows are scored in place, so repeated ids need no join.
     """
     lexicon = fit_lexicon(labelled_sample(docs, labels.filter(remainder(id_col, 5) != 0), id_col, text_col, "toxic", 6000))
-    score = _score(lexicon)
     at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = _scorer(lexicon)
         for batch in batches:
-            text = batch.column(at)
-            scored = next(score(iter([pa.RecordBatch.from_arrays([text, text], names=["id", "content"])])))
-            yield batch.filter(pa.array(scored.column(1).to_numpy() < threshold))
+            yield batch.filter(pa.array(scores(batch.column(at)) < threshold))
 
     return docs.mapInArrow(keep, docs.schema)
