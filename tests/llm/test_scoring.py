@@ -10,7 +10,7 @@ from tidewater.llm.fm_quality import BUCKETS, Model, _Buckets, row_features, sco
 from tidewater.llm.sampling import hash_limit, labelled_sample
 from tidewater.llm.toxic_lexicon import Lexicon, drop_toxic, features, fold, induce, score_toxicity
 
-AWKWARD = [(90_001, None), (90_002, ""), (90_003, " \n\t"), (90_004, "12 34 !!"), (90_005, "word " * 60_000), (90_006, "twin"), (90_006, "twin"), (None, "no id")]
+AWKWARD = [(90_001, None), (90_002, ""), (90_003, " \n\t"), (90_004, "12 34 !!"), (90_007, "½ ² ①"), (90_005, "word " * 60_000), (90_006, "twin"), (90_006, "twin"), (None, "no id")]
 
 
 @pytest.fixture(scope="module")
@@ -133,6 +133,23 @@ def test_costs_match_plain_parsing():
         assert np.allclose(model.costs([text])[0], [plain(text, texts[k]) for k in model.names])
 
 
+def test_shares_and_symbols():
+    assert langid.equal_shares(["aaaa", "b", "cccccc"], 7) == "aaa b ccc"
+    assert langid.equal_shares(["aa", "b"], 100) == "aa b"
+    assert langid.equal_shares([], 5) == ""
+    # Every script keeps its letters, however many there are.
+    scripts = {k: "".join(map(chr, range(at, at + 200))) for k, at in (("zh", 0x4E00), ("ar", 0x620), ("ka", 0x10D0), ("en", 0x61))}
+    model = langid.learn(scripts)
+    assert all((model.symbol[list(t.lower().encode())] > 0).all() for t in scripts.values())
+    with pytest.raises(ValueError, match="lower sample_chars"):
+        langid.merged({"a": langid.trained("some text")}, table_bytes=10)
+
+
+@pytest.mark.parametrize(("text", "want"), [("½ ² ① Ⅷ", False), ("½ x", True), ("日", True), ("", False), ("12_", False)])
+def test_letters(text, want):
+    assert langid.has_letter(text) is want
+
+
 def test_identify_language(spark, big):
     docs = with_awkward(spark, spark.read.parquet(f"{big}/documents.parquet"))
     rows = identify_language(docs).collect()
@@ -141,7 +158,7 @@ def test_identify_language(spark, big):
     held = [r for r in rows if r["held_out"] and truth[r["doc_id"]]]
     assert np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in held]) >= 0.95
     by_id = {r["doc_id"]: r for r in rows}
-    assert all(by_id[i]["lang_pred"] == "und" and by_id[i]["score"] == 0 for i in (90_001, 90_002, 90_003, 90_004))
+    assert all(by_id[i]["lang_pred"] == "und" and by_id[i]["score"] == 0 for i in (90_001, 90_002, 90_003, 90_004, 90_007))
     assert all(by_id[i]["lang_pred"] in {"en", "fr", "de", "es"} for i in (90_005, 90_006))
     assert all(r["held_out"] == (crc(r["doc_id"], 5) == 0) and 0 <= r["score"] <= 1 for r in rows)
     none = identify_language(docs.withColumn("lang", docs["lang"].substr(1, 0)).filter("lang is null"))

@@ -21,8 +21,15 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.sampling import remainder
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and some signs such as fractions that the class takes for them.
+_LIKE_LETTER = re.compile(r"[^\W\d_]")
 _SPACE = 1
+#: ASCII letters (of lower-case text) and all bytes of other characters have symbols of their own.
+_LETTER_BYTES = np.array([b for b in range(256) if b >= 128 or chr(b).islower()])
+
+
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in _LIKE_LETTER.finditer(text))
 
 
 def suffix_automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
@@ -110,26 +117,62 @@ def squeeze(codes: np.ndarray) -> np.ndarray:
     return codes[~(blank & np.concatenate([[False], blank[:-1]]))]
 
 
-def learn(texts: dict[str, str], symbols: int = 64) -> Languages:
-    """Build the automata; the commonest bytes of the labelled texts get symbols of their own."""
-    names = sorted(texts)
-    raw = {k: np.frombuffer(texts[k].lower().encode(), np.uint8) for k in names}
-    counts = sum((np.bincount(v, minlength=256) / max(1, len(v)) for v in raw.values()), np.zeros(256))
-    letters = [b for b in np.argsort(-counts, kind="stable").tolist() if counts[b] > 0 and (b >= 128 or chr(b).isalpha())][: symbols - 2]
+def equal_shares(texts: list[str], most: int) -> str:
+    """The beginnings of the texts, each up to one length, that together have ``most`` characters or are all there is."""
+    if not texts:
+        return ""
+    sizes = np.sort([len(t) for t in texts])
+    before = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    fits = before + sizes * np.arange(len(sizes), 0, -1) <= most
+    cap = sizes[-1] if fits.all() else (most - before[~fits][0]) // (len(sizes) - fits.sum())
+    return " ".join(t[:cap] for t in texts)
+
+
+def trained(text: str) -> tuple[bytes, np.ndarray]:
+    """(letter bytes in use, automaton over them) of one language; symbols 0 and 1 are unknown and space."""
+    raw = np.frombuffer(text.lower().encode(), np.uint8)
+    letters = np.intersect1d(raw, _LETTER_BYTES)
+    symbol = np.full(256, _SPACE, np.int64)
+    symbol[letters] = np.arange(2, 2 + len(letters))
+    return letters.astype(np.uint8).tobytes(), suffix_automaton(squeeze(symbol[raw]), 2 + len(letters))
+
+
+def merged(parts: dict[str, tuple[bytes, np.ndarray]], table_bytes: int = 1 << 30) -> Languages:
+    """One table of all languages over all their letter bytes; beyond ``table_bytes`` it is an error."""
+    names = sorted(parts)
+    letters = sorted(set(b"".join(parts[k][0] for k in names)))
     symbol = np.zeros(256, dtype=np.int32)  # 0: a letter byte that no labelled text has
-    symbol[[b for b in range(128) if not chr(b).isalpha()]] = _SPACE
+    symbol[np.setdiff1d(np.arange(256), _LETTER_BYTES)] = _SPACE
     symbol[letters] = np.arange(2, 2 + len(letters))
     width = 2 + len(letters)
-    tables, roots, base = [], [], 1  # state 0 is left out, so that every state has a sign
+    size = 4 * width * (1 + sum(len(step) for _, step in parts.values()))
+    if size > table_bytes:
+        raise ValueError(f"the automata need {size} bytes, more than {table_bytes}; lower sample_chars")
+    tables, roots, base = [np.zeros((1, width), np.int32)], [], 1  # state 0 is left out, so that every state has a sign
     for name in names:
-        step = suffix_automaton(squeeze(symbol[raw[name]]), width)
-        step[:, 0] = -1
-        first = np.where(step[0] >= 0, step[0], 0)
-        tables.append(np.where(step >= 0, step + base, -(first[None, :] + base)))
+        own, step = parts[name]
+        wide = np.full((len(step), width), -1, np.int64)
+        wide[:, [0, _SPACE, *symbol[list(own)]]] = step
+        wide[:, 0] = -1
+        first = np.where(wide[0] >= 0, wide[0], 0)
+        tables.append(np.where(wide >= 0, wide + base, -(first[None, :] + base)).astype(np.int32))
         roots.append(base)
         base += len(step)
-    table = np.concatenate([np.zeros((1, width), np.int64), *tables]) if tables else np.zeros((1, width))
-    return Languages(names, symbol, table.astype(np.int32), np.array(roots, dtype=np.int64))
+    return Languages(names, symbol, np.concatenate(tables), np.array(roots, dtype=np.int64))
+
+
+def learn(texts: dict[str, str]) -> Languages:
+    return merged({k: trained(v) for k, v in texts.items()})
+
+
+def _train(most: int):
+    def run(table: pa.Table) -> pa.Table:
+        """The automaton of one language from its sample."""
+        table = table.sort_by("id")
+        letters, step = trained(equal_shares(table.column("text").to_pylist(), most))
+        return pa.table({"lang": [table.column("lang")[0].as_py()], "letters": pa.array([letters], pa.binary()), "step": pa.array([step.astype("<i4").tobytes()], pa.binary())})
+
+    return run
 
 
 def _label(model: Languages):
@@ -140,7 +183,7 @@ def _label(model: Languages):
                 texts = [t.as_py() or "" for t in batch.column(1).slice(at, 512)]
                 costs = model.costs(texts)
                 for text, cost in zip(texts, costs, strict=True):
-                    if not model.names or not _LETTER.search(text):
+                    if not model.names or not has_letter(text):
                         guesses.append("und")
                         scores.append(0.0)
                         continue
@@ -154,31 +197,32 @@ def _label(model: Languages):
 
 
 def identify_language(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, folds: int = 5, sample_docs: int = 60, sample_chars: int = 20_000, max_languages: int = 200
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, folds: int = 5, sample_docs: int = 60, sample_chars: int = 20_000, max_languages: int = 200, table_bytes: int = 1 << 30
 ) -> DataFrame:
     """One row per input row: id, held_out, lang_pred, score.
 
-    Each language is learned from the first ``sample_chars`` characters of up to
-    ``sample_docs`` of its rows with crc32(id) mod ``folds`` other than 0, taken in
-    hash order of the id; more than ``max_languages`` languages are an error.  Whole texts are
-    parsed.  Null texts, empty texts and texts without a letter give ``und`` with
-    score 0, as does a table without labelled rows; the score is the relative
-    lead over the second language (ties: 0, and the first name wins).  Repeated
-    rows are labelled alike; an empty table gives an empty result.
+    Each language is learned from up to ``sample_docs`` of its rows with
+    crc32(id) mod ``folds`` other than 0, taken in hash order of the id, which
+    share ``sample_chars`` characters: every one gives its beginning up to the one
+    length at which they are used up.  More than ``max_languages`` languages, or
+    automata beyond ``table_bytes``, are an error; all letter bytes of the samples
+    have symbols.  Whole texts are parsed.  Null texts, empty texts and texts
+    without a letter give ``und`` with score 0, as does a table without labelled
+    rows; the score is the relative lead over the second language (ties: 0, and
+    the first name wins).  Repeated rows are labelled alike (one of them is
+    learned from); an empty table gives an empty result.
     """
     train = docs.filter((remainder(id_col, folds) != 0) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     order = Window.partitionBy("lang").orderBy("order", "id")
     ids = train.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("long")).alias("order"))
     chosen = ids.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample_docs).select("id", "lang").distinct()
-    texts = train.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    share = -(-4 * sample_chars // sample_docs)
-    sample = texts.join(F.broadcast(chosen), "id").select("lang", "id", F.substring("text", 1, share).alias("text")).orderBy("lang", "id").collect()
-    by_language: dict[str, list[str]] = {}
-    for r in sample:
-        by_language.setdefault(r["lang"], []).append(r["text"])
-    if len(by_language) > max_languages:
-        raise ValueError(f"{len(by_language)} languages; at most {max_languages} are learned at once")
-    model = learn({k: " ".join(v)[:sample_chars] for k, v in by_language.items()})
+    texts = train.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.substring(F.col(text_col).cast("string"), 1, sample_chars).alias("text"))
+    sample = texts.join(F.broadcast(chosen), ["id", "lang"]).groupBy("lang", "id").agg(F.min("text").alias("text"))
+    # One row per language, each bounded by sample_chars; one more than is allowed shows the excess.
+    fitted = sample.groupBy("lang").applyInArrow(_train(sample_chars), "lang string, letters binary, step binary").limit(max_languages + 1).collect()
+    if len(fitted) > max_languages:
+        raise ValueError(f"more than {max_languages} languages are not learned at once")
+    model = merged({r["lang"]: (bytes(r["letters"]), np.frombuffer(r["step"], "<i4").reshape(-1, 2 + len(r["letters"]))) for r in fitted}, table_bytes)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("content"))
     labelled = rows.mapInArrow(_label(model), "id long, lang_pred string, score double")
     return labelled.select(F.col("id").alias(id_col), (remainder("id", folds) == 0).alias("held_out"), "lang_pred", "score")
