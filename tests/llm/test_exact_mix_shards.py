@@ -10,7 +10,7 @@ import pytest
 from tidewater.llm.byte_shards import byte_shards
 from tidewater.llm.curriculum_mix import draw_mixture, mix_sources
 from tidewater.llm.exact_dedup import drop_exact_duplicates, exact_dedup, grow_directory
-from tidewater.llm.warc_fixity import VOLUME, fixity_audit, replica_digests, volume_files, warc_layout
+from tidewater.llm.warc_fixity import VOLUME, fixity_audit, replica_digests, replica_store, warc_layout
 
 ROWS = [(1, "a", "s1"), (2, "a", "s1"), (3, None, None), (4, "", "s2"), (5, "A", "s1"), (6, "x " * 40_000, "s2"), (6, "x " * 40_000, "s2"), (7, " a", None), (7, "b", "s3"), (None, "b", "s3"), (None, "only", "s1"), (9, "é" * 50, "s1")]
 SCHEMA = "doc_id long, text string, source string, key int, size string, row long"
@@ -140,20 +140,26 @@ def test_fixity(spark):
     pages = spark.createDataFrame([(*r, 1, "x") for r in rows], "page_id long, url string, html string, slot int, record string")
     layout = warc_layout(pages, rows_per_part=700)
     assert layout.count() == len(rows)
-    volumes = volume_files(pages, layout)
-    clean = fixity_audit(layout, replica_digests(volumes, layout))
+    store = replica_store(pages, one_in=1 << 40)
+    clean = fixity_audit(layout, replica_digests(store, layout))
     assert clean.filter("not intact or root <> replica_root").count() == 0
-    files = {r["volume"]: bytearray(r["content"]) for r in volumes.collect()}
+    content = {(r["id"], r["name"]): bytes(r["content"]) for r in store.collect()}
     places = {(r["volume"], r["slot"]): r for r in layout.collect()}
-    for at, record in files.items():
-        spans = sorted((r["offset"], r["length"]) for (v, _), r in places.items() if v == at)
-        assert sum(n for _, n in spans) == len(record)
-        assert all(bytes(record[o : o + 8]) == b"WARC/1.1" for o, _ in spans)
-    hurt = [(0, 5), (0, 4000), (1, 17)]
-    for place in hurt:
-        files[place[0]][places[place]["offset"] + 30] ^= 1
-    damaged = spark.createDataFrame([(v, bytes(b)) for v, b in files.items()], "volume long, content binary")
-    replica = replica_digests(damaged, layout).filter("not (volume = 1 and slot = 200)")
+    at = 0
+    for (volume, slot), r in sorted(places.items()):  # records lie one behind the other in their volume
+        at = at if slot else 0
+        assert (r["offset"], r["length"]) == (at, len(content[r["id"], r["sha256"]])) and content[r["id"], r["sha256"]].startswith(b"WARC/1.1")
+        at += r["length"]
+    hurt, lost = [(0, 5), (0, 4000), (1, 17)], (1, 200)
+    wrong = {places[p]["id"]: i for i, p in enumerate(hurt)}
+    flipped = [(r["id"], r["name"], bytes(b ^ (k == 30) for k, b in enumerate(r["content"])) if r["id"] in wrong else bytes(r["content"])) for r in store.collect() if r["id"] != places[lost]["id"]]
+    replica = replica_digests(spark.createDataFrame(flipped, "id long, name string, content binary"), layout)
     audit = fixity_audit(layout, replica).filter("not intact").select("volume", "slot").collect()
-    assert sorted(map(tuple, audit)) == sorted([*hurt, (1, 200)])
+    assert sorted(map(tuple, audit)) == sorted([*hurt, lost])
     assert fixity_audit(layout.limit(0), replica).count() == 0
+    # One of two equal records is hurt: one of their places is found.
+    once = [(r["id"], r["name"], bytes(r["content"])) for r in store.filter("id is not null").collect()]
+    twice = next(k for k, r in enumerate(once) if r[0] == 7 and sum(x[:2] == r[:2] for x in once) == 2)
+    once[twice] = (*once[twice][:2], b"hurt")
+    audit = fixity_audit(layout, replica_digests(spark.createDataFrame(once, "id long, name string, content binary"), layout)).filter("not intact")
+    assert sorted((r["id"] is None, r["id"]) for r in audit.collect()) == [(False, 7), (True, None)]

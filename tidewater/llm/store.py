@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from tidewater.sources.scratch import new_folder
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of what was written."""
+def written(df: DataFrame, name: str, compression: str = "snappy", by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and return a scan of what was written; ``by`` gives each value of a column its folder."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.option("compression", compression).parquet(path)
+    writer = df.write.option("compression", compression)
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

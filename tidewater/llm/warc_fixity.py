@@ -3,9 +3,10 @@
 Pages become WARC records, ordered by id and laid out in volumes of a bounded
 number of records; a running sum of record lengths gives each its byte offset.
 A leaf is the SHA-256 of a record, a node the SHA-256 of its children's hex
-digests in offset order.  Two replicas are compared at their volume roots;
-below a root only the children of mismatching nodes are looked at, until the
-damaged records are left.
+digests in offset order.  A replica is audited by hashing every record of its
+stored bytes.  Two replicas are compared at their volume roots; below a root
+only the children of mismatching nodes are looked at, until the damaged records
+are left.
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ def merkle_tree(leaves: DataFrame) -> DataFrame:
         digest = F.sha2(F.concat(F.col("start").cast("string"), F.lit("-"), F.col("stop").cast("string"), F.lit(":"), F.array_join("children.digest", "")), 256)
         level = grouped.select("volume", F.col("parent").alias("node"), "start", "stop", digest.alias("digest"))
         tree = tree.unionByName(level.withColumn("level", F.lit(k)))
-    return written(tree, "merkle-tree")
+    return written(tree, "merkle-tree", by="level")
 
 
 def mismatches(first: DataFrame, second: DataFrame) -> DataFrame:
@@ -112,31 +113,28 @@ def fixity_audit(layout: DataFrame, replica: DataFrame) -> DataFrame:
     return rows.select("id", "volume", "slot", "offset", "length", "sha256", "root", "replica_root", F.col("bad").isNull().alias("intact"))
 
 
-def aged_replica(pages: DataFrame, layout: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", *, one_in: int = 97) -> DataFrame:
-    """The layout as a second store would hold it in which one record in ``one_in`` lost its last byte to another.
+def replica_store(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", *, one_in: int = 97) -> DataFrame:
+    """(id, name, content): the records of a second store, written as bytes under the digest that they had on arrival.
 
-    The damage falls on the ids that leave ``one_in // 2`` when divided by
-    ``one_in``; it stands in for a second store, which the tables do not have.
+    One record in ``one_in`` has lost its last character to another since: those
+    with ids that leave ``one_in // 2`` when divided by ``one_in``.  This stands in for a
+    second store, which the tables do not have.
     """
-    record = warc_record(F.col(id_col), F.col(url_col), F.col(body_col))
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), record.alias("record"))
-    hurt = rows.filter(F.col("id") % one_in == one_in // 2)
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), warc_record(F.col(id_col), F.col(url_col), F.col(body_col)).alias("record"))
     damaged = F.concat(F.expr("left(record, length(record) - 1)"), F.lit("x"))
-    digests = hurt.select(F.col("id").alias("hurt"), F.sha2("record", 256).alias("was"), F.sha2(damaged, 256).alias("now")).distinct()
-    joined = layout.join(digests, (F.col("id") == F.col("hurt")) & (F.col("sha256") == F.col("was")), "left")
-    return joined.select("volume", "slot", "offset", "length", F.coalesce("now", "sha256").alias("sha256"))
+    kept = F.when(F.col("id") % one_in == one_in // 2, damaged).otherwise(F.col("record"))
+    return written(rows.select("id", F.sha2("record", 256).alias("name"), kept.cast("binary").alias("content")), "replica", compression="zstd")
 
 
-def volume_files(pages: DataFrame, layout: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> DataFrame:
-    """(volume, content): the bytes of each WARC volume, at most ``VOLUME`` records in offset order."""
-    record = warc_record(F.col(id_col), F.col(url_col), F.col(body_col))
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), record.alias("record")).withColumn("was", F.sha2("record", 256)).distinct()
-    joined = layout.join(rows, layout["id"].eqNullSafe(rows["id"]) & (layout["sha256"] == rows["was"]))
-    ordered = F.sort_array(F.collect_list(F.struct("slot", "record")))
-    return joined.groupBy("volume").agg(F.array_join(ordered["record"], "").cast("binary").alias("content"))
+def replica_digests(store: DataFrame, layout: DataFrame) -> DataFrame:
+    """(volume, slot, offset, length, sha256) of the replica's records, hashed from their bytes.
 
-
-def replica_digests(volumes: DataFrame, layout: DataFrame) -> DataFrame:
-    """The layout with the digests of what lies at its offsets in the volumes' bytes."""
-    part = F.expr("substring(content, cast(offset + 1 as int), cast(length as int))")
-    return layout.join(volumes, "volume").select("volume", "slot", "offset", "length", F.sha2(part, 256).alias("sha256"))
+    Records are found by id and name, several of one id and name in the order of
+    their slots; records that the store lacks have no row.  Only digests are joined.
+    """
+    key = F.struct("id", "name").alias("key")
+    hashed = store.select(key, F.sha2("content", 256).alias("now"), F.octet_length("content").cast("long").alias("length"))
+    hashed = hashed.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("now")))
+    places = layout.select(F.struct("id", F.col("sha256").alias("name")).alias("key"), "volume", "slot", "offset")
+    places = places.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("volume", "slot")))
+    return places.join(hashed, ["key", "nth"]).select("volume", "slot", "offset", "length", F.col("now").alias("sha256"))
