@@ -147,6 +147,13 @@ def test_embedding_links_are_all_found_across_cells(spark, dim):
         assert got == {i: (int(n), ids[w]) for i, n, w in zip(ids, linked.sum(axis=1), want, strict=True)}
 
 
+def test_embeddings_one_row_out_per_row_in(spark):
+    rows = [(5, [1.0, 0.0], 1), (5, None, 1), (None, [1.0, 0.0], 1), (None, None, None), (6, [1.0, 0.01], 1), (7, [1.0, 0.0], 2), (8, [0.0], 1), (8, [0.0, 2.0], 1)]
+    got = embedding_components(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    want = [(5, 1, 5), (5, 0, 5), (None, 0, None), (None, 0, None), (6, 1, 5), (7, 0, 7), (8, 0, 8), (8, 0, 8)]
+    assert Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == Counter(want)
+
+
 def test_embeddings_empty_table(spark):
     assert embedding_components(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 

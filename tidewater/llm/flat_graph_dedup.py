@@ -120,12 +120,21 @@ def _compare(least: float):
     return run
 
 
-def comparable(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """(id, label, dim, vec) of the rows that may link: label not null, vector finite and not zero."""
+def prepared(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
+    """(id, label, dim, vec) of all rows; label, dim and vec are null unless the row may link.
+
+    It may if it has an id and a label, and its vector is finite and not zero.
+    """
     vec = F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), vec.alias("vec"))
     usable = F.forall("vec", lambda v: v.isNotNull() & (F.abs(v) < float("inf"))) & F.exists("vec", lambda v: v != 0)
-    return rows.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & usable).withColumn("dim", F.size("vec"))
+    may = F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & usable, F.lit(False))
+    return rows.select("id", *(F.when(may, c).alias(name) for name, c in (("label", F.col("label")), ("dim", F.size("vec")), ("vec", F.col("vec")))))
+
+
+def comparable(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
+    """(id, label, dim, vec) of the rows that may link."""
+    return prepared(vectors, id_col, vector_col, label_col).filter("vec is not null")
 
 
 def embedding_components(
@@ -145,20 +154,25 @@ def embedding_components(
     Null, empty and zero vectors, vectors with null or non-finite components,
     null labels and null ids link with nothing (their component is their own
     id); vectors of different length do not link.  Repeated rows are vectors of
-    their own: they count as links of each other and share ``kept``.  An empty
-    table gives an empty result.
+    their own: they count as links of each other and share ``kept``; rows of one
+    id are told apart by label and vector.  An empty table gives an empty result.
 
     ``sample_rows`` per label fit at most ``max_centroids`` centroids (which are
     broadcast), about one for ``shard_rows`` vectors; a task compares at most some
     ten times ``shard_rows`` vectors.  None of these changes the result.
     """
-    usable = comparable(vectors, id_col, vector_col, label_col)
+    everything = prepared(vectors, id_col, vector_col, label_col)
+    usable = everything.filter("vec is not null")
     heads = written(usable.groupBy(*_SPACE, "vec").agg(F.min("id").alias("head"), F.count("*").alias("copies")), "vectors")
 
     total = heads.count()
     per_shard = max(shard_rows, -(-total // max_centroids))
-    sizes = heads.groupBy(*_SPACE).agg(F.ceil(F.count("*") / per_shard).cast("int").alias("shards")).filter("shards > 1")
-    ranked = heads.join(sizes, _SPACE).withColumn("nth", F.row_number().over(Window.partitionBy(*_SPACE).orderBy(F.xxhash64("head"), "head")))
+    sizes = heads.groupBy(*_SPACE).agg(F.ceil(F.count("*") / per_shard).cast("int").alias("shards"), F.count("*").alias("size")).filter("shards > 1")
+    # Only hashes low enough to be among the sample are ranked, so the ranking task does not grow with its label.
+    most = 2.0 * sample_rows + 1000
+    limit = F.when(F.col("size") <= most, F.lit((1 << 63) - 1)).otherwise((F.lit(most) / F.col("size") * 2.0**64 - 2.0**63).cast("long"))
+    low = heads.withColumn("hash", F.xxhash64("head")).join(sizes, _SPACE).filter(F.col("hash") <= limit)
+    ranked = low.withColumn("nth", F.row_number().over(Window.partitionBy(*_SPACE).orderBy("hash", "head")))
     fitted = ranked.filter(F.col("nth") <= sample_rows).groupBy(*_SPACE).applyInArrow(_centroids(least), "label string, dim int, centre array<double>")
     centres: dict = {}
     for r in fitted.collect():  # at most max_centroids + one per label with several shards
@@ -181,10 +195,7 @@ def embedding_components(
     links = searched.groupBy("head").agg(F.sum("links").alias("links"))
     of_head = heads.join(links, "head", "left").join(groups, F.col("head") == F.col("node"), "left")
     of_head = of_head.select(*_SPACE, "vec", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "head").alias("component_id"))
-    linked = usable.join(of_head, [*_SPACE, "vec"]).select("id", "n_links", "component_id")
-    everything = vectors.select(F.col(id_col).cast("long").alias("id"))
-    rest = everything.join(linked.select("id").distinct(), "id", "left_anti").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    out = linked.unionByName(rest)
+    out = everything.join(of_head, [*_SPACE, "vec"], "left").select("id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
