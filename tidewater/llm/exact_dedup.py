@@ -1,7 +1,7 @@
 """Exact deduplication over an extendible-hash index on shared files.
 
 The directory over the leading bits of a 64-bit text hash is doubled until no
-bucket is overfull.  Each bucket is a key range owned by one task, which chains
+bucket is overfull; how often it may double follows from the bytes of the table.  Each bucket is a key range owned by one task, which chains
 texts of equal hash and compares their bytes.  Copies are first merged inside
 every input partition, so an owner sees a text at most once per partition part
 however often it occurs.  The finished index is a table in the shared folder,
@@ -23,6 +23,8 @@ from tidewater.llm.store import written
 #: Rows of a bucket besides its text bytes.
 _ENTRY_BYTES = 48
 _PARTIAL = "bucket int, key long, content string, keep_id long, group_size long"
+#: Bits of the finest counts; their table is summed up to the depth in use before it reaches the driver.
+_FINEST = 24
 _INDEX = "key long, chain int, text_sha256 string, keep_id long, group_size long"
 
 
@@ -125,7 +127,7 @@ def _owner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def exact_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, key_bits: int = 64, bucket_bytes: int = 8 << 20, max_depth: int = 14, part_bytes: int = 32 << 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, key_bits: int = 64, bucket_bytes: int = 8 << 20, max_buckets: int = 1 << 18, part_bytes: int = 32 << 20
 ) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
@@ -134,22 +136,27 @@ def exact_dedup(
     group has no other.  Of repeated rows with equal id and text one is kept.
     An empty table gives an empty result; further columns are ignored.
 
-    ``bucket_bytes`` is the capacity at which a bucket is split, ``max_depth``
-    bounds the directory (2**max_depth counts reach the driver), ``key_bits``
-    shortens the hash (tests use it to force collisions).
+    ``bucket_bytes`` is the capacity at which a bucket is split.  It grows where the
+    table would fill more than ``max_buckets``, to which the directory (and what
+    the driver sees of it) stays in proportion; an owner holds one chain of its bucket at a time,
+    whatever the capacity.  ``key_bits`` shortens the hash (tests use it to force collisions).
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.xxhash64(text)
     if key_bits < 64:
         key = F.shiftleft(F.shiftrightunsigned(key, 64 - key_bits), 64 - key_bits)
     rows = docs.select(key.alias("key"), F.col(id_col).cast("long").alias("id"), text.alias("content"))
-    prefix = F.shiftrightunsigned("key", 64 - max_depth)
-    counts = rows.groupBy(prefix.alias("prefix")).agg(F.sum(F.octet_length("content") + _ENTRY_BYTES).alias("bytes")).collect()
-    weights = np.zeros(1 << max_depth, dtype=np.int64)
-    for r in counts:
+    prefix = F.shiftrightunsigned("key", 64 - _FINEST)
+    counts = written(rows.groupBy(prefix.alias("prefix")).agg(F.sum(F.octet_length("content") + _ENTRY_BYTES).alias("bytes")), "prefixes")
+    total = counts.agg(F.sum("bytes")).first()[0] or 0
+    capacity = max(bucket_bytes, -(-total // max_buckets))
+    # Two bits more than equal buckets need, so that an uneven spread is split too.
+    depth = min(_FINEST, max(1, (total // capacity).bit_length() + 2))
+    weights = np.zeros(1 << depth, dtype=np.int64)
+    for r in counts.groupBy(F.shiftrightunsigned("prefix", _FINEST - depth).alias("prefix")).agg(F.sum("bytes").alias("bytes")).toLocalIterator():
         weights[r["prefix"]] = r["bytes"]
-    directory = grow_directory(weights, bucket_bytes)
-    partial = rows.mapInArrow(_partial(directory, max_depth, part_bytes), _PARTIAL)
+    directory = grow_directory(weights, capacity)
+    partial = rows.mapInArrow(_partial(directory, depth, part_bytes), _PARTIAL)
     owned = partial.repartitionById(len(directory), F.col("bucket")).sortWithinPartitions("key")
     index = written(owned.mapInArrow(_owner, _INDEX), "hash-index")
 
