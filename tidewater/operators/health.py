@@ -54,26 +54,27 @@ def over_rate(requests: DataFrame, who: str, at: str, most: int = 5, window: str
 
 
 def smart_filter(items: DataFrame, per_region: int = 12, overall: int = 40, per_company: int = 3) -> DataFrame:
-    """The daily selection: official company items, all signals, then others by region within the quotas.
+    """The selection of every day: official company items, all signals, then others by region within the quotas.
 
-    Needs ord, event_type, region, company, priority and official.  Official
-    company items of type other come first, by priority and company: at most one per company.
-    All items of another type follow.  Other items fill each region up to
-    ``per_region`` less what it has, and the day up to ``overall``; of official items a
-    company keeps at most ``per_company``.
+    Needs day, ord, event_type, region, company, priority and official; every rule holds
+    within a day.  Official company items of type other come first, by priority and
+    company: at most one per company.  All items of another type follow.  Other
+    items fill each region up to ``per_region`` less what it has, and the day up to
+    ``overall``; of official items a company keeps at most ``per_company``.
     """
     is_other = F.col("event_type") == "other"
+    best_first = [F.col("priority").desc(), F.col("ord")]
     official = items.filter(F.col("official") & is_other & F.col("company").isNotNull())
-    official = official.withColumn("nth", F.row_number().over(Window.partitionBy("company").orderBy(F.col("priority").desc(), "ord"))).filter("nth <= 1").drop("nth")
+    official = official.withColumn("nth", F.row_number().over(Window.partitionBy("day", "company").orderBy(*best_first))).filter("nth <= 1").drop("nth")
     signals = items.filter(~is_other)
-    capped = signals.withColumn("nth", F.row_number().over(Window.partitionBy("company", "official").orderBy("ord"))).filter(~F.col("official") | F.col("company").isNull() | (F.col("nth") <= per_company)).drop("nth")
+    capped = signals.withColumn("nth", F.row_number().over(Window.partitionBy("day", "company", "official").orderBy("ord"))).filter(~F.col("official") | F.col("company").isNull() | (F.col("nth") <= per_company)).drop("nth")
     kept = official.withColumn("kept_as", F.lit("official")).unionByName(capped.withColumn("kept_as", F.lit("signal")))
-    used = kept.groupBy("region").agg(F.count("*").alias("used"))
-    total = kept.agg(F.count("*").alias("total"))
-    rest = items.filter(is_other).join(official.select("ord"), "ord", "left_anti").join(F.broadcast(used), "region", "left")
-    place = F.row_number().over(Window.partitionBy("region").orderBy(F.col("priority").desc(), "ord"))
-    rest = rest.withColumn("place", place).filter(F.col("place") <= F.lit(per_region) - F.coalesce("used", F.lit(0)))
-    # At most per_region rows a region are left, so the overall rank is over a small set.
-    best = rest.orderBy(F.col("priority").desc(), "ord").limit(overall).withColumn("nth", F.row_number().over(Window.orderBy(F.col("priority").desc(), "ord")))
-    chosen = best.join(F.broadcast(total)).filter(F.col("nth") <= F.lit(overall) - F.col("total"))
+    used = kept.groupBy("day", "region").agg(F.count("*").alias("used"))
+    total = kept.groupBy("day").agg(F.count("*").alias("total"))
+    rest = items.filter(is_other).join(official.select("ord"), "ord", "left_anti")
+    # Ranks up to a fixed place are limited before the shuffle, so a day's other items never meet in one task.
+    place = F.row_number().over(Window.partitionBy("day", "region").orderBy(*best_first))
+    rest = rest.withColumn("place", place).filter(F.col("place") <= per_region).join(used, ["day", "region"], "left").filter(F.col("place") <= F.lit(per_region) - F.coalesce("used", F.lit(0)))
+    nth = F.row_number().over(Window.partitionBy("day").orderBy(*best_first))
+    chosen = rest.withColumn("nth", nth).filter(F.col("nth") <= overall).join(total, "day", "left").filter(F.col("nth") <= F.lit(overall) - F.coalesce("total", F.lit(0)))
     return kept.unionByName(chosen.select(*items.columns, F.lit("quota").alias("kept_as")))

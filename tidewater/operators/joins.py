@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import jaccard
+from tidewater.functions.text import found_terms, jaccard
 
 
 def similar_sets(df: DataFrame, id_col: str, set_col: str, least: float, day_col: str, days: int) -> DataFrame:
@@ -36,26 +36,33 @@ def similar_sets(df: DataFrame, id_col: str, set_col: str, least: float, day_col
     return scored.select("a", "b", "similarity", "members_a", "members_b")
 
 
-def alias_matches(texts: DataFrame, id_col: str, text_col: str, aliases: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
+def alias_matches(texts: DataFrame, id_col: str, text_col: str, aliases: DataFrame, few: int = 2000) -> DataFrame:
     """(id, entity): texts in which an alias occurs as a phrase of whole words.
 
-    ``aliases`` has entity and alias.  Each word is joined with the aliases that
-    begin with it, and the phrase is compared in place, so no text meets an
-    alias whose first word it lacks.  Up to ``broadcast_rows`` aliases are broadcast;
-    more are joined by a shuffle.  Case and signs do not matter.
+    ``aliases`` has entity and alias; case and signs do not matter.  Up to ``few``
+    aliases are looked for in one pass over each text, and only what is found is
+    joined with the entities.  With more, each word is joined with the aliases
+    that begin with it, by a shuffle, and the phrase is compared in place.
     """
 
-    def words_of(column: str):
-        return F.filter(F.split(F.lower(F.coalesce(F.col(column), F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
+    def plain(column: str):
+        return F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(column), F.lit(""))), "[^a-z0-9]+", " "))
 
-    named = aliases.select("entity", words_of("alias").alias("phrase")).filter(F.size("phrase") > 0).distinct()
-    named = named.select("entity", "phrase", F.element_at("phrase", 1).alias("word"))
-    if named.count() <= broadcast_rows:
-        named = F.broadcast(named)
-    rows = texts.select(F.col(id_col).alias("id"), words_of(text_col).alias("words"))
-    at = rows.select("id", "words", F.posexplode("words").alias("pos", "word"))
-    found = at.join(named, "word").filter(F.slice("words", F.col("pos") + 1, F.size("phrase")) == F.col("phrase"))
-    return found.select("id", "entity").distinct()
+    named = aliases.select("entity", plain("alias").alias("phrase")).filter("phrase <> ''").distinct()
+    rows = texts.select(F.col(id_col).alias("id"), plain(text_col).alias("plain"))
+    listed = [r["phrase"] for r in named.select("phrase").distinct().limit(few + 1).collect()]
+    if len(listed) > few:
+        words = F.split("plain", " ")
+        named = named.withColumn("phrase", F.split("phrase", " ")).withColumn("word", F.element_at("phrase", 1))
+        at = rows.select("id", words.alias("words")).select("id", "words", F.posexplode("words").alias("pos", "word"))
+        found = at.join(named, "word").filter(F.slice("words", F.col("pos") + 1, F.size("phrase")) == F.col("phrase"))
+        return found.select("id", "entity").distinct()
+    # A phrase that is found stands for those that it begins with, too.
+    implied = [(a, t) for a in listed for t in listed if a == t or a.startswith(f"{t} ")]
+    stands = texts.sparkSession.createDataFrame(implied, "found string, phrase string")
+    said = stands.join(named, "phrase").select("found", "entity").distinct()
+    found = rows.select("id", F.explode(found_terms(F.col("plain"), listed)).alias("found"))
+    return found.join(F.broadcast(said), "found").select("id", "entity").distinct()
 
 
 def first_match(df: DataFrame, id_col: str, candidates: DataFrame, keys: list[tuple[str, str]], value: str) -> DataFrame:

@@ -18,18 +18,19 @@ def first_seen(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(row).select("row.*").select(*df.columns)
 
 
-def running_quota(df: DataFrame, group: str, order: list[Column], per_group: int, overall: int, reserved: DataFrame | None = None) -> DataFrame:
-    """Rows within a quota per group and, of those, within an overall one.
+def running_quota(df: DataFrame, group: str, order: list[Column], per_group: int, overall: int, reserved: DataFrame | None = None, within: list[str] | None = None) -> DataFrame:
+    """Rows within a quota per group and, of those, within an overall one; both hold for each value of ``within`` (a day).
 
-    ``reserved`` (group, reserved) lowers the quota of a group.  The overall cut
-    ranks at most per_group rows of each group, by a limit and not a global window.
+    ``reserved`` (within, group, reserved) lowers the quota of a group.  The overall cut
+    ranks at most per_group rows of each group.
     """
-    ranked = df.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    within = within or []
+    ranked = df.withColumn("place", F.row_number().over(Window.partitionBy(*within, group).orderBy(*order))).filter(F.col("place") <= per_group)
     if reserved is not None:
-        ranked = ranked.join(reserved, group, "left").filter(F.col("place") <= F.lit(per_group) - F.coalesce("reserved", F.lit(0))).drop("reserved")
-    else:
-        ranked = ranked.filter(F.col("place") <= per_group)
-    return ranked.orderBy(*order).limit(overall)
+        ranked = ranked.join(reserved, [*within, group], "left").filter(F.col("place") <= F.lit(per_group) - F.coalesce("reserved", F.lit(0))).drop("reserved")
+    if not within:
+        return ranked.orderBy(*order).limit(overall)
+    return ranked.withColumn("of_all", F.row_number().over(Window.partitionBy(*within).orderBy(*order))).filter(F.col("of_all") <= overall).drop("of_all")
 
 
 def run_alerts(runs: DataFrame, last: int = 5, failed_at_least: int = 2, stored_at_least: int = 5) -> DataFrame:

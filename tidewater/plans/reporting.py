@@ -84,9 +84,8 @@ def over_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def smart_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = news(spark, sf_dir).filter("dayofmonth(day) = 10")
-    items = rows.select("ord", "event_type", "region", "company", F.col("score").alias("priority"), (F.col("tier") == "L1").alias("official"))
-    return health.smart_filter(items)
+    items = news(spark, sf_dir).select("day", "ord", "event_type", "region", "company", F.col("score").alias("priority"), (F.col("tier") == "L1").alias("official"))
+    return health.smart_filter(items).withColumn("day", F.col("day").cast("string"))
 
 
 def entity_alias_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +124,7 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silent_source_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.run_alerts(_runs(spark, sf_dir), last=2, failed_at_least=1)
+    return windows.run_alerts(_runs(spark, sf_dir))
 
 
 def source_full_outer_health(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,10 +173,11 @@ def rolling_7d_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_coverage_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per day of the range, days without events too."""
-    rows = contract(news(spark, sf_dir)).select("day", "in_main", "company", "region").filter("dayofmonth(day) <> 13")
+    """One row per day from the first one up to 2024-03-05, days without events too."""
+    rows = contract(news(spark, sf_dir)).select("day", "in_main", "company", "region")
     per_day = rows.groupBy("day").agg(F.count("*").alias("stored"), F.count_if("in_main").alias("main"), F.countDistinct("company").alias("entities"), F.countDistinct("region").alias("regions"))
-    spine = dates.day_spine(rows.agg(F.min("day").alias("first"), F.max("day").alias("last")), "first", "last")
+    # The first day needs the day column only, not the gates.
+    spine = dates.day_spine(news(spark, sf_dir).agg(F.min("day").alias("first"), F.lit("2024-03-05").cast("date").alias("last")), "first", "last")
     full = spine.join(per_day, "day", "left").fillna(0)
     return full.select("*", reports.coverage_status(F.col("main"), F.col("stored"), F.col("entities"), F.col("regions")).alias("coverage"))
 
@@ -243,12 +243,12 @@ def top_opportunities(spark: SparkSession, sf_dir: str, limit: int = 40) -> Data
 
 
 def smart_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signals all pass; others by priority, at most 12 a region less the signals kept there, at most 40 in all."""
-    rows = news(spark, sf_dir).filter("day = date '2024-01-10'").select("ord", "region", "event_type", "score")
+    """Of every day: signals all pass; others by priority, at most 12 a region less the signals kept there, at most 40 in all."""
+    rows = news(spark, sf_dir).select("day", "ord", "region", "event_type", "score")
     signals = rows.filter("event_type not in ('other', 'model')")
-    kept = signals.groupBy("region").agg(F.least(F.count("*"), F.lit(8)).alias("reserved"))
-    others = windows.running_quota(rows.filter("event_type in ('other', 'model')"), "region", [F.col("score").desc(), F.col("ord")], 12, 40, kept)
-    return signals.withColumn("kept_as", F.lit("signal")).unionByName(others.drop("place").withColumn("kept_as", F.lit("quota")))
+    kept = signals.groupBy("day", "region").agg(F.least(F.count("*"), F.lit(8)).alias("reserved"))
+    others = windows.running_quota(rows.filter("event_type in ('other', 'model')"), "region", [F.col("score").desc(), F.col("ord")], 12, 40, kept, within=["day"])
+    return signals.withColumn("kept_as", F.lit("signal")).unionByName(others.drop("place").withColumn("kept_as", F.lit("quota"))).withColumn("day", F.col("day").cast("string"))
 
 
 def featured_event_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,10 +322,10 @@ def funnel_stage_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of odd days are upserted over all runs; the newest 12 stay."""
+    """Runs of odd days are upserted over all runs; the newest 30 stay."""
     runs = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("run")).agg(F.count("*").alias("raw"))
     new = runs.filter(F.dayofmonth("run") % 2 == 1).withColumn("raw", F.col("raw") + 1000)
-    return state.retain_runs(runs, new, "run", "run", 12)
+    return state.retain_runs(runs, new, "run", "run")
 
 
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,12 +334,16 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fenced_json_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bracketed part of a turn's text, with code fences gone, and its number of items."""
-    text = F.regexp_replace("text", "```[a-z]*", "")
-    wrapped = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("```json\n["), F.col("turn").cast("string"), F.lit(", "), F.length(text).cast("string"), F.lit("]\n``` done"))).otherwise(text)
-    part = F.regexp_extract(F.regexp_replace(wrapped, "```[a-z]*", ""), "(?s)\\[.*\\]", 0)
-    items = F.size(F.from_json(F.when(part != "", part), "array<string>"))
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(part != "", part).alias("json"), F.when((part != "") & (items >= 0), items).alias("items")).filter("turn % 2 = 0")
+    """The bracketed part of every turn's text, with code fences gone, and its number of items; null without one.
+
+    The texts hold no JSON, so even turns are put into a fenced answer first.
+    """
+    plain = F.regexp_replace("text", "```[a-z]*", "")
+    answer = F.concat(F.lit("```json\n["), F.col("turn").cast("string"), F.lit(", "), F.length(plain).cast("string"), F.lit("]\n``` done"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("turn") % 2 == 0, answer).otherwise(F.col("text")).alias("answer"))
+    part = F.nullif(F.regexp_extract(F.regexp_replace("answer", "```[a-z]*", ""), "(?s)\\[.*\\]", 0), F.lit(""))
+    items = F.size(F.from_json("json", "array<string>"))
+    return turns.select("conv_id", "turn", part.alias("json")).select("*", F.when(items >= 0, items).alias("items"))
 
 
 def json_props_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,9 +429,9 @@ select coalesce(a.s_name, b.s_name, source) as name, case when a.s_name is not n
 from rows left join supplier a on a.s_suppkey = origin left join supplier b on b.s_suppkey = number * 7 group by 1, 2""",
     "silent_source_alerts": f"""
 with {_RUNS}, ranked as (select *, row_number() over (partition by source order by run desc) as back from runs),
-stats as (select source, max(items) as best, max(items) filter (back <= 2) as recent_best, cast(sum(failed) filter (back <= 2) as bigint) as recent_failed, cast(sum(items) as bigint) as stored,
+stats as (select source, max(items) as best, max(items) filter (back <= 5) as recent_best, cast(sum(failed) filter (back <= 5) as bigint) as recent_failed, cast(sum(items) as bigint) as stored,
   max(run) filter (items > 0) as last_alive from ranked group by source)
-select source, case when recent_failed >= 1 then 'fetch_failure' else 'supply_drop' end as kind, last_alive, stored, recent_failed from stats where best > 0 and recent_best = 0 and (recent_failed >= 1 or stored >= 5)""",
+select source, case when recent_failed >= 2 then 'fetch_failure' else 'supply_drop' end as kind, last_alive, stored, recent_failed from stats where best > 0 and recent_best = 0 and (recent_failed >= 2 or stored >= 5)""",
     "source_full_outer_health": f"""
 with {_RUNS}, a as (select source % 30 as n, count(*) as runs, count(*) filter (items > 0) as nonzero, cast(sum(raw) as bigint) as raw, cast(sum(signals) as bigint) as signals, cast(sum(failed) as bigint) as failed from runs group by 1),
 b as (select try_cast(regexp_extract(source, '([0-9]+)$', 1) as bigint) as m, count(*) as stored, count(*) filter (doc_id % 11 >= 7) as high from documents group by 1),
@@ -453,8 +457,8 @@ f as (select *, (companies >= 2)::int + (sources >= 2)::int + (days >= 2)::int +
 select region, event_type, topic, events, companies, sources, flags, has_focus, cast(10 * flags + 2 * events + top_scores + case when has_focus then 8 else 0 end as bigint) as cluster_score,
   case when flags >= 4 and (any_high or direct >= 2) then 'high' when flags >= 3 then 'mid' else 'watch' end as confidence from f where events >= 2 and flags >= 2 and direct > 0""",
     "daily_coverage_spine": f"""
-with {_CONTRACT}, rows as (select day, in_main, company, region from final where extract('day' from day) <> 13),
-spine as (select cast(unnest(generate_series((select min(day) from rows)::timestamp, (select max(day) from rows)::timestamp, interval 1 day)) as date) as day),
+with {_CONTRACT}, rows as (select day, in_main, company, region from final),
+spine as (select cast(unnest(generate_series((select min(day) from rows)::timestamp, timestamp '2024-03-05', interval 1 day)) as date) as day),
 per as (select day, count(*) as stored, count(*) filter (in_main) as main, count(distinct company) as entities, count(distinct region) as regions from rows group by day),
 j as (select spine.day, coalesce(stored, 0) as stored, coalesce(main, 0) as main, coalesce(entities, 0) as entities, coalesce(regions, 0) as regions from spine left join per using (day))
 select *, case when main >= 8 and entities >= 5 and regions >= 3 then 'healthy' when stored >= 8 and entities >= 3 and regions >= 2 then 'thin_but_usable' when stored >= 3 then 'thin' else 'sparse' end as coverage from j""",
@@ -477,11 +481,11 @@ with {_CONTRACT}, r as (select ord, coalesce(company, title) as who, case bd_pri
 f as (select *, row_number() over (partition by who order by p, s, age, ord) as k from r)
 select ord, who, bd_priority from f where k = 1 order by p, s, age, ord limit 40""",
     "smart_quota": f"""
-with {NEWS_SQL}, rows as (select ord, region, event_type, score from news where day = date '2024-01-10'),
-signals as (select * from rows where event_type not in ('other', 'model')), kept as (select region, least(count(*), 8) as reserved from signals group by region),
-others as (select *, row_number() over (partition by region order by score desc, ord) as place from rows where event_type in ('other', 'model'))
-select ord, region, event_type, score, 'signal' as kept_as from signals union all
-(select ord, o.region, event_type, score, 'quota' from others o left join kept k on o.region = k.region where place <= 12 - coalesce(reserved, 0) order by score desc, ord limit 40)""",
+with {NEWS_SQL}, rows as (select day, ord, region, event_type, score from news),
+signals as (select * from rows where event_type not in ('other', 'model')), kept as (select day, region, least(count(*), 8) as reserved from signals group by day, region),
+others as (select *, row_number() over (partition by day, region order by score desc, ord) as place from rows where event_type in ('other', 'model')),
+passed as (select o.*, row_number() over (partition by o.day order by score desc, ord) as nth from others o left join kept k on o.region = k.region and o.day = k.day where place <= 12 - coalesce(reserved, 0))
+select cast(day as varchar) as day, ord, region, event_type, score, 'signal' as kept_as from signals union all select cast(day as varchar), ord, region, event_type, score, 'quota' from passed where nth <= 40""",
     "featured_event_decay": """
 with w as (select user_id, event_id, value / 100.0::double * case when user_id % 10 = 0 then 1.3::double when user_id % 3 = 0 then 1.2::double else 1.0::double end
   * pow(0.7::double, greatest(date_diff('day', cast(ts as date), date '2024-01-30'), 0)) as w from events where cast(ts as date) <= date '2024-01-30'),
@@ -516,7 +520,7 @@ select entity, points, active_points, last_success, case when np = points then '
     "funnel_stage_merge": "select event_type as stage, count(*) as total, count(distinct cast(ts as date)) as runs from events group by 1",
     "run_retention": """
 with runs as (select cast(ts as date) as run, count(*) as raw from events group by 1)
-select run, raw + case when extract('day' from run) % 2 = 1 then 1000 else 0 end as raw from runs order by run desc limit 12""",
+select run, raw + case when extract('day' from run) % 2 = 1 then 1000 else 0 end as raw from runs order by run desc limit 30""",
     "page_titles": "select page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) as title, cast(len(regexp_extract_all(html, '<a ')) as integer) as anchors from pages",
     "quick_health": f"""
 with {_CONTRACT}, keyed as (select regexp_replace(lower(title), '[^a-z0-9]+', '', 'g') as k, count(*) as n from final group by 1),
@@ -530,16 +534,16 @@ select *, cast(date_diff('day', lag(run) over (order by run), run) as integer) a
     "over_rate": """
 select user_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H') as starts, count(*) as requests from events group by 1, 2 having count(*) > 2""",
     "smart_filter": f"""
-with {NEWS_SQL}, items as (select ord, event_type, region, company, score as priority, tier = 'L1' as official from news where extract('day' from day) = 10),
-o as (select *, row_number() over (partition by company order by priority desc, ord) as nth from items where official and event_type = 'other' and company is not null),
-s as (select *, row_number() over (partition by company, official order by ord) as nth from items where event_type <> 'other'),
-kept as (select ord, event_type, region, company, priority, official, 'official' as kept_as from o where nth = 1 union all
-  select ord, event_type, region, company, priority, official, 'signal' from s where not official or company is null or nth <= 3),
-used as (select region, count(*) as used from kept group by region),
-rest as (select i.*, row_number() over (partition by i.region order by priority desc, ord) as place, coalesce(used, 0) as used from items i left join used u on i.region = u.region
+with {NEWS_SQL}, items as (select day, ord, event_type, region, company, score as priority, tier = 'L1' as official from news),
+o as (select *, row_number() over (partition by day, company order by priority desc, ord) as nth from items where official and event_type = 'other' and company is not null),
+s as (select *, row_number() over (partition by day, company, official order by ord) as nth from items where event_type <> 'other'),
+kept as (select day, ord, event_type, region, company, priority, official, 'official' as kept_as from o where nth = 1 union all
+  select day, ord, event_type, region, company, priority, official, 'signal' from s where not official or company is null or nth <= 3),
+used as (select day, region, count(*) as used from kept group by day, region), total as (select day, count(*) as total from kept group by day),
+rest as (select i.*, row_number() over (partition by i.day, i.region order by priority desc, ord) as place, coalesce(used, 0) as used from items i left join used u on i.region = u.region and i.day = u.day
   where event_type = 'other' and ord not in (select ord from kept where kept_as = 'official')),
-best as (select *, row_number() over (order by priority desc, ord) as nth from rest where place <= 12 - used)
-select * from kept union all select ord, event_type, region, company, priority, official, 'quota' from best where nth <= 40 - (select count(*) from kept)""",
+best as (select *, row_number() over (partition by day order by priority desc, ord) as nth from rest where place <= 12 - used)
+select * replace (cast(day as varchar) as day) from kept union all select cast(b.day as varchar), ord, event_type, region, company, priority, official, 'quota' from best b left join total t on b.day = t.day where nth <= 40 - coalesce(total, 0)""",
     "company_cards": f"""
 with {NEWS_SQL}, r as (select *, date_diff('day', day, date '2024-02-20') as age from news where company is not null and date_diff('day', day, date '2024-02-20') >= 0),
 g as (select company, count(*) filter (age < 7) as week, count(*) filter (age < 30) as month, max(day) as last_day, arg_max(ord, (-age, score, -ord)) as latest from r group by company)
@@ -551,7 +555,9 @@ k as (select *, row_number() over (partition by config order by total desc, ord)
 s as (select config, count(*) as shared from k where nth <= 15 and ord in (select ord from k where config = 'even' and nth <= 15) group by config)
 select config, round(avg(total), 6) as mean, median(total) as median, count(*) as rows, coalesce(any_value(shared), 0) as shared from t left join s using (config) group by config""",
     "fenced_json_repair": """
-select conv_id, turn, '[' || turn || ', ' || length(regexp_replace(text, '```[a-z]*', '', 'g')) || ']' as json, 2 as items from conversations where turn % 2 = 0""",
+with plain as (select conv_id, turn, regexp_replace(text, '```[a-z]*', '', 'g') as text from conversations),
+parts as (select conv_id, turn, case when turn % 2 = 0 then '[' || turn || ', ' || length(text) || ']' else nullif(regexp_extract(text, '(?s)\\[.*\\]', 0), '') end as json from plain)
+select conv_id, turn, json, case when json_valid(json) then cast(json_array_length(json) as integer) end as items from parts""",
     "json_props_flatten": """
 with e as (select event_type, unnest(map_entries(cast(cast(props as json) as map(varchar, bigint)))) as kv from events)
 select event_type, kv.key as key, count(*) as events, cast(sum(kv.value) as bigint) as total, max(kv.value) as largest from e group by 1, 2""",

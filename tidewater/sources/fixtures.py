@@ -14,7 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One event per document; ``ord`` is the input order and the last key of every sort."""
+    """One event per document; ``ord`` is the input order and the last key of every sort.
+
+    Every document is an event, with its whole text.  By design of the fixture there
+    are fifty tracked companies (customers 0 to 49, a broadcast of that size), and
+    a title is the first sentence, up to 120 characters.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     region = table(spark, sf_dir, "region").select((F.col("r_regionkey")).alias("rk"), F.col("r_name").alias("region"))
     customer = table(spark, sf_dir, "customer").filter("c_custkey < 50").select(F.col("c_custkey").alias("ck"), F.col("c_name").alias("company_name"), F.col("c_nationkey").alias("nationkey"))
