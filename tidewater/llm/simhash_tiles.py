@@ -36,6 +36,7 @@ _SLOTS = np.random.default_rng(SEED).integers(0, 1 << 63, 144, np.uint64) * np.u
 _SHINGLE_SLOTS, _WORD_SLOTS = _SLOTS[:16], _SLOTS[16:]
 #: How many shingle slots two linked texts share at least.
 _AGREE = 2
+_LEAST_BLOCKS = 8
 
 
 def _shingles(text: str | None, width: int, seed: int) -> np.ndarray:
@@ -224,18 +225,20 @@ def linked_groups(heads: DataFrame, radius: int, lanes: int, similarity: float |
     """(node, component) of every row of ``heads`` (node, bits, more and maybe signature) that links to another.
 
     A block holds about ``block_rows`` neighbours in order of population count
-    (and of hash inside one count), whatever the counts' sizes are.
+    (and of hash inside one count), whatever the counts' sizes are.  Smaller tables
+    make ``_LEAST_BLOCKS`` blocks too, which spreads their comparison over tasks.
     """
     carried = ["node", "bits", "more"] + ["signature"] * (similarity is not None)
     ones = F.bit_count("bits") + F.bit_count("more")
     heads = heads.select(*carried, ones.alias("ones"))
     # At most 129 population counts, so the window and the broadcast are bounded.
     before = F.coalesce(F.sum("rows").over(Window.orderBy("ones").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bands = written(heads.groupBy("ones").agg(F.count("*").alias("rows")).withColumn("before", before), "bands")
+    per = F.greatest(F.lit(1), F.least(F.lit(block_rows), F.ceil(F.sum("rows").over(Window.partitionBy()) / _LEAST_BLOCKS)))
+    bands = written(heads.groupBy("ones").agg(F.count("*").alias("rows")).withColumns({"before": before, "per": per}), "bands")
     share = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    block = F.floor((F.col("before") + share * F.col("rows")) / block_rows)
+    block = F.floor((F.col("before") + share * F.col("rows")) / F.col("per"))
     blocks = heads.join(F.broadcast(bands), "ones").select(*carried, block.alias("block"))
-    spans = bands.select("ones", F.explode(F.sequence(F.floor(F.col("before") / block_rows), F.floor((F.col("before") + F.col("rows") - 1) / block_rows))).alias("block"))
+    spans = bands.select("ones", F.explode(F.sequence(F.floor(F.col("before") / F.col("per")), F.floor((F.col("before") + F.col("rows") - 1) / F.col("per")))).alias("block"))
     spans = written(spans.groupBy("block").agg(F.min("ones").alias("low"), F.max("ones").alias("high")), "blocks")
     # Blocks follow population counts, so a later block is in reach if its least count is.
     first = spans.select("block", F.explode(F.sequence(F.col("low"), F.col("high") + radius)).alias("low"))
