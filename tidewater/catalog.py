@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import contract, reporting, streaming
+from tidewater.plans import contract, headlines, reporting, streaming
 
-_MODULES = (contract, reporting, streaming)
+_MODULES = (contract, reporting, headlines, streaming)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
