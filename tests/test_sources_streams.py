@@ -138,3 +138,25 @@ def test_streams_go_on_after_a_restart(spark, tmp_path, batches):
     rolled = tmp_path / "r"
     streams.run_to_table(streams.rolling(streams.event_stream(spark, str(folder))), str(rolled), str(tmp_path / "r-check"), "complete")
     assert spark.read.parquet(str(rolled)).filter("event_type = 'purchase'").count() > 7
+
+
+def test_best_link(spark):
+    """A guid that repeats the title's words replaces a link that does not; ties and single words do not."""
+    rows = [
+        ("Acme opens data hub", ["https://x/p/100", "https://x/acme-opens-data-hub"]),
+        ("Acme opens data hub", ["https://x/acme-opens", " https://x/data-hub "]),
+        ("Acme", ["https://x/p", "https://x/acme"]),
+        ("Acme opens", ["urn:1", None, "ftp://x/acme-opens", "http://x/0"]),
+        (None, ["https://x/a"]),
+        ("t", []),
+        ("t", None),
+    ]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, title string, links array<string>")
+    got = [tuple(r["x"]) if r["x"] else (None, None) for r in frame.select("i", readers.best_link(F.col("title"), F.col("links")).alias("x")).orderBy("i").collect()]
+    assert got == [("https://x/acme-opens-data-hub", "https://x/p/100"), ("https://x/acme-opens", None), ("https://x/p", None), ("http://x/0", None), ("https://x/a", None), (None, None), (None, None)]
+
+
+def test_feed_entities_and_cdata(spark):
+    body = "<rss><item><title>A &amp;amp; B &lt;c&gt;</title><link>https://x/1?a=1&amp;b=2</link></item><item><title><![CDATA[D &amp; E]]></title></item></rss>"
+    got = readers.parse_feed(spark.createDataFrame([("s", body)], "source string, body string")).orderBy("position").collect()
+    assert [(r["title"], r["link"]) for r in got] == [("A &amp; B <c>", "https://x/1?a=1&b=2"), ("D &amp; E", None)]

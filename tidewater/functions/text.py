@@ -159,6 +159,14 @@ def html_escaped(text: Column) -> Column:
     return out
 
 
+def xml_decoded(text: Column) -> Column:
+    """The five named entities of XML and the numeric apostrophe as signs; the ampersand last, so nothing is decoded twice."""
+    out = text
+    for safe, raw in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(safe), F.lit(raw))
+    return out
+
+
 def amount_millions(title: Column) -> Column:
     """The first money amount of a title in millions: $ or € with a B/M unit, else null."""
     pattern = "(?i)[$€]\\s?([0-9][0-9,]*(?:\\.[0-9]+)?)\\s?(billion|bn|b|million|mn|m)\\b"

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import subjects
 from tidewater.functions.lexicon import Lexicon
+from tidewater.functions.text import html_escaped
 from tidewater.operators import profiles
+from tidewater.sources import readers
 from tidewater.sources.fixtures import table
 
 NAMES = ("Nova", "Blue Grid", "Delta-Cart", "Kite Cloud", "Orbit AI", "P.L. Lane", "Quill & Sons")
@@ -121,6 +123,18 @@ def narrative_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.unique_evidence(rows)
 
 
+def feed_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each headline as a feed of one entry, read back: its title, day and best address."""
+    k = F.col("ord")
+    slug = F.regexp_replace(F.lower("title"), "[^a-z0-9]+", "-")
+    guid = F.when(k % 3 == 0, F.concat(F.lit("https://site.example/news/"), slug)).when(k % 3 == 1, F.concat(F.lit("urn:"), k.cast("string")))
+    guid = F.coalesce(F.concat(F.lit("<guid>"), guid, F.lit("</guid>")), F.lit(""))
+    entry = F.concat(F.lit("<item><title>"), html_escaped(F.col("title")), F.lit("</title><link>https://site.example/p/"), k.cast("string"), F.lit("</link>"), guid, F.lit("<pubDate>"), F.date_format("day", "dd MMM yyyy"), F.lit("</pubDate></item>"))
+    feeds = headlines(spark, sf_dir).select(k.cast("string").alias("source"), F.concat(F.lit("<rss><channel>"), entry, F.lit("</channel></rss>")).alias("body"))
+    found = readers.parse_feed(feeds)
+    return found.select(F.col("source").cast("long").alias("ord"), "title", "link", "link_original", readers.feed_day(F.col("published")).cast("string").alias("day"))
+
+
 def _list(values: tuple[str, ...]) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
@@ -221,4 +235,9 @@ keyed as (select *, coalesce(url, nullif(coalesce(cast(day as varchar), '') || '
 firsts as (select * from keyed where key is not null qualify row_number() over (partition by narrative, key order by ord) = 1)
 select narrative, row_number() over (partition by narrative order by ord) as nth, url, title from firsts qualify nth <= 8""",
 }
+SQL["feed_links"] = f"""
+with {HEADLINES_SQL}, sent as (select *, 'https://site.example/p/' || cast(ord as varchar) as first, case when ord % 3 = 0 then 'https://site.example/news/' || regexp_replace(lower(title), '[^a-z0-9]+', '-', 'g') end as other from heads),
+words as (select *, list_filter(list_distinct(regexp_extract_all(lower(title), '[a-z0-9]{{3,}}')), lambda w: not list_contains({_list(readers.URL_STOPWORDS)}, w)) as w from sent),
+scored as (select *, len(list_intersect(w, regexp_extract_all(first[21:], '[a-z0-9]{{3,}}'))) as a, len(list_intersect(w, regexp_extract_all(coalesce(other[21:], ''), '[a-z0-9]{{3,}}'))) as b from words)
+select ord, title, case when b >= 2 and b > a then other else first end as link, case when b >= 2 and b > a then first end as link_original, strftime(day, '%Y-%m-%d') as day from scored"""
 QUERIES = {name: globals()[name] for name in SQL}

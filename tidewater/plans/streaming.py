@@ -30,6 +30,15 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(F.broadcast(last), F.col("batch") == F.col("last")).select(F.date_format("starts", "yyyy-MM-dd").alias("day"), "event_type", "events", "total")
 
 
+def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per type over seven days, for windows that begin on each day."""
+    out = new_folder(spark, "rolling")
+    streams.run_to_table(streams.rolling(_events(spark, sf_dir)), out, out + "-checkpoint", "complete")
+    rows = spark.read.parquet(out)
+    last = rows.agg(F.max("batch").alias("last"))
+    return rows.join(F.broadcast(last), F.col("batch") == F.col("last")).select(F.date_format("starts", "yyyy-MM-dd").alias("day"), "event_type", "events")
+
+
 def stream_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last state of each candidate after the stream."""
     out = new_folder(spark, "candidates")
@@ -46,6 +55,8 @@ SQL = {
     "stream_late_dedupe": "select event_type, count(*) as events, count(distinct event_id) as ids from events group by event_type",
     "stream_tumbling": """
 select strftime(ts, '%Y-%m-%d') as day, event_type, count(*) as events, cast(sum(cast(value as decimal(18,4))) as double) as total from events group by 1, 2""",
+    "stream_rolling": """
+select strftime(ts - to_days(cast(back as integer)), '%Y-%m-%d') as day, event_type, count(*) as events from events, range(7) as r(back) group by 1, 2""",
     "stream_candidates": """
 with o as (select user_id, event_type, row_number() over (partition by user_id order by ts, event_type) as k, sum(cast(event_type = 'purchase' as integer)) over (partition by user_id order by ts, event_type rows between unbounded preceding and current row) as bought from events),
 kept as (select *, bought - cast(event_type = 'purchase' as integer) as before from o)

@@ -12,7 +12,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from tidewater.functions import dates
-from tidewater.functions.text import first_text, html_escaped, shortened
+from tidewater.functions.text import first_text, html_escaped, shortened, tokens, xml_decoded
 
 EVENT_SCHEMA = """title string, url string, source string, source_tier string, source_id string, event_types array<string>, score int, region string,
  date string, company_name string, companies array<string>, summary_short string, reason string, impact string, scope_enforced boolean, scope_status string"""
@@ -50,10 +50,38 @@ def first_titles(archive: DataFrame, limit: int = 10) -> DataFrame:
     return once.orderBy("date_key", "rank", "title").limit(limit).select("date_key", "rank", "title")
 
 
+# Parts of addresses that say nothing about an article.
+URL_STOPWORDS = ("www", "com", "org", "net", "html", "htm", "amp", "article", "news", "post", "posts", "the", "and", "for", "with", "from", "into", "after")
+
+
+def best_link(title: Column, candidates: Column, least: int = 2) -> Column:
+    """struct(link, original) from the addresses of a feed entry, in their order.
+
+    The first http(s) address stands, unless another one shares at least ``least``
+    words of its path with the title, and more than the first does; ``original`` is
+    then the first.  Both are null without an address.
+    """
+    urls = F.array_distinct(F.filter(F.transform(F.array_compact(candidates), lambda u: F.trim(u)), lambda u: u.startswith("http://") | u.startswith("https://")))
+
+    def ranked(url: Column, place: Column) -> Column:
+        shared = F.array_intersect(tokens(title, URL_STOPWORDS), tokens(F.try_parse_url(url, F.lit("PATH")), URL_STOPWORDS))
+        return F.struct(F.size(shared).alias("score"), (-place).alias("place"), url.alias("url"))
+
+    def decided(scored: Column) -> Column:
+        first, best = F.try_element_at(scored, F.lit(1)), F.array_max(scored)
+        repaired = (best["score"] >= least) & (best["score"] > first["score"])
+        return F.struct(F.when(repaired, best["url"]).otherwise(first["url"]).alias("link"), F.when(repaired, first["url"]).alias("original"))
+
+    return F.element_at(F.transform(F.array(F.transform(urls, ranked)), decided), 1)
+
+
 def parse_feed(feeds: DataFrame, column: str = "body") -> DataFrame:
-    """Entries of RSS bodies (one row per feed: source, body), in feed order.
+    """Entries of RSS and Atom bodies (one row per feed: source, body), in feed order.
 
-    Items lie in <item> elements; a broken body gives no rows.
+    Items lie in <item> or <entry> elements; a broken body gives no rows.  Outside
+    CDATA the named XML entities are decoded.  ``link`` is the best of the entry's
+    addresses (``best_link`` over its links, id and guid), ``link_original`` the
+    one it replaced, if any.
     """
     items = F.regexp_extract_all(F.col(column), F.lit("(?s)<item[ >].*?</item>|<entry[ >].*?</entry>"), F.lit(0))
     rows = feeds.select("source", F.posexplode(items).alias("position", "item"))
@@ -62,11 +90,14 @@ def parse_feed(feeds: DataFrame, column: str = "body") -> DataFrame:
         found = []
         for name in names:
             inner = F.regexp_extract("item", f"(?s)<{name}(?: [^>]*)?>(.*?)</{name}>", 1)
-            found.append(F.regexp_replace(inner, "(?s)^\\s*<!\\[CDATA\\[(.*?)\\]\\]>\\s*$", "$1"))
+            cdata = "(?s)^\\s*<!\\[CDATA\\[(.*?)\\]\\]>\\s*$"
+            found.append(F.when(inner.rlike(cdata), F.regexp_extract(inner, cdata, 1)).otherwise(xml_decoded(inner)))
         return first_text(*found)
 
-    link = F.coalesce(tag("link"), F.nullif(F.regexp_extract("item", '<link[^>]*href="([^"]+)"', 1), F.lit("")))
-    return rows.select("source", "position", tag("title").alias("title"), link.alias("link"), tag("pubDate", "published", "dc:date").alias("published"), tag("updated").alias("updated"), tag("description", "summary", "content").alias("description"))
+    hrefs = F.transform(F.regexp_extract_all("item", F.lit('<link[^>]*href="([^"]+)"'), F.lit(1)), xml_decoded)
+    rows = rows.withColumns({"title": tag("title"), "_links": F.concat(F.array(tag("link")), hrefs, F.array(tag("id"), tag("guid")))})
+    rows = rows.withColumn("_best", best_link(F.col("title"), F.col("_links")))
+    return rows.select("source", "position", "title", "_best.link", F.col("_best.original").alias("link_original"), tag("pubDate", "published", "dc:date").alias("published"), tag("updated").alias("updated"), tag("description", "summary", "content").alias("description"))
 
 
 def feed_day(published: Column) -> Column:
