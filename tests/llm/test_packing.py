@@ -109,3 +109,40 @@ def test_frequencies_count_windows_and_tails(spark, monkeypatch):
         docs[np.unique(terms(p))] += 1
     assert np.allclose(seen["idf"], np.log1p((len(pieces) - docs + 0.5) / (docs + 0.5)))
     assert seen["mean"] == sum(map(len, pieces)) / len(pieces)
+
+
+def plain_fill(index, window, slack):
+    """The rule one pick at a time: the most relevant unused document that fits, again and again."""
+    sizes, free, windows, rest = index.sizes, set(range(len(index.sizes))), [], None
+    while rest or free:
+        if rest is None:
+            rest = (min(free), 0)
+            free.remove(rest[0])
+        seed, start = rest
+        pieces, room, rest = [(seed, start, int(sizes[seed]) - start)], window - int(sizes[seed]) + start, None
+        scores = index.scores(seed)
+        ranked = sorted(free, key=lambda d: (-scores[d], d))
+        while room > slack and (pick := next((d for d in ranked if sizes[d] <= room), None)) is not None:
+            pieces.append((pick, 0, int(sizes[pick])))
+            room -= int(sizes[pick])
+            ranked.remove(pick)
+            free.remove(pick)
+        if room > slack and ranked:
+            pieces.append((ranked[0], 0, room))
+            rest = (ranked[0], room)
+            free.remove(ranked[0])
+        windows.append(pieces)
+    return windows
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_fill_equals_one_pick_at_a_time(seed):
+    rng = np.random.default_rng(seed)
+    ids = [rng.integers(0, 30, n) for n in rng.integers(1, (40, 8, 90)[seed % 3], 300)]
+    index = Index(ids, rng.random(1 << 16) + 0.1, 20.0)
+    assert fill(index, 100, (0, 5)[seed % 2]) == plain_fill(index, 100, (0, 5)[seed % 2])
+
+
+def test_many_empty_texts_fill_in_linear_time():
+    windows = fill(Index([np.array([1])] * 300_000, np.ones(1 << 16), 1.0), 2048, 16)
+    assert sum(map(len, windows)) == 300_000 and len(windows) <= 300_000 // 2032 + 1

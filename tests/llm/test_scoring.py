@@ -174,3 +174,21 @@ def test_hash_limit_keeps_the_least_hashes(spark):
     assert ids.filter(F.xxhash64("doc_id") <= hash_limit(100, 50_000)).count() < 1600
     found = labelled_sample(ids.withColumn("text", F.col("doc_id").cast("string")), labels, "doc_id", "text", "toxic", 100)
     assert {int(r["text"]) for r in found.collect()} == {r["doc_id"] for r in least.collect()}
+
+
+def test_labelled_sample_is_bounded_in_rows_and_bytes(spark):
+    ids = spark.range(1, 301).withColumnRenamed("id", "doc_id")
+    labels = ids.withColumn("toxic", (F.col("doc_id") % 2).cast("int"))
+    copies = spark.range(50_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("copy "), F.col("id").cast("string")).alias("text"))
+    docs = ids.select("doc_id", F.repeat(F.lit("x"), 100).alias("text")).unionByName(copies)
+    found = labelled_sample(docs, labels, "doc_id", "text", "toxic", 200)
+    rows = found.collect()
+    assert len(rows) == 300 and sum(r["text"].startswith("copy") for r in rows) == 1
+    short = labelled_sample(docs, labels, "doc_id", "text", "toxic", 200, bytes_per_class=1000).groupBy("label").agg(F.sum(F.length("text")).alias("n")).collect()
+    assert len(short) == 2 and all(900 <= r["n"] <= 1000 for r in short)
+
+
+def test_labels_of_one_id_that_differ_count_as_the_larger(spark):
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, None)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, None)], "doc_id long, text string")
+    assert sorted(map(tuple, labelled_sample(docs, labels, "doc_id", "text", "toxic", 9).collect())) == [(0, ""), (1, "a")]

@@ -252,42 +252,58 @@ class Index:
         return np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), len(self.sizes))
 
 
+def _greedy(sizes: np.ndarray, room: int, slack: int) -> tuple[list[int], int]:
+    """Places of the documents that one pass in order puts into ``room``, and the room left; ends at ``slack``.
+
+    Room only shrinks, so a document that did not fit never fits later, and one pass finds what asking for
+    the first that fits again and again would.
+    """
+    picks, at = [], 0
+    while at < len(sizes) and room > slack:
+        part = sizes[at : at + 4096]
+        start = int(np.argmax(part <= room))
+        if part[start] > room:
+            at += len(part)
+            continue
+        total = np.cumsum(part[start:])
+        n = min(int(np.searchsorted(total, room, "right")), int(np.searchsorted(total, room - slack, "left")) + 1)
+        picks += range(at + start, at + start + n)
+        room -= int(total[n - 1])
+        at += start + n
+    return picks, room
+
+
 def fill(index: Index, window: int, slack: int) -> list[list[tuple[int, int, int]]]:
     """Windows of (document, start, length) pieces; every document lies whole in them.
 
-    A seed asks with all of its different terms.
+    A seed asks with all of its different terms; unrelated documents follow in lexical order.
     Windows but the last are filled up to ``slack``.  The neighbour that no
-    longer fits is cut, and its rest begins the next window.
+    longer fits is cut, and its rest begins the next window.  A window costs time
+    in proportion to the documents left, however short they are.
     """
     sizes = index.sizes
-    free = np.ones(len(sizes), bool)
-    windows, rest, first = [], None, 0
-    while True:
-        while first < len(sizes) and not free[first]:
-            first += 1
+    unused = np.arange(len(sizes))
+    windows, rest = [], None
+    while rest or len(unused):
         if rest is None:
-            if first == len(sizes):
-                return windows
-            rest, free[first] = (first, 0), False
+            rest, unused = (int(unused[0]), 0), unused[1:]
         seed, start = rest
         pieces, room, rest = [(seed, start, int(sizes[seed]) - start)], window - int(sizes[seed]) + start, None
-        if room > slack and free.any():
-            unused = np.flatnonzero(free)
-            ranked = unused[np.argsort(-index.scores(seed)[unused], kind="stable")]  # unrelated documents follow in lexical order
-            while room > slack:
-                fits = np.flatnonzero(sizes[ranked] <= room)
-                if not len(fits):
-                    break
-                pick = int(ranked[fits[0]])
-                pieces.append((pick, 0, int(sizes[pick])))
-                room -= int(sizes[pick])
-                free[pick] = False
-                ranked = np.delete(ranked, fits[0])
-            if room > slack and len(ranked):
-                pick = int(ranked[0])
-                pieces.append((pick, 0, room))
-                rest, free[pick] = (pick, room), False
+        if room > slack and len(unused):
+            scores = index.scores(seed)[unused]
+            related = np.flatnonzero(scores)
+            ranked = np.concatenate([related[np.argsort(-scores[related], kind="stable")], np.flatnonzero(scores == 0)])
+            picks, room = _greedy(sizes[unused[ranked]], room, slack)
+            pieces += [(d, 0, n) for d, n in zip(unused[ranked[picks]].tolist(), sizes[unused[ranked[picks]]].tolist(), strict=True)]
+            gone = np.zeros(len(unused), bool)
+            gone[ranked[picks]] = True
+            if room > slack and len(picks) < len(ranked):
+                cut = ranked[next((n for n, p in enumerate(picks) if n != p), len(picks))]
+                pieces.append((int(unused[cut]), 0, room))
+                rest, gone[cut] = (int(unused[cut]), room), True
+            unused = unused[~gone]
         windows.append(pieces)
+    return windows
 
 
 def _pack(dtype: str, idf: np.ndarray, mean: float, window: int, slack: int):

@@ -17,13 +17,18 @@ def hash_limit(rows: int, size: int) -> int:
     return (1 << 63) - 1 if size <= most else most * (1 << 64) // size - (1 << 63)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows_per_class: int, **more: Column) -> DataFrame:
-    """(label, text, more...): up to ``rows_per_class`` rows of either class, in hash order of the id.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows_per_class: int, bytes_per_class: int = 1 << 27, **more: Column
+) -> DataFrame:
+    """(label, text, more...): up to ``rows_per_class`` ids of either class, in hash order of the id, one row each.
 
-    Only ids and labels are ranked; whole texts are fetched for the chosen rows.
+    Only ids and labels are ranked; whole texts are fetched for the chosen ids.
     The classes are counted first, and only hashes low enough to be among the
     chosen are ranked, so the ranking task's input does not grow with the table.
-    Null labels and repeated labels of an id are left out.
+    A class ends before the text with which it would exceed ``bytes_per_class``
+    (UTF-8), so what is fitted on is bounded in rows and in bytes.
+    Null labels are left out; of different labels of one id the larger counts;
+    of several rows of one id the one with the least text is taken.
     """
     label = F.col(label_col).cast("int")
     marks = labels.filter(label.isin(0, 1)).groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label).alias("label"))
@@ -32,7 +37,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     marks = marks.withColumn("hash", F.xxhash64("id"))
     for one, size in sizes.items():
         marks = marks.filter((F.col("label") != one) | (F.col("hash") <= hash_limit(rows_per_class, size)))
-    chosen = marks.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows_per_class).select("id", "label")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *(c.alias(name) for name, c in more.items()))
-    # 2 * rows_per_class pairs of numbers: bounded by the parameter.
-    return texts.join(F.broadcast(chosen), "id").select("label", "text", *more)
+    chosen = marks.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows_per_class).select("id", "label", "hash")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.struct(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *(c.alias(name) for name, c in more.items())).alias("row"))
+    # 2 * rows_per_class triples of numbers: bounded by the parameter.  Copies of an id are merged before any shuffle.
+    single = texts.join(F.broadcast(chosen), "id").groupBy("label", "hash", "id").agg(F.min("row").alias("row"))
+    filled = F.sum(F.octet_length("row.text").cast("long")).over(order)
+    return single.withColumn("filled", filled).filter(F.col("filled") <= bytes_per_class).select("label", "row.text", *(f"row.{name}" for name in more))
