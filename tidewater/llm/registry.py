@@ -12,6 +12,7 @@ from tidewater.llm.byte_shards import byte_shards
 from tidewater.llm.cross_parse_langid import identify_language
 from tidewater.llm.curriculum_mix import mix_sources
 from tidewater.llm.exact_dedup import exact_dedup
+from tidewater.llm.filter_replay import filter_interactions
 from tidewater.llm.flat_graph_dedup import embedding_components
 from tidewater.llm.fm_quality import score_quality
 from tidewater.llm.simhash_tiles import simhash_components
@@ -66,6 +67,10 @@ def op10_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_interactions(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 OP1_SQL = """
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
        doc_id = max(doc_id) over g as kept, sha256(coalesce(text, '')) as text_sha256
@@ -143,6 +148,40 @@ select doc_id, size, source_size, target, cast(once + twice as bigint) as taken,
 from used
 """
 
+OP11_SQL = """
+with rows as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words from documents),
+marks as (
+  select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+failed as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+    [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+     100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text), regexp_matches(text, '[#$%&*|]'),
+     coalesce(doc_id > min(doc_id) over (partition by text), false)] as fails
+  from rows left join marks using (doc_id)),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as letter),
+orders as (
+  select [a.letter, b.letter, c.letter, d.letter, e.letter] as steps
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.letter, b.letter, c.letter, d.letter, e.letter])) = 5),
+replayed as (
+  select part, good, toxic, array_to_string(steps, '') as filter_order, step, steps[step] as filter,
+    fails[ascii(steps[step]) - 64] as failing,
+    list_bool_or([false] || [fails[ascii(x) - 64] for x in steps[1:step - 1]]) as before,
+    len([x for x in fails if x]) = 1 as alone
+  from failed, orders, range(1, 6) as s(step)),
+counted as (
+  select part, filter_order, cast(step as integer) as step, any_value(filter) as filter,
+    count(*) filter (not before and not failing) as kept, count(*) filter (failing and not before) as removed,
+    count(*) filter (failing and before) as redundant, count(*) filter (failing and alone) as unique_fails,
+    count(*) filter (failing and not before and good) as good_lost, count(*) filter (failing and not before and toxic) as toxic_lost
+  from replayed group by part, filter_order, step)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  cast(sum(removed) over (partition by part, filter) as bigint) as shapley
+from counted
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
@@ -150,4 +189,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op2_warc_fixity": OP2_SQL, "op3_mix_sources": OP3_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op2_warc_fixity": OP2_SQL, "op3_mix_sources": OP3_SQL, "op11_filter_interactions": OP11_SQL}
