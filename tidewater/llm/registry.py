@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.bloom_lm import score_texts
 from tidewater.llm.bm25_packing import pack_documents
 from tidewater.llm.byte_shards import byte_shards
 from tidewater.llm.cross_parse_langid import identify_language
@@ -71,6 +72,10 @@ def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_interactions(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op13_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_documents(spark, sf_dir))
+
+
 OP1_SQL = """
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
        doc_id = max(doc_id) over g as kept, sha256(coalesce(text, '')) as text_sha256
