@@ -16,6 +16,7 @@ from tidewater.llm.exact_dedup import exact_dedup
 from tidewater.llm.filter_replay import filter_interactions
 from tidewater.llm.flat_graph_dedup import embedding_components
 from tidewater.llm.fm_quality import score_quality
+from tidewater.llm.pivot_negatives import hard_negatives, usable
 from tidewater.llm.simhash_tiles import simhash_components
 from tidewater.llm.toxic_lexicon import score_toxicity
 from tidewater.llm.warc_fixity import fixity_audit, replica_digests, replica_store, warc_layout
@@ -72,6 +73,14 @@ def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_interactions(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op12_pivot_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").filter(usable("embedding"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double"))
+    found = hard_negatives(rows.select("vec_id", label.alias("label"), steps.alias("embedding")))
+    return found.withColumns({c: F.col(c).cast("long") for c in ("positive_score", "negative_score")})
+
+
 def op13_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_documents(spark, sf_dir))
 
@@ -187,6 +196,26 @@ select part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 from counted
 """
 
+OP12_SQL = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * x::double) for x in embedding] as vec
+  from embeddings
+  where label is not null and embedding is not null
+    and len(embedding) = len([x for x in embedding if x is not null and isfinite(x)])),
+pairs as (
+  select a.vec_id as anchor_id, r.vec_id as id, a.label = r.label as same, cast(list_dot_product(a.vec, r.vec) as bigint) as score
+  from rows a join rows r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, id as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, p.positive_id, cast(row_number() over w as integer) as rank, n.id as negative_id, p.positive_score, n.score as negative_score
+from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same
+  and 80 * p.positive_score <= 100 * n.score and n.score <= p.positive_score
+window w as (partition by p.anchor_id, p.positive_id order by n.score desc, n.id)
+qualify row_number() over w <= 5
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
@@ -194,4 +223,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op2_warc_fixity": OP2_SQL, "op3_mix_sources": OP3_SQL, "op11_filter_interactions": OP11_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op2_warc_fixity": OP2_SQL, "op3_mix_sources": OP3_SQL, "op11_filter_interactions": OP11_SQL, "op12_pivot_negatives": OP12_SQL}
