@@ -143,10 +143,15 @@ def test_leader_clusters_match_the_model(spark):
     want = {}
     for kind in "ab":
         mine = sorted((r for r in rows if r[3] == kind), key=lambda r: r[0])
-        leaders = cluster.lead([({w for w in r[1].split()}, set(r[2] or []), r[4]) for r in mine])
+        leaders, facts = [], [({w for w in r[1].split()}, set(r[2] or []), r[4]) for r in mine]
+        for i, fact in enumerate(facts):
+            leaders.append(next((k for k in range(i) if leaders[k] == k and cluster.same_fact(*fact, *facts[k])), i))
+        assert cluster.lead(facts) == leaders
         want |= {r[0]: mine[k][0] for r, k in zip(mine, leaders, strict=True)}
-    frame = spark.createDataFrame([(o, t.replace("w", "www"), c, k, d) for o, t, c, k, d in rows], "ord long, title string, companies array<string>, event_type string, day date")
+    frame = spark.createDataFrame(rows, "ord long, title string, companies array<string>, event_type string, day date")
     assert {r["ord"]: r["atom"] for r in cluster.evidence_atoms(frame).collect()} == want
+    # The same by rounds over the graph of matches.
+    assert {r["ord"]: r["atom"] for r in cluster.evidence_atoms(frame, walk_rows=0).collect()} == want
 
 
 def test_similar_sets_against_all_pairs(spark):
@@ -227,48 +232,90 @@ def test_decisions(spark):
     assert {r["entity"]: r["entity_status"] for r in got.collect()} == {1: "pending", 2: "failed", 3: "partial", 4: "active", 5: "changed", 6: "quiet"}
 
 
-def test_same_event_rules():
+REPORTS = "ord long, url string, title string, event_types array<string>, company string, companies array<string>, is_company boolean, aliases array<string>, day date"
+
+
+def _reports(spark, rows):
+    """Rows as the walks read them: (title, types, company, day, url) and more."""
+    from tidewater.operators.dedupe import prepared
+
+    made = [(i, r.get("url"), r["title"], r.get("types"), r.get("company"), None, r.get("own", False), r.get("aliases"), r.get("day") and dt.date(2024, 1, r["day"])) for i, r in enumerate(rows)]
+    found = prepared(spark.createDataFrame(made, REPORTS), [], ["globex", "line"]).orderBy("ord").collect()
+    return [{**r.asDict(), "tokens": set(r["tokens"])} for r in found]
+
+
+SAME = [  # title, title, types, company of both, days, whether they are one event
+    ("Acme posts Q1 revenue and profit up sharply on cloud", "Acme posts Q1 revenue and profit down sharply on cloud", ["earnings"], "Acme", (1, 1), False),
+    ("Acme Q1 results beat", "Acme Q1 results slump", ["earnings"], "Acme", (1, 1), False),
+    ("Acme secures seed round", "Acme bags new backing, valuation rises", ["funding"], "Acme", (1, 2), True),
+    ("Acme buys Foo", "Foo purchase by Acme completed", ["ma"], "Acme", (1, 1), True),
+    ("Acme wins prize", "Acme raises cash", ["funding"], "Acme", (1, 1), False),
+    ("Acme raises cash", "Acme raises cash", ["funding"], "Acme", (1, 9), False),
+    ("Acme raises cash", "Money for Acme in series b", ["funding", "earnings"], "Acme", (1, None), True),
+    ("Acme opens new store today", "Acme opens new store", ["strategy"], "Acme", (1, 1), True),
+    ("Acme opens new store downtown", "Acme hires engineers abroad", ["strategy"], "Acme", (1, 1), False),
+    ("Acme raises cash for growth plans", "Acme raises money: investors in Paris join round", ["funding"], None, (1, 1), False),
+    ("Acme raises cash for growth plans", "Acme raises cash for growth abroad", ["funding"], None, (1, 1), True),
+    ("Funding for Globex Corp grows", "Globex raised again", ["funding"], None, (1, 1), True),
+    ("one two three four", "one two three four", None, None, (1, 1), True),
+    ("12 34", "12 34", None, None, (1, 1), False),
+]
+
+
+def test_same_event_rules(spark):
     from tidewater.operators.dedupe import same_event
 
-    def row(title, kind="funding", entity="acme", day=1, url="", from_title=False):
-        return {"url": url, "title": title, "type": kind, "entity": entity, "from_title": from_title, "tokens": set(title.lower().split()), "day": day and dt.date(2024, 1, day)}
+    rows = [{"title": t, "types": types, "company": company, "day": d} for *titles, types, company, days, _ in SAME for t, d in zip(titles, days, strict=True)]
+    found = _reports(spark, rows)
+    assert [same_event(found[2 * i], found[2 * i + 1]) for i in range(len(SAME))] == [s[-1] for s in SAME]
+    assert [same_event(found[2 * i + 1], found[2 * i]) for i in range(len(SAME))] == [s[-1] for s in SAME]
+    linked = _reports(spark, [{"title": "a", "url": "u", "day": 1}, {"title": "b", "url": "u", "day": 20}])
+    assert same_event(*linked)
+
+
+def test_report_rules(spark):
+    from tidewater.functions import event_rules
 
-    assert same_event(row("a", url="u"), row("b", "ma", "x", 20, url="u"))
-    assert not same_event(row("acme raises cash"), row("acme raises cash", day=9))
-    assert same_event(row("acme raises cash"), row("money for acme in series b", day=None))
-    assert not same_event(row("acme raises cash", from_title=True), row("new series b round at acme", day=2))
-    assert not same_event(row("acme wins prize"), row("acme raises cash"))
-    assert same_event(row("acme q1 profit", "earnings"), row("acme results are in", "earnings"))
-    assert not same_event(row("acme q1 profit", "earnings"), row("acme q1 loss", "earnings"))
-    assert same_event(row("acme opens new store today", "strategy"), row("acme opens new store", "strategy"))
-    assert not same_event(row("acme opens new store today", "strategy"), row("globex opens new shops", "strategy"))
-    assert same_event(row("one two three four", "other", ""), row("one two three four", "model", ""))
+    own = {"company": "Foo Bar", "own": True}
+    found = _reports(spark, [{"title": "FooBar opens", **own}, {"title": "Quux opens", **own}, {"title": "Quux opens", **own, "aliases": ["quux"]}, {"title": "Quux opens", "company": "Foo Bar"}, {"title": "Foo Bar price target raised", **own}, {"title": "Foo Bar price target raised"}])
+    assert [r["alias_missing"] for r in found] == [False, True, False, False, False, False]
+    assert [r["low_signal"] for r in found] == [False] * 4 + [True, False]
+    assert [r["entity_source"] for r in _reports(spark, [{"title": "x", "company": "Foo Inc"}, {"title": "globex up"}, {"title": "Acme raises cash"}, {"title": "a line of news"}])] == ["company", "alias", "title", "none"]
+    frame = spark.createDataFrame([("OpenAI plans", False), ("openai plans", True), ("reopenais", False), ("see x.example", False), (None, None)], "title string, official boolean")
+    assert [r[0] for r in frame.select(event_rules.names_excluded(F.col("title"), ["OpenAI"], ["x.example"], F.col("official"))).collect()] == [True, False, False, True, False]
+    frame = spark.createDataFrame([("HSBC cuts", None, None, False), ("Kakao and HSBC", None, None, False), ("x", "hsbc", None, False), ("HSBC", None, None, True), (None, None, "HSBC", None)], "t string, c string, p string, own boolean")
+    assert [r[0] for r in frame.select(event_rules.bank_report(*map(F.col, ("t", "c", "p", "own")), ["HSBC"], ["Kakao"])).collect()] == [True, False, True, False, True]
 
 
 def test_daily_and_display_dedupe_match_the_walk(spark):
     from tidewater.operators import dedupe
 
     rng = random.Random(6)
-    words = ["raises", "series", "alpha", "beta", "gamma", "delta", "q1", "profit", "store", "opens"]
+    words = ["raises", "series", "alpha", "beta", "gamma", "delta", "q1", "profit", "store", "opens", "losses", "zacks", "acme"]
     rows = []
-    for i in range(200):
-        rows.append((i, rng.choice([None, f"u{rng.randrange(60)}"]), " ".join(rng.sample(words, rng.randrange(2, 6))), rng.choice(["funding", "earnings", "strategy", "other"]), rng.choice([None, "a", "b"]), rng.random() < 0.2, rng.random() < 0.05, rng.random() < 0.05, rng.choice([None, *(dt.date(2024, 1, d) for d in range(1, 6))])))
+    for i in range(240):
+        company = rng.choice([None, "acme", "beta co"])
+        rows.append((i, rng.choice([None, f"u{rng.randrange(60)}"]), " ".join(rng.sample(words, rng.randrange(2, 6))), [rng.choice(["funding", "earnings", "strategy", "other"])], company, None, bool(company) and rng.random() < 0.8, None, rng.choice([None, *(dt.date(2024, 1, d) for d in range(1, 6))])))
     shuffled = rows[:]
     rng.shuffle(shuffled)
-    frame = spark.createDataFrame(shuffled, "ord long, url string, title string, event_type string, company string, from_title boolean, alias_missing boolean, low_signal boolean, day date")
-
-    def plain(r):
-        key = "".join(c for c in r[2].lower() if c.isalnum())
-        return {"ord": r[0], "url": r[1] or "", "title": r[2], "type": r[3], "entity": r[4] or "", "from_title": r[5], "alias_missing": r[6], "low_signal": r[7], "tokens": {w for w in r[2].split() if len(w) > 2}, "key": key, "day": r[8]}
-
-    want = {}
-    for day in {r[8] for r in rows}:
-        mine = [plain(r) for r in rows if r[8] == day]
-        want |= {r["ord"]: f for r, f in zip(mine, dedupe.walk_day(mine), strict=True)}
+    frame = spark.createDataFrame(shuffled, REPORTS)
+    taken = lambda display: [{**r.asDict(), "tokens": set(r["tokens"])} for r in dedupe.prepared(frame, [], display=display).orderBy("ord").collect()]
+
+    want, plain = {}, taken(False)
+    for day in {r["day"] for r in plain}:
+        kept, count = [], {}
+        for r in (x for x in plain if x["day"] == day):
+            twin = next((k["ord"] for k in kept if dedupe.same_event(r, k)), None)
+            fate = "alias" if r["alias_missing"] else "low_signal" if r["low_signal"] else "repeat" if twin is not None else "cap" if r["capped"] and count.get(r["capped"], 0) == 3 else "kept"
+            want[r["ord"]] = (fate, twin if fate == "repeat" else None)
+            if fate == "kept":
+                kept.append(r)
+                count[r["capped"]] = count.get(r["capped"], 0) + 1
+    assert len({f for f, _ in want.values()}) == 5
     assert {r["ord"]: (r["fate"], r["twin"]) for r in dedupe.dedupe_daily(frame, []).collect()} == want
 
     first, left, want = {}, [], {}
-    for r in map(plain, rows):
+    for r in taken(True):
         if r["key"] in first:
             want[r["ord"]] = ("repeat", first[r["key"]])
         else:

@@ -2,43 +2,59 @@
 
 A row joins the first group (in order of creation) whose leader it matches, else
 it leads a new group.  The rule is no equivalence, so order is part of it.  Rows
-are grouped by a block key such that matches never cross blocks, and a block is
-processed in order by one task.
+are cut into blocks that no match crosses.  A block of up to ``walk_rows`` rows is
+walked in order by one task.  Larger ones are settled by rounds over the graph of
+matches, without a block: a row follows as soon as an earlier match of it leads,
+and leads as soon as all its earlier matches follow.  Matches by a company are
+not listed as pairs: a company's rows of a day are one hub, of which the first
+leader and the first open row say all that a later row needs to know.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import Counter, defaultdict
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import tokens
+from tidewater.functions.event_rules import fact_tokens
+from tidewater.sources.scratch import written
 
 ATOM_SCHEMA = "ord long, atom long"
+_NEAR, _COMMON, _ALIKE = 2, 3, 0.35
 
 
 def same_fact(tokens_a: set, companies_a: set, day_a, tokens_b: set, companies_b: set, day_b) -> bool:
     """At most two days apart (unknown days match), and a common company where both name one,
     else three common tokens and Jaccard 0.35."""
-    if day_a is not None and day_b is not None and abs((day_a - day_b).days) > 2:
+    if day_a is not None and day_b is not None and abs((day_a - day_b).days) > _NEAR:
         return False
     if companies_a and companies_b:
         return bool(companies_a & companies_b)
     common = len(tokens_a & tokens_b)
-    return common >= 3 and common / len(tokens_a | tokens_b) >= 0.35
+    return common >= _COMMON and common / len(tokens_a | tokens_b) >= _ALIKE
 
 
-def lead(rows: list[tuple], match: Callable = same_fact) -> list[int]:
-    """Leader of each (tokens, companies, day) row, as an index."""
-    leaders: list[int] = []
+def lead(rows: list[tuple]) -> list[int]:
+    """Leader of each (tokens, companies, day) row, as an index.
+
+    Leaders are looked up by company and by token, so a row is compared only with those that share one.
+    """
+    by_company, by_token = defaultdict(list), (defaultdict(list), defaultdict(list))
     found = []
-    for i, row in enumerate(rows):
-        at = next((k for k in leaders if match(*row, *rows[k])), None)
+    for i, (words, companies, day) in enumerate(rows):
+        # Rows that both name companies match by these alone.
+        shared = {k for c in companies for k in by_company[c]}
+        common = Counter(k for named in ([False] if companies else [False, True]) for w in words for k in by_token[named][w])
+        shared.update(k for k, n in common.items() if n >= _COMMON)
+        at = next((k for k in sorted(shared) if same_fact(words, companies, day, *rows[k])), None)
         if at is None:
-            leaders.append(i)
             at = i
+            for c in companies:
+                by_company[c].append(i)
+            for w in words:
+                by_token[bool(companies)][w].append(i)
         found.append(at)
     return found
 
@@ -50,24 +66,93 @@ def _atoms(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"ord": block["ord"], "atom": block["ord"].to_numpy()[lead(rows)]})
 
 
-def evidence_atoms(events: DataFrame) -> DataFrame:
+def _token_pairs(rows: DataFrame) -> DataFrame:
+    """(early, late): pairs that match by their tokens, one of which names no company.
+
+    With tokens in rising frequency, two sets that are alike enough share one of
+    the first ``size - least common + 1``, so only rare tokens are join keys.
+    """
+    # The small slack keeps products from rounding above the integer.
+    least = F.greatest(F.ceil(F.size("tokens") * F.lit(_ALIKE) - 1e-9), F.lit(_COMMON))
+    named = (F.size("companies") > 0).alias("named")
+    sets = rows.filter(F.size("tokens") >= _COMMON).select("block", "ord", "day", "tokens", named, (F.size("tokens") - least + 1).alias("prefix"))
+    exploded = sets.select("*", F.explode("tokens").alias("token"))
+    often = exploded.groupBy("block", "token").agg(F.count("*").alias("n"))
+    ranked = exploded.join(often, ["block", "token"]).withColumn("rank", F.row_number().over(Window.partitionBy("ord").orderBy("n", "token")))
+    keyed = ranked.filter("rank <= prefix").select("block", "token", "ord", "day", "tokens", "named")
+    left, right = (keyed.select("block", "token", *(F.col(c).alias(f"{c}_{x}") for c in ("ord", "day", "tokens", "named"))) for x in "ab")
+    near = F.coalesce(F.abs(F.datediff("day_a", "day_b")) <= _NEAR, F.lit(True))
+    pairs = left.join(right, ["block", "token"]).filter((F.col("ord_a") < F.col("ord_b")) & ~(F.col("named_a") & F.col("named_b")) & near)
+    common = F.size(F.array_intersect("tokens_a", "tokens_b"))
+    alike = (common >= _COMMON) & (common / (F.size("tokens_a") + F.size("tokens_b") - common) >= _ALIKE)
+    return pairs.filter(alike).select(F.col("ord_a").alias("early"), F.col("ord_b").alias("late")).distinct()
+
+
+def _hubs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(ord, hub) that rows belong to, and that they look at: a company's days, its unknown day, and any day of it."""
+    named = rows.select("ord", "block", "day", F.explode("companies").alias("company"))
+    hub = lambda day: F.concat_ws("\x1f", F.col("block").cast("string"), "company", day)
+    day = F.coalesce(F.col("day").cast("string"), F.lit("?"))
+    member = named.select("ord", F.explode(F.array(hub(day), hub(F.lit("*")))).alias("hub"))
+    days = F.transform(F.sequence(F.lit(-_NEAR), F.lit(_NEAR)), lambda k: F.date_add("day", k).cast("string"))
+    seen = F.when(F.col("day").isNull(), F.array(F.lit("*"))).otherwise(F.concat(days, F.array(F.lit("?"))))
+    looks = named.select("ord", "block", "company", F.explode(seen).alias("seen")).select("ord", hub(F.col("seen")).alias("hub"))
+    return written(member, "hub-members"), written(looks, "hub-looks")
+
+
+def settle(rows: DataFrame) -> DataFrame:
+    """(ord, atom) of rows (ord, block, day, tokens, companies) by rounds; as many as the longest chain of undecided matches.
+
+    What a round joins is what is still open: settled rows leave the looks and pairs.
+    """
+    rows = written(rows, "facts")
+    pairs, (members, looks) = written(_token_pairs(rows), "fact-pairs"), _hubs(rows)
+    open_looks, open_pairs = looks, pairs
+    state = written(rows.select("ord", F.lit(None).cast("boolean").alias("leads")), "open")
+    while state.filter("leads is null").limit(1).count():
+        hubs = members.join(state.filter("leads is not false"), "ord").groupBy("hub")
+        hubs = hubs.agg(F.min(F.when(F.col("leads"), F.col("ord"))).alias("leader"), F.min(F.when(F.col("leads").isNull(), F.col("ord"))).alias("open"))
+        before = lambda c: F.coalesce(F.col(c) < F.col("ord"), F.lit(False))
+        by_hub = open_looks.join(hubs, "hub").select("ord", before("leader").alias("follows"), before("open").alias("waits"))
+        by_pair = open_pairs.join(state.withColumnRenamed("ord", "early"), "early").select(F.col("late").alias("ord"), F.coalesce("leads", F.lit(False)).alias("follows"), F.col("leads").isNull().alias("waits"))
+        said = by_hub.unionByName(by_pair).groupBy("ord").agg(F.max("follows").alias("follows"), F.max("waits").alias("waits"))
+        now = F.when(F.col("leads").isNotNull(), F.col("leads")).when(F.col("follows"), False).when(F.col("waits"), None).otherwise(True)
+        state = written(state.join(said, "ord", "left").select("ord", now.alias("leads")), "round")
+        still = state.filter("leads is null").select("ord")
+        open_looks, open_pairs = written(open_looks.join(still, "ord", "left_semi"), "looks"), written(open_pairs.join(still.withColumnRenamed("ord", "late"), "late", "left_semi"), "pairs")
+    leaders = state.filter("leads").select("ord")
+    first = members.join(leaders, "ord").groupBy("hub").agg(F.min("ord").alias("leader"))
+    options = looks.join(first, "hub").filter("leader < ord").select("ord", "leader").unionByName(pairs.join(leaders.withColumnRenamed("ord", "early"), "early").select(F.col("late").alias("ord"), F.col("early").alias("leader")))
+    joined = options.groupBy("ord").agg(F.min("leader").alias("leader"))
+    return state.join(joined, "ord", "left").select("ord", F.when(F.col("leads"), F.col("ord")).otherwise(F.col("leader")).alias("atom"))
+
+
+def evidence_atoms(events: DataFrame, within: list[Column] | None = None, walk_rows: int = 50_000) -> DataFrame:
     """(ord, atom): atom is the ord of the leader that a row joined.
 
-    ``events`` has ord, title, companies (array), event_type and day.  Matches
-    need equal types and days at most two apart, so a type is cut into blocks
+    ``events`` has ord, title, companies (array), event_type and day.  Groups never cross
+    types, nor values of the columns ``within`` (rows are grouped in each apart).
+    Matches need days at most two apart, so a type is cut into blocks
     wherever its days leave a gap of more than two; a type with unknown days stays one
-    block, because those match any day.
+    block, because those match any day.  Blocks of more than ``walk_rows`` rows are settled by rounds.
     """
-    rows = events.select("ord", "event_type", "day", tokens(F.col("title")).alias("tokens"), F.coalesce("companies", F.array().cast("array<string>")).alias("companies"))
+    names = F.transform(F.array_compact(F.coalesce("companies", F.array().cast("array<string>"))), F.lower)
+    kind = F.struct(F.coalesce("event_type", F.lit("other")).alias("type"), *(c.alias(f"within{i}") for i, c in enumerate(within or [])))
+    rows = events.select("ord", kind.alias("kind"), "day", fact_tokens(F.col("title")).alias("tokens"), F.array_distinct(F.filter(names, lambda c: c != "")).alias("companies"))
     # The gaps of a type follow from its distinct days, a small table.
-    days = rows.groupBy("event_type", "day").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("event_type").orderBy("day")
-    gap = F.coalesce(F.datediff("day", F.lag("day").over(order)) > 2, F.lit(False)).cast("int")
-    open_type = F.max(F.col("day").isNull()).over(Window.partitionBy("event_type"))
-    runs = days.withColumns({"gap": gap, "open_type": open_type}).withColumn("block", F.when(F.col("open_type"), 0).otherwise(F.sum("gap").over(order)))
-    runs = runs.select(F.col("event_type").alias("t"), F.col("day").alias("d"), "block")
-    placed = rows.join(runs, rows["event_type"].eqNullSafe(runs["t"]) & rows["day"].eqNullSafe(runs["d"])).drop("t", "d")
-    return placed.groupBy("event_type", "block").applyInPandas(_atoms, ATOM_SCHEMA)
+    days = rows.groupBy("kind", "day").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("kind").orderBy("day")
+    gap = F.coalesce(F.datediff("day", F.lag("day").over(order)) > _NEAR, F.lit(False)).cast("int")
+    open_type = F.max(F.col("day").isNull()).over(Window.partitionBy("kind"))
+    runs = days.withColumns({"gap": gap, "open_type": open_type}).withColumn("run", F.when(F.col("open_type"), 0).otherwise(F.sum("gap").over(order)))
+    runs = runs.withColumn("rows", F.sum("n").over(Window.partitionBy("kind", "run")))
+    # One row for each day of a type; written, so that Spark knows its size.
+    runs = written(runs.select(F.col("kind").alias("k"), F.col("day").alias("d"), F.struct("kind", "run").alias("block"), "rows"), "fact-blocks")
+    placed = rows.join(runs, rows["kind"].eqNullSafe(runs["k"]) & rows["day"].eqNullSafe(runs["d"])).drop("k", "d", "kind")
+    walked = placed.filter(F.col("rows") <= walk_rows).groupBy("block").applyInPandas(_atoms, ATOM_SCHEMA)
+    if runs.filter(F.col("rows") > walk_rows).limit(1).count():
+        return walked.unionByName(settle(placed.filter(F.col("rows") > walk_rows).drop("rows")))
+    return walked
 
 
 def independence(atoms: DataFrame, group: str) -> DataFrame:

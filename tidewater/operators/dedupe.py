@@ -7,33 +7,30 @@ them, and shuffles by block.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.text import title_key, tokens
-
-HARD_TYPES = ("funding", "ma", "earnings")
-_NEGATIVE = ("loss", "decline", "falls", "drop", "miss")
-_ANCHORS = {
-    "funding": re.compile(r"series [a-e]\b|raises|funding|million|billion|[$€]"),
-    "ma": re.compile(r"acqui|merge|buyout|takeover"),
-    "earnings": re.compile(r"\bq[1-4]\b|earnings|results|revenue|profit"),
-}
+from tidewater.functions import event_rules, subjects
+from tidewater.functions.event_rules import HARD_TYPES
+from tidewater.functions.text import title_key
 
 
 def similarity(a: set, b: set) -> float:
-    return len(a & b) / len(a | b) if a | b else 0.0
+    return len(a & b) / len(a | b) if a and b else 0.0
 
 
 def same_event(a: dict, b: dict) -> bool:
     """The pair rule: equal url; else at most three days apart and alike enough for the type.
 
-    Rows have url, title, type, entity, from_title (the entity came from the title),
-    tokens and day.  Unknown days count as near.
+    Rows have url, type, entity, entity_source (company, alias, title), tokens,
+    anchored (the title carries its type's anchor), loss (it tells of a decline)
+    and day.  Unknown days count as near.  Reports of a hard type and one entity
+    are one event if both are anchored and, for earnings, agree on the direction;
+    then similarity counts only where an entity was read from a title, and where
+    they do not agree they are two events however alike.  All other pairs need 0.72.
     """
     if a["url"] and a["url"] == b["url"]:
         return True
@@ -41,21 +38,20 @@ def same_event(a: dict, b: dict) -> bool:
         return False
     alike = similarity(a["tokens"], b["tokens"])
     if a["type"] == b["type"] and a["entity"] and a["entity"] == b["entity"]:
-        if a["type"] == "strategy" and alike >= 0.42:
-            return True
         if a["type"] in HARD_TYPES:
-            anchored = all(_ANCHORS[a["type"]].search(x["title"].lower()) for x in (a, b))
-            agree = a["type"] != "earnings" or len({any(w in x["title"].lower() for w in _NEGATIVE) for x in (a, b)}) == 1
-            if anchored and agree and (alike >= 0.4 or not (a["from_title"] or b["from_title"])):
-                return True
+            by_title = "title" in (a["entity_source"], b["entity_source"])
+            agree = a["type"] != "earnings" or a["loss"] == b["loss"]
+            return a["anchored"] and b["anchored"] and agree and (alike >= 0.4 or not by_title)
+        if a["type"] == "strategy":
+            return alike >= 0.42
     return alike >= 0.72
 
 
 def walk_day(rows: list[dict], most_per_company: int = 3) -> list[tuple[str, int | None]]:
     """(fate, ord of the kept row it repeats) per row in order: kept, alias, low_signal, repeat or cap.
 
-    A row without its company's alias goes first, then low-signal titles, then
-    repeats of a kept row, then rows beyond the company's cap.
+    A company's row without its alias goes first, then its low-signal titles, then
+    repeats of a kept row, then a company's rows beyond its cap.
     """
     kept: list[dict] = []
     per_company: dict[str, int] = {}
@@ -67,13 +63,13 @@ def walk_day(rows: list[dict], most_per_company: int = 3) -> list[tuple[str, int
             fates.append(("low_signal", None))
         elif twin := next((k for k in kept if same_event(row, k)), None):
             fates.append(("repeat", twin["ord"]))
-        elif row["entity"] and per_company.get(row["entity"], 0) >= most_per_company:
+        elif row["capped"] and per_company.get(row["capped"], 0) >= most_per_company:
             fates.append(("cap", None))
         else:
             fates.append(("kept", None))
             kept.append(row)
-            if row["entity"]:
-                per_company[row["entity"]] = per_company.get(row["entity"], 0) + 1
+            if row["capped"]:
+                per_company[row["capped"]] = per_company.get(row["capped"], 0) + 1
     return fates
 
 
@@ -118,47 +114,62 @@ def _walk(rule: Callable[[list[dict]], list[tuple[str, int | None]]]) -> Callabl
     return run
 
 
-def _prepared(events: DataFrame, block: list[Column]) -> DataFrame:
-    """The columns that the walks read, with a block key."""
-    return events.select(
+def prepared(events: DataFrame, block: list[Column], aliases: Iterable[str] = (), display: bool = False) -> DataFrame:
+    """The columns that the walks read, with a block key; every rule on one row is a column made here.
+
+    ``aliases`` are looked for in titles of rows without a company.  ``display``
+    takes the subject of the headline first.
+    """
+    title, company = F.coalesce("title", F.lit("")), F.coalesce("company", F.lit(""))
+    own = F.coalesce("is_company", F.lit(False))
+    # The subject is a column of its own, so that its patterns are matched once.
+    rows = events.withColumns({"subject": subjects.title_subject(title), "alias": event_rules.alias_in_title(title, aliases), "type": F.coalesce(F.try_element_at("event_types", F.lit(1)), F.lit("other")) if display else event_rules.primary_type(F.col("event_types"))})
+    subject = (subjects.display_subject if display else subjects.event_subject)(F.col("company"), F.col("companies"), F.col("subject"))
+    by_headline = F.struct(subject.alias("key"), F.lit("title").alias("source"))
+    rows = rows.withColumn("found", by_headline if display else event_rules.entity_key(company, F.col("alias"), subject))
+    return rows.select(
         *block,
         "ord",
         F.coalesce("url", F.lit("")).alias("url"),
-        F.coalesce("title", F.lit("")).alias("title"),
-        F.coalesce("event_type", F.lit("other")).alias("type"),
-        F.coalesce("company", F.lit("")).alias("entity"),
-        F.coalesce("from_title", F.lit(False)).alias("from_title"),
-        F.coalesce("alias_missing", F.lit(False)).alias("alias_missing"),
-        F.coalesce("low_signal", F.lit(False)).alias("low_signal"),
-        tokens(F.col("title")).alias("tokens"),
-        title_key(F.col("title")).alias("key"),
+        "type",
+        F.col("found.key").alias("entity"),
+        F.col("found.source").alias("entity_source"),
+        event_rules.anchored(F.col("type"), title).alias("anchored"),
+        subjects.reports_loss(title).alias("loss"),
+        (own & ~event_rules.mentions_alias(title, F.array_compact(F.array_append(F.coalesce("aliases", F.array().cast("array<string>")), F.col("company"))))).alias("alias_missing"),
+        (own & event_rules.low_signal_title(title)).alias("low_signal"),
+        F.when(own, company).otherwise("").alias("capped"),
+        event_rules.event_tokens(title).alias("tokens"),
+        title_key(title).alias("key"),
         "day",
     )
 
 
-def dedupe_daily(events: DataFrame, reach: list[str]) -> DataFrame:
+def dedupe_daily(events: DataFrame, reach: list[str], aliases: Iterable[str] = ()) -> DataFrame:
     """(ord, fate, twin) of every row, day by day.
 
     ``reach`` names further columns that repeats never cross (a market, a language),
     which bounds a block at scale; the company cap counts inside a block.  The
-    input has ord, url, title, event_type, company, from_title, alias_missing,
-    low_signal and day.
+    input has ord, url, title, event_types, company, companies, is_company, aliases
+    (of its company) and day.
     """
-    rows = _prepared(events, [F.coalesce(F.col("day").cast("string"), F.lit("")).alias("block"), *(F.col(c).alias(f"reach_{c}") for c in reach)])
+    rows = prepared(events, [F.coalesce(F.col("day").cast("string"), F.lit("")).alias("block"), *(F.col(c).alias(f"reach_{c}") for c in reach)], aliases)
     return rows.groupBy("block", *(f"reach_{c}" for c in reach)).applyInPandas(_walk(walk_day), "ord long, fate string, twin long")
 
 
 def dedupe_display(events: DataFrame) -> DataFrame:
     """(ord, fate, twin) of every row: title repeats first, then repeats of one subject.
 
-    Equal titles are found by a window over the title key; the second rule only
-    joins rows of one type and company, which are the blocks.
+    The first row of each title is found by aggregation; the second rule only
+    joins rows of one type and subject, which are the blocks.
     """
-    rows = _prepared(events, []).withColumn("first_ord", F.first("ord").over(Window.partitionBy("key").orderBy("ord")))
-    repeats = rows.filter((F.col("key") != "") & (F.col("first_ord") < F.col("ord"))).select("ord", F.lit("repeat").alias("fate"), F.col("first_ord").alias("twin"))
-    rest = rows.filter((F.col("key") == "") | (F.col("first_ord") == F.col("ord"))).drop("first_ord")
-    grouped = rest.filter((F.col("entity") != "") & F.col("type").isin(*HARD_TYPES, "strategy"))
-    alone = rest.filter(~((F.col("entity") != "") & F.col("type").isin(*HARD_TYPES, "strategy"))).select("ord", F.lit("kept").alias("fate"), F.lit(None).cast("long").alias("twin"))
-    walked = grouped.groupBy("type", "entity").applyInPandas(_walk(walk_display), "ord long, fate string, twin long")
-    return repeats.unionByName(alone).unionByName(walked)
-
+    rows = prepared(events, [], display=True)
+    firsts = rows.filter("key <> ''").groupBy("key").agg(F.min("ord").alias("first_ord"))
+    rows = rows.join(firsts, "key", "left")
+    is_repeat = F.coalesce(F.col("first_ord") < F.col("ord"), F.lit(False))
+    by_subject = (F.col("entity") != "") & F.col("type").isin(*HARD_TYPES, "strategy")
+    schema = "ord long, fate string, twin long"
+    # A row that no later rule reads is a block of its own only in name: it is decided in place.
+    decided = rows.filter(is_repeat | ~by_subject).select("ord", F.when(is_repeat, "repeat").otherwise("kept").alias("fate"), F.when(is_repeat, F.col("first_ord")).alias("twin"))
+    walked = rows.filter(~is_repeat & by_subject).drop("first_ord").groupBy("type", "entity").applyInPandas(_walk(walk_display), schema)
+    return decided.unionByName(walked)

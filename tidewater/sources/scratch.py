@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
@@ -27,3 +27,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/tidewater/{uuid.uuid4().hex}/{name}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and return a scan of it: lineage ends there, and Spark knows its size."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
