@@ -77,7 +77,7 @@ class Encoder:
     #: Marks a chunk that is kept whole; no word holds white space.
     WHOLE = " "
 
-    def __init__(self, path: str, remember: int = 1_000_000, remember_chars: int = 32_000_000) -> None:
+    def __init__(self, path: str, remember: int = 400_000, remember_chars: int = 16_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
