@@ -155,13 +155,27 @@ def evidence_atoms(events: DataFrame, within: list[Column] | None = None, walk_r
     return walked
 
 
-def independence(atoms: DataFrame, group: str) -> DataFrame:
-    """Distinct counts of a group's evidence and whether it may be promoted."""
-    by_source = atoms.groupBy(group, "source").agg(F.count("*").alias("n"))
-    share = by_source.groupBy(group).agg((F.max("n") / F.sum("n")).alias("source_share"))
-    stats = atoms.groupBy(group).agg(
-        F.countDistinct("atom").alias("atoms"), F.countDistinct("company").alias("companies"), F.countDistinct("source").alias("sources"), F.countDistinct("event_type").alias("types"), F.countDistinct("day").alias("days")
+def independence(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct counts of the evidence of each key and whether it may be promoted.
+
+    ``facts`` has ord, atom, event_type, companies, source, source_family, topic and day, one
+    row a report.  An atom's topic is its leader's; blank names do not count.
+    Evidence of one atom, or nearly all from one source on one company and day,
+    is not promoted, nor is what has one of everything.
+    """
+    named = lambda c: F.nullif(F.col(c), F.lit(""))
+    stats = facts.groupBy(*keys).agg(
+        F.count("*").alias("reports"),
+        F.countDistinct("atom").alias("atoms"),
+        F.countDistinct(named("source")).alias("sources"),
+        F.countDistinct(named("source_family")).alias("families"),
+        F.countDistinct(F.coalesce("event_type", F.lit("other"))).alias("types"),
+        F.countDistinct("day").alias("days"),
+        F.countDistinct(F.when(F.col("ord") == F.col("atom"), named("topic"))).alias("topics"),
     )
-    single = (F.col("source_share") > 0.75) & (F.col("sources") < 2) & (F.col("companies") < 2) & (F.col("days") < 2)
-    spread = (F.col("companies") >= 2) | (F.col("sources") >= 2) | (F.col("types") >= 2) | (F.col("days") >= 2)
-    return stats.join(share, group).withColumn("promotable", (F.col("atoms") >= 2) & ~single & spread)
+    companies = facts.select(*keys, F.explode("companies").alias("company")).filter("company <> ''").groupBy(*keys).agg(F.countDistinct("company").alias("companies"))
+    largest = facts.filter("source <> ''").groupBy(*keys, "source").agg(F.count("*").alias("n")).groupBy(*keys).agg(F.max("n").alias("largest"))
+    stats = stats.join(companies, keys, "left").join(largest, keys, "left").withColumn("companies", F.coalesce("companies", F.lit(0)))
+    single = (F.coalesce("largest", F.lit(0)) / F.col("reports") > 0.75) & (F.col("sources") < 2) & (F.col("companies") < 2) & (F.col("days") < 2)
+    spread = F.greatest("companies", "families", "types", "topics", "days") >= 2
+    return stats.withColumn("promotable", (F.col("atoms") >= 2) & ~single & spread).drop("largest")

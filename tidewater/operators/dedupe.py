@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import event_rules, subjects
 from tidewater.functions.event_rules import HARD_TYPES
 from tidewater.functions.text import title_key
+from tidewater.sources.scratch import written
 
 
 def similarity(a: set, b: set) -> float:
@@ -163,7 +164,8 @@ def dedupe_display(events: DataFrame) -> DataFrame:
     The first row of each title is found by aggregation; the second rule only
     joins rows of one type and subject, which are the blocks.
     """
-    rows = prepared(events, [], display=True)
+    # Written, as three branches read it: subjects are found once, and no filter repeats their patterns.
+    rows = written(prepared(events, [], display=True), "reports")
     firsts = rows.filter("key <> ''").groupBy("key").agg(F.min("ord").alias("first_ord"))
     rows = rows.join(firsts, "key", "left")
     is_repeat = F.coalesce(F.col("first_ord") < F.col("ord"), F.lit(False))

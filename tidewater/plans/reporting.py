@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import dates
 from tidewater.functions.text import title_key, tokens
-from tidewater.operators import cluster, dedupe, health, joins, narrative, reports, score, state, windows
+from tidewater.operators import health, joins, narrative, reports, score, state, windows
 from tidewater.plans.contract import _CONTRACT, contract
 from tidewater.sources.fixtures import NEWS_SQL, news, table
 
@@ -22,32 +22,6 @@ def near_duplicate_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.similar_sets(rows, "ord", "tokens", 0.72, "day", 3)
 
 
-def evidence_atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = news(spark, sf_dir).withColumn("companies", F.when(F.col("company").isNotNull(), F.array("company")))
-    return cluster.evidence_atoms(rows)
-
-
-def weekly_themes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per event type: atoms, sources and companies, the promotable ones scored."""
-    rows = news(spark, sf_dir)
-    atoms = cluster.evidence_atoms(rows.withColumn("companies", F.when(F.col("company").isNotNull(), F.array("company"))))
-    stats = cluster.independence(rows.join(atoms, "ord"), "region")
-    points = 4 * F.col("atoms") + 2 * F.col("sources") + F.col("companies")
-    return stats.filter("promotable").select("region", "atoms", "sources", "companies", points.alias("theme_score"), F.when((F.col("atoms") >= 4) & (F.col("sources") >= 2), "high").otherwise("mid").alias("confidence"))
-
-
-def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return news(spark, sf_dir).withColumns({"from_title": F.col("ord") % 2 == 0, "alias_missing": F.col("ord") % 23 == 0})
-
-
-def daily_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.dedupe_daily(_reports(spark, sf_dir), ["region"])
-
-
-def display_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.dedupe_display(_reports(spark, sf_dir))
-
-
 def weekly_narratives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return narrative.narratives(narrative.ranked_clusters(contract(news(spark, sf_dir))))
 
@@ -595,4 +569,4 @@ for _name, _days in (
     ("collection_timing", ("run",)),
 ):
     SQL[_name] = f"select * replace ({', '.join(f'cast({d} as varchar) as {d}' for d in _days)}) from ({SQL[_name]})"
-QUERIES = {name: _plain(globals()[name]) for name in [*SQL, "evidence_atoms", "weekly_themes", "daily_dedupe", "display_dedupe", "weekly_narratives"]}
+QUERIES = {name: _plain(globals()[name]) for name in [*SQL, "weekly_narratives"]}
