@@ -1,10 +1,12 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests_support import near_links, plain_fingerprint, roots
 from tidewater.llm.components import connected_components
+from tidewater.llm import flat_graph_dedup
 from tidewater.llm.flat_graph_dedup import audit_recall, embedding_components
 from tidewater.llm.simhash_tiles import drop_near_duplicates, fingerprint, near_duplicate_texts, simhash_components
 
@@ -163,3 +165,40 @@ def test_one_common_vector(spark, copies):
     frame = spark.range(copies).selectExpr("id as vec_id", "array(1.0, 2.0) as embedding", "1 as label")
     rows = embedding_components(frame).groupBy("n_links", "component_id").count().collect()
     assert [(r["n_links"], r["component_id"], r["count"]) for r in rows] == [(copies - 1, 0, copies)]
+
+
+def diffuse(n, dim, rng):
+    """Pairs at a cosine of 0.93 to 0.96, without any other structure."""
+    x = rng.normal(size=(n // 2, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9301, 0.96, (n // 2, 1))
+    return np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * side])
+
+
+def test_links_between_shards_of_diffuse_vectors_are_found(spark):
+    x = diffuse(4000, 48, np.random.default_rng(9))
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    linked = x @ x.T >= 0.93
+    np.fill_diagonal(linked, False)
+    got = {r["vec_id"]: r["n_links"] for r in embedding_components(frame, shard_rows=100, probes=4).collect()}
+    assert all(got[i] <= n for i, n in enumerate(linked.sum(axis=1)))
+    assert sum(got.values()) >= 0.99 * linked.sum()
+
+
+def test_pruned_lists_are_short_and_lead_everywhere():
+    x = diffuse(600, 16, np.random.default_rng(2))
+    lists = flat_graph_dedup.pruned(x)
+    assert max(map(len, lists)) <= 20
+    similar = x @ x.T
+    for i in range(0, 600, 50):  # no kept neighbour is reached better through an earlier one
+        for n, b in enumerate(lists[i]):
+            assert all(1.2 * np.sqrt(2 - 2 * similar[a, b]) > np.sqrt(2 - 2 * similar[i, b]) for a in lists[i][:n])
+    graph = flat_graph_dedup._adjacency(np.arange(600), pa.array([[]] * 600, pa.list_(pa.int64())), x, 7)
+    reached, front = {7}, {7}
+    while front := {int(j) for i in front for j in graph[i] if j >= 0} - reached:
+        reached |= front
+    assert len(reached) == 600
+    assert [len(p) for p in flat_graph_dedup.pruned(x[:1])] == [0]

@@ -1,18 +1,20 @@
-"""Embedding near-duplicates by exact comparison inside overlapping cells.
-
-Equal vectors are merged first.  Each label's vectors are cut into cells around
-centroids, and a vector joins every cell that the midpoint of one of its links
-could lie in, so both ends of a link share a cell whatever the centroids are.
-Where the vectors are so diffuse that cells would cost more than comparing all
-pairs, the label is one cell.  A cell that grows too large is dealt into all
-pairs of hash parts, which keeps every pair together somewhere.  A task compares
-the rows it holds by cosine in double precision and returns link counts and a
-spanning forest.  Nothing is estimated; on diffuse vectors the work is quadratic
-in the rows of a label.
+"""Embedding near-duplicates through a robust-pruned flat graph.
+
+Equal vectors are merged first.  Each label's vectors are cut into shards around
+centroids, and a vector is a member of its nearest few, so that shards overlap.  In a
+shard every member gets a short list of neighbours, pruned so that none is
+reached better through another; the lists that a vector got in its shards are
+united.  Every vector then searches the shards nearest to it, more than it is a
+member of: from the shard's medoid greedily towards itself, and on through every
+vector found within a range wider than a link.  What is found is verified by
+cosine in double precision.  Recall is audited against brute force on a bounded
+sample, and the search is widened until it holds.
 """
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,10 +22,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import connected_components
+from tidewater.llm.sampling import hash_limit
 from tidewater.llm.simhash_tiles import Forest
 from tidewater.llm.store import written
 
 _SPACE = ["label", "dim"]
+#: Neighbours kept of each vector, of so many nearest and so many drawn; how much nearer a kept neighbour must be to prune another.
+_DEGREE, _NEAREST, _DRAWN, _ALPHA = 20, 48, 12, 1.2
+#: Nodes that a search keeps in view, how many of them it opens at once, and how far below a link it goes on.
+_BEAM, _OPENED, _RANGE = 12, 4, 0.12
 
 
 def _unit_vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -34,87 +41,178 @@ def _unit_vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def midpoint_cells(x: np.ndarray, centre: np.ndarray, least: float) -> np.ndarray:
-    """Boolean (vectors, centroids): the cells that the midpoint of a link of each vector can lie in.
-
-    The midpoint m of a link is within half the link's angle of both ends, at a
-    chord of at most ``2 sin(angle / 4)``.  If m is nearest to centroid c and x to
-    b, then x.(b - c) = m.(b - c) + (x - m).(b - c) <= |x - m| |b - c|.
-    """
-    chord = 2 * np.sin(np.arccos(least) / 4)
-    similar = x @ centre.T
-    own = similar.argmax(axis=1)
-    # From dot products, as the differences themselves would be a cube.
-    square = (centre * centre).sum(axis=1)
-    apart = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * centre @ centre.T, 0))
-    return similar.max(axis=1)[:, None] - similar <= chord * apart[own] + 1e-6
-
-
-def _centroids(least: float):
-    def run(table: pa.Table) -> pa.Table:
-        """Spherical k-means on the sample of one label; no centroids where cells save nothing."""
-        x = _unit_vectors(table.column("vec"))
-        k = min(int(table.column("shards")[0].as_py()), len(x))
-        centre = x[:k].copy()
-        for _ in range(6):
-            mine = (x @ centre.T).argmax(axis=1)
-            total = np.zeros_like(centre)
-            np.add.at(total, mine, x)
-            size = np.sqrt((total * total).sum(axis=1, keepdims=True))
-            centre = np.where(size > 0, total / np.where(size > 0, size, 1), centre)
-        if (midpoint_cells(x, centre, least).mean(axis=0) ** 2).sum() >= 1:
-            k, centre = 0, centre[:0]
-        label, dim = table.column("label")[0].as_py(), table.column("dim")[0].as_py()
-        return pa.table({"label": pa.array([label] * k, pa.string()), "dim": pa.array([dim] * k, pa.int32()), "centre": pa.array(list(centre), pa.list_(pa.float64()))})
-
-    return run
+def _centroids(table: pa.Table) -> pa.Table:
+    """Spherical k-means on the sample of one label."""
+    x = _unit_vectors(table.column("vec"))
+    k = min(int(table.column("shards")[0].as_py()), len(x))
+    centre = x[:k].copy()
+    for _ in range(6):
+        mine = (x @ centre.T).argmax(axis=1)
+        total = np.zeros_like(centre)
+        np.add.at(total, mine, x)
+        size = np.sqrt((total * total).sum(axis=1, keepdims=True))
+        centre = np.where(size > 0, total / np.where(size > 0, size, 1), centre)
+    label, dim = table.column("label")[0].as_py(), table.column("dim")[0].as_py()
+    return pa.table({"label": pa.array([label] * k, pa.string()), "dim": pa.array([dim] * k, pa.int32()), "centre": pa.array(list(centre), pa.list_(pa.float64()))})
 
 
-def _cells(centres: dict, least: float):
-    """Give each vector the numbers of its cells (0 where its label has but one)."""
+def _nearest(centres: dict, most: int):
+    """Give each vector the numbers of its nearest shards, best first (0 where its label has but one)."""
 
     def run(batches):
         for batch in batches:
             cells: list = [[0]] * batch.num_rows
-            space = list(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True))
             rows: dict = {}
-            for i, s in enumerate(space):
+            for i, s in enumerate(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True)):
                 if s in centres:
                     rows.setdefault(s, []).append(i)
             for s, mine in rows.items():
-                joined = midpoint_cells(_unit_vectors(batch.column("vec").take(pa.array(mine))), centres[s], least)
-                for i, row in zip(mine, joined, strict=True):
-                    cells[i] = np.flatnonzero(row).tolist()
+                similar = _unit_vectors(batch.column("vec").take(pa.array(mine))) @ centres[s].T
+                for i, row in zip(mine, np.argsort(-similar, axis=1, kind="stable")[:, :most], strict=True):
+                    cells[i] = row.tolist()
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("dim"), batch.column("head"), pa.array(cells, pa.list_(pa.int32()))], names=["label", "dim", "head", "cells"])
 
     return run
 
 
-def _compare(least: float):
+def pruned(x: np.ndarray) -> list[np.ndarray]:
+    """Neighbours of each of the unit vectors: the nearest first, none that a nearer one leads to.
+
+    Of the nearest and some drawn ones (which make long steps possible), the best that is left
+    is kept again and again, and those are struck out that lie closer to it, by the
+    factor ``_ALPHA``, than to the vector itself.
+    """
+    n = len(x)
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (x @ x.T)))
+    np.fill_diagonal(apart, np.inf)
+    near = np.argpartition(apart, min(_NEAREST, n - 1) - 1, axis=1)[:, : min(_NEAREST, n - 1)] if n > 1 else np.zeros((n, 0), int)
+    # Drawn by place, so that reruns agree.
+    drawn = (np.arange(n)[:, None] + np.random.default_rng(n).integers(1, max(2, n), (n, _DRAWN))) % n if n > 1 else near
+    options = np.concatenate([near, drawn], axis=1)
+    rows = np.arange(n)
+    far = np.take_along_axis(apart, options, 1)
+    options = np.take_along_axis(options, np.argsort(far, axis=1, kind="stable"), 1)
+    far = np.take_along_axis(apart, options, 1)
+    left = np.isfinite(far)
+    kept: list[list[int]] = [[] for _ in range(n)]
+    for _ in range(_DEGREE):
+        has = left.any(axis=1)
+        if not has.any():
+            break
+        pick = options[rows, left.argmax(axis=1)]
+        for i in np.flatnonzero(has).tolist():
+            kept[i].append(int(pick[i]))
+        between = apart[pick[:, None], options]
+        between[options == pick[:, None]] = 0.0
+        left &= ~(_ALPHA * between <= far) & has[:, None]
+    return [np.array(k, int) for k in kept]
+
+
+def _build(table: pa.Table) -> pa.Table:
+    heads = table.column("head").to_numpy()
+    order = np.argsort(heads, kind="stable")
+    heads, x = heads[order], _unit_vectors(table.column("vec").take(pa.array(order)))
+    return pa.table({"head": heads, "near": pa.array([heads[k] for k in pruned(x)], pa.list_(pa.int64()))})
+
+
+def _adjacency(heads: np.ndarray, lists: pa.ListArray, x: np.ndarray, start: int) -> np.ndarray:
+    """Neighbours among the members, in both directions, as rows filled up with -1; all are reached from ``start``."""
+    owner, other = pc.list_parent_indices(lists).to_numpy(), pc.list_flatten(lists).to_numpy()
+    place = np.minimum(np.searchsorted(heads, other), len(heads) - 1)
+    here = heads[place] == other
+    pairs = np.stack([owner[here], place[here]])
+    pairs = np.unique(np.concatenate([pairs, pairs[::-1]], axis=1), axis=1)
+    while True:
+        sizes = np.bincount(pairs[0], minlength=len(heads))
+        table = np.full((len(heads), max(1, int(sizes.max(initial=0)))), -1)
+        table[pairs[0], np.arange(pairs.shape[1]) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = pairs[1]
+        reached, front = np.zeros(len(heads), bool), np.array([start])
+        while len(front):
+            reached[front] = True
+            front = np.unique(table[front])
+            front = front[(front >= 0) & ~reached[front]]
+        lost, known = np.flatnonzero(~reached), np.flatnonzero(reached)
+        if not len(lost):
+            return table
+        # Each that is not reached hangs on the most similar that is.
+        best = known[(x[lost] @ x[known].T).argmax(axis=1)]
+        pairs = np.unique(np.concatenate([pairs, [best, lost], [lost, best]], axis=1), axis=1)
+
+
+def search(x: np.ndarray, table: np.ndarray, start: int, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, member) pairs of cosine ``least`` or more that the search from ``start`` comes by."""
+    seen = np.full((len(q), len(x)), -np.inf, np.float32)
+    opened = np.zeros(seen.shape, bool)
+    seen[:, start] = q @ x[start]
+    while True:
+        # Greedy: the best of the beam that are not opened; range: all within reach.
+        beam = min(_BEAM, len(x))
+        bar = np.partition(seen, -beam, axis=1)[:, -beam]
+        todo = ~opened & (seen > -np.inf)
+        ahead = np.where(todo & (seen >= bar[:, None]), seen, -np.inf)
+        if ahead.shape[1] > _OPENED:
+            cut = np.partition(ahead, -_OPENED, axis=1)[:, -_OPENED]
+            ahead = np.where(ahead >= cut[:, None], ahead, -np.inf)
+        i, j = np.nonzero((ahead > -np.inf) | (todo & (seen >= least - _RANGE)))
+        if not len(i):
+            break
+        opened[i, j] = True
+        near = table[j]
+        i = np.repeat(i, near.shape[1])
+        j = near.ravel()
+        fresh = j >= 0
+        i, j = i[fresh], j[fresh]
+        key = np.unique((i * len(x) + j)[seen[i, j] == -np.inf])
+        for at in range(0, len(key), 1 << 16):
+            a, b = np.divmod(key[at : at + (1 << 16)], len(x))
+            seen[a, b] = np.einsum("ij,ij->i", q[a], x[b])
+    i, j = np.nonzero(seen >= least - 1e-4)
+    exact = np.concatenate([np.einsum("ij,ij->i", q[i[a:b]], x[j[a:b]]) for a, b in pairwise([*range(0, len(i), 1 << 16), len(i)])]) if len(i) else np.zeros(0)
+    return i[exact >= least], j[exact >= least]
+
+
+def _padded(column, width: int) -> np.ndarray:
+    made = np.full((len(column), width), -1)
+    for row, cells in zip(made, column.to_pylist(), strict=True):
+        row[: len(cells)] = cells
+    return made
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least number that rows of both have, or a large one."""
+    shared = (a[:, :, None] == b[:, None, :]) & (a >= 0)[:, :, None]
+    return np.where(shared.any(axis=2), a, 1 << 40).min(axis=1, initial=1 << 40)
+
+
+def _find(least: float, member: int):
+    """Search one shard: link counts of both ends of what is found, and a spanning forest."""
+
     def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("head").to_numpy(), kind="stable")
-        table = table.take(pa.array(order))
-        heads, copies = table.column("head").to_numpy(), table.column("copies").to_numpy()
-        x, n = _unit_vectors(table.column("vec")), table.num_rows
-        mine = table.column("unit")[0].as_py()
-        # A pair that shares several units counts in the least of them only.
-        units = table.column("units").combine_chunks()
-        row, unit = pc.list_parent_indices(units).to_numpy(), pc.list_flatten(units).to_numpy()
-        row, unit = row[unit < mine], unit[unit < mine]
-        lesser, column = np.unique(unit, return_inverse=True)
-        shared = np.zeros((n, len(lesser)), np.float32)
-        shared[row, column] = 1
-        forest, total = Forest(n), np.zeros(n, np.int64)
-        for at in range(0, n, 512):
-            linked = np.triu(x[at : at + 512] @ x[at:].T >= least, 1)
-            i, j = np.nonzero(linked)
-            forest.link(i + at, j + at)
-            if len(lesser):
-                linked &= shared[at : at + 512] @ shared[at:].T == 0
-            i, j = np.nonzero(linked)
-            i, j = i + at, j + at
-            for a, b in ((i, j), (j, i)):
-                total += np.bincount(a, weights=copies[b], minlength=n).astype(np.int64)
+        table = table.take(pa.array(np.argsort(table.column("head").to_numpy(), kind="stable")))
+        heads, copies, cell = table.column("head").to_numpy(), table.column("copies").to_numpy(), table.column("cell")[0].as_py()
+        x, asked = _unit_vectors(table.column("vec")), _padded(table.column("cells"), max(1, max(map(len, table.column("cells").to_pylist()))))
+        own = asked[:, :member]
+        mine = np.flatnonzero(table.column("is_member").to_numpy(zero_copy_only=False))
+        forest, total = Forest(len(heads)), np.zeros(len(heads), np.int64)
+        if len(mine):
+            inside = x[mine]
+            start = int((inside @ inside.mean(axis=0)).argmax())
+            lists = table.column("near").combine_chunks().take(pa.array(mine))
+            graph = _adjacency(heads[mine], lists, inside, start)
+            step = max(1, (1 << 21) // len(mine))
+            pairs = []
+            for at in range(0, len(heads), step):
+                i, j = search(inside, graph, start, x[at : at + step], least)
+                i, j = i + at, mine[j]
+                forest.link(i, j)
+                pairs.append(np.unique(np.minimum(i, j) * len(heads) + np.maximum(i, j)))
+            a, b = np.divmod(np.unique(np.concatenate(pairs)), len(heads))
+            for part in range(0, len(a), 1 << 16):
+                i, j = a[part : part + (1 << 16)], b[part : part + (1 << 16)]
+                # A pair that several shards may find counts in the least of them only.
+                counts = (i != j) & (np.minimum(_common(asked[i], own[j]), _common(asked[j], own[i])) == cell)
+                for c, d in ((i[counts], j[counts]), (j[counts], i[counts])):
+                    total += np.bincount(c, weights=copies[d], minlength=len(heads)).astype(np.int64)
         return pa.table({"head": heads, "links": total, "root": heads[forest.root]})
 
     return run
@@ -137,6 +235,47 @@ def comparable(vectors: DataFrame, id_col: str, vector_col: str, label_col: str)
     return prepared(vectors, id_col, vector_col, label_col).filter("vec is not null")
 
 
+def _found(heads: DataFrame, near: DataFrame, united: DataFrame, crowd: DataFrame, least: float, overlap: int, probes: int) -> DataFrame:
+    """(head, links, root) of searches in the ``probes`` nearest shards of every vector."""
+    cells = near.withColumn("cells", F.slice("cells", 1, probes))
+    placed = heads.join(cells.select("head", "cells"), "head").join(united, "head", "left").select("*", F.posexplode("cells").alias("nth", "cell"))
+    placed = placed.join(crowd, [*_SPACE, "cell"]).withColumns({"own": F.pmod(F.xxhash64("head"), F.col("parts")), "part": F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))})
+    placed = placed.withColumn("is_member", (F.col("nth") < overlap) & (F.col("part") == F.col("own")))
+    rows = placed.select(*_SPACE, "cell", "part", "head", "copies", "vec", "cells", "is_member", F.when(F.col("is_member"), F.coalesce("near", F.array().cast("array<long>"))).alias("near"))
+    return written(rows.groupBy(*_SPACE, "cell", "part").applyInArrow(_find(least, overlap), "head long, links long, root long"), "searched")
+
+
+def _sampled_recall(heads: DataFrame, found: DataFrame, least: float, rows: int) -> float:
+    """Found links over true links of some ``rows`` vectors by hash, against all vectors by brute force."""
+    size = heads.count()
+    asked = heads.filter(F.xxhash64("head") <= hash_limit(rows, size)).orderBy(F.xxhash64("head")).limit(rows).select(*_SPACE, "head", "vec").toArrow()  # bounded by ``rows``
+    if not asked.num_rows:
+        return 1.0
+    queries: dict = {}
+    for n, s in enumerate(zip(asked.column("label").to_pylist(), asked.column("dim").to_pylist(), strict=True)):
+        queries.setdefault(s, []).append(n)
+    vectors = {s: _unit_vectors(asked.column("vec").take(pa.array(at))) for s, at in queries.items()}
+    ids = asked.column("head").to_numpy()
+
+    def true(batches):
+        for batch in batches:
+            total = np.zeros(len(ids), np.int64)
+            rows_of: dict = {}
+            for i, s in enumerate(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist(), strict=True)):
+                if s in queries:
+                    rows_of.setdefault(s, []).append(i)
+            heads_, copies = batch.column("head").to_numpy(), batch.column("copies").to_numpy()
+            for s, mine in rows_of.items():
+                linked = vectors[s] @ _unit_vectors(batch.column("vec").take(pa.array(mine))).T >= least
+                linked &= ids[queries[s]][:, None] != heads_[mine][None]
+                total[queries[s]] += linked @ copies[mine]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["head", "links"])
+
+    wanted = heads.select(*_SPACE, "head", "copies", "vec").mapInArrow(true, "head long, links long").agg(F.sum("links")).first()[0] or 0
+    got = found.join(F.broadcast(heads.sparkSession.createDataFrame([(int(i),) for i in ids], "head long")), "head").agg(F.sum("links")).first()[0] or 0
+    return got / wanted if wanted else 1.0
+
+
 def embedding_components(
     vectors: DataFrame,
     id_col: str = "vec_id",
@@ -144,9 +283,13 @@ def embedding_components(
     label_col: str = "label",
     *,
     least: float = 0.93,
-    shard_rows: int = 400,
-    max_centroids: int = 2048,
-    sample_rows: int = 4096,
+    shard_rows: int = 500,
+    max_centroids: int = 16_384,
+    sample_rows: int = 8192,
+    overlap: int = 3,
+    probes: int = 8,
+    recall: float = 0.995,
+    audit_rows: int = 500,
 ) -> DataFrame:
     """One row per input row: id, n_links, component_id, kept.
 
@@ -158,12 +301,15 @@ def embedding_components(
     id are told apart by label and vector.  An empty table gives an empty result.
 
     ``sample_rows`` per label fit at most ``max_centroids`` centroids (which are
-    broadcast), about one for ``shard_rows`` vectors; a task compares at most some
-    ten times ``shard_rows`` vectors.  None of these changes the result.
+    broadcast), about one for ``shard_rows`` vectors.  A vector is a member of its
+    ``overlap`` nearest shards and searches its ``probes`` nearest, twice as many
+    while the audit of ``audit_rows`` vectors finds less than ``recall`` of their
+    links, up to all.  A shard of more than four times ``overlap * shard_rows`` members is searched in parts.
+    Every link that is returned is verified; some may be missed.
     """
     everything = prepared(vectors, id_col, vector_col, label_col)
     usable = everything.filter("vec is not null")
-    heads = written(usable.groupBy(*_SPACE, "vec").agg(F.min("id").alias("head"), F.count("*").alias("copies")), "vectors")
+    heads = written(usable.groupBy(*_SPACE, "vec").agg(F.min("id").alias("first"), F.count("*").alias("copies")).withColumn("head", F.monotonically_increasing_id()), "vectors")
 
     total = heads.count()
     per_shard = max(shard_rows, -(-total // max_centroids))
@@ -171,30 +317,36 @@ def embedding_components(
     # Only hashes low enough to be among the sample are ranked, so the ranking task does not grow with its label.
     most = 2.0 * sample_rows + 1000
     limit = F.when(F.col("size") <= most, F.lit((1 << 63) - 1)).otherwise((F.lit(most) / F.col("size") * 2.0**64 - 2.0**63).cast("long"))
-    low = heads.withColumn("hash", F.xxhash64("head")).join(sizes, _SPACE).filter(F.col("hash") <= limit)
-    ranked = low.withColumn("nth", F.row_number().over(Window.partitionBy(*_SPACE).orderBy("hash", "head")))
-    fitted = ranked.filter(F.col("nth") <= sample_rows).groupBy(*_SPACE).applyInArrow(_centroids(least), "label string, dim int, centre array<double>")
+    low = heads.withColumn("hash", F.xxhash64("vec")).join(sizes, _SPACE).filter(F.col("hash") <= limit)
+    ranked = low.withColumn("nth", F.row_number().over(Window.partitionBy(*_SPACE).orderBy("hash", "first")))
+    fitted = ranked.filter(F.col("nth") <= sample_rows).groupBy(*_SPACE).applyInArrow(_centroids, "label string, dim int, centre array<double>")
     centres: dict = {}
     for r in fitted.collect():  # at most max_centroids + one per label with several shards
         centres.setdefault((r["label"], r["dim"]), []).append(r["centre"])
     centres = {k: np.array(v) for k, v in centres.items()}
-
-    cells = heads.select(*_SPACE, "head", "vec").mapInArrow(_cells(centres, least), "label string, dim int, head long, cells array<int>")
-    cells = written(cells.select(*_SPACE, "head", F.explode("cells").alias("cell")), "cells")
-    crowd = cells.groupBy(*_SPACE, "cell").agg(F.ceil(F.count("*") / (5 * shard_rows)).alias("halves"))
-    half = F.pmod(F.xxhash64("head"), F.col("halves"))
-    placed = cells.join(crowd, [*_SPACE, "cell"]).withColumn("half", half).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("halves") - 1)))
-    unit = F.xxhash64(*_SPACE, "cell", F.least("half", "other"), F.greatest("half", "other"))
-    units = placed.groupBy("head").agg(F.sort_array(F.collect_set(unit)).alias("units"))
-    members = written(heads.join(units, "head").select("head", "copies", "vec", "units"), "members")
-
-    searched = members.withColumn("unit", F.explode("units")).groupBy("unit").applyInArrow(_compare(least), "head long, links long, root long")
-    searched = written(searched, "searched")
+    widest = max((len(c) for c in centres.values()), default=1)
+
+    def nearest(n: int) -> DataFrame:
+        return written(heads.select(*_SPACE, "head", "vec").mapInArrow(_nearest(centres, n), "label string, dim int, head long, cells array<int>"), "cells")
+
+    near = nearest(probes)
+    members = near.select(*_SPACE, "head", F.explode(F.slice("cells", 1, overlap)).alias("cell"))
+    crowd = members.groupBy(*_SPACE, "cell").agg(F.ceil(F.count("*") / (4 * overlap * shard_rows)).alias("parts"))
+    crowd = written(crowd, "crowd")
+    placed = members.join(crowd, [*_SPACE, "cell"]).withColumn("part", F.pmod(F.xxhash64("head"), "parts")).join(heads.select("head", "vec"), "head")
+    lists = placed.groupBy(*_SPACE, "cell", "part").applyInArrow(_build, "head long, near array<long>")
+    united = written(lists.groupBy("head").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")  # at most overlap * _DEGREE of a vector
+
+    searched = _found(heads, near, united, crowd, least, overlap, probes)
+    while probes < widest and _sampled_recall(heads, searched, least, audit_rows) < recall:
+        probes *= 2
+        searched = _found(heads, nearest(probes), united, crowd, least, overlap, probes)
     groups = connected_components(searched, "head", "root")
 
     links = searched.groupBy("head").agg(F.sum("links").alias("links"))
-    of_head = heads.join(links, "head", "left").join(groups, F.col("head") == F.col("node"), "left")
-    of_head = of_head.select(*_SPACE, "vec", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "head").alias("component_id"))
+    of_head = heads.join(links, "head", "left").join(groups, F.col("head") == F.col("node"), "left").withColumn("group", F.coalesce("component", "head"))
+    firsts = of_head.groupBy("group").agg(F.min("first").alias("component_id"))
+    of_head = of_head.join(firsts, "group").select(*_SPACE, "vec", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
     out = everything.join(of_head, [*_SPACE, "vec"], "left").select("id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
