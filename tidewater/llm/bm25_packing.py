@@ -236,20 +236,26 @@ class Index:
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float) -> None:
         found = [distinct_terms(x) for x in ids]
         self.sizes = np.array([len(x) for x in ids])
-        self.idf = idf
-        self.own = found
         doc = np.repeat(np.arange(len(ids)), [len(t) for t, _ in found])
         term = np.concatenate([t for t, _ in found])
         tf = np.concatenate([c for _, c in found]).astype(np.float64)
         weight = idf[term] * tf * (_K1 + 1) / (tf + _K1 * (1 - _B + _B * self.sizes[doc] / mean))
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
-        self.at = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=TERMS))])
+        many = np.bincount(term, minlength=TERMS)
+        self.at = np.concatenate([[0], np.cumsum(many)])
+        # A term that no other document has scores the seed alone, which is never asked for.
+        shared = many[term] > 1
+        self.own = np.split(term[shared].astype(np.int64), np.cumsum(np.bincount(doc[shared], minlength=len(ids)))[:-1])
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document for all different terms of the seed."""
-        spans = [slice(self.at[t], self.at[t + 1]) for t in self.own[seed][0].tolist()]
-        return np.bincount(np.concatenate([self.doc[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), len(self.sizes))
+        """BM25 of every other document for all different terms of the seed."""
+        terms_ = self.own[seed]
+        first = self.at[terms_]
+        sizes = self.at[terms_ + 1] - first
+        # The places of all postings, run after run.
+        place = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.bincount(self.doc[place], self.weight[place], len(self.sizes))
 
 
 def _greedy(sizes: np.ndarray, room: int, slack: int) -> tuple[list[int], int]:
