@@ -42,13 +42,13 @@ def rolling(stream: DataFrame, time: str = "ts", length: str = "7 days", step: s
 
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     first, last, refs, bought, promoted = state.get if state.exists else (None, None, 0, 0, False)
-    for batch in batches:
-        for ts, kind in sorted(zip(batch["ts"], batch["event_type"], strict=True)):
-            if promoted:  # a promoted candidate never changes
-                break
-            first, last, refs = first or ts, ts if last is None or ts > last else last, refs + 1
-            bought += kind == "purchase"
-            promoted = bought >= 5
+    # A key's rows of a trigger may come in several batches; they are put in order together.
+    for ts, kind in sorted(row for batch in batches for row in zip(batch["ts"], batch["event_type"], strict=True)):
+        if promoted:  # a promoted candidate never changes
+            break
+        first, last, refs = first or ts, ts if last is None or ts > last else last, refs + 1
+        bought += kind == "purchase"
+        promoted = bought >= 5
     state.update((first, last, refs, bought, promoted))
     yield pd.DataFrame({"user_id": [key[0]], "first_seen": [first], "last_seen": [last], "refs": [refs], "status": ["promoted" if promoted else "accumulating"]})
 
