@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.plans import contract, evidence, headlines, reporting, streaming
+from tidewater.plans import contract, evidence, headlines, pages, reporting, streaming
 
-_MODULES = (contract, reporting, headlines, evidence, streaming)
+_MODULES = (contract, reporting, headlines, evidence, pages, streaming)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -118,16 +118,18 @@ def article_date(url: Column, title: Column, body: Column, observed: Column, sla
     """
     full = dates.date_in_text(body)
     options = [(dates.date_in_url(url), "url_path", "high"), (dates.date_in_text(title), "title_text", "medium"), (full, "body_text", "low"), (F.when(full.isNull(), recent_month_day(body, observed)), "body_month_day", "low")]
+    found = F.array_compact(F.array(*(F.when(day.isNotNull(), F.struct(day.alias("day"), F.lit(basis).alias("basis"), F.lit(sure).alias("confidence"))) for day, basis, sure in options)))
     latest = F.date_add(observed, slack_days)
 
-    def pick(keep) -> Column:
-        return F.coalesce(*(F.when(keep(day), F.struct(day.alias("day"), F.lit(basis).alias("basis"), F.lit(sure).alias("confidence"))) for day, basis, sure in options))
-
-    good, late = pick(lambda d: d <= latest), pick(lambda d: d > latest)
-    either = F.coalesce(good, late)
-    return F.struct(
-        good["day"].alias("published_at"),
-        F.when(good.isNull(), late["day"]).alias("scheduled_at"),
-        F.coalesce(either["basis"], F.lit("observed_at")).alias("basis"),
-        F.coalesce(either["confidence"], F.lit("observed")).alias("confidence"),
-    )
+    def decided(candidates: Column) -> Column:
+        good = F.try_element_at(F.filter(candidates, lambda c: c["day"] <= latest), F.lit(1))
+        either = F.coalesce(good, F.try_element_at(candidates, F.lit(1)))
+        return F.struct(
+            good["day"].alias("published_at"),
+            F.when(good.isNull(), either["day"]).alias("scheduled_at"),
+            F.coalesce(either["basis"], F.lit("observed_at")).alias("basis"),
+            F.coalesce(either["confidence"], F.lit("observed")).alias("confidence"),
+        )
+
+    # An array of one binds the candidates, so that each date is read once and not once a field.
+    return F.element_at(F.transform(F.array(found), decided), 1)

@@ -175,10 +175,12 @@ def changelog_items(pages: DataFrame, as_of: str, words: Iterable[str] = CHANGEL
     lower = F.lower("title")
     allowed = (F.col("position") < scanned) & F.length("title").between(shortest, longest) & same_host(F.col("link"), F.col("url"))
     rows = anchors.filter(allowed & has_substring(lower, words) & ~has_substring(F.lower("link"), SKIPPED_ADDRESSES))
-    tried = F.transform("dates", lambda text: subjects.article_date(F.col("link"), F.col("title"), text, observed))
-    rows = rows.withColumn("tried", tried)
-    meta = F.coalesce(F.try_element_at(F.filter("tried", lambda m: m["published_at"].isNotNull()), F.lit(1)), F.element_at("tried", -1))
-    rows = rows.withColumn("meta", meta).filter(is_recent(F.col("meta.published_at"), observed, days))
+    # A row for each text that differs from those inside it, so that its date is read once.
+    tried = rows.select("page_id", "position", "title", "link", F.posexplode(F.array_distinct("dates")).alias("above", "text"))
+    tried = tried.withColumn("meta", subjects.article_date(F.col("link"), F.col("title"), F.col("text"), observed))
+    known = F.min_by("meta", F.when(F.col("meta.published_at").isNotNull(), F.col("above")))
+    rows = tried.groupBy("page_id", "position", "title", "link").agg(F.coalesce(known, F.max_by("meta", "above")).alias("meta"))
+    rows = rows.filter(is_recent(F.col("meta.published_at"), observed, days))
     once = rows.withColumn("nth", F.row_number().over(Window.partitionBy("page_id", "link").orderBy("position"))).filter("nth = 1")
     ranked = once.withColumn("nth", F.row_number().over(Window.partitionBy("page_id").orderBy("position"))).filter(F.col("nth") <= most)
     return ranked.select("page_id", "position", "title", "link", "meta.published_at", "meta.scheduled_at", "meta.basis", "meta.confidence")
