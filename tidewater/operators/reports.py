@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -52,7 +52,10 @@ def signal_clusters(rows: DataFrame, as_of: str, days: int, focus: str) -> DataF
     """
     recent = rows.filter((F.col("day") > F.date_sub(F.lit(as_of).cast("date"), days)) & (F.col("day") <= F.lit(as_of).cast("date")))
     eligible = recent.filter("event_type <> 'other' and not needs_review and relevance >= 2")
-    best = F.slice(F.sort_array(F.collect_list("score"), asc=False), 1, 3)
+    keys = ["region", "event_type", "topic"]
+    # Three scores of a cluster leave a task, however many it has.
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score")))
+    best = eligible.filter("score is not null").withColumn("nth", nth).filter("nth <= 3").groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.sum("score").cast("int").alias("top_scores"))
     grouped = eligible.groupBy("region", "event_type", "topic").agg(
         F.count("*").alias("events"),
         F.countDistinct("company").alias("companies"),
@@ -63,8 +66,8 @@ def signal_clusters(rows: DataFrame, as_of: str, days: int, focus: str) -> DataF
         F.max(F.col("tier") == "L1").alias("official"),
         F.max("score").alias("best_score"),
         F.max(F.col("day") == F.lit(focus).cast("date")).alias("has_focus"),
-        F.aggregate(best, F.lit(0), lambda s, x: s + x).alias("top_scores"),
     )
+    grouped = grouped.join(best, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left").withColumn("top_scores", F.coalesce("top_scores", F.lit(0)))
     flags = [F.col("companies") >= 2, F.col("sources") >= 2, F.col("days") >= 2, F.col("any_high"), F.col("direct") >= 2, F.col("official"), F.col("best_score") >= 7]
     count = sum((F.coalesce(f, F.lit(False)).cast("int") for f in flags), F.lit(0))
     scored = grouped.withColumn("flags", count).filter("events >= 2 and flags >= 2 and direct > 0")
@@ -85,3 +88,46 @@ def observed_status(points: DataFrame) -> DataFrame:
         .otherwise("quiet")
     )
     return points.groupBy("entity").agg(F.count("*").alias("points"), of("active").alias("active_points"), folded.alias("entity_status"))
+
+
+def signal_key(event_type: Column, triggers: Column, direction: Column) -> Column:
+    """The kind of window that an event belongs to: by its type, else its triggers, else its direction."""
+    triggers = F.coalesce(triggers, F.array().cast("array<string>"))
+    head = F.trim(F.substring_index(F.coalesce(direction, F.lit("")), "/", 1))
+    return (
+        F.when(event_type.isin("funding", "ma", "earnings"), event_type)
+        .when(F.arrays_overlap(triggers, F.array(F.lit("扩张窗口"), F.lit("生态窗口"))), "expansion")
+        .when(F.array_contains(triggers, "合规窗口"), "compliance")
+        .when(head.contains("支付"), "payment")
+        .when(head.contains("云") | head.contains("AI") | head.contains("基础设施"), "ai_infra")
+        .otherwise("strategy")
+    )
+
+
+def focus_windows(rows: DataFrame, limit: int = 3) -> DataFrame:
+    """The ``limit`` best (region, signal) windows of each period: events, objects, high, confidence and score.
+
+    ``rows`` has ord, period, region, event_type, triggers, direction, object, source, day, priority
+    (高, 中, 观察), high_value, is_google, mainline and score.  A window needs two events
+    from more than one object, source or day.  Events of no type, of search feeds and off
+    the main line do not count, nor do those without priority unless their type is hard.
+    The first four objects are named, best event first.
+    """
+    told = rows.filter("event_type <> 'other' and not is_google and mainline").withColumn("region", F.coalesce(F.nullif("region", F.lit("")), F.lit("多地区")))
+    told = told.filter(F.col("high_value") | F.col("priority").isin("高", "中") | F.col("event_type").isin("funding", "ma", "earnings"))
+    told = told.withColumn("signal", signal_key(F.col("event_type"), F.col("triggers"), F.col("direction")))
+    keys = ["period", "region", "signal"]
+    sure = (F.col("priority") == "高") | F.col("high_value")
+    named = F.nullif("object", F.lit(""))
+    grouped = told.groupBy(*keys).agg(F.count("*").alias("events"), F.countDistinct(named).alias("objects"), F.countDistinct(F.nullif("source", F.lit(""))).alias("sources"), F.countDistinct("day").alias("days"), F.count_if(sure).alias("high"))
+    grouped = grouped.filter("events >= 2 and (objects >= 2 or sources >= 2 or days >= 2)")
+    rank = F.when(F.col("priority") == "高", 3).when(F.col("priority") == "中", 2).otherwise(1)
+    place = F.struct((-rank).alias("rank"), (-F.col("score")).alias("score"), (-F.unix_date("day")).alias("day"), "ord")
+    first = told.filter(named.isNotNull()).groupBy(*keys, "object").agg(F.min(place).alias("place"))
+    first = first.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("place"))).filter("nth <= 4")
+    names = first.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", "object"))), lambda o: o["object"]), "、").alias("names"))
+    confidence = F.when((F.col("events") >= 4) & (F.col("high") >= 2), "高").when(F.col("high") > 0, "中").otherwise("观察")
+    scored = grouped.join(names, keys, "left").withColumns({"confidence": confidence, "window_score": 3 * F.col("events") + 5 * F.col("high") + F.col("objects"), "names": F.coalesce("names", "region")})
+    order = Window.partitionBy("period").orderBy((F.col("confidence") == "高").desc(), F.desc("window_score"), F.desc("events"), "region", "signal")
+    ranked = scored.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)
+    return ranked.select("period", "place", "region", "signal", "names", "events", "objects", "high", "confidence", "window_score")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators import changes, cluster, dedupe
+from tidewater.operators import changes, cluster, dedupe, reports
 from tidewater.plans.headlines import HEADLINES_SQL, _key_sql, _subject_sql, headlines
 from tidewater.sources.fixtures import NEWS_SQL, news
 
@@ -65,6 +65,17 @@ def market_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.atom_changes(_changing(spark, sf_dir), "nation", 28, "2022-01-01")
 
 
+def weekly_focus_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best windows of every week of headlines."""
+    k, rows = F.col("ord"), headlines(spark, sf_dir)
+    week = F.concat(F.extract(F.lit("YEAROFWEEK"), "day").cast("string"), F.lit("-W"), F.lpad(F.weekofyear("day").cast("string"), 2, "0"))
+    triggers = F.when(k % 10 == 1, F.array(F.lit("生态窗口"))).when(k % 10 == 2, F.array(F.lit("别的"), F.lit("合规窗口")))
+    direction = F.when(k % 6 == 0, "支付/持续").when(k % 6 == 1, "AI 算力 / 云").when(k % 6 == 2, "其他/支付")
+    rows = rows.withColumns({"period": week, "region": F.substring("nation", 1, 8), "triggers": triggers, "direction": direction, "object": F.coalesce("company", F.substring("title", 1, 18)), "source": F.coalesce("tier", "source")})
+    rows = rows.withColumns({"priority": F.when(k % 8 == 0, "高").when(k % 8 < 3, "中").otherwise("观察"), "high_value": k % 9 == 0, "is_google": k % 13 == 0, "mainline": k % 17 != 0, "score": (k % 11).cast("int")})
+    return reports.focus_windows(rows)
+
+
 _FACT_STOP = "['the', 'a', 'an', 'to', 'for', 'of', 'in', 'on', 'and', 'with', 'from', 'raises', 'raised', 'funding', 'acquires', 'acquire', 'acquisition', 'launches', 'launch', 'announces', 'new', 'company', 'startup', 'report']"
 _FACT_TOKENS = f"list_distinct([t for t in regexp_extract_all(lower(title), '[a-z0-9][a-z0-9.+-]*|[\\x{{4e00}}-\\x{{9fff}}]{{2,}}') if len(t) > 1 and not list_contains({_FACT_STOP}, t)])"
 _TITLE_STOP = "['the', 'and', 'for', 'with', 'from', 'into', 'over', 'under', 'amid', 'after', 'before', 'across', 'through', 'about', 'says', 'report', 'reports', 'reported', 'launch', 'launches', 'launched', 'announces', 'announced', 'latest', 'today', 'week', 'news', 'update', 'live', 'analysis', 'opinion']"
@@ -199,6 +210,24 @@ walk as (
   from walk w join numbered n on n.block = w.block and n.i = w.i + 1)
 select ord, case when first_ord < ord or twin is not null then 'repeat' else 'kept' end as fate, case when first_ord < ord then first_ord else twin end as twin
 from judged left join (select ord, twin from walk where i > 0) using (ord)""",
+    "weekly_focus_windows": f"""
+with {HEADLINES_SQL},
+told as (
+  select *, substring(nation, 1, 8) as region, strftime(day, '%G-W%V') as period, coalesce(company, substring(title, 1, 18)) as object, coalesce(tier, source) as origin,
+    case when ord % 8 = 0 then 3 when ord % 8 < 3 then 2 else 1 end as prio, ord % 9 = 0 as fine, ord % 11 as score,
+    case when event_type in ('funding', 'ma', 'earnings') then event_type when ord % 10 = 1 then 'expansion' when ord % 10 = 2 then 'compliance'
+      when ord % 6 = 0 then 'payment' when ord % 6 = 1 then 'ai_infra' else 'strategy' end as signal
+  from heads where event_type <> 'other' and ord % 13 <> 0 and ord % 17 <> 0),
+kept as (select * from told where fine or prio > 1 or event_type in ('funding', 'ma', 'earnings')),
+grouped as (
+  select period, region, signal, count(*) as events, count(distinct object) as objects, count(distinct origin) as sources, count(distinct day) as days, count(*) filter (prio = 3 or fine) as high
+  from kept group by all having count(*) >= 2 and (count(distinct object) >= 2 or count(distinct origin) >= 2 or count(distinct day) >= 2)),
+ordered as (select *, row_number() over (partition by period, region, signal order by prio desc, score desc, day desc, ord) as place from kept),
+firsts as (select period, region, signal, object, min(place) as place from ordered group by all),
+named as (select period, region, signal, array_to_string(list(object order by place)[1:4], '、') as names from firsts group by all),
+scored as (select *, case when events >= 4 and high >= 2 then '高' when high > 0 then '中' else '观察' end as confidence, 3 * events + 5 * high + objects as window_score from grouped join named using (period, region, signal))
+select period, cast(row_number() over w as integer) as place, region, signal, names, events, objects, high, confidence, window_score from scored
+window w as (partition by period order by confidence = '高' desc, window_score desc, events desc, region, signal) qualify row_number() over w <= 3""",
     "company_changes": _changes_sql("company", 91),
     "market_changes": _changes_sql("nation", 28),
 }
