@@ -196,9 +196,9 @@ def test_pruned_lists_are_short_and_lead_everywhere():
     for i in range(0, 600, 50):  # no kept neighbour is reached better through an earlier one
         for n, b in enumerate(lists[i]):
             assert all(1.2 * np.sqrt(2 - 2 * similar[a, b]) > np.sqrt(2 - 2 * similar[i, b]) for a in lists[i][:n])
-    graph = flat_graph_dedup._adjacency(np.arange(600), pa.array([[]] * 600, pa.list_(pa.int64())), x, 7)
+    graph = flat_graph_dedup.Graph(np.arange(600), pa.array([[]] * 600, pa.list_(pa.int64())), x, 7)
     reached, front = {7}, {7}
-    while front := {int(j) for i in front for j in graph[i] if j >= 0} - reached:
+    while front := set(graph.of(np.array(sorted(front)))[1].tolist()) - reached:
         reached |= front
     assert len(reached) == 600
     assert [len(p) for p in flat_graph_dedup.pruned(x[:1])] == [0]

@@ -13,8 +13,6 @@ sample, and the search is widened until it holds.
 
 from __future__ import annotations
 
-from itertools import pairwise
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -115,60 +113,100 @@ def _build(table: pa.Table) -> pa.Table:
     return pa.table({"head": heads, "near": pa.array([heads[k] for k in pruned(x)], pa.list_(pa.int64()))})
 
 
-def _adjacency(heads: np.ndarray, lists: pa.ListArray, x: np.ndarray, start: int) -> np.ndarray:
-    """Neighbours among the members, in both directions, as rows filled up with -1; all are reached from ``start``."""
-    owner, other = pc.list_parent_indices(lists).to_numpy(), pc.list_flatten(lists).to_numpy()
-    place = np.minimum(np.searchsorted(heads, other), len(heads) - 1)
-    here = heads[place] == other
-    pairs = np.stack([owner[here], place[here]])
-    pairs = np.unique(np.concatenate([pairs, pairs[::-1]], axis=1), axis=1)
-    while True:
-        sizes = np.bincount(pairs[0], minlength=len(heads))
-        table = np.full((len(heads), max(1, int(sizes.max(initial=0)))), -1)
-        table[pairs[0], np.arange(pairs.shape[1]) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = pairs[1]
-        reached, front = np.zeros(len(heads), bool), np.array([start])
-        while len(front):
-            reached[front] = True
-            front = np.unique(table[front])
-            front = front[(front >= 0) & ~reached[front]]
-        lost, known = np.flatnonzero(~reached), np.flatnonzero(reached)
-        if not len(lost):
-            return table
-        # Each that is not reached hangs on the most similar that is.
-        best = known[(x[lost] @ x[known].T).argmax(axis=1)]
-        pairs = np.unique(np.concatenate([pairs, [best, lost], [lost, best]], axis=1), axis=1)
-
-
-def search(x: np.ndarray, table: np.ndarray, start: int, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, member) pairs of cosine ``least`` or more that the search from ``start`` comes by."""
-    seen = np.full((len(q), len(x)), -np.inf, np.float32)
-    opened = np.zeros(seen.shape, bool)
-    seen[:, start] = q @ x[start]
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The different values in order; sorting is what costs least here."""
+    ordered = np.sort(values)
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
+
+
+class Graph:
+    """Neighbours among the members, in both directions; all are reached from ``start``."""
+
+    def __init__(self, heads: np.ndarray, lists: pa.ListArray, x: np.ndarray, start: int) -> None:
+        owner, other = pc.list_parent_indices(lists).to_numpy(), pc.list_flatten(lists).to_numpy()
+        place = np.minimum(np.searchsorted(heads, other), len(heads) - 1)
+        here = heads[place] == other
+        self.x, self.start = x, start
+        self._link(owner[here], place[here], np.zeros(0, np.int64))
+        while True:
+            reached, front = np.zeros(len(x), bool), np.array([start])
+            while len(front):
+                reached[front] = True
+                front = _distinct(self.of(front)[1])
+                front = front[~reached[front]]
+            lost, known = np.flatnonzero(~reached), np.flatnonzero(reached)
+            if not len(lost):
+                return
+            # Each that is not reached hangs on the most similar that is.
+            self._link(known[(x[lost] @ x[known].T).argmax(axis=1)], lost, self.pairs)
+
+    def _link(self, a: np.ndarray, b: np.ndarray, more: np.ndarray) -> None:
+        n = len(self.x)
+        self.pairs = _distinct(np.concatenate([a * n + b, b * n + a, more]))
+        self.other = self.pairs % n
+        self.at = np.concatenate([[0], np.cumsum(np.bincount(self.pairs // n, minlength=n))])
+
+    def of(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``nodes``, neighbour) of all neighbours of the nodes."""
+        first, sizes = self.at[nodes], self.at[nodes + 1] - self.at[nodes]
+        spot = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.repeat(np.arange(len(nodes)), sizes), self.other[spot]
+
+
+def search(graph: Graph, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(query, member) pairs of cosine ``least`` or more that searches from the graph's start come by.
+
+    Every query keeps a beam of the best nodes it has met and opens the best of
+    them that are not open, until none is left; besides, it opens whatever lies within range.
+    """
+    x, n = graph.x, len(graph.x)
+    seen, opened = np.zeros((len(q), n), bool), np.zeros((len(q), n), bool)
+    seen[:, graph.start] = True
+    rows = np.arange(len(q))
+    first = q @ x[graph.start]
+    node, score = np.full((len(q), _BEAM), graph.start), np.full((len(q), _BEAM), -np.inf)
+    score[:, 0] = first
+    hit = first >= least - _RANGE
+    near_i, near_j = rows[hit], np.full(int(hit.sum()), graph.start)
+    found_i, found_j = [rows[first >= least]], [np.full(int((first >= least).sum()), graph.start)]
     while True:
-        # Greedy: the best of the beam that are not opened; range: all within reach.
-        beam = min(_BEAM, len(x))
-        bar = np.partition(seen, -beam, axis=1)[:, -beam]
-        todo = ~opened & (seen > -np.inf)
-        ahead = np.where(todo & (seen >= bar[:, None]), seen, -np.inf)
-        if ahead.shape[1] > _OPENED:
-            cut = np.partition(ahead, -_OPENED, axis=1)[:, -_OPENED]
-            ahead = np.where(ahead >= cut[:, None], ahead, -np.inf)
-        i, j = np.nonzero((ahead > -np.inf) | (todo & (seen >= least - _RANGE)))
-        if not len(i):
+        # Greedy: the best of the beam that are not opened; range: what was met within reach.
+        ahead = np.where(opened[rows[:, None], node], -np.inf, score)
+        best = np.argpartition(-ahead, _OPENED - 1, axis=1)[:, :_OPENED]
+        valid = np.take_along_axis(ahead, best, 1) > -np.inf
+        i, j = np.repeat(rows, _OPENED)[valid.ravel()], np.take_along_axis(node, best, 1).ravel()[valid.ravel()]
+        todo = np.concatenate([i * n + j, near_i * n + near_j])
+        todo = _distinct(todo[~opened.ravel()[todo]])
+        if not len(todo):
             break
-        opened[i, j] = True
-        near = table[j]
-        i = np.repeat(i, near.shape[1])
-        j = near.ravel()
-        fresh = j >= 0
-        i, j = i[fresh], j[fresh]
-        key = np.unique((i * len(x) + j)[seen[i, j] == -np.inf])
-        for at in range(0, len(key), 1 << 16):
-            a, b = np.divmod(key[at : at + (1 << 16)], len(x))
-            seen[a, b] = np.einsum("ij,ij->i", q[a], x[b])
-    i, j = np.nonzero(seen >= least - 1e-4)
-    exact = np.concatenate([np.einsum("ij,ij->i", q[i[a:b]], x[j[a:b]]) for a, b in pairwise([*range(0, len(i), 1 << 16), len(i)])]) if len(i) else np.zeros(0)
-    return i[exact >= least], j[exact >= least]
+        opened.ravel()[todo] = True
+        met: list[np.ndarray] = []
+        degree = max(1, len(graph.other) // n)
+        for at in range(0, len(todo), max(1, (1 << 21) // degree)):
+            part = todo[at : at + max(1, (1 << 21) // degree)]
+            of, other = graph.of(part % n)
+            key = (part // n)[of] * n + other
+            key = _distinct(key[~seen.ravel()[key]])
+            seen.ravel()[key] = True
+            met.append(key)
+        key = np.sort(np.concatenate(met))
+        i, j = key // n, key % n
+        close = np.concatenate([np.einsum("ij,ij->i", q[i[a : a + (1 << 16)]], x[j[a : a + (1 << 16)]]) for a in range(0, len(i), 1 << 16)]) if len(i) else np.zeros(0)
+        reach = close >= least - _RANGE
+        near_i, near_j = i[reach], j[reach]
+        found_i.append(i[close >= least])
+        found_j.append(j[close >= least])
+        # The beam takes in the best of what was met, as many of a query as it has places.
+        order = np.lexsort((-close, i))
+        i, j, close = i[order], j[order], close[order]
+        nth = np.arange(len(i)) - np.searchsorted(i, i)
+        some = nth < _BEAM
+        fresh_node, fresh = np.zeros_like(node), np.full_like(score, -np.inf)
+        fresh_node[i[some], nth[some]], fresh[i[some], nth[some]] = j[some], close[some]
+        both_node, both = np.concatenate([node, fresh_node], axis=1), np.concatenate([score, fresh], axis=1)
+        keep = np.argpartition(-both, _BEAM - 1, axis=1)[:, :_BEAM]
+        node, score = np.take_along_axis(both_node, keep, 1), np.take_along_axis(both, keep, 1)
+    return np.concatenate(found_i), np.concatenate(found_j)
 
 
 def _padded(column, width: int) -> np.ndarray:
@@ -197,16 +235,15 @@ def _find(least: float, member: int):
         if len(mine):
             inside = x[mine]
             start = int((inside @ inside.mean(axis=0)).argmax())
-            lists = table.column("near").combine_chunks().take(pa.array(mine))
-            graph = _adjacency(heads[mine], lists, inside, start)
-            step = max(1, (1 << 21) // len(mine))
+            graph = Graph(heads[mine], table.column("near").combine_chunks().take(pa.array(mine)), inside, start)
+            step = max(1, (1 << 22) // len(mine))
             pairs = []
             for at in range(0, len(heads), step):
-                i, j = search(inside, graph, start, x[at : at + step], least)
+                i, j = search(graph, x[at : at + step], least)
                 i, j = i + at, mine[j]
                 forest.link(i, j)
-                pairs.append(np.unique(np.minimum(i, j) * len(heads) + np.maximum(i, j)))
-            a, b = np.divmod(np.unique(np.concatenate(pairs)), len(heads))
+                pairs.append(_distinct(np.minimum(i, j) * len(heads) + np.maximum(i, j)))
+            a, b = np.divmod(_distinct(np.concatenate(pairs)), len(heads))
             for part in range(0, len(a), 1 << 16):
                 i, j = a[part : part + (1 << 16)], b[part : part + (1 << 16)]
                 # A pair that several shards may find counts in the least of them only.
@@ -283,11 +320,11 @@ def embedding_components(
     label_col: str = "label",
     *,
     least: float = 0.93,
-    shard_rows: int = 500,
+    shard_rows: int = 400,
     max_centroids: int = 16_384,
     sample_rows: int = 8192,
     overlap: int = 3,
-    probes: int = 8,
+    probes: int = 4,
     recall: float = 0.995,
     audit_rows: int = 500,
 ) -> DataFrame:
