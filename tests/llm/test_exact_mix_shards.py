@@ -10,7 +10,7 @@ import pytest
 from tidewater.llm.byte_shards import byte_shards
 from tidewater.llm.curriculum_mix import draw_mixture, mix_sources
 from tidewater.llm.exact_dedup import drop_exact_duplicates, exact_dedup, grow_directory
-from tidewater.llm.warc_fixity import VOLUME, fixity_audit, replica_digests, replica_store, warc_layout
+from tidewater.llm.warc_fixity import VOLUME, fixity_audit, replica_layout, replica_store, warc_layout
 
 ROWS = [(1, "a", "s1"), (2, "a", "s1"), (3, None, None), (4, "", "s2"), (5, "A", "s1"), (6, "x " * 40_000, "s2"), (6, "x " * 40_000, "s2"), (7, " a", None), (7, "b", "s3"), (None, "b", "s3"), (None, "only", "s1"), (9, "é" * 50, "s1")]
 SCHEMA = "doc_id long, text string, source string, key int, size string, row long"
@@ -141,7 +141,7 @@ def test_fixity(spark):
     layout = warc_layout(pages, rows_per_part=700)
     assert layout.count() == len(rows)
     store = replica_store(pages, one_in=1 << 40)
-    clean = fixity_audit(layout, replica_digests(store, layout))
+    clean = fixity_audit(layout, replica_layout(store, rows_per_part=900))
     assert clean.filter("not intact or root <> replica_root").count() == 0
     content = {(r["id"], r["name"]): bytes(r["content"]) for r in store.collect()}
     places = {(r["volume"], r["slot"]): r for r in layout.collect()}
@@ -150,16 +150,35 @@ def test_fixity(spark):
         at = at if slot else 0
         assert (r["offset"], r["length"]) == (at, len(content[r["id"], r["sha256"]])) and content[r["id"], r["sha256"]].startswith(b"WARC/1.1")
         at += r["length"]
-    hurt, lost = [(0, 5), (0, 4000), (1, 17)], (1, 200)
-    wrong = {places[p]["id"]: i for i, p in enumerate(hurt)}
-    flipped = [(r["id"], r["name"], bytes(b ^ (k == 30) for k, b in enumerate(r["content"])) if r["id"] in wrong else bytes(r["content"])) for r in store.collect() if r["id"] != places[lost]["id"]]
-    replica = replica_digests(spark.createDataFrame(flipped, "id long, name string, content binary"), layout)
-    audit = fixity_audit(layout, replica).filter("not intact").select("volume", "slot").collect()
-    assert sorted(map(tuple, audit)) == sorted([*hurt, lost])
-    assert fixity_audit(layout.limit(0), replica).count() == 0
-    # One of two equal records is hurt: one of their places is found.
-    once = [(r["id"], r["name"], bytes(r["content"])) for r in store.filter("id is not null").collect()]
-    twice = next(k for k, r in enumerate(once) if r[0] == 7 and sum(x[:2] == r[:2] for x in once) == 2)
-    once[twice] = (*once[twice][:2], b"hurt")
-    audit = fixity_audit(layout, replica_digests(spark.createDataFrame(once, "id long, name string, content binary"), layout)).filter("not intact")
-    assert sorted((r["id"] is None, r["id"]) for r in audit.collect()) == [(False, 7), (True, None)]
+
+    def audited(records):
+        found = fixity_audit(layout, replica_layout(spark.createDataFrame(records, "id long, name string, content binary"))).collect()
+        return {(r["volume"], r["slot"]) for r in found if not r["intact"]}, {r["volume"] for r in found if r["root"] != r["replica_root"]}
+
+    whole = [(r["id"], r["name"], bytes(r["content"])) for r in store.collect()]
+    slots = {v: sum(p[0] == v for p in places) for v in (0, 1)}
+    # Bytes that changed in place are found one by one.
+    hurt = [(0, 5), (0, 4000), (1, 17)]
+    wrong = {places[p]["id"] for p in hurt}
+    flipped = [(i, n, bytes(b ^ (k == 30) for k, b in enumerate(c)) if i in wrong else c) for i, n, c in whole]
+    assert audited(flipped) == (set(hurt), {0, 1})
+    # One of two equal records is hurt: one of their places is found, next to each other.
+    twice = next(k for k, r in enumerate(whole) if r[0] == 7 and sum(x[:2] == r[:2] for x in whole) == 2)
+    damaged, _ = audited([*whole[:twice], (*whole[twice][:2], b"hurt"), *whole[twice + 1 :]])
+    assert len(damaged) == 1 and {places[p]["id"] for p in damaged} == {7}
+    # A record that got longer shifts the ranges behind it, which the roots show; the records are intact.
+    longer = [(i, n, c + b"x") if i == places[1, 17]["id"] else (i, n, c) for i, n, c in whole]
+    assert audited(longer) == ({(1, 17)}, {1})
+    # A lost record moves all behind it, also in the volumes behind.
+    lost = places[0, 4000]["id"]
+    assert audited([r for r in whole if r[0] != lost]) == ({(0, k) for k in range(4000, slots[0])} | {(1, k) for k in range(slots[1])}, {0, 1})
+    # An inserted one does so from its place on.
+    extra = (places[1, 100]["id"], "", b"inserted")
+    assert audited([*whole, extra]) == ({(1, k) for k in range(100, slots[1])}, {1})
+    # Two records that stand in each other's place are both found.
+    a, b = (next(k for k, r in enumerate(whole) if r[0] == places[p]["id"]) for p in ((0, 900), (1, 200)))
+    swapped = [*whole]
+    swapped[a], swapped[b] = (*whole[a][:2], whole[b][2]), (*whole[b][:2], whole[a][2])
+    assert audited(swapped) == ({(0, 900), (1, 200)}, {0, 1})
+    assert fixity_audit(layout.limit(0), replica_layout(store)).count() == 0
+    assert fixity_audit(layout, replica_layout(store.limit(0))).filter("intact").count() == 0

@@ -19,7 +19,7 @@ from tidewater.llm.fm_quality import score_quality
 from tidewater.llm.pivot_negatives import hard_negatives, usable
 from tidewater.llm.simhash_tiles import simhash_components
 from tidewater.llm.toxic_lexicon import score_toxicity
-from tidewater.llm.warc_fixity import fixity_audit, replica_digests, replica_store, warc_layout
+from tidewater.llm.warc_fixity import fixity_audit, replica_layout, replica_store, warc_layout
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,8 +32,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    layout = warc_layout(pages)
-    return fixity_audit(layout, replica_digests(replica_store(pages), layout)).withColumnRenamed("id", "page_id")
+    return fixity_audit(warc_layout(pages), replica_layout(replica_store(pages))).withColumnRenamed("id", "page_id")
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

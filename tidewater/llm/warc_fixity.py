@@ -38,28 +38,36 @@ def warc_record(page_id: Column, url: Column, body: Column, date: str = "2024-01
     return F.concat(head, body, F.lit("\r\n\r\n"))
 
 
-def warc_layout(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", *, rows_per_part: int = 20_000) -> DataFrame:
-    """(id, record, volume, slot, offset, length, sha256) of every page, in id order.
+def _placed(keys: DataFrame, rows_per_part: int) -> DataFrame:
+    """(id, volume, slot, offset, length, sha256) of records (id, name, length, sha256) in order of id and name.
 
     Ids are ranked over range partitions (one total per partition gives its
-    first rank), so no task orders all rows.  Null ids come first; repeated rows
-    are records of their own, ordered by digest.
+    first rank), so no task orders all rows.
     """
-    record = warc_record(F.col(id_col), F.col(url_col), F.col(body_col))
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), record.alias("record"))
-    keys = rows.select("id", F.sha2("record", 256).alias("sha256"), F.octet_length("record").cast("long").alias("length"))
     keys = written(keys, "records")
     parts = max(1, -(-keys.count() // rows_per_part))
-    ranged = written(keys.repartitionByRange(parts, "id", "sha256").withColumn("part", F.spark_partition_id()), "ranges")
+    ranged = written(keys.repartitionByRange(parts, "id", "name").withColumn("part", F.spark_partition_id()), "ranges")
     firsts = ranged.groupBy("part").agg(F.count("*").alias("rows"))
     ahead = F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = ranged.join(F.broadcast(firsts.select("part", ahead.alias("ahead"))), "part")
-    ranked = ranked.withColumn("rank", F.col("ahead") + F.row_number().over(Window.partitionBy("part").orderBy("id", "sha256")) - 1)
+    ranked = ranked.withColumn("rank", F.col("ahead") + F.row_number().over(Window.partitionBy("part").orderBy("id", "name", "sha256")) - 1)
     placed = ranked.withColumns({"volume": F.expr(f"rank div {VOLUME}"), "slot": F.expr(f"rank % {VOLUME}")})
     run = F.sum("length").over(Window.partitionBy("volume").orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return written(placed.select("id", "volume", "slot", (run - F.col("length")).alias("offset"), "length", "sha256"), "layout")
 
 
+def warc_layout(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", *, rows_per_part: int = 20_000) -> DataFrame:
+    """(id, record, volume, slot, offset, length, sha256) of every page, in id order.
+
+    Null ids come first; repeated rows are records of their own, ordered by
+    digest.  Very long bodies are hashed where they are read; only digests and lengths move.
+    """
+    record = warc_record(F.col(id_col), F.col(url_col), F.col(body_col))
+    rows = pages.select(F.col(id_col).cast("long").alias("id"), record.alias("record"))
+    digest = F.sha2("record", 256)
+    return _placed(rows.select("id", digest.alias("name"), digest.alias("sha256"), F.octet_length("record").cast("long").alias("length")), rows_per_part)
+
+
 def merkle_tree(leaves: DataFrame) -> DataFrame:
     """(volume, level, node, start, stop, digest) from the leaves (level 0) to the root, written once.
 
@@ -102,8 +110,9 @@ def fixity_audit(layout: DataFrame, replica: DataFrame) -> DataFrame:
     """One row per record of ``layout``: its place, digest, root digests and whether it is intact.
 
     ``replica`` has volume, slot, offset, length and sha256 of the second copy.  A
-    record that the replica lacks is damaged; volumes that only the replica has
-    are ignored; an empty layout gives an empty result.
+    record that the replica lacks at its place is damaged; volumes that only the replica has
+    are ignored; an empty layout gives an empty result.  Records that agree but lie at other
+    offsets show in the roots, which cover the ranges, and not as damage.
     """
     ours, theirs = merkle_tree(layout), merkle_tree(replica)
     bad = mismatches(ours, theirs).select("volume", F.col("node").alias("slot"), F.lit(True).alias("bad"))
@@ -126,15 +135,12 @@ def replica_store(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     return written(rows.select("id", F.sha2("record", 256).alias("name"), kept.cast("binary").alias("content")), "replica", compression="zstd")
 
 
-def replica_digests(store: DataFrame, layout: DataFrame) -> DataFrame:
-    """(volume, slot, offset, length, sha256) of the replica's records, hashed from their bytes.
+def replica_layout(store: DataFrame, *, rows_per_part: int = 20_000) -> DataFrame:
+    """(id, volume, slot, offset, length, sha256) of a store's records, by their own order, lengths and bytes.
 
-    Records are found by id and name, several of one id and name in the order of
-    their slots; records that the store lacks have no row.  Only digests are joined.
+    Nothing is taken from the first copy: a record that is missing, inserted or
+    of another length moves all that follow it in its volume, and the audit finds the first place where
+    the copies part.
     """
-    key = F.struct("id", "name").alias("key")
-    hashed = store.select(key, F.sha2("content", 256).alias("now"), F.octet_length("content").cast("long").alias("length"))
-    hashed = hashed.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("now")))
-    places = layout.select(F.struct("id", F.col("sha256").alias("name")).alias("key"), "volume", "slot", "offset")
-    places = places.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("volume", "slot")))
-    return places.join(hashed, ["key", "nth"]).select("volume", "slot", "offset", "length", F.col("now").alias("sha256"))
+    hashed = store.select("id", "name", F.sha2("content", 256).alias("sha256"), F.octet_length("content").cast("long").alias("length"))
+    return _placed(hashed, rows_per_part)
