@@ -192,3 +192,20 @@ def test_labels_of_one_id_that_differ_count_as_the_larger(spark):
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, None)], "doc_id long, toxic int")
     docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, None)], "doc_id long, text string")
     assert sorted(map(tuple, labelled_sample(docs, labels, "doc_id", "text", "toxic", 9).collect())) == [(0, ""), (1, "a")]
+
+
+def test_drop_toxic_on_awkward_rows(spark, big):
+    docs = spark.read.parquet(f"{big}/documents.parquet")
+    labels = spark.read.parquet(f"{big}/labels.parquet")
+    toxic = docs.join(labels.filter("toxic = 1").select("doc_id"), "doc_id").orderBy("doc_id").select(docs.columns).limit(3)
+    more = spark.createDataFrame([(i, t, None, None, None) for i, t in AWKWARD], docs.schema)
+    twice = toxic.unionByName(toxic).withColumn("doc_id", F.lit(None).cast("long"))
+    rows = more.unionByName(twice).selectExpr("*", "1 as score", "'x' as label", "2 as hash", "'y' as row")
+    # The lexicon is learned from the given table, so the labelled rows come along.
+    whole = docs.selectExpr("*", "1 as score", "'x' as label", "2 as hash", "'y' as row").unionByName(rows)
+    kept = drop_toxic(whole, labels)
+    assert kept.schema == whole.schema
+    found = kept.filter("doc_id is null or doc_id > 90000").collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in found) == sorted((i or 0, t or "") for i, t in AWKWARD)
+    assert drop_toxic(whole.limit(0), labels).count() == 0
+    assert drop_toxic(rows, labels.limit(0)).count() == rows.count()

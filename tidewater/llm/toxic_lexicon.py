@@ -235,9 +235,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, with all their columns.
+    """The rows of ``docs`` that score below ``threshold``, with all their columns, whatever their names.
 
-    Rows are scored in place, so repeated ids need no join.
+    Whole texts are scored in place, very long ones too, so repeated ids need no
+    join and repeated rows share their fate.  Null and empty texts score as a
+    clean text and stay, as do all rows where no labels of both classes are
+    given; null ids are scored like others.  An empty table gives an empty result.
     """
     lexicon = fit_lexicon(labelled_sample(docs, labels.filter(remainder(id_col, 5) != 0), id_col, text_col, "toxic", 6000))
     at = docs.columns.index(text_col)
