@@ -235,11 +235,11 @@ def featured_event_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_priority_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed of a day: high-value rows, then main rows, first seen by url; no search feeds."""
-    rows = contract(news(spark, sf_dir)).filter("day >= date '2024-02-10' and not is_google")
-    high = rows.filter("bd_priority = 'high'").select("url", "ord", F.lit(0).alias("rank"))
-    main = rows.filter("in_main").select("url", "ord", F.lit(1).alias("rank"))
-    return windows.first_seen(high.unionByName(main), ["url"], ["rank", "ord"])
+    """Feed of every day: high-value rows, then main rows, first seen by url; no search feeds."""
+    rows = contract(news(spark, sf_dir)).filter("not is_google").withColumn("day", F.col("day").cast("string"))
+    # A row that is both stands with the high-value ones.
+    both = rows.filter("bd_priority = 'high' or in_main").select("day", "url", "ord", F.when(F.col("bd_priority") == "high", 0).otherwise(1).alias("rank"))
+    return windows.first_seen(both, ["day", "url"], ["rank", "ord"])
 
 
 def mature_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -466,9 +466,9 @@ with w as (select user_id, event_id, value / 100.0::double * case when user_id %
 r as (select *, row_number() over (partition by user_id order by w desc nulls last, event_id) as k from w)
 select user_id, any_value(event_id) filter (k = 1) as featured, count(*) as events from r group by user_id""",
     "feed_priority_union": f"""
-with {_CONTRACT}, rows as (select * from final where day >= date '2024-02-10' and not is_google),
-u as (select url, ord, 0 as rank from rows where bd_priority = 'high' union all select url, ord, 1 from rows where in_main), f as (select *, row_number() over (partition by url order by rank, ord) as k from u)
-select url, ord, rank from f where k = 1""",
+with {_CONTRACT}, rows as (select * from final where not is_google),
+u as (select day, url, ord, 0 as rank from rows where bd_priority = 'high' union all select day, url, ord, 1 from rows where in_main), f as (select *, row_number() over (partition by day, url order by rank, ord) as k from u)
+select cast(day as varchar) as day, url, ord, rank from f where k = 1""",
     "mature_date": f"""
 with {_CONTRACT}, per as (select day, count(*) filter (in_main) as main from final group by day)
 select coalesce(max(day) filter (main >= 3), max(day)) as mature_date, count(*) filter (main >= 3) as mature_days from per""",
