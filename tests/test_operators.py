@@ -331,3 +331,41 @@ def test_coherent_clusters():
     rows = [{"names": ["a"], "region": "x", "theme": "m"}, {"names": ["a", "b"], "region": "x", "theme": "m"}, {"names": ["c"], "region": "y", "theme": "n"}, {"names": [], "region": "y", "theme": "m"}, {"names": ["d"], "region": "x", "theme": "z"}, {"names": ["e"], "region": "x", "theme": "z"}]
     assert pick_coherent(rows) == [0, 3, 4]
     assert pick_coherent([]) == []
+
+
+def test_first_kept_row_is_found_as_by_meeting_all():
+    """Random rows, put, replaced and dropped: the index names the row that a walk over all kept rows names first."""
+    from tidewater.operators import dedupe
+
+    rng = random.Random(4)
+    words = ["raises", "seed", "profit", "q1", "store", "opens", "alpha", "beta", "losses", "acquires", "rival", "model"]
+    days = [None, *(dt.date(2024, 1, d) for d in range(1, 12))]
+
+    def row():
+        kind = rng.choice(["funding", "earnings", "strategy", "other"])
+        entity, source = rng.choice([("acme", "company"), ("acme", "title"), ("globex", "alias"), ("", "none")])
+        tokens = set(rng.sample(words, rng.randrange(0, 8)))
+        return {"url": rng.choice(["", "", "", *(f"u{i}" for i in range(30))]), "type": kind, "entity": entity, "entity_source": source, "tokens": tokens, "anchored": rng.random() < 0.7, "loss": rng.random() < 0.3, "day": rng.choice(days)}
+
+    rows = [row() for _ in range(1500)]
+    kept, found = dedupe.Kept(rows[:700]), 0
+    for i, r in enumerate(rows):
+        want = next((k for k in sorted(kept.rows) if dedupe.same_event(r, kept.rows[k])), None)
+        assert kept.first(r) == want
+        found += want is not None
+        if want is None or i % 3 == 0:
+            kept.put(rng.randrange(100_000) if i % 2 else i, r)
+        elif i % 7 == 0:
+            kept.drop(want)
+    assert 300 < found < 1500
+
+
+def test_a_row_meets_few_of_many_kept_rows(monkeypatch):
+    """A day of 6,000 reports of 6,000 companies, of which none repeats another: before, each met all that were kept."""
+    from tidewater.operators import dedupe
+
+    rows = [{"ord": i, "url": f"u{i}", "type": "other", "entity": f"firm{i}", "entity_source": "company", "tokens": {f"firm{i}", "opens", "store", f"city{i % 50}"}, "anchored": True, "loss": False, "day": None, "alias_missing": False, "low_signal": False, "capped": ""} for i in range(6000)]
+    met, rule = [], dedupe.same_event
+    monkeypatch.setattr(dedupe, "same_event", lambda a, b: met.append(1) or rule(a, b))
+    assert {f for f, _ in dedupe.walk_day(rows)} == {"kept"}
+    assert len(met) < 100 * len(rows)

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidewater.streaming import upgrades
@@ -76,3 +77,40 @@ def test_every_headline_is_counted_once(spark, sf_dir):
 
     got = stream_upgrades(spark, sf_dir).agg(F.sum("reports"), F.count("*"), F.countDistinct("ord")).first()
     assert got[0] == spark.read.parquet(f"{sf_dir}/orders.parquet").count() and got[1] == got[2] < got[0]
+
+
+def test_a_reach_is_read_and_written_once_and_has_one_timer():
+    """Before, each of the 2,000 stored reports had a timer of its own that read all of them, and a write of its own."""
+    calls, held = {"put": 0, "timer": []}, []
+
+    class State:
+        def get(self):
+            return iter(list(held))
+
+        def put(self, rows):
+            calls["put"] += 1
+            held[:] = rows
+
+        def clear(self):
+            held.clear()
+
+    class Handle:
+        def getListState(self, *_):  # noqa: N802
+            return State()
+
+        def registerTimer(self, at):  # noqa: N802
+            calls["timer"].append(at)
+
+    class Times:
+        def getCurrentWatermarkInMs(self):  # noqa: N802
+            return 1_000 * day + 7 * day
+
+    day, start = 86_400_000, dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    row = {**dict.fromkeys(upgrades.SHOWN, ""), "reach": "other|acme", "type": "other", "entity": "acme", "entity_source": "company", "anchored": True, "loss": False, "richness": 1}
+    rows = [Row(**row, ord=i, tokens=[f"t{i}", f"u{i}"], day=(start + dt.timedelta(i)).date(), seen=start + dt.timedelta(i)) for i in range(2000)]
+    work = upgrades.Upgrades(7 * day)
+    work.init(Handle())
+    assert len(list(work.handleInputRows(("other|acme",), iter(rows), Times()))) == 2000
+    assert (calls["put"], calls["timer"]) == (1, [7 * day])
+    list(work.handleExpiredTimer(("other|acme",), Times(), None))
+    assert (calls["put"], calls["timer"][1:]) == (2, [1_001 * day + 7 * day]) and len(held) == 999

@@ -74,9 +74,12 @@ def plain_title(title: Column) -> Column:
     return F.trim(F.regexp_replace(words, "[^a-z0-9\\u4e00-\\u9fff]+", " "))
 
 
-def event_tokens(title: Column) -> Column:
-    """The distinct tokens by which reports are compared: no stop words, no numbers, no short ones but a few."""
-    kept = F.filter(F.split(plain_title(title), " "), lambda t: ~t.isin(*TITLE_STOPWORDS) & ((F.length(t) > 2) | t.isin(*SHORT_TOKENS)) & ~t.rlike("^[0-9]+$"))
+def event_tokens(title: Column, plain: Column | None = None) -> Column:
+    """The distinct tokens by which reports are compared: no stop words, no numbers, no short ones but a few.
+
+    ``plain`` is a column of the plain title, where there is one.
+    """
+    kept = F.filter(F.split(plain_title(title) if plain is None else plain, " "), lambda t: ~t.isin(*TITLE_STOPWORDS) & ((F.length(t) > 2) | t.isin(*SHORT_TOKENS)) & ~t.rlike("^[0-9]+$"))
     return F.array_distinct(kept)
 
 
@@ -105,16 +108,18 @@ def low_signal_title(title: Column) -> Column:
     return has_substring(_folded(title), LOW_SIGNAL_PATTERNS)
 
 
-def mentions_alias(title: Column, aliases: Column) -> Column:
-    """Whether a title holds one of an array of aliases, as whole words or with all blanks left out."""
-    plain = plain_title(title)
+def mentions_alias(title: Column, aliases: Column, plain: Column | None = None) -> Column:
+    """Whether a title holds one of an array of aliases, as whole words or with all blanks left out.
+
+    ``plain`` is a column of the plain title, where there is one.
+    """
+    plain = plain_title(title) if plain is None else plain
 
-    def said(alias: Column) -> Column:
-        words = plain_title(alias)
+    def said(words: Column) -> Column:
         tight = F.replace(words, F.lit(" "), F.lit(""))
         return (words != "") & (F.concat(F.lit(" "), plain, F.lit(" ")).contains(F.concat(F.lit(" "), words, F.lit(" "))) | F.replace(plain, F.lit(" "), F.lit("")).contains(tight))
 
-    return F.coalesce(F.exists(aliases, said), F.lit(False))
+    return F.coalesce(F.exists(F.transform(aliases, plain_title), said), F.lit(False))
 
 
 def alias_in_title(title: Column, aliases: Iterable[str]) -> Column:

@@ -7,7 +7,11 @@ them, and shuffles by block.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import datetime as dt
+import math
+from bisect import bisect_left, insort
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -48,27 +52,108 @@ def same_event(a: dict, b: dict) -> bool:
     return alike >= 0.72
 
 
+class Kept:
+    """Rows by number, in which the first that tells of the same event as another is found without meeting all.
+
+    By ``same_event`` two rows have one url, or near days and: one hard type and
+    entity, both anchored; or tokens that are alike enough, which then share one of their
+    rarest.  Rows are listed under those, so a row meets few others however many are kept.
+    ``rows`` are those to come: their tokens say which are rare; any order gives the same rows.
+    """
+
+    def __init__(self, rows: Iterable[dict] = ()) -> None:
+        self.rows: dict[int, dict] = {}
+        self.often = Counter(t for r in rows for t in r["tokens"])
+        self.lists: dict[tuple, list[int]] = {}
+        self.days: Counter = Counter()
+
+    def _rare(self, tokens: Iterable[str], least: float) -> list[str]:
+        """The tokens of which one is shared with every set at least so similar."""
+        ranked = sorted(tokens, key=lambda t: (self.often[t], t))
+        return ranked[: len(ranked) - math.ceil(least * len(ranked) - 1e-9) + 1] if ranked else ranked
+
+    def _marks(self, row: dict) -> Iterator[tuple[tuple, bool]]:
+        """What a row is listed or looked for under; whether rows find it there that do not go by their title."""
+        own = (row["type"], row["entity"])
+        if row["entity"] and row["type"] in HARD_TYPES:
+            if row["anchored"]:
+                own = (*own, row["loss"] if row["type"] == "earnings" else None)
+                yield own, row["entity_source"] != "title"
+                for token in self._rare(row["tokens"], 0.4):
+                    yield (*own, token), True
+        elif row["entity"] and row["type"] == "strategy":
+            for token in self._rare(row["tokens"], 0.42):
+                yield (*own, token), True
+        for token in self._rare(row["tokens"], 0.72):
+            yield (token,), True
+
+    def put(self, number: int, row: dict) -> None:
+        if number in self.rows:
+            self.drop(number)
+        self.rows[number] = row
+        self.days[row["day"]] += 1
+        for key in self._places(row):
+            insort(self.lists.setdefault(key, []), number)
+
+    def drop(self, number: int) -> None:
+        row = self.rows.pop(number)
+        self.days[row["day"]] -= 1
+        if not self.days[row["day"]]:
+            del self.days[row["day"]]
+        for key in self._places(row):
+            held = self.lists[key]
+            del held[bisect_left(held, number)]
+            if not held:
+                del self.lists[key]
+
+    def _places(self, row: dict) -> Iterator[tuple]:
+        if row["url"]:
+            yield ("url", row["url"])
+        for mark, named in self._marks(row):
+            # A row that goes by its title is not one event with all of its entity.
+            yield ("day", row["day"], mark if named else (*mark, "by title"))
+
+    def first(self, row: dict) -> int | None:
+        """The least number of a row that tells of the same event."""
+        found = self.lists.get(("url", row["url"]), ()) if row["url"] else ()
+        best = found[0] if found else None
+        day = row["day"]
+        near = self.days if day is None else [d for d in (None, *(day + dt.timedelta(n) for n in range(-3, 4))) if d in self.days]
+        marks = [mark for mark, named in self._marks(row) if named]
+        met: set[int] = set()
+        for d in near:
+            for mark in marks:
+                for number in self.lists.get(("day", d, mark), ()):
+                    if best is not None and number >= best:
+                        break
+                    if number not in met:
+                        met.add(number)
+                        if same_event(row, self.rows[number]):
+                            best = number
+        return best
+
+
 def walk_day(rows: list[dict], most_per_company: int = 3) -> list[tuple[str, int | None]]:
     """(fate, ord of the kept row it repeats) per row in order: kept, alias, low_signal, repeat or cap.
 
     A company's row without its alias goes first, then its low-signal titles, then
     repeats of a kept row, then a company's rows beyond its cap.
     """
-    kept: list[dict] = []
+    kept = Kept(rows)
     per_company: dict[str, int] = {}
     fates: list[tuple[str, int | None]] = []
-    for row in rows:
+    for place, row in enumerate(rows):
         if row["alias_missing"]:
             fates.append(("alias", None))
         elif row["low_signal"]:
             fates.append(("low_signal", None))
-        elif twin := next((k for k in kept if same_event(row, k)), None):
-            fates.append(("repeat", twin["ord"]))
+        elif (twin := kept.first(row)) is not None:
+            fates.append(("repeat", kept.rows[twin]["ord"]))
         elif row["capped"] and per_company.get(row["capped"], 0) >= most_per_company:
             fates.append(("cap", None))
         else:
             fates.append(("kept", None))
-            kept.append(row)
+            kept.put(place, row)
             if row["capped"]:
                 per_company[row["capped"]] = per_company.get(row["capped"], 0) + 1
     return fates
@@ -123,8 +208,8 @@ def prepared(events: DataFrame, block: list[Column], aliases: Iterable[str] = ()
     """
     title, company = F.coalesce("title", F.lit("")), F.coalesce("company", F.lit(""))
     own = F.coalesce("is_company", F.lit(False))
-    # The subject is a column of its own, so that its patterns are matched once.
-    rows = events.withColumns({"subject": subjects.title_subject(title), "alias": event_rules.alias_in_title(title, aliases), "type": F.coalesce(F.try_element_at("event_types", F.lit(1)), F.lit("other")) if display else event_rules.primary_type(F.col("event_types"))})
+    # The subject and the plain title are columns of their own, so that their patterns are matched once.
+    rows = events.withColumns({"plain": event_rules.plain_title(title), "subject": subjects.title_subject(title), "alias": event_rules.alias_in_title(title, aliases), "type": F.coalesce(F.try_element_at("event_types", F.lit(1)), F.lit("other")) if display else event_rules.primary_type(F.col("event_types"))})
     subject = (subjects.display_subject if display else subjects.event_subject)(F.col("company"), F.col("companies"), F.col("subject"))
     by_headline = F.struct(subject.alias("key"), F.lit("title").alias("source"))
     rows = rows.withColumn("found", by_headline if display else event_rules.entity_key(company, F.col("alias"), subject))
@@ -140,7 +225,7 @@ def prepared(events: DataFrame, block: list[Column], aliases: Iterable[str] = ()
         (own & ~event_rules.mentions_alias(title, F.array_compact(F.array_append(F.coalesce("aliases", F.array().cast("array<string>")), F.col("company"))))).alias("alias_missing"),
         (own & event_rules.low_signal_title(title)).alias("low_signal"),
         F.when(own, company).otherwise("").alias("capped"),
-        event_rules.event_tokens(title).alias("tokens"),
+        event_rules.event_tokens(title, F.col("plain")).alias("tokens"),
         title_key(title).alias("key"),
         "day",
     )
