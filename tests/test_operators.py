@@ -369,3 +369,12 @@ def test_a_row_meets_few_of_many_kept_rows(monkeypatch):
     monkeypatch.setattr(dedupe, "same_event", lambda a, b: met.append(1) or rule(a, b))
     assert {f for f, _ in dedupe.walk_day(rows)} == {"kept"}
     assert len(met) < 100 * len(rows)
+
+
+def test_substrings_are_found_by_one_pattern(spark):
+    """All signs are literal; before, each term was a search of its own."""
+    terms = ("a.b", "$", "/investor$", "Ab", "(x", "财报", "series ", "q|w")
+    texts = ["a.b", "axb", "1$", "/investor", "/investor$s", "cab", "f(x)", "x财报", "series", "series a", "q|w", "q", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").withColumns({"one": text.has_substring(F.col("t"), terms), "none": text.has_substring(F.col("t"), ()), "any": text.has_substring(F.col("t"), ("",))})
+    assert [(r["one"], r["none"], r["any"]) for r in rows.collect()] == [(any(w.lower() in (t or "") for w in terms), False, True) for t in texts]
+    assert rows.select("one")._jdf.queryExecution().optimizedPlan().toString().count("Contains") == 0

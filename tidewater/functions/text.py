@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,11 +62,16 @@ def any_found(found: Column, terms: Iterable[str], among: Iterable[str]) -> Colu
 
 
 def has_substring(text: Column, terms: Iterable[str]) -> Column:
-    """Whether any term occurs anywhere in lower-case ``text``."""
-    found = F.lit(False)
-    for term in terms:
-        found = found | F.coalesce(text, F.lit("")).contains(term.lower())
-    return found
+    """Whether any term occurs anywhere in lower-case ``text``.
+
+    One pattern for all terms, grouped by their first sign: a search for each makes code
+    that is too long to be compiled and reads ``text`` anew for each.
+    """
+    terms = sorted({t.lower() for t in terms})
+    if not terms or "" in terms:
+        return F.lit(bool(terms))
+    groups = [f"{_quoted(sign)}(?:{'|'.join(_quoted(t[1:]) for t in group)})" for sign, group in groupby(terms, key=lambda t: t[0])]
+    return F.coalesce(text, F.lit("")).rlike("|".join(groups))
 
 
 def substring_count(text: Column, terms: Iterable[str]) -> Column:

@@ -36,10 +36,15 @@ KINDS = ("funding", "ma", "earnings", "model", "model", "strategy", "other", "re
 
 
 def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One headline per order; nations are joined as a small table, customers by key."""
+    """One headline per order; nations are joined as a small table, customers by key.
+
+    Orders are dealt by customer first: so the join needs them, and a small file, which one
+    task reads, is worked on by all.
+    """
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nk"), "n_name")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate").join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("nk"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_custkey")
+    rows = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("nk"))
     k, c = F.col("o_orderkey"), F.col("o_custkey")
 
     def pick(values: tuple[str, ...], key) -> Column:
@@ -52,7 +57,7 @@ def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = F.concat(F.lit("https://site.example/"), F.when(dated.isNotNull(), F.concat(F.date_format(dated, "yyyy/MM/dd"), F.lit("/"))).otherwise("a/"), (k % 5000).cast("string"))
     body = F.when(k % 4 == 1, F.concat(F.lit("Posted on "), F.date_format(day, "MMMM d"), F.lit(" by staff"))).when((k % 4 == 2) | (k % 8 == 3), F.concat(F.lit("Posted "), F.date_format(day, "yyyy-MM-dd")))
     return rows.select(
-        k.alias("ord"), title.alias("title"), name.alias("name"), F.when(k % 3 != 0, name).alias("company"), F.col("n_name").alias("nation"), day.alias("day"), F.date_add(day, 40).alias("observed"),
+        k.alias("ord"), c.alias("customer"), title.alias("title"), name.alias("name"), F.when(k % 3 != 0, name).alias("company"), F.col("n_name").alias("nation"), day.alias("day"), F.date_add(day, 40).alias("observed"),
         url.alias("url"), body.alias("body"), pick(KINDS, k).alias("event_type"), F.concat(F.lit("feed "), (k % 40).cast("string"), F.when(k % 2 == 0, " Newsroom").otherwise(" IR News")).alias("source"),
         F.when(k % 4 != 0, F.concat(F.lit("L"), (k % 5 + 1).cast("string"))).alias("tier"), F.when(k % 8 != 0, "media").alias("role"), (c % 2 == 0).alias("tracked"),
         F.when(k % 24 == 7, "research_report").alias("source_type"), F.when(k % 36 == 19, F.array(F.lit("industry_analysis"))).alias("source_signals"), F.when(k % 12 == 8, "regional_policy").alias("scope_layer"),
