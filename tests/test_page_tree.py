@@ -131,3 +131,11 @@ def test_snapshots_as_of_a_day_read_only_folders_that_count(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date_key" in plan and "2024-01-04" in plan
     assert page_tree.snapshot_as_of(spark, str(tmp_path / "s"), ["k"], "2023-01-01").count() == 0
     assert page_tree.snapshot_as_of(spark, str(tmp_path / "s"), ["k"], "2024-01-09", "2024-01-05").count() == 2
+
+
+def test_made_pages_read_orders_once(spark, sf_dir):
+    """Before, headlines were joined with a second scan of their own orders."""
+    from tidewater.plans.pages import _pages
+
+    plan = _pages(spark, sf_dir, F.col("title"))._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation" in line and "o_orderkey" in line for line in plan.splitlines()) == 1

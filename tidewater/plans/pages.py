@@ -16,8 +16,7 @@ _AS_OF, _DAYS = "2026-06-30", 700
 
 def _pages(spark: SparkSession, sf_dir: str, piece: Column) -> DataFrame:
     """One page per customer that has orders: the pieces of its headlines in order."""
-    placed = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ord"), F.col("o_custkey").alias("page_id"))
-    pieces = headlines(spark, sf_dir).join(placed, "ord").groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("ord", piece.alias("piece")))).alias("pieces"))
+    pieces = headlines(spark, sf_dir).withColumnRenamed("customer", "page_id").groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("ord", piece.alias("piece")))).alias("pieces"))
     url = F.concat(F.lit("https://www.firm"), F.col("page_id").cast("string"), F.lit(".example/changelog"))
     return pieces.select("page_id", url.alias("url"), F.array_join("pieces.piece", "\n").alias("html"))
 
