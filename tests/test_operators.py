@@ -378,3 +378,17 @@ def test_substrings_are_found_by_one_pattern(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "t string").withColumns({"one": text.has_substring(F.col("t"), terms), "none": text.has_substring(F.col("t"), ()), "any": text.has_substring(F.col("t"), ("",))})
     assert [(r["one"], r["none"], r["any"]) for r in rows.collect()] == [(any(w.lower() in (t or "") for w in terms), False, True) for t in texts]
     assert rows.select("one")._jdf.queryExecution().optimizedPlan().toString().count("Contains") == 0
+
+
+def test_first_seen_of_the_rows_that_hold(spark):
+    frame = spark.createDataFrame([("a", 1, None), ("a", 3, 2), ("a", 2, 2), ("b", 1, None), (None, 5, 0)], "k string, ord int, rank int")
+    found = windows.first_seen(frame, ["k"], ["rank", "ord"], F.col("rank").isNotNull())
+    assert sorted(map(tuple, found.collect()), key=str) == [("a", 2, 2), (None, 5, 0)]
+
+
+@pytest.mark.parametrize(("name", "most"), [("feed_priority_union", 2), ("rolling_7d_clusters", 3), ("weekly_narratives", 2)])
+def test_conditions_on_the_contract_do_not_copy_the_match(spark, sf_dir, name, most):
+    from tidewater import catalog
+
+    plan = catalog.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= most

@@ -49,11 +49,12 @@ def narratives(clusters: DataFrame, most: int = 50, limit: int = 3) -> DataFrame
 def ranked_clusters(rows: DataFrame) -> DataFrame:
     """Clusters of each ISO week by (region, event type), ranked by size and score; input of ``narratives``."""
     week = F.concat(F.extract(F.lit("YEAROFWEEK"), "day").cast("string"), F.lit("-W"), F.lpad(F.weekofyear("day").cast("string"), 2, "0"))
-    told = rows.filter("event_type <> 'other' and relevance >= 2").select(week.alias("period"), "region", F.col("event_type").alias("theme"), "score", "company")
+    # Relevance is asked inside the aggregations: a filter by it would be pushed down with copies of the match.
+    rows = rows.filter("event_type <> 'other'").select(week.alias("period"), "region", F.col("event_type").alias("theme"), "score", "company", (F.col("relevance") >= 2).alias("told"))
     keys = ["period", "region", "theme"]
-    grouped = told.groupBy(*keys).agg(F.count("*").alias("evidence"), F.sum("score").alias("points"))
+    grouped = rows.groupBy(*keys).agg(F.count_if("told").alias("evidence"), F.sum(F.when(F.col("told"), F.col("score"))).alias("points")).filter("evidence > 0")
     # The first two names of a cluster, without a set of all.
-    once = told.filter("company is not null").groupBy(*keys, "company").agg(F.count("*").alias("n"))
+    once = rows.filter("company is not null").groupBy(*keys, "company").agg(F.count_if("told").alias("n")).filter("n > 0")
     once = once.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("company"))).filter("nth <= 2")
     names = once.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.array_sort(F.collect_list("company")).alias("names"))
     grouped = grouped.join(names, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left").withColumn("names", F.coalesce("names", F.array().cast("array<string>")))

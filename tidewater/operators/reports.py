@@ -51,21 +51,23 @@ def signal_clusters(rows: DataFrame, as_of: str, days: int, focus: str) -> DataF
     focus day is among the days.
     """
     recent = rows.filter((F.col("day") > F.date_sub(F.lit(as_of).cast("date"), days)) & (F.col("day") <= F.lit(as_of).cast("date")))
-    eligible = recent.filter("event_type <> 'other' and not needs_review and relevance >= 2")
+    # Relevance is asked inside the aggregations: a filter by it would be pushed down with copies of the match.
+    eligible = recent.filter("event_type <> 'other' and not needs_review").withColumn("told", F.col("relevance") >= 2)
+    told = lambda c: F.when(F.col("told"), c)
     keys = ["region", "event_type", "topic"]
     # Three scores of a cluster leave a task, however many it has.
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score")))
-    best = eligible.filter("score is not null").withColumn("nth", nth).filter("nth <= 3").groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.sum("score").cast("int").alias("top_scores"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("told"), F.desc("score")))
+    best = eligible.filter("score is not null").withColumn("nth", nth).filter("nth <= 3 and told").groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.sum("score").cast("int").alias("top_scores"))
     grouped = eligible.groupBy("region", "event_type", "topic").agg(
-        F.count("*").alias("events"),
-        F.countDistinct("company").alias("companies"),
-        F.countDistinct("source").alias("sources"),
-        F.countDistinct("day").alias("days"),
-        F.max(F.col("bd_priority") == "high").alias("any_high"),
-        F.count_if(~F.col("is_google")).alias("direct"),
-        F.max(F.col("tier") == "L1").alias("official"),
-        F.max("score").alias("best_score"),
-        F.max(F.col("day") == F.lit(focus).cast("date")).alias("has_focus"),
+        F.count_if("told").alias("events"),
+        F.countDistinct(told(F.col("company"))).alias("companies"),
+        F.countDistinct(told(F.col("source"))).alias("sources"),
+        F.countDistinct(told(F.col("day"))).alias("days"),
+        F.max(told(F.col("bd_priority") == "high")).alias("any_high"),
+        F.count_if(F.col("told") & ~F.col("is_google")).alias("direct"),
+        F.max(told(F.col("tier") == "L1")).alias("official"),
+        F.max(told(F.col("score"))).alias("best_score"),
+        F.max(told(F.col("day") == F.lit(focus).cast("date"))).alias("has_focus"),
     )
     grouped = grouped.join(best, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left").withColumn("top_scores", F.coalesce("top_scores", F.lit(0)))
     flags = [F.col("companies") >= 2, F.col("sources") >= 2, F.col("days") >= 2, F.col("any_high"), F.col("direct") >= 2, F.col("official"), F.col("best_score") >= 7]

@@ -11,11 +11,16 @@ def top_per_group(df: DataFrame, groups: list[str], order: list[Column], limit:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).filter(F.col("rank") <= limit)
 
 
-def first_seen(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row per key, by aggregation (one struct per key and task is shuffled)."""
+def first_seen(df: DataFrame, keys: list[str], order: list[str], where: Column | None = None) -> DataFrame:
+    """The first row per key, by aggregation (one struct per key and task is shuffled).
+
+    ``where`` leaves rows out inside the aggregation.  A filter would be pushed below the columns
+    it asks for, with a copy of what makes them for each time they are asked.
+    """
     rest = [c for c in df.columns if c not in order]
-    row = F.min(F.struct(*order, *rest)).alias("row")
-    return df.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(row).select("row.*").select(*df.columns)
+    row = F.struct(*order, *rest)
+    first = F.min(row if where is None else F.when(where, row)).alias("row")
+    return df.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(first).filter("row is not null").select("row.*").select(*df.columns)
 
 
 def running_quota(df: DataFrame, group: str, order: list[Column], per_group: int, overall: int, reserved: DataFrame | None = None, within: list[str] | None = None) -> DataFrame:

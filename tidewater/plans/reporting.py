@@ -237,9 +237,9 @@ def featured_event_decay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_priority_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed of every day: high-value rows, then main rows, first seen by url; no search feeds."""
     rows = contract(news(spark, sf_dir)).filter("not is_google").withColumn("day", F.col("day").cast("string"))
-    # A row that is both stands with the high-value ones.
-    both = rows.filter("bd_priority = 'high' or in_main").select("day", "url", "ord", F.when(F.col("bd_priority") == "high", 0).otherwise(1).alias("rank"))
-    return windows.first_seen(both, ["day", "url"], ["rank", "ord"])
+    # A row that is both stands with the high-value ones; one that is neither has no rank.
+    ranked = rows.select("day", "url", "ord", F.when(F.col("bd_priority") == "high", 0).when(F.col("in_main"), 1).alias("rank"))
+    return windows.first_seen(ranked, ["day", "url"], ["rank", "ord"], F.col("rank").isNotNull())
 
 
 def mature_date(spark: SparkSession, sf_dir: str) -> DataFrame:
