@@ -7,7 +7,7 @@ import pytest
 
 from tests_support import check_pieces, token_ids
 from tidewater.llm import bm25_packing
-from tidewater.llm.bm25_packing import Encoder, Index, fill, pack_documents, terms, tokenizer_path
+from tidewater.llm.bm25_packing import Encoder, Index, bags, fill, latin_words, lexical_keys, pack_documents, terms, tokenizer_path
 
 
 AWKWARD = ["it's we'LL don't", "a<|endoftext|>b <|startoftext|>", "café café ́x", "x y z\x1cw", "İstanbul ΣΣ ẞ", "日本語 テキスト 12345", "a" * 9000, "🙂🙂 !!??", "\t\n \r", "\x0b\x0c one\x85two"]
@@ -147,3 +147,50 @@ def test_fill_equals_one_pick_at_a_time(seed):
 def test_many_empty_texts_fill_in_linear_time():
     windows = fill(Index([np.array([1])] * 300_000, np.ones(1 << 16), 1.0), 2048, 16)
     assert sum(map(len, windows)) == 300_000 and len(windows) <= 300_000 // 2032 + 1
+
+
+def test_latin_words_are_the_matches_of_the_pattern():
+    rng = random.Random(5)
+    pool = [*map(chr, range(256)), *"'" * 60, *"stmdrevl" * 8, *" \n" * 10, *"123½²" * 4]
+    texts = [*(x.lower() for x in AWKWARD if all(ord(c) < 256 for c in x)), "", "'", "x'", "'l", "'s's", "''ll", "don'tx'réve", *("".join(rng.choices(pool, k=rng.randint(0, 30))).lower() for _ in range(20_000))]
+    words, counts = latin_words([x.encode("latin-1") for x in texts])
+    found = iter(w.decode("latin-1") for w in words.to_pylist())
+    assert [[next(found) for _ in range(n)] for n in counts.tolist()] == [Encoder.WORDS.findall(x) for x in texts]
+    assert next(found, None) is None and latin_words([])[1].tolist() == []
+
+
+def test_latin_capitals_are_plain():
+    for c in map(chr, range(256)):
+        assert not Encoder.ODD.search(c) and c.encode("latin-1").translate(bm25_packing._LOWER).decode("latin-1") == c.lower()
+
+
+def test_frequent_words_outlast_rare_ones():
+    encoder = Encoder(tokenizer_path(), remember=40)
+    for k in range(30):
+        got = encoder.encode(["often said; " + " ".join(f"rare{'abcdefghij'[k % 10]}{chr(97 + i)}x{k}" for i in range(9)), "Œuvre often"])
+        assert [x.tolist() for x in got] == [x[:-1] for x in token_ids(["often said; " + " ".join(f"rare{'abcdefghij'[k % 10]}{chr(97 + i)}x{k}" for i in range(9)), "Œuvre often"])]
+        assert b"often" in encoder.known.to_pylist() and len(encoder.known) <= 40 + 25
+    encoder._forget_rare()
+    assert len(encoder.known) <= 20
+
+
+def test_bags_and_keys_of_many_texts():
+    rng = np.random.default_rng(8)
+    ids = [rng.integers(0, 9, n) for n in (1, 2, 40, 1, 7, 300)]
+    place, term, often = bags(ids)
+    assert list(zip(place.tolist(), term.tolist(), often.tolist(), strict=True)) == [(k, t, n) for k, x in enumerate(ids) for t, n in sorted(Counter(terms(x).tolist()).items())]
+    plain = []
+    for x in ids:
+        mixed = [t * 0x9E3779B1 & 0xFFFFFFFF for t in terms(x).tolist()]
+        least = min(m ^ m >> 16 for m in mixed)
+        plain.append((least * 0x85EBCA6B ^ least >> 13) * 0xC2B2AE35 & 0xFFFFFFFF)
+    assert lexical_keys(ids) == plain and lexical_keys([]) == []
+
+
+def test_postings_of_used_texts_go():
+    rng = np.random.default_rng(4)
+    ids = [rng.integers(0, 30, n) for n in rng.integers(1, 40, 200)]
+    index, left = Index(ids, rng.random(1 << 16) + 0.1, 20.0), np.arange(0, 200, 3)
+    some = index.of(left)
+    assert len(some.doc) < len(index.doc) / 2
+    assert all((some.scores(k)[left] == index.scores(k)[left]).all() for k in range(200))

@@ -15,8 +15,8 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterator
+from copy import copy
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,18 +48,43 @@ def _latin(kind: str) -> str:
 _LETTERS, _NUMBERS = _latin("L"), _latin("N")
 #: Plain characters whose lower case is one plain character too; some capitals (such as U+018F) leave the range.
 _STEADY = "".join(f"\\u{c:04x}" for c in range(0x250) if len(chr(c).lower()) == 1 and ord(chr(c).lower()) < 0x250)
+_BLANK, _LETTER, _NUMBER, _SIGN = range(4)
+#: The kind of each character of Latin-1.
+_KINDS = np.array([_BLANK if 9 <= c <= 13 or c in (0x20, 0x85, 0xA0) else {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(chr(c))[0], _SIGN) for c in range(256)], np.uint8)
+_LOWER = bytes(range(256)).decode("latin-1").lower().encode("latin-1")
 
 
-class _Words(dict):
-    """Word -> number; a new word gets the next number and is listed in ``new``."""
+def _is(x: np.ndarray, signs: bytes) -> np.ndarray:
+    """Which values are one of a few characters."""
+    return np.isin(x, np.frombuffer(signs, np.uint8))
 
-    def __init__(self) -> None:
-        self.new: list[str] = []
 
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        self.new.append(word)
-        return number
+def latin_words(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of lower-case Latin-1 texts, one after the other, and how many each text has.
+
+    These are the matches of ``Encoder.WORDS``: runs of letters and of other signs, single numbers, and an
+    apostrophe that begins a run of signs together with the ending after it.
+    """
+    signs = np.frombuffer(b"\n".join([*texts, b"\n\n"]), np.uint8)  # three blanks at least at the end
+    kind = _KINDS[signs]
+    begins = kind == _NUMBER
+    begins[0] = True
+    begins[1:] |= kind[1:] != kind[:-1]
+    quotes = np.flatnonzero(signs == ord("'"))
+    quotes = quotes[begins[quotes]]
+    first, second = signs[quotes + 1], signs[quotes + 2]
+    short = _is(first, b"stmd")
+    long = _is(first, b"rv") & (second == ord("e")) | (first == ord("l")) & (second == ord("l"))
+    begins[quotes[short | long] + 1] = False
+    begins[quotes[short] + 2] = True
+    begins[quotes[long] + 3] = True
+    starts = np.flatnonzero(begins)
+    sizes = np.diff(starts, append=len(signs))
+    said = kind[starts] != _BLANK
+    stops = np.concatenate([[0], np.cumsum(sizes[said])]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(stops) - 1, [None, pa.py_buffer(stops), pa.py_buffer(signs[kind != _BLANK])])
+    ends = np.searchsorted(starts[said], np.cumsum([len(t) + 1 for t in texts]))
+    return words.dictionary_encode(), np.diff(ends, prepend=0)
 
 
 class Encoder:
@@ -67,8 +92,10 @@ class Encoder:
 
     The tokenizer drops white space and merges only inside words, so words can
     be encoded apart.  They are found here only in plain Latin text, whose lower
-    case and normal form are beyond doubt.  Of other texts, each chunk between
+    case and normal form are beyond doubt; where that is Latin-1, the words of many
+    texts are found and told apart at once.  Of other texts, each chunk between
     ASCII white space that is not plain goes to the tokenizer as it is.
+    Of more words than ``remember`` those that occurred in one call only are forgotten.
     """
 
     #: How the tokenizer parts plain lower-case text into words.
@@ -79,9 +106,13 @@ class Encoder:
 
     def __init__(self, path: str, remember: int = 400_000, remember_chars: int = 16_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # A plain word is in normal form and in one part; blanks between words are all that is left to find.
+        self.merger = Tokenizer.from_file(path)
+        self.merger.normalizer = None
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.dtype = "<u2" if max(vocabulary.values(), default=0) < 1 << 16 else "<u4"
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
@@ -90,9 +121,27 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.words, self.chars = _Words(), 0
+        self.known = pa.array([], pa.binary())
         self.ids = np.zeros(0, self.dtype)
         self.stops = np.zeros(1, np.int64)  # word k has ids[stops[k]:stops[k + 1]]
+        self.calls = np.zeros(0, np.int32)  # in which word k occurred
+
+    def _full(self) -> bool:
+        return len(self.known) > self.remember or self.known.nbytes > self.remember_chars
+
+    def _forget_rare(self) -> None:
+        """Keep the words of two calls or more, if these are few enough; calls are counted anew."""
+        kept = self.calls > 1
+        if 2 * np.count_nonzero(kept) > self.remember:
+            self._forget()
+            return
+        sizes = np.diff(self.stops)
+        self.known = self.known.filter(pa.array(kept))
+        self.ids = self.ids[np.repeat(kept, sizes)]
+        self.stops = np.concatenate([[0], np.cumsum(sizes[kept])])
+        self.calls = np.zeros(len(self.known), np.int32)
+        if self._full():
+            self._forget()
 
     def _plain(self, text: str) -> bool:
         return (text.isascii() and "<|" not in text) or not self.ODD.search(text)
@@ -112,16 +161,33 @@ class Encoder:
     def _encoded(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
 
-    def _learn(self) -> None:
-        """Encode the new words, many at once; each ends with the one token that ends a word."""
-        new, self.words.new = self.words.new, []
+    def _numbers(self, words: pa.DictionaryArray) -> np.ndarray:
+        """Numbers of words; the next numbers are given to new ones."""
+        at = pc.index_in(words.dictionary, value_set=self.known)
+        new = words.dictionary.filter(pc.is_null(at))
+        numbers = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        numbers[numbers < 0] = len(self.known) + np.arange(len(new))
+        if len(new):
+            self._learn([self._spelt(w) for w in new.to_pylist()])
+            self.known = pa.concat_arrays([self.known, new])
+            self.calls = np.concatenate([self.calls, np.zeros(len(new), np.int32)])
+        self.calls[numbers] += 1
+        return numbers[words.indices.to_numpy()]
+
+    @staticmethod
+    def _spelt(word: bytes) -> str:
+        """Words of Latin-1 texts are kept as such, others in UTF-8 after a blank."""
+        return word[1:].decode() if word[:1] == b" " else word.decode("latin-1")
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode new words, many at once; each ends with the one token that ends a word."""
         ids, stops = [self.ids], [self.stops]
         at = int(self.stops[-1])
         for first in range(0, len(new), 400):
             part = new[first : first + 400]
             # A whole chunk may hold several words or none, and is encoded apart.
             plain = [w for w in part if w[0] != self.WHOLE]
-            joined = self._encoded(" ".join(plain))
+            joined = np.array(self.merger.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype=self.dtype)
             ends = np.flatnonzero(self.ends[joined]) + 1
             if len(plain) == len(part) == len(ends):
                 ids.append(joined)
@@ -134,22 +200,42 @@ class Encoder:
                 at += len(made)
                 ids.append(made)
                 stops.append(np.array([at]))
-        self.chars += sum(map(len, new))
         self.ids, self.stops = np.concatenate(ids), np.concatenate(stops)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text."""
-        if len(self.words) > self.remember or self.chars > self.remember_chars:
-            self._forget()
-        parts = [self._parts(t) if t else [] for t in texts]
-        words = np.fromiter(map(self.words.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))
-        if self.words.new:
-            self._learn()
+        if self._full():
+            self._forget_rare()
+        latin, others = {}, {}
+        for at, text in enumerate(texts):
+            if not text:
+                continue
+            try:
+                lower = text.encode("latin-1").translate(_LOWER)
+            except UnicodeEncodeError:
+                lower = b"<|"
+            if b"<|" not in lower:
+                latin[at] = lower
+                continue
+            others[at] = self._parts(text)
+        said, many = latin_words(list(latin.values()))
+        counts = np.zeros(len(texts), np.int64)
+        counts[list(latin)] = many
+        words = self._numbers(said)
+        if others:
+            counts[list(others)] = [len(x) for x in others.values()]
+            apart = np.zeros(len(texts), bool)
+            apart[list(others)] = True
+            apart = np.repeat(apart, counts)
+            more = self._numbers(pa.array([b" " + w.encode() for x in others.values() for w in x], pa.binary()).dictionary_encode())
+            numbers, words = words, np.empty(len(apart), np.int64)
+            # Words stand in the order of the texts again.
+            words[~apart], words[apart] = numbers, more
         first = self.stops[words]
         sizes = self.stops[words + 1] - first
         before = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.repeat(first - before[:-1], sizes) + np.arange(before[-1])]
-        cuts = before[np.cumsum([0, *map(len, parts)])].tolist()
+        cuts = before[np.concatenate([[0], np.cumsum(counts)])].tolist()
         return [ids[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
@@ -159,25 +245,49 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _every_term(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The terms of many texts one after the other, their number of ids, and which terms count; no text is empty.
+
+    The last id of a text begins no pair, but where it is the only one.
+    """
+    sizes = np.array([len(x) for x in ids])
+    x = np.concatenate(ids).astype(np.uint32)
+    last = np.cumsum(sizes) - 1
+    pairs = x * np.uint32(2654435761)
+    pairs[:-1] += x[1:] * np.uint32(40503)
+    pairs[last] = x[last] * np.uint32(2654435761)
+    paired = np.ones(len(x), bool)
+    paired[last[sizes > 1]] = False
+    return (pairs ^ (pairs >> np.uint32(15))) & np.uint32(TERMS - 1), sizes, paired
+
+
 def terms(ids: np.ndarray) -> np.ndarray:
     """Hashed pairs of neighbouring ids; a single id pairs with nothing."""
-    x = ids.astype(np.uint32)
-    pairs = x[:-1] * np.uint32(2654435761) + x[1:] * np.uint32(40503) if len(x) > 1 else x * np.uint32(2654435761)
-    return (pairs ^ (pairs >> np.uint32(15))) & np.uint32(TERMS - 1)
+    found, _, paired = _every_term([ids])
+    return found[paired]
 
 
-def distinct_terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The different terms in order, and how often each occurs."""
-    found = np.sort(terms(ids).astype(np.uint16))  # TERMS values fit
+def bags(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, term, how often) of the different terms of many texts, by place and term."""
+    found, sizes, paired = _every_term(ids)
+    kind = np.uint32 if len(ids) < 1 << 16 else np.uint64
+    found = np.sort((np.repeat(np.arange(len(ids), dtype=kind) << kind(16), sizes) | found)[paired])
     stops = np.append(np.flatnonzero(found[1:] != found[:-1]) + 1, len(found))
-    return found[stops - 1], np.diff(stops, prepend=0)
+    found = found[stops - 1]
+    return (found >> kind(16)).astype(np.int64), (found & kind(TERMS - 1)).astype(np.int64), np.diff(stops, prepend=0)
 
 
-def lexical_key(ids: np.ndarray) -> int:
-    """A hash of the text's min-hash over its terms, 0 to 2**32 - 1."""
-    mixed = terms(ids) * np.uint32(0x9E3779B1)
-    least = int((mixed ^ (mixed >> np.uint32(16))).min())
-    return (least * 0x85EBCA6B ^ least >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+def lexical_keys(ids: list[np.ndarray]) -> list[int]:
+    """A hash of each text's min-hash over its terms, 0 to 2**32 - 1."""
+    if not ids:
+        return []
+    found, sizes, paired = _every_term(ids)
+    mixed = found * np.uint32(0x9E3779B1)
+    mixed ^= mixed >> np.uint32(16)
+    mixed[~paired] = 0xFFFFFFFF
+    least = np.minimum.reduceat(mixed, np.cumsum(sizes) - sizes).astype(np.uint64)
+    keys = (least * np.uint64(0x85EBCA6B) ^ least >> np.uint64(13)) * np.uint64(0xC2B2AE35)
+    return (keys & np.uint64(0xFFFFFFFF)).tolist()
 
 
 def _slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
@@ -201,7 +311,7 @@ def _tokenise(path: str | None, window: int, end_id: int):
         for batch in batches:
             for at, size in _slices(batch.column(1)):
                 part = batch.slice(at, size)
-                rows = []
+                rows, tails = [], []
                 for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
                     n = len(ids) + 1
                     ids = np.concatenate([ids, end])
@@ -210,10 +320,12 @@ def _tokenise(path: str | None, window: int, end_id: int):
                         rows.append((base + count, doc_id, n, start, base + count, None, ids[start : start + window].tobytes()))
                     if rest := n % window:
                         count += 1
-                        tail = ids[n - rest :]
-                        rows.append((base + count, doc_id, n, n - rest, None, lexical_key(tail), tail.tobytes()))
+                        tails.append(ids[n - rest :])
+                        rows.append((base + count, doc_id, n, n - rest, None, len(tails) - 1, tails[-1].tobytes()))
                 types = [pa.int64()] * 6 + [pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["uid", "doc_id", "doc_tokens", "start", "sequence_id", "key", "ids"])
+                columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+                columns[5] = pa.array(lexical_keys(tails), pa.int64()).take(columns[5])
+                yield pa.RecordBatch.from_arrays(columns, names=["uid", "doc_id", "doc_tokens", "start", "sequence_id", "key", "ids"])
 
     return run
 
@@ -222,8 +334,9 @@ def _frequencies(dtype: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(TERMS, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                counts[distinct_terms(np.frombuffer(ids.as_py(), dtype))[0]] += 1
+            for at, size in _slices(batch.column(0), 2 << 20):
+                texts = [np.frombuffer(x, dtype) for x in batch.column(0).slice(at, size).to_pylist()]
+                counts += np.bincount(bags(texts)[1], minlength=TERMS)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["term", "docs"])
 
@@ -234,19 +347,26 @@ class Index:
     """BM25 postings of one shard: for each term the documents and their weights."""
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float) -> None:
-        found = [distinct_terms(x) for x in ids]
         self.sizes = np.array([len(x) for x in ids])
-        doc = np.repeat(np.arange(len(ids)), [len(t) for t, _ in found])
-        term = np.concatenate([t for t, _ in found])
-        tf = np.concatenate([c for _, c in found]).astype(np.float64)
+        doc, term, tf = bags(ids)
         weight = idf[term] * tf * (_K1 + 1) / (tf + _K1 * (1 - _B + _B * self.sizes[doc] / mean))
-        order = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[order], weight[order]
+        order = np.argsort(term.astype(np.uint16), kind="stable")
+        self.term, self.doc, self.weight = term[order], doc[order], weight[order]
         many = np.bincount(term, minlength=TERMS)
         self.at = np.concatenate([[0], np.cumsum(many)])
         # A term that no other document has scores the seed alone, which is never asked for.
         shared = many[term] > 1
-        self.own = np.split(term[shared].astype(np.int64), np.cumsum(np.bincount(doc[shared], minlength=len(ids)))[:-1])
+        self.own = np.split(term[shared], np.cumsum(np.bincount(doc[shared], minlength=len(ids)))[:-1])
+
+    def of(self, docs: np.ndarray) -> Index:
+        """The index in which only these documents are scored; any may still be a seed."""
+        kept = np.zeros(len(self.sizes), bool)
+        kept[docs] = True
+        kept = kept[self.doc]
+        index = copy(self)
+        index.term, index.doc, index.weight = self.term[kept], self.doc[kept], self.weight[kept]
+        index.at = np.concatenate([[0], np.cumsum(np.bincount(index.term, minlength=TERMS))])
+        return index
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every other document for all different terms of the seed."""
@@ -289,8 +409,13 @@ def fill(index: Index, window: int, slack: int) -> list[list[tuple[int, int, int
     """
     sizes = index.sizes
     unused = np.arange(len(sizes))
+    held = len(unused)  # documents with postings
     windows, rest = [], None
     while rest or len(unused):
+        # Postings of used documents go, again and again after a share of the rest, so their moving is linear in all.
+        if len(unused) < 0.85 * held:
+            index = index.of(unused)
+            held = len(unused)
         if rest is None:
             rest, unused = (int(unused[0]), 0), unused[1:]
         seed, start = rest
