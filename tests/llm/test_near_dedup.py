@@ -86,6 +86,35 @@ def test_near_duplicates_match_brute_force(spark, block_rows):
     assert sorted(map(sorted, place.values())) == sorted(map(sorted, groups.values()))
 
 
+@pytest.mark.parametrize("block_rows", [32_768, 40, 3])
+def test_near_duplicates_of_crowded_shingles_match_brute_force(spark, block_rows):
+    rng = np.random.default_rng(3)
+    passage, base = [f"p{x}" for x in range(40)], [f"b{x}" for x in range(60)]
+    texts = []
+    for k in range(60):  # texts that have a passage in common, more or less of each, and a large group of edited copies
+        texts.append(" ".join(passage + [f"w{x}" for x in rng.integers(0, 1 << 40, 1 + k % 30)]))
+        texts.append(" ".join(f"e{rng.integers(99)}" if rng.random() < 0.03 * (k % 5) else w for w in base))
+    links = near_links(texts)
+    want = roots(len(texts), links)
+    assert len(set(want)) > 20 and 300 < len(links) < len(texts) * (len(texts) - 1) / 4
+    found = near_duplicate_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), block_rows=block_rows).collect()
+    component = {r["id"]: r["component"] for r in found}
+    assert len({(want[i], component[i]) for i in range(len(texts))}) == len(set(want)) == len(set(component.values()))
+
+
+def test_texts_without_a_shared_shingle_are_not_compared(spark, monkeypatch):
+    """The rows that are dealt out for comparison do not grow with the square of the texts."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 30)) for _ in range(1500)]
+    texts += [f"{t} {k}" for t in texts[:10] for k in range(3)]
+    dealt, grouped = [], type(spark.range(1).groupBy("id"))
+    apply = grouped.applyInArrow
+    monkeypatch.setattr(grouped, "applyInArrow", lambda self, *a: (dealt.append(self._df.count()), apply(self, *a))[1])
+    got = near_duplicate_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), block_rows=50)
+    assert len({r["component"] for r in got.collect()}) == 1500
+    assert sum(dealt) <= len(texts)
+
+
 def test_unrelated_short_texts_stay(spark):
     rng = np.random.default_rng(5)
     # Ties leave few bits set in texts of six or eight words, so many are within 25 bits of the empty text.

@@ -9,11 +9,12 @@ many rows as it has members.  The forests are joined by connected components.
 
 The removal of near-duplicates takes pairs within a wide radius as candidates
 only and links those whose texts are alike by signatures of fixed size: some
-shared shingles, and 0.8 or more of the longer text's words shared.
+shared shingles, and 0.8 or more of the longer text's words shared.  Since a
+link needs equal shingle slots, only texts that share a slot are compared, or
+two slots where many share one; a text that shares none meets no other.
 
-The comparison is exact and therefore quadratic in the number of different
-fingerprints within reach; its input is 16 bytes a fingerprint and 196 of
-signature.
+The comparison of fingerprints alone is exact and therefore quadratic in the
+number of different ones within reach; its input is 16 bytes a fingerprint.
 """
 
 from __future__ import annotations
@@ -37,6 +38,9 @@ _SHINGLE_SLOTS, _WORD_SLOTS = _SLOTS[:16], _SLOTS[16:]
 #: How many shingle slots two linked texts share at least.
 _AGREE = 2
 _LEAST_BLOCKS = 8
+#: Up to so many texts of a slot's value are compared by that value alone; groups of up to ``_FEW`` texts are compared together.
+_CROWD, _FEW, _UNIT_ROWS = 4096, 32, 16_384
+_DATA = ("bits", "more", "signature")
 
 
 def _shingles(text: str | None, width: int, seed: int) -> np.ndarray:
@@ -110,7 +114,7 @@ class Signatures:
     """Signatures of the rows of a task, and which pairs of them are alike."""
 
     def __init__(self, packed: list[bytes], similarity: float) -> None:
-        raw = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
+        raw = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 196)
         self.shingles = np.ascontiguousarray(raw[:, :64]).view("<u4")
         self.words = np.ascontiguousarray(raw[:, 64:192])
         self.sizes = np.ascontiguousarray(raw[:, 192:]).view("<u4")[:, 0].astype(np.float64)
@@ -118,10 +122,13 @@ class Signatures:
 
     def alike(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which pairs share shingles and, by estimate, ``similarity`` of the longer text's words."""
-        shared = (self.shingles[a] == self.shingles[b]).sum(axis=1) >= _AGREE
-        agree = ((self.words[a] == self.words[b]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)  # less those that agree by chance
-        both = agree / (1 + agree) * (self.sizes[a] + self.sizes[b])
-        return shared & (both >= self.similarity * np.maximum(self.sizes[a], self.sizes[b]))
+        total, least = self.sizes[a] + self.sizes[b], self.similarity * np.maximum(self.sizes[a], self.sizes[b])
+        left = np.flatnonzero(total / 2 >= least)  # no estimate is above the mean of the sizes
+        left = left[(self.shingles[a[left]] == self.shingles[b[left]]).sum(axis=1) >= _AGREE]
+        agree = ((self.words[a[left]] == self.words[b[left]]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)  # less those that agree by chance
+        found = np.zeros(len(a), bool)
+        found[left] = agree / (1 + agree) * total[left] >= least[left]
+        return found
 
 
 def _fingerprints(width: int, lanes: int, signed: bool):
@@ -175,16 +182,20 @@ class Forest:
         return nodes, self.root[nodes]
 
 
-def link_blocks(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest, left_at: int = 0, right_at: int = 0, signatures: Signatures | None = None) -> None:
+def link_blocks(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest, left_at: np.ndarray, right_at: np.ndarray, signatures: Signatures | None = None) -> None:
     """Link in ``forest`` all pairs of rows (64-bit lanes as columns) that differ in at most ``radius`` bits.
 
-    With ``signatures`` of the forest's nodes, a pair must be alike by them too.
+    ``left_at`` and ``right_at`` are the rows' nodes in the forest.  With
+    ``signatures`` of the forest's nodes, a pair must be alike by them too.
     """
     lanes = range(left.shape[1])
     low_left, low_right = left[:, 0].astype(np.uint32), right[:, 0].astype(np.uint32)
     for r in range(0, len(left), _ROWS):
         for c in range(r if right is left else 0, len(right), _COLUMNS):
             rows, columns = slice(r, r + _ROWS), slice(c, c + _COLUMNS)
+            group = forest.root[left_at[r]]
+            if (forest.root[right_at[columns]] == group).all() and (forest.root[left_at[rows]] == group).all():
+                continue  # pairs of one group need no proof
             if len(lanes) == 1:  # half of the bits already rules out nearly every pair
                 bits = np.bitwise_count(low_left[rows, None] ^ low_right[None, columns])
             else:
@@ -192,9 +203,9 @@ def link_blocks(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest
             i, j = np.divmod(np.flatnonzero(bits <= radius), bits.shape[1])
             i, j = i + r, j + c
             same = np.bitwise_count(left[i] ^ right[j]).sum(axis=1, dtype=np.int64) <= radius
-            a, b = i[same] + left_at, j[same] + right_at
+            a, b = left_at[i[same]], right_at[j[same]]
             while signatures is not None and len(a):
-                apart = forest.root[a] != forest.root[b]  # pairs of one group need no proof
+                apart = forest.root[a] != forest.root[b]
                 a, b = a[apart], b[apart]
                 proven = signatures.alike(a[:_PAIRS], b[:_PAIRS])
                 forest.link(a[:_PAIRS][proven], b[:_PAIRS][proven])
@@ -202,33 +213,32 @@ def link_blocks(left: np.ndarray, right: np.ndarray, radius: int, forest: Forest
             forest.link(a, b)
 
 
-def _compare(radius: int, lanes: int, similarity: float | None):
+def _compare(radius: int, lanes: int):
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         order = np.argsort(side, kind="stable")
         bits = np.stack([table.column(c).to_numpy() for c in ("bits", "more")[:lanes]], axis=1).view(np.uint64)[order]
         nodes = table.column("node").to_numpy()[order]
-        signatures = Signatures(table.column("signature").take(pa.array(order)).to_pylist(), similarity) if similarity is not None else None
-        cut = int(np.searchsorted(side[order], 1))
+        cut, at = int(np.searchsorted(side[order], 1)), np.arange(len(bits))
         forest = Forest(len(bits))
         if 0 < cut < len(bits):
-            link_blocks(bits[:cut], bits[cut:], radius, forest, 0, cut, signatures)
+            link_blocks(bits[:cut], bits[cut:], radius, forest, at[:cut], at[cut:])
         else:  # a block with itself
-            link_blocks(bits, bits, radius, forest, signatures=signatures)
+            link_blocks(bits, bits, radius, forest, at, at)
         a, b = forest.edges()
         return pa.table({"a": nodes[a], "b": nodes[b]})
 
     return run
 
 
-def linked_groups(heads: DataFrame, radius: int, lanes: int, similarity: float | None = None, block_rows: int = 32_768) -> DataFrame:
-    """(node, component) of every row of ``heads`` (node, bits, more and maybe signature) that links to another.
+def linked_groups(heads: DataFrame, radius: int, lanes: int, block_rows: int = 32_768) -> DataFrame:
+    """(node, component) of every row of ``heads`` (node, bits, more) that links to another.
 
     A block holds about ``block_rows`` neighbours in order of population count
     (and of hash inside one count), whatever the counts' sizes are.  Smaller tables
     make ``_LEAST_BLOCKS`` blocks too, which spreads their comparison over tasks.
     """
-    carried = ["node", "bits", "more"] + ["signature"] * (similarity is not None)
+    carried = ["node", "bits", "more"]
     ones = F.bit_count("bits") + F.bit_count("more")
     heads = heads.select(*carried, ones.alias("ones"))
     # At most 129 population counts, so the window and the broadcast are bounded.
@@ -248,10 +258,119 @@ def linked_groups(heads: DataFrame, radius: int, lanes: int, similarity: float |
         pairs.filter("other > block").select("block", "other", F.lit(1).alias("side"), F.col("other").alias("of"))
     )
     dealt = blocks.withColumnRenamed("block", "of").join(sides, "of").drop("of")
-    links = dealt.groupBy("block", "other").applyInArrow(_compare(radius, lanes, similarity), "a long, b long")
+    links = dealt.groupBy("block", "other").applyInArrow(_compare(radius, lanes), "a long, b long")
     return connected_components(links, "a", "b")
 
 
+def _slot_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, node) for each shingle slot of the rows (node, signature)."""
+    for batch in batches:
+        slots = Signatures(batch.column(1).to_pylist(), 0).shingles.astype(np.int64)
+        places = np.arange(slots.shape[1])
+        yield pa.RecordBatch.from_arrays([pa.array((places << 32 | slots).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), len(places)))], names=["key", "node"])
+
+
+def _lanes(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+    return np.stack([table.column(c).to_numpy() for c in ("bits", "more")], axis=1).view(np.uint64)
+
+
+def _linked_pairs(radius: int, similarity: float):
+    """The pairs (a, b) of rows (a, b, bits, more, signature, and the same of b) that link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.select(["a", *_DATA]), batch.select(["b", *(f"{c}_b" for c in _DATA)]).rename_columns(["b", *_DATA])
+            signatures = Signatures([*a.column("signature").to_pylist(), *b.column("signature").to_pylist()], similarity)
+            near = np.flatnonzero(np.bitwise_count(_lanes(a) ^ _lanes(b)).sum(axis=1, dtype=np.int64) <= radius)
+            near = near[signatures.alike(near, near + batch.num_rows)]
+            yield batch.select(["a", "b"]).take(pa.array(near))
+
+    return run
+
+
+def _compare_units(radius: int, similarity: float):
+    """Links between components, as pairs of them, of units: rows of one (key, other, one, two), side 0 with side 1 or, without that, with itself."""
+
+    def run(table: pa.Table) -> pa.Table:
+        component, side = (table.column(c).to_numpy() for c in ("component", "side"))
+        unit = [table.column(c).to_numpy() for c in ("two", "one", "other", "key")]
+        order = np.lexsort((component, side, *unit))
+        nodes, first, at = np.unique(table.column("node").to_numpy()[order], return_index=True, return_inverse=True)
+        some = table.take(pa.array(order[first]))
+        bits, signatures, component = _lanes(some), Signatures(some.column("signature").to_pylist(), similarity), component[order[first]]
+        forest = Forest(len(nodes))
+        _, head, of = np.unique(component, return_index=True, return_inverse=True)
+        forest.link(np.arange(len(nodes)), head[of])
+        side = side[order]
+        fresh = np.any([x[order][1:] != x[order][:-1] for x in unit], axis=0)
+        starts = np.concatenate([[0], np.flatnonzero(fresh) + 1, [len(side)]])
+        sizes = np.diff(starts)
+        few = (sizes <= _FEW) & (np.maximum.reduceat(side, starts[:-1]) == 0)
+        nth = (np.arange(len(side)) - np.repeat(starts[:-1], sizes))[np.repeat(few, sizes)]
+        rows = np.flatnonzero(np.repeat(few, sizes))
+        for i in range(0, len(rows), _PAIRS):  # each row with those before it in its unit
+            row, before = rows[i : i + _PAIRS], nth[i : i + _PAIRS]
+            b = np.repeat(row, before)
+            a = b - 1 - (np.arange(len(b)) - np.repeat(np.cumsum(before) - before, before))
+            a, b = at[a], at[b]
+            near = forest.root[a] != forest.root[b]
+            near[near] = np.bitwise_count(bits[a[near]] ^ bits[b[near]]).sum(axis=1, dtype=np.int64) <= radius
+            near[near] = signatures.alike(a[near], b[near])
+            forest.link(a[near], b[near])
+        for start, stop in zip(starts[:-1][~few].tolist(), starts[1:][~few].tolist(), strict=True):
+            cut = start + int(np.searchsorted(side[start:stop], 1))
+            left, right = at[start:cut], at[cut:stop]
+            if len(left) and len(right):
+                link_blocks(bits[left], bits[right], radius, forest, left, right, signatures)
+            else:  # a block with itself
+                left = at[start:stop]
+                link_blocks(own := bits[left], own, radius, forest, left, left, signatures)
+        a = np.flatnonzero(component != component[forest.root])
+        return pa.table({"a": component[a], "b": component[forest.root[a]]})
+
+    return run
+
+
+def alike_groups(texts: DataFrame, radius: int, similarity: float, block_rows: int = 32_768, crowd: int = _CROWD) -> DataFrame:
+    """(node, component) of every row of ``texts`` (node, bits, more, signature) that links to another.
+
+    Two texts that link have ``_AGREE`` equal shingle slots.  Each text is first
+    compared with the least of those that share a slot with it.  Then all pairs
+    are compared that share a slot, as long as components do not connect
+    them yet: under the slot's value, or under two values where more than
+    ``crowd`` texts have each.  A unit of work has two blocks of about
+    ``block_rows`` texts at most.
+    """
+    keys = texts.select("node", "signature").mapInArrow(_slot_keys, "key long, node long")
+    shared = keys.groupBy("key").agg(F.count("*").alias("rows"), F.min("node").alias("head")).filter("rows > 1")
+    members = written(keys.join(shared, "key"), "members")
+    pairs = members.filter("node > head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    one = texts.select(F.col("node").alias("a"), *_DATA)
+    two = texts.select(F.col("node").alias("b"), *(F.col(c).alias(f"{c}_b") for c in _DATA))
+    first = written(connected_components(pairs.join(one, "a").join(two, "b").mapInArrow(_linked_pairs(radius, similarity), "a long, b long"), "a", "b"), "first")
+
+    named = members.filter("rows > 2").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sparse = named.filter(F.col("rows") <= crowd).select("key", F.lit(-1).cast("long").alias("other"), "node", "component")
+    crowded = named.filter(F.col("rows") > crowd).groupBy("node", "component").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # sixteen at most
+    twos = F.expr("flatten(transform(keys, (x, i) -> transform(slice(keys, i + 2, 16), y -> struct(x as key, y as other))))")
+    crowded = crowded.select("node", "component", F.explode(twos).alias("pair")).select("pair.key", "pair.other", "node", "component")
+    groups = written(sparse.unionByName(crowded), "groups")
+    apart = groups.groupBy("key", "other").agg(F.count("*").alias("rows"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    apart = written(apart.select("key", "other", F.ceil(F.col("rows") / block_rows).alias("blocks"), "rows"), "apart")
+    rows = apart.agg(F.sum(F.col("rows") * F.col("blocks"))).first()[0]
+    if not rows:
+        return first
+    own, met = F.pmod(F.xxhash64("node"), "blocks"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = groups.join(apart.drop("rows"), ["key", "other"]).withColumn("own", own).withColumn("met", met)
+    dealt = dealt.select("key", "other", F.least("own", "met").alias("one"), F.greatest("own", "met").alias("two"), (F.col("own") > F.col("met")).cast("int").alias("side"), "node", "component")
+    unit = F.pmod(F.xxhash64("key", "other", "one", "two"), F.lit(max(_LEAST_BLOCKS, -(-rows // _UNIT_ROWS))))
+    dealt = dealt.withColumn("unit", unit).join(texts.select("node", *_DATA), "node")
+    second = connected_components(dealt.groupBy("unit").applyInArrow(_compare_units(radius, similarity), "a long, b long"), "a", "b")
+    late = second.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    every = first.unionByName(late.join(first, "component", "left_anti").select(F.col("component").alias("node"), "component"))
+    return every.join(late, "component", "left").select("node", F.coalesce("least", "component").alias("component"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, width: int = 4, radius: int = 4, block_rows: int = 32_768) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits) and component_id.
 
@@ -287,7 +406,7 @@ def near_duplicate_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str
     prints = written(rows.mapInArrow(_fingerprints(width, 2, True), "id long, sha string, bits long, more long, signature binary"), "fingerprints")
     texts = prints.groupBy("sha").agg(*(F.first(c).alias(c) for c in ("bits", "more", "signature")))  # equal for equal texts
     texts = written(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
-    groups = linked_groups(texts, radius, 2, similarity, block_rows)
+    groups = alike_groups(texts, radius, similarity, block_rows, min(_CROWD, block_rows))
     named = texts.select("sha", "node").join(groups, "node", "left").select("sha", F.coalesce("component", "node").alias("component"))
     return prints.select("id", "sha").join(named, "sha")
 
