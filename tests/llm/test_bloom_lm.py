@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.llm import bloom_lm
 from tidewater.llm.bloom_lm import Filter, bloom, count_of, level_of, score_texts, word_hashes
@@ -77,6 +78,20 @@ def test_texts_without_a_false_positive_are_exact(spark):
     check(score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect(), plain(rows), share=0.3)
 
 
+def test_groups_of_the_filter_read_each_token_once(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    read, frame, width = [], type(docs), {"tokens": 2, "hashes": 8}
+    apply = frame.mapInArrow
+
+    def counted(self, *args):
+        read.extend(self.agg(F.sum(F.octet_length(c)) / width[c]).first()[0] or 0 for c in self.columns if c in width)
+        return apply(self, *args)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    tokens = score_texts(docs, filter_bytes=20_000).agg(F.sum("n_tokens")).first()[0]
+    assert len(read) > 4 and sum(read) == tokens
+
+
 def test_nothing_to_learn_from(spark):
     rows = [(i, "a b") for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2]
     frame = spark.createDataFrame(rows, "doc_id long, text string")

@@ -6,7 +6,9 @@ of 64-bit words and of bigrams, packed by piece of the hash space, to reducers,
 which add the counts up.  A count c is quantised to the level 1 + floor(log2 c),
 and a word or bigram of level q enters the filter of its piece q times, once a
 level.  The pieces are gathered and broadcast, and the scoring tasks find a
-level by asking for level 1, 2, ... until one is absent.
+level by asking for level 1, 2, ... until one is absent.  A filter too large to
+be broadcast at once is broadcast in groups of pieces; the tokens are then
+written once by the group that their first word asks, so that each is scored once.
 
 A bigram (v, w) that the filter holds has the probability c2 / (c1 + T); for
 others the mass T / (c1 + T) is left, shared by the exact add-one probability of
@@ -41,7 +43,7 @@ _LOW32, _U = np.uint64(0xFFFFFFFF), np.uint64
 _COUNTED = "kind int, piece int, keys binary, counts binary"
 _REDUCED = "kind int, piece int, types long, bits binary, size long, hash long, count long"
 _SCORED = "row long, id long, n_tokens long, n_known long, base double, lm double, hash long, n long, backs long"
-_HASHED = "row long, id long, hashes binary"
+_DEALT = f"{_SCORED}, part int, first long, texts binary, words binary, befores binary, tokens binary"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -210,13 +212,15 @@ class Filter:
         alive = np.flatnonzero(size)
         at, step = _bit(key, level)
         at, step, base, size = (x[alive] for x in (at, step, base, size))
+        kept = np.ones(len(alive), bool)
         for _ in range(PROBES):
-            place = base + ((at & _LOW32) * size >> _U(32)).astype(np.int64)
-            there = (self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1) != 0
-            at = at + step
-            if not there.all():
-                alive, at, step, base, size = (x[there] for x in (alive, at, step, base, size))
-        return alive
+            place = base + ((at & _LOW32) * size >> _U(32)).view(np.int64)
+            kept &= (self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1) != 0
+            at += step
+            if 4 * np.count_nonzero(kept) < 3 * len(kept):  # copied once a quarter is gone
+                alive, at, step, base, size = (x[kept] for x in (alive, at, step, base, size))
+                kept = np.ones(len(alive), bool)
+        return alive[kept]
 
     def levels(self, kind: int, piece: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The largest level up to which every level of a key is held."""
@@ -257,82 +261,163 @@ def _text_rows(batches: Iterator[pa.RecordBatch]):
         row += batch.num_rows
 
 
-def _hashed_rows(batches: Iterator[pa.RecordBatch]):
-    for batch in batches:
-        for n in range(batch.num_rows):
-            hashes = np.frombuffer(batch.column(2)[n].as_py(), np.uint64)
-            yield np.array([batch.column(0)[n].as_py()]), batch.column(1).slice(n, 1), hashes, np.array([len(hashes)])
+def _coded(token: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different words, and the places among them of what stands before each token and of the token."""
+    words, place = np.unique(np.concatenate([[START, before[0]], token]), return_inverse=True)
+    return words, np.where(before == START, place[0], place[1:-1]), place[2:]
 
 
-def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, ids, hashes, counts in _text_rows(batches):
-        cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(rows), ids, pa.array([hashes[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], names=["row", "id", "hashes"])
+def _tally(text: np.ndarray, token: np.ndarray, words: np.ndarray, *weights: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """(text, hash, sum of each weight) of the different words of each text."""
+    pairs, back = np.unique(text * len(words) + token, return_inverse=True)
+    return pairs // len(words), words[pairs % len(words)], *(np.bincount(back, x, len(pairs)).astype(np.int64) for x in weights)
 
 
-class _Scorer:
-    """Scores blocks of texts with one group of the filter's segments."""
+class _Unigrams:
+    """Log probabilities of the words that are broadcast."""
 
     def __init__(self, held: dict) -> None:
-        self.filter = Filter(held["bits"], held["base"], held["size"])
-        self.pieces, self.low, self.high, self.power = held["pieces"], held["low"], held["high"], held["power"]
         self.words, self.logs = held["words"], held["logs"]
 
-    def block(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[list[np.ndarray], list[tuple[np.ndarray, ...]]]:
-        """(known tokens, base and model log10 of each text), and (text, hash, times, times left to the base) of words not broadcast."""
-        token, before, text = positions(hashes, counts)
-        sums, rare = [np.zeros(len(counts)) for _ in range(3)], []
-        for at in range(0, len(token), _SLICE):
-            parts, more = self._slice(*(x[at : at + _SLICE] for x in (token, before)), text[at : at + _SLICE] - text[at])
-            for total, part in zip(sums, parts, strict=True):
-                total[text[at] : text[at] + len(part)] += part
-            rare.append((more[0] + text[at], *more[1:]))
-        return sums, rare
-
-    def _slice(self, token: np.ndarray, before: np.ndarray, text: np.ndarray) -> tuple[list[np.ndarray], tuple[np.ndarray, ...]]:
-        words, place = np.unique(np.concatenate([[START, before[0]], token]), return_inverse=True)
-        of_before = np.where(before == START, place[0], place[1:-1])
-        of_token = place[2:]
-        near = np.minimum(np.searchsorted(self.words, words), max(0, len(self.words) - 1))
-        shared = self.words[near] == words if len(self.words) else np.zeros(len(words), bool)
-        logs = np.where(shared, self.logs[near], 0.0) if len(self.words) else np.zeros(len(words))
-        home = _place(words, self.pieces)
-        mine = (home // PARTS >= self.low) & (home // PARTS < self.high)
-        c1 = np.zeros(len(words))
-        c1[mine] = count_of(self.filter.levels(1, home[mine], words[mine]))
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words are broadcast, and their log10 (0 for others)."""
+        if not len(self.words):
+            return np.zeros(len(words), bool), np.zeros(len(words))
+        near = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        shared = self.words[near] == words
+        return shared, np.where(shared, self.logs[near], 0.0)
+
+
+class _Bigrams:
+    """Log probabilities by the filter, or by a group of its pieces."""
+
+    def __init__(self, held: dict) -> None:
+        self.filter, self.pieces, self.power = Filter(held["bits"], held["base"], held["size"]), held["pieces"], held["power"]
+
+    def of(self, words: np.ndarray, before: np.ndarray, token: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of each token after the one before, without the word's own share if that is not in ``logs``; which are left to the base."""
+        asked = np.zeros(len(words), bool)
+        asked[before] = True
+        c1, c2 = np.zeros(len(words)), np.zeros(len(token))
+        c1[asked] = count_of(self.filter.levels(1, _place(words[asked], self.pieces), words[asked]))
         followers = np.where(c1 > 0, c1, 1.0) ** self.power
-        here = np.flatnonzero(mine[of_before])
-        c2 = np.zeros(len(token))
-        asked = here[c1[of_before[here]] > 0]
-        c2[asked] = count_of(self.filter.levels(2, *bigram_place(before[asked], token[asked], self.pieces)))
-        total = c1[of_before] + followers[of_before]
-        backs = np.zeros(len(token), bool)
-        backs[here] = c2[here] == 0
-        seen = np.log10(np.minimum(1.0, np.where(c2 > 0, c2, total) / total))
-        left = np.where(c1 > 0, np.log10(followers / (c1 + followers)), 0.0)[of_before]
-        model = np.where(mine[of_before], np.where(backs, left + logs[of_token], seen), 0.0)
-        known = shared[of_token]
-        add = lambda x: np.bincount(text, x)
-        base = self.low == 0  # the first group also counts the tokens
-        parts = [add(known & base), add(logs[of_token] * base), add(model)]
-        odd = np.flatnonzero(~known & (base | backs))
-        pairs, back = np.unique(text[odd] * len(words) + of_token[odd], return_inverse=True)
-        times = np.bincount(back, minlength=len(pairs)) * base
-        return parts, (pairs // len(words), words[pairs % len(words)], times, np.bincount(back, backs[odd], len(pairs)).astype(np.int64))
-
-
-def _score(held: Broadcast, blocks):
+        known = np.flatnonzero(c1[before] > 0)
+        piece, key = bigram_place(words[before[known]], words[token[known]], self.pieces)
+        # Each different bigram is looked up once, and those of a piece after each other.
+        asked, back = np.unique(piece.astype(np.uint64) << _U(48) | key, return_inverse=True)
+        c2[known] = count_of(self.filter.levels(2, (asked >> _U(48)).astype(np.int64), asked & _U((1 << 48) - 1)))[back]
+        total, backs = (c1 + followers)[before], c2 == 0
+        left = np.where(c1 > 0, np.log10(followers / (c1 + followers)), 0.0)[before]
+        return np.where(backs, left + logs[token], np.log10(np.minimum(1.0, np.where(backs, total, c2) / total))), backs
+
+
+def _slices(hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first text, texts, number of each token's text from there, words, places of those before, places of the tokens) of some tokens at a time."""
+    token, before, text = positions(hashes, counts)
+    for at in range(0, len(token), _SLICE):
+        part = text[at : at + _SLICE]
+        yield int(part[0]), int(part[-1] - part[0]) + 1, part - part[0], *_coded(token[at : at + _SLICE], before[at : at + _SLICE])
+
+
+def _sums(rows: np.ndarray, ids: pa.Array | None, tokens: np.ndarray, known: np.ndarray, base: np.ndarray, model: np.ndarray) -> list[pa.Array]:
+    ids = ids.cast(pa.int64()) if ids is not None else pa.nulls(len(rows), pa.int64())
+    empty = pa.nulls(len(rows), pa.int64())
+    return [pa.array(rows), ids, *(pa.array(x.astype(np.int64)) for x in (tokens, known)), pa.array(base), pa.array(model), empty, empty, empty]
+
+
+def _left(rows: np.ndarray, words: np.ndarray, times: np.ndarray, backs: np.ndarray) -> list[pa.Array]:
+    """Rows of words that are not broadcast: how often a text has each, and leaves it to the base."""
+    none, zero = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+    return [pa.array(rows), pa.nulls(len(rows), pa.int64()), pa.array(none), pa.array(none), pa.array(zero), pa.array(zero), pa.array(words.view(np.int64)), pa.array(times), pa.array(backs)]
+
+
+def _columns(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _batch(columns: list[pa.Array], schema: str) -> pa.RecordBatch:
+    """A batch of the schema's first columns and nulls in the others."""
+    names, kinds = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    kind = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary()}
+    return pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(columns[0]), kind[k]) for k in kinds[len(columns) :])], names=list(names))
+
+
+def _score(held: Broadcast):
+    """Score whole texts with all of the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unigrams, bigrams = _Unigrams(held.value), _Bigrams(held.value)
+        for rows, ids, hashes, counts in _text_rows(batches):
+            known, base, model = np.zeros((3, len(rows)))
+            for first, n, text, words, before, token in _slices(hashes, counts):
+                shared, logs = unigrams.of(words)
+                scores, backs = bigrams.of(words, before, token, logs)
+                for total, part in ((known, shared[token]), (base, logs[token]), (model, scores)):
+                    total[first : first + n] += np.bincount(text, part, n)
+                odd = np.flatnonzero(~shared[token])
+                of, *rare = _tally(text[odd], token[odd], words, None, backs[odd])
+                yield _batch(_left(rows[first + of], *rare), _SCORED)
+            yield _batch(_sums(rows, ids, counts + 1, known, base, model), _SCORED)
+
+    return run
+
+
+def _narrow(places: np.ndarray, n: int) -> bytes:
+    return places.astype("<u2" if n <= 1 << 16 else "<u4").tobytes()
+
+
+def _deal(held: Broadcast, cuts: list[int], pieces: int):
+    """Score whole texts by words alone (part -1), and deal out their tokens by the group of segments, from ``cuts`` on, of the word before."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(held.value)
-        for rows, ids, hashes, counts in blocks(batches):
-            (known, base, model), rare = scorer.block(hashes, counts)
-            text, words, times, backs = (np.concatenate(x) for x in zip(*rare, strict=True))
-            n, m = len(rows), len(text)
-            tokens = (counts + 1) * (scorer.low == 0)
-            columns = [np.concatenate([rows, rows[text]]), None, np.concatenate([tokens, np.zeros(m, np.int64)]), np.concatenate([known.astype(np.int64), np.zeros(m, np.int64)]), np.concatenate([base, np.zeros(m)]), np.concatenate([model, np.zeros(m)])]
-            arrays = [pa.array(c) if c is not None else pa.concat_arrays([ids.cast(pa.int64()), pa.nulls(m, pa.int64())]) for c in columns]
-            arrays += [pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(x)]) for x in (words.view(np.int64), times, backs)]
-            yield pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in _SCORED.split(", ")])
+        unigrams = _Unigrams(held.value)
+        for rows, ids, hashes, counts in _text_rows(batches):
+            known, base = np.zeros((2, len(rows)))
+            for first, n, text, words, before, token in _slices(hashes, counts):
+                shared, logs = unigrams.of(words)
+                known[first : first + n] += np.bincount(text, shared[token], n)
+                base[first : first + n] += np.bincount(text, logs[token], n)
+                odd = np.flatnonzero(~shared[token])
+                of, *rare = _tally(text[odd], token[odd], words, None)
+                left = _left(rows[first + of], *rare, np.zeros(len(of), np.int64))
+                yield _batch([*left, pa.array(np.full(len(of), -1, np.int32))], _DEALT)
+                part = (np.searchsorted(cuts, _place(words, pieces) // PARTS, "right") - 1)[before]
+                order = np.argsort(part.astype(np.int16 if len(cuts) < 1 << 15 else np.int64), kind="stable")
+                parts, sizes = _runs(part[order])
+                packed = []
+                for stop, size in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True):
+                    some = order[stop - size : stop]
+                    used = np.zeros(len(words), bool)
+                    used[before[some]] = used[token[some]] = True
+                    place, m = np.cumsum(used) - 1, int(used.sum())
+                    packed.append((np.bincount(text[some], minlength=n).astype("<u4").tobytes(), words[used].tobytes(), _narrow(place[before[some]], m), _narrow(place[token[some]], m)))
+                empty = [pa.nulls(len(parts), pa.float64() if c.endswith("double") else pa.int64()) for c in _SCORED.split(", ")]
+                asked = [pa.array(parts.astype(np.int32)), pa.array(np.full(len(parts), rows[first])), *(pa.array(x, pa.binary()) for x in zip(*packed, strict=True))]
+                yield _batch([*empty, *asked], _DEALT)
+            done = _sums(rows, ids, counts + 1, known, base, np.zeros(len(rows)))
+            yield _batch([*done, pa.array(np.full(len(rows), -1, np.int32))], _DEALT)
+
+    return run
+
+
+def _score_part(held: Broadcast):
+    """Score the tokens (first, texts, words, befores, tokens) of one group of segments."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unigrams, bigrams = _Unigrams(held.value), _Bigrams(held.value)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                first, texts, words, *places = (c[k].as_py() for c in batch.columns)
+                words, sizes = np.frombuffer(words, np.uint64), np.frombuffer(texts, "<u4")
+                before, token = (np.frombuffer(x, "<u2" if len(words) <= 1 << 16 else "<u4").astype(np.int64) for x in places)
+                shared, logs = unigrams.of(words)
+                scores, backs = bigrams.of(words, before, token, logs)
+                text = np.repeat(np.arange(len(sizes)), sizes)
+                odd = np.flatnonzero(~shared[token] & backs)
+                of, hashes, back = _tally(text[odd], token[odd], words, backs[odd])
+                yield _batch(_left(first + of, hashes, np.zeros(len(of), np.int64), back), _SCORED)
+                some, zero = np.flatnonzero(sizes), np.zeros(np.count_nonzero(sizes))
+                yield _batch(_sums(first + some, None, zero, zero, zero, np.bincount(text, scores, len(sizes))[some]), _SCORED)
 
     return run
 
@@ -372,8 +457,8 @@ def score_texts(
     columns are not read.
 
     At most ``filter_bytes`` of the filter are broadcast at once: of a larger
-    one, groups of segments are, one after another, and each scores the bigrams
-    of its first words (a segment that is larger goes alone).  The exact
+    one, groups of segments are, one after another, and each reads and scores
+    only the bigrams of its first words (a segment that is larger goes alone).  The exact
     counts of at most ``broadcast_words`` words, the most frequent,
     are broadcast; other words, none of them frequent, are joined with their counts.
     Words are told apart by 64-bit hashes.
@@ -406,24 +491,30 @@ def score_texts(
     for r in sizes:
         by_segment[r["segment"]] = by_segment.get(r["segment"], 0) + r["bytes"]
     groups = _groups(by_segment, segments, filter_bytes)
-    scored = []
-    if len(groups) > 1:  # words are hashed once for all groups
-        source, blocks = written(rows.mapInArrow(_hash, _HASHED), "hashes"), _hashed_rows
-    else:
-        source, blocks = rows, _text_rows
-    for low, high in groups:
+    unigrams = {"words": keys[order], "logs": logs}
+    parts, dealt = [], None
+    if len(groups) > 1:
+        shared = spark.sparkContext.broadcast(unigrams)
+        dealt = written(rows.mapInArrow(_deal(shared, [low for low, _ in groups], pieces), _DEALT), "dealt", "zstd", by="part")
+        shared.destroy()
+        parts.append(dealt.filter("part = -1").select(*_columns(_SCORED)))
+    for part, (low, high) in enumerate(groups):
         base, size, held, filled = np.zeros((3, pieces), np.int64), np.zeros((3, pieces), np.uint64), [], 0
         for r in made.filter(f"bits is not null and piece >= {low * PARTS} and piece < {high * PARTS}").select("kind", "piece", "size", "bits").toLocalIterator():
             base[r["kind"], r["piece"]], size[r["kind"], r["piece"]] = filled * 8, r["size"]
             held.append(np.frombuffer(bytes(r["bits"]), np.uint8))
             filled += len(held[-1])
         bits = np.concatenate(held) if held else np.zeros(1, np.uint8)
-        shared = spark.sparkContext.broadcast({"bits": bits, "base": base, "size": size, "pieces": pieces, "low": low, "high": high, "power": power, "words": keys[order], "logs": logs})
+        shared = spark.sparkContext.broadcast({"bits": bits, "base": base, "size": size, "pieces": pieces, "power": power, **unigrams})
         del held, bits
-        scored.append(written(source.mapInArrow(_score(shared, blocks), _SCORED), "scored"))
+        if dealt is None:
+            found = rows.mapInArrow(_score(shared), _SCORED)
+        else:
+            found = dealt.filter(F.col("part") == part).select("first", "texts", "words", "befores", "tokens").mapInArrow(_score_part(shared), _SCORED)
+        parts.append(written(found, "scored"))
         shared.destroy()
-    found = scored[0]
-    for more in scored[1:]:
+    found = parts[0]
+    for more in parts[1:]:
         found = found.unionByName(more)
     p = F.log10((F.coalesce("count", F.lit(0)) + 1) / F.lit(float(n + v + 1)))
     rest = found.filter("hash is not null").join(words.filter(F.col("level") < least).select("hash", "count"), "hash", "left")
